@@ -70,3 +70,23 @@ def day_bucket(ts: str | Column = "ts") -> Column:
     """Default bucket: whole days since the epoch of ``ts``."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.floor(F.unix_micros(c.cast("timestamp")) / 86_400_000_000).cast("bigint")
+
+
+def prev_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
+             values: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """Add ``prev_<v>``: the value of the previous row of the same key in
+    order (null for a key's first row); a bucket's first row takes the last
+    row of the nearest earlier bucket."""
+    keys = list(keys)
+    ordc = F.struct(*_cols(order))
+    w = Window.partitionBy(*keys, bucket).orderBy(*_cols(order))
+    local = df.withColumns({"__rn": F.row_number().over(w),
+                            **{f"__p_{v}": F.lag(v).over(w) for v in values}})
+    last = df.groupBy(*keys, bucket).agg(F.max_by(F.struct(*values), ordc).alias("__last"))
+    w_b = Window.partitionBy(*keys).orderBy(bucket)
+    carried = last.select(*keys, bucket, F.lag("__last").over(w_b).alias("__carry"))
+    out = local.join(carried, [*keys, bucket], "inner")
+    return out.withColumns({
+        f"{prefix}{v}": F.when(F.col("__rn") == 1, F.col(f"__carry.{v}")).otherwise(F.col(f"__p_{v}"))
+        for v in values
+    }).drop("__rn", "__carry", *[f"__p_{v}" for v in values])

@@ -38,3 +38,221 @@ FROM quality_records GROUP BY day ORDER BY day""")
 def q_daily_quality(spark, d):
     r = AD.quality_records(spark, d).withColumn("day", D.record_day(F.col("time_text")))
     return A.daily_quality(r)
+
+
+def ntz(c):
+    """Result timestamps as wall-clock (no zone) values."""
+    return F.col(c).cast("timestamp_ntz").alias(c) if isinstance(c, str) else c.cast("timestamp_ntz")
+
+
+from fabline.operators import filters as FL  # noqa: E402
+from fabline.operators import joins as J  # noqa: E402
+from fabline.operators.ordered import day_bucket, prev_row  # noqa: E402
+from fabline.sources import files as FS  # noqa: E402
+from fabline.sources import sinks as SK  # noqa: E402
+from fabline.sources.messages import topic_source  # noqa: E402
+
+EVQ = O.with_(O.EV, O.MATERIAL)
+
+
+# --- S1 ---------------------------------------------------------------------
+@register("topic_source", EVQ + """
+SELECT topic, payload, ts, seq FROM material WHERE topic = '/loading/MatLoaded'""")
+def q_topic_source(spark, d):
+    m = AD.material_messages(spark, d)
+    return topic_source(m, C.LOADING_MAT_LOADED).select("topic", "payload", ntz("ts"), "seq")
+
+
+# --- S2 ---------------------------------------------------------------------
+@register("ts_upsert", O.with_(O.EV, O.VIBRATION) + """
+SELECT key AS measurement, (epoch_us(ts) // 1000) // 60000 * 60000 AS time_ms,
+       arg_max(x, seq) AS x, arg_max(y, seq) AS y, arg_max(z, seq) AS z, count(*) AS n_writes
+FROM vibration GROUP BY ALL""")
+def q_ts_upsert(spark, d):
+    v = AD.vibration(spark, d)
+    return SK.ts_upsert(v, measurement="key", precision_ms=60_000)
+
+
+# --- S3 / S4 / S10 ----------------------------------------------------------
+SERIES_RN = O.with_(O.EV, O.SERIES_ROWS) + """, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts, seq) AS rn,
+         count(*) OVER (PARTITION BY series) AS n FROM series_rows),
+batches AS (
+  SELECT series, seq, ts, quality, datapoints, rn, (rn - 1) // 50 AS batch_no
+  FROM numbered WHERE (rn - 1) // 50 < n // 50)
+"""
+
+
+@register("export_batches", SERIES_RN + "SELECT series, batch_no, rn, seq, ts, quality, datapoints FROM batches")
+def q_export_batches(spark, d):
+    b = SK.export_batches(AD.series_rows(spark, d))
+    return b.select("series", "batch_no", "rn", "seq", ntz("ts"), "quality", "datapoints")
+
+
+def _export_lines(spark, d):
+    b = SK.export_batches(AD.series_rows(spark, d))
+    tt = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return b.select("series", "batch_no", "rn", "seq",
+                    FS.delimited_line(tt, "quality", "datapoints").alias("line"))
+
+
+@register("export_lines", SERIES_RN + """
+SELECT series, batch_no, rn, seq,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || ';' || quality || ';' || datapoints || ';' AS line
+FROM batches""")
+def q_export_lines(spark, d):
+    return _export_lines(spark, d)
+
+
+@register("export_scan", SERIES_RN + """
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || ';' || quality || ';' || datapoints || ';' AS line
+FROM batches""")
+def q_export_scan(spark, d):
+    path = FS.new_folder(spark, "exports")
+    FS.write_lines(_export_lines(spark, d), path, partition_by=["series", "batch_no"])
+    return FS.export_scan(spark, path).select("line")
+
+
+@register("series_purge", SERIES_RN + """
+SELECT series, seq, ts, quality, datapoints FROM numbered WHERE (rn - 1) // 50 >= n // 50""")
+def q_series_purge(spark, d):
+    rows = AD.series_rows(spark, d)
+    left = SK.series_purge(rows, SK.export_batches(rows))
+    return left.select("series", "seq", ntz("ts"), "quality", "datapoints")
+
+
+@register("series_count", O.with_(O.EV, O.SERIES_ROWS) + """
+SELECT series, count(datapoints) AS n_points FROM series_rows GROUP BY series""")
+def q_series_count(spark, d):
+    return A.series_count(AD.series_rows(spark, d))
+
+
+# --- S6 / S7 ----------------------------------------------------------------
+def _dump_lines(spark, d):
+    r = AD.quality_records(spark, d)
+    digit = (F.when(F.col("quality") == C.GOOD, "0").when(F.col("quality") == C.DEFECT1, "1")
+             .when(F.col("quality") == C.DEFECT2, "2").otherwise("9"))
+    return r.select(F.concat(F.lit("'colour','"), F.col("seq").cast("string"), F.lit("','"), digit,
+                             F.lit("','"), F.regexp_replace("datapoints", ",", "','"),
+                             F.lit("'")).alias("line"))
+
+
+DUMP_SQL = O.with_(O.QUALITY_RECORDS)
+
+
+@register("labelled_dump", DUMP_SQL + """
+SELECT cast(seq as varchar) AS id,
+       CASE WHEN quality IN ('good', 'defect1', 'defect2') THEN quality ELSE '9' END AS label,
+       datapoints FROM quality_records""")
+def q_labelled_dump(spark, d):
+    path = FS.new_folder(spark, "dumps")
+    FS.write_lines(_dump_lines(spark, d), path)
+    return FS.labelled_dump(spark.read.text(path).withColumnRenamed("value", "line"))
+
+
+@register("dataset_land", DUMP_SQL + """
+SELECT '''colour'',''' || cast(seq as varchar) || ''',''' ||
+       CASE quality WHEN 'good' THEN '0' WHEN 'defect1' THEN '1' WHEN 'defect2' THEN '2' ELSE '9' END
+       || ''',''' || replace(datapoints, ',', ''',''') || '''' AS line
+FROM quality_records""")
+def q_dataset_land(spark, d):
+    src = FS.new_folder(spark, "collected")
+    FS.write_lines(_dump_lines(spark, d), src)
+    return FS.dataset_land(spark, src, FS.new_folder(spark, "landed"))
+
+
+# --- A1 chain: S8 / S9 / A2 -------------------------------------------------
+DAILY_SQL = O.with_(O.QUALITY_RECORDS) + """, daily AS (
+SELECT strftime(day, '%Y-%m-%d') AS day,
+       count(*) FILTER (WHERE quality = 'good') AS good,
+       count(*) FILTER (WHERE quality = 'defect1') AS defect1,
+       count(*) FILTER (WHERE quality = 'defect2') AS defect2
+FROM quality_records GROUP BY day)
+"""
+
+
+def _daily(spark, d):
+    r = AD.quality_records(spark, d).withColumn("day", D.record_day(F.col("time_text")))
+    return A.daily_quality(r)
+
+
+@register("stats_lines", DAILY_SQL + """
+SELECT day || chr(9) || 'good=' || good || ', defect1=' || defect1 || ', defect2=' || defect2 AS line
+FROM daily""")
+def q_stats_lines(spark, d):
+    path = FS.new_folder(spark, "stats")
+    FS.write_lines(_daily(spark, d).select(FS.stats_line().alias("line")), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@register("stats_parse", DAILY_SQL + """
+SELECT sum(good) AS good, sum(defect1) AS defect1, sum(defect2) AS defect2, 0 AS n_bad_counters FROM daily""")
+def q_stats_parse(spark, d):
+    lines = q_stats_lines(spark, d)
+    return FS.stats_parse(lines)
+
+
+@register("train_ready", DAILY_SQL + """
+SELECT sum(good) AS good, sum(defect1) AS defect1, sum(defect2) AS defect2,
+       sum(good) >= 150 AND sum(defect1) >= 150 AND sum(defect2) >= 150 AS ready FROM daily""")
+def q_train_ready(spark, d):
+    return A.train_ready(_daily(spark, d))
+
+
+# --- A8 ---------------------------------------------------------------------
+@register("train_cap", SERIES_RN + """, files AS (
+  SELECT series, batch_no, max(ts) AS file_ts,
+         count(*) FILTER (WHERE quality = 'good') AS g,
+         count(*) FILTER (WHERE quality = 'defect1') AS d1,
+         count(*) FILTER (WHERE quality = 'defect2') AS d2
+  FROM batches GROUP BY series, batch_no),
+run AS (
+  SELECT *, coalesce(sum(g) OVER w, 0) AS bg, coalesce(sum(d1) OVER w, 0) AS bd1,
+         coalesce(sum(d2) OVER w, 0) AS bd2
+  FROM files WINDOW w AS (ORDER BY file_ts, series, batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT b.series, b.batch_no, b.seq, b.quality AS label
+FROM batches b JOIN run r USING (series, batch_no)
+WHERE NOT (r.bg > 150 AND r.bd1 > 150 AND r.bd2 > 150)""")
+def q_train_cap(spark, d):
+    b = SK.export_batches(AD.series_rows(spark, d))
+    files = b.groupBy("series", "batch_no").agg(F.max("ts").alias("file_ts"))
+    recs = b.join(files, ["series", "batch_no"]).withColumnRenamed("quality", "label")
+    kept = A.train_cap(recs, file_cols=("series", "batch_no"), file_order=("file_ts",))
+    return kept.select("series", "batch_no", "seq", "label")
+
+
+# --- F4 / P4 / P6 / P10 -----------------------------------------------------
+@register("label_check", O.with_(O.QUALITY_RECORDS) + """
+SELECT seq, quality FROM quality_records WHERE quality IN ('good', 'defect1', 'defect2')""")
+def q_label_check(spark, d):
+    r = AD.quality_records(spark, d)
+    return r.where(FL.label_check(F.col("quality"))).select("seq", "quality")
+
+
+@register("colour_train_decode", O.with_(O.QUALITY_RECORDS) + """
+SELECT seq, quality, datapoints FROM quality_records""")
+def q_colour_train_decode(spark, d):
+    r = AD.quality_records(spark, d)
+    digit = (F.when(F.col("quality") == C.GOOD, "0").when(F.col("quality") == C.DEFECT1, "1")
+             .when(F.col("quality") == C.DEFECT2, "2").otherwise("x"))
+    msgs = r.select("seq", F.concat(digit, F.lit(","), "datapoints").cast("binary").alias("payload"))
+    return D.colour_train_decode(msgs).select("seq", "quality", "datapoints")
+
+
+@register("feature_parse", O.with_(O.QUALITY_RECORDS) + """
+SELECT seq, quality AS label, len(string_split(datapoints, ',')) AS n_features,
+       list_sum(list_transform(string_split(datapoints, ','), lambda v: cast(v as double))) AS f_sum
+FROM quality_records""")
+def q_feature_parse(spark, d):
+    r = AD.quality_records(spark, d)
+    lines = r.select("seq", FS.delimited_line("time_text", "quality", "datapoints").alias("line"))
+    p, _ = FL.split_rejects(D.feature_parse(lines))
+    return p.select("seq", "label", F.size("features").alias("n_features"),
+                    F.aggregate("features", F.lit(0.0), lambda a, v: a + v).alias("f_sum"))
+
+
+@register("record_day", O.with_(O.QUALITY_RECORDS) + """
+SELECT seq, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M:%S.%g') AS clock FROM quality_records""")
+def q_record_day(spark, d):
+    r = AD.quality_records(spark, d)
+    return r.select("seq", D.record_day(F.col("time_text")).alias("day"), D.clock_text(F.col("ts")).alias("clock"))
