@@ -107,3 +107,48 @@ POSITIONS = """positions AS (
 
 def with_(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+def md5_cat(letters: str) -> str:
+    return " || ".join(f"md5('{c}' || seq)" for c in letters)
+
+
+def byte_sql(hx: str, i: str) -> str:
+    return f"('0x' || substr({hx}, 2 * ({i}) + 1, 2))::INT"
+
+
+def int16_sql(hx: str, i: str) -> str:
+    u = f"('0x' || substr({hx}, 2 * ({i}) + 1, 4))::INT"
+    return f"(CASE WHEN {u} >= 32768 THEN {u} - 65536 ELSE {u} END)"
+
+
+VIB_FRAMES = f"""vib_frames AS (
+  SELECT seq, ts, user_id % 8 AS machine_id,
+         upper(substr({md5_cat('abcd')}, 1, CASE WHEN seq % 50 = 7 THEN 96 ELSE 104 END)) AS hx
+  FROM ev)"""
+
+VIB_DECODED = f"""vib_decoded AS (
+  SELECT seq, ts, machine_id,
+         {byte_sql('hx', '0')} AS location, {byte_sql('hx', '1')} AS sensor_id,
+         list_transform(range(2, 7), lambda i: {byte_sql('hx', 'i')}) AS motor_state,
+         list_transform(range(7, 12), lambda i: {byte_sql('hx', 'i')}) AS motor_direction,
+         list_transform(range(12, 17), lambda i: {byte_sql('hx', 'i')}) AS motor_speed,
+         list_concat(list_transform(range(17, 21), lambda i: {byte_sql('hx', 'i')} - 48),
+                     [CASE WHEN {byte_sql('hx', '21')} = 45 THEN 0 ELSE {byte_sql('hx', '21')} - 48 END]) AS pos,
+         list_transform(range(0, 15), lambda j: {int16_sql('hx', '22 + 2 * j')}) AS raw
+  FROM vib_frames WHERE length(hx) = 104)"""
+
+
+def grav(r: str) -> str:
+    return f"(9.813::DOUBLE * 4.0::DOUBLE * (({r})::DOUBLE / 64000.0::DOUBLE))"
+
+
+def accel_axis(axis: int, shift: str = "") -> str:
+    terms = [grav(f"raw[{s * 3 + axis + 1}]") + shift for s in range(5)]
+    return "(" + " + ".join(f"({t})" for t in terms) + ") / 5.0::DOUBLE"
+
+
+COLOUR_FRAMES = f"""colour_frames AS (
+  SELECT seq, printf('%08x', user_id) AS material_id,
+         upper(substr({md5_cat('abcdefghijklmnopqrstuvwxy')}, 1, 784)) AS bh
+  FROM ev)"""

@@ -256,3 +256,357 @@ SELECT seq, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M:%S.%g') AS cloc
 def q_record_day(spark, d):
     r = AD.quality_records(spark, d)
     return r.select("seq", D.record_day(F.col("time_text")).alias("day"), D.clock_text(F.col("ts")).alias("clock"))
+
+
+# --- P1 ---------------------------------------------------------------------
+@register("vib_text_decode", O.with_(O.EV, O.VIBRATION) + "SELECT seq, x, y, z FROM vibration")
+def q_vib_text_decode(spark, d):
+    good, _ = FL.split_rejects(D.vib_text_decode(AD.vibration_text(spark, d)))
+    return good.select("seq", "x", "y", "z")
+
+
+# --- P2 / P3 / F2 -----------------------------------------------------------
+FRAMES_SQL = O.with_(O.EV, O.VIB_FRAMES, O.VIB_DECODED)
+
+
+@register("vib_frame_decode", FRAMES_SQL + """
+SELECT seq, location, sensor_id, array_to_string(motor_state, ',') AS motor_state,
+       array_to_string(motor_direction, ',') AS motor_direction,
+       array_to_string(motor_speed, ',') AS motor_speed, array_to_string(pos, ',') AS pos,
+       array_to_string(raw, ',') AS raw
+FROM vib_decoded""")
+def q_vib_frame_decode(spark, d):
+    good, _ = FL.split_rejects(D.vib_frame_decode(AD.vib_frames(spark, d)))
+    return good.select("seq", "location", "sensor_id",
+                       *[F.array_join(c, ",").alias(c) for c in
+                         ("motor_state", "motor_direction", "motor_speed", "pos", "raw")])
+
+
+@register("vib_frame_accel", FRAMES_SQL + f"""
+SELECT seq, round({O.accel_axis(0)}, 9) AS x, round({O.accel_axis(1)}, 9) AS y,
+       round({O.accel_axis(2, ' - 10.0::DOUBLE')}, 9) AS z
+FROM vib_decoded""")
+def q_vib_frame_accel(spark, d):
+    good, _ = FL.split_rejects(D.vib_frame_decode(AD.vib_frames(spark, d)))
+    a = D.vib_frame_accel(good)
+    return a.select("seq", *[F.round(c, 9).alias(c) for c in ("x", "y", "z")])
+
+
+@register("quarantine", O.with_(O.EV, O.VIB_FRAMES) + """
+SELECT seq, 'short_frame' AS reject_reason FROM vib_frames WHERE length(hx) < 104""")
+def q_quarantine(spark, d):
+    return FL.quarantine(D.vib_frame_decode(AD.vib_frames(spark, d)))
+
+
+# --- P5 ---------------------------------------------------------------------
+@register("colour_frame_decode", O.with_(O.EV, O.COLOUR_FRAMES) + f"""
+SELECT seq, material_id, 392 AS n_values,
+       array_to_string(list_transform(range(0, 392), lambda i: {O.byte_sql('bh', 'i')}), ',') AS values_csv
+FROM colour_frames""")
+def q_colour_frame_decode(spark, d):
+    f = D.colour_frame_decode(AD.colour_frames(spark, d, n_bytes=400))
+    good, _ = FL.split_rejects(f)
+    return good.select("seq", "material_id", F.size("values").alias("n_values"), "values_csv")
+
+
+# --- P7 / P13 / A7 ----------------------------------------------------------
+POS_SQL = EVQ + """, pos AS (
+  SELECT seq, ts, split_part(payload, '|', 1) AS id, split_part(payload, '|', 2) AS value
+  FROM material WHERE topic LIKE '%/MatPosition')
+"""
+
+
+def _positions(spark, d):
+    m = AD.material_messages(spark, d)
+    p = m.where(F.col("topic").endswith("/MatPosition"))
+    good, _ = FL.split_rejects(D.pipe_parse(p))
+    return good
+
+
+@register("pipe_parse", POS_SQL + "SELECT seq, id, value FROM pos")
+def q_pipe_parse(spark, d):
+    return _positions(spark, d).select("seq", "id", "value")
+
+
+@register("position_pad", POS_SQL + "SELECT seq, lpad(value, 5, '0') AS pos5 FROM pos")
+def q_position_pad(spark, d):
+    return _positions(spark, d).select("seq", D.position_pad(F.col("value")).alias("pos5"))
+
+
+@register("material_latest", POS_SQL + """
+SELECT id, arg_max(value, ts) AS position, max(ts) AS updated_at, count(*) AS n_updates
+FROM pos GROUP BY id""")
+def q_material_latest(spark, d):
+    r = A.material_latest(_positions(spark, d))
+    return r.select("id", "position", ntz("updated_at"), "n_updates")
+
+
+# --- P8 ---------------------------------------------------------------------
+@register("motor_info_pivot", O.with_(O.EV, O.MOTOR_INFO) + """, kv AS (
+  SELECT station, ts, split_part(payload, '|', 1) AS key, split_part(payload, '|', 2) AS value FROM motor_info)
+SELECT station,
+  arg_max(value, ts) FILTER (WHERE key = 'isStarted') AS "isStarted",
+  arg_max(value, ts) FILTER (WHERE key = 'direction') AS "direction",
+  arg_max(value, ts) FILTER (WHERE key = 'speed') AS "speed",
+  arg_max(value, ts) FILTER (WHERE key = 'isRollingStarted') AS "isRollingStarted",
+  arg_max(value, ts) FILTER (WHERE key = 'rollingDirection') AS "rollingDirection",
+  arg_max(value, ts) FILTER (WHERE key = 'rollingSpeed') AS "rollingSpeed"
+FROM kv GROUP BY station""")
+def q_motor_info_pivot(spark, d):
+    mi = AD.motor_info(spark, d)
+    kv = D.pipe_parse(mi, left="key", right="value")
+    return (kv.groupBy("station").pivot("key", AD.MOTOR_KEYS)
+            .agg(F.max_by("value", F.struct("ts", "seq"))))
+
+
+# --- P9 ---------------------------------------------------------------------
+@register("vib_amplitude", O.with_(O.EV, O.VIBRATION) + """, p AS (
+  SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(z) OVER w AS pz
+  FROM vibration WINDOW w AS (PARTITION BY machine_id ORDER BY ts, seq))
+SELECT seq, machine_id, round((abs(x) + abs(y) + abs(z)) / 3.0, 9) AS level,
+       round((abs(px - x) + abs(py - y) + abs(pz - z)) / 3.0, 9) AS change
+FROM p""")
+def q_vib_amplitude(spark, d):
+    v = AD.vibration(spark, d).withColumn("__day", day_bucket("ts"))
+    p = prev_row(v, ["machine_id"], ["ts", "seq"], "__day", ["x", "y", "z"])
+    x, y, z = F.col("x"), F.col("y"), F.col("z")
+    return p.select("seq", "machine_id",
+                    F.round(D.amplitude(x, y, z), 9).alias("level"),
+                    F.round(D.mean_abs_change(F.col("prev_x"), F.col("prev_y"), F.col("prev_z"), x, y, z),
+                            9).alias("change"))
+
+
+# --- P11 --------------------------------------------------------------------
+@register("colour_rescale", O.with_(O.EV, O.RAW_COLOUR) + """
+SELECT seq, (least(greatest(red, 100), 1300) - 100) * 255 // 1200 AS r8,
+       (least(greatest(green, 190), 1300) - 190) * 255 // 1110 AS g8,
+       (least(greatest(blue, 250), 1200) - 250) * 255 // 950 AS b8
+FROM raw_colour""")
+def q_colour_rescale(spark, d):
+    return D.colour_rescale(AD.raw_colour(spark, d)).select("seq", "r8", "g8", "b8")
+
+
+# --- P12 / J6 ---------------------------------------------------------------
+BITS_SQL = O.with_(O.EV, O.SENSOR_BITS, O.POSITIONS) + """, bi AS (
+  SELECT *, length(bits) - strpos(reverse(bits), '1') AS idx FROM sensor_bits)
+"""
+
+
+def _codes(spark, d):
+    return J.position_code(AD.sensor_bits(spark, d), J.position_table(spark))
+
+
+@register("position_code", BITS_SQL + """
+SELECT seq, bi.station, bits, bi.idx,
+       CASE WHEN bi.idx = length(bits) THEN '-' ELSE cast(p.label as varchar) END AS code,
+       CASE WHEN bi.idx = length(bits) THEN '-' ELSE cast(p.coordinate as varchar) END AS coordinate_text
+FROM bi LEFT JOIN positions p ON p.station = bi.station AND p.idx = bi.idx""")
+def q_position_code(spark, d):
+    return _codes(spark, d).select("seq", "station", "bits", "idx", "code", "coordinate_text")
+
+
+@register("position_lookup", BITS_SQL + """
+SELECT seq, bi.station, bi.idx, p.label, p.coordinate
+FROM bi JOIN positions p ON p.station = bi.station AND p.idx = bi.idx""")
+def q_position_lookup(spark, d):
+    return _codes(spark, d).where(F.col("label").isNotNull()).select(
+        "seq", "station", "idx", "label", "coordinate")
+
+
+# --- F1 ---------------------------------------------------------------------
+ROUTES = {
+    C.TABLES_CONNECTION: "connection_log",
+    C.LOADING_READY_TO_NEW_MAT: "heartbeat",
+    C.LOADING_MAT_LOADED: "allow_route",
+    C.LOADING_MAT_POSITION: "position_update",
+    C.LOADING_MAT_DROPPED: "drop_log",
+    C.LOADING_RFID_READ_PROBLEM: "warning_log",
+    C.LOADING_WARNING: "warning_log",
+    C.ROLLING_ROLL_QUERY: "thickness_lookup",
+    C.ROLLING_MAT_POSITION: "position_update",
+    C.ROLLING_WARNING: "warning_log",
+    C.ROLLING_MAT_AFTER_ROLL: "mark_rolled",
+    C.QUALITY_MAT_READY_TO_QCHECK: "ready_gate",
+    C.QUALITY_MAT_POSITION: "position_update",
+    C.QUALITY_WARNING: "warning_log",
+    C.COLOUR_MAT_CHECK: "colour_check",
+    C.COLOUR_WARNING: "warning_log",
+    C.UNLOADING_MAT_QUERY: "unload_decision",
+    C.UNLOADING_MAT_FINAL: "final",
+    C.UNLOADING_MAT_POSITION: "position_update",
+    C.UNLOADING_WARNING: "warning_log",
+    C.ROLLING_MOTOR_INFO: "motor_state",
+}
+ROUTE_CASE = "CASE topic " + " ".join(f"WHEN '{t}' THEN '{s}'" for t, s in ROUTES.items()) + " END"
+ROUTE_IN = ", ".join(f"'{t}'" for t in ROUTES)
+
+
+@register("topic_route", O.with_(O.EV, O.MATERIAL, O.MOTOR) + f""", allm AS (
+  SELECT seq, topic FROM material UNION ALL SELECT seq, topic FROM motor)
+SELECT seq, topic, {ROUTE_CASE} AS stage FROM allm WHERE topic IN ({ROUTE_IN})""")
+def q_topic_route(spark, d):
+    m = AD.material_messages(spark, d).select("seq", "topic")
+    mo = AD.motor_messages(spark, d).select("seq", "topic")
+    return FL.topic_route(m.unionByName(mo), ROUTES)
+
+
+# --- J3 / F3 ----------------------------------------------------------------
+ASOF_SQL = O.with_(O.EV, O.VIBRATION, O.READINGS, O.MOTOR) + """, u AS (
+  SELECT seq, ts, machine_id, NULL::BOOLEAN AS st, true AS is_r, x, y, z FROM readings
+  UNION ALL
+  SELECT seq, ts, machine_id, split_part(payload, '|', 2) = '1', false, NULL, NULL, NULL FROM motor),
+asofr AS (
+  SELECT seq, ts, machine_id, x, y, z, coalesce(last_value(st IGNORE NULLS) OVER (
+      PARTITION BY machine_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS rolling
+  FROM u QUALIFY is_r)
+"""
+
+
+def _asof(spark, d):
+    return J.asof_motor(AD.readings(spark, d), AD.motor_messages(spark, d))
+
+
+@register("asof_motor", ASOF_SQL + "SELECT seq, machine_id, rolling FROM asofr")
+def q_asof_motor(spark, d):
+    return _asof(spark, d).select("seq", "machine_id", "rolling")
+
+
+@register("stall_filter", ASOF_SQL + """
+SELECT seq, machine_id, rolling, round((abs(x) + abs(y) + abs(z)) / 3.0, 9) AS level,
+       rolling AND (abs(x) + abs(y) + abs(z)) / 3.0 < 0.3 AS stall FROM asofr""")
+def q_stall_filter(spark, d):
+    a = _asof(spark, d)
+    lvl = D.amplitude(F.col("x"), F.col("y"), F.col("z"))
+    return a.select("seq", "machine_id", "rolling", F.round(lvl, 9).alias("level"),
+                    FL.stall_filter(lvl, F.col("rolling")).alias("stall"))
+
+
+# --- J4 ---------------------------------------------------------------------
+def _asof_frame_sql():
+    sel, lv = [], []
+    for s in C.STATIONS:
+        for k, n in (("isStarted", "started"), ("speed", "speed")):
+            sel.append(f"CASE WHEN station = '{s}' AND split_part(payload, '|', 1) = '{k}' "
+                       f"THEN cast(split_part(payload, '|', 2) as int) END AS {s}_{n}")
+            lv.append(f"last_value({s}_{n} IGNORE NULLS) OVER w AS {s}_{n}")
+    nulls = ", ".join(f"NULL::INT AS {s}_{n}" for s in C.STATIONS for n in ("started", "speed"))
+    return O.with_(O.EV, O.VIB_FRAMES, O.MOTOR_INFO) + f""", u AS (
+  SELECT seq, ts, true AS is_f, {nulls} FROM vib_frames
+  UNION ALL SELECT seq, ts, false, {", ".join(sel)} FROM motor_info)
+SELECT seq, {", ".join(lv)} FROM u
+WINDOW w AS (ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+QUALIFY is_f"""
+
+
+@register("asof_frame", _asof_frame_sql())
+def q_asof_frame(spark, d):
+    f = AD.vib_frames(spark, d).select("seq", "ts")
+    a = J.asof_frame(f, AD.motor_info(spark, d))
+    return a.select("seq", *[f"{s}_{n}" for s in C.STATIONS for n in ("started", "speed")])
+
+
+# --- J1 / J2 / J5 / S11 -----------------------------------------------------
+MAT_SQL = O.with_(O.EV, O.MATERIAL, O.ALLOW) + """, loads AS (
+  SELECT m.seq, m.ts, m.id, CASE WHEN a.id IS NOT NULL THEN 'F' ELSE 'D' END AS decision
+  FROM material m LEFT JOIN allow a ON a.id = m.id WHERE m.topic = '/loading/MatLoaded'),
+known AS (
+  SELECT id, arg_min(ts, (ts, seq)) AS fts, arg_min(seq, (ts, seq)) AS fseq FROM loads WHERE decision = 'F' GROUP BY id),
+thick AS (
+  SELECT q.seq, q.ts, q.id, a.thickness, q.id || '|' || a.thickness AS command
+  FROM material q JOIN known k ON k.id = q.id JOIN allow a ON a.id = q.id
+  WHERE q.topic = '/rolling/RollQuery' AND (q.ts, q.seq) > (k.fts, k.fseq))
+"""
+
+
+def _loads(spark, d):
+    m = AD.material_messages(spark, d)
+    loads = topic_source(m, C.LOADING_MAT_LOADED)
+    return J.allow_route(loads, AD.allow_list(spark, d))
+
+
+def _known(spark, d):
+    return J.first_forward(_loads(spark, d))
+
+
+def _thick(spark, d):
+    m = AD.material_messages(spark, d)
+    return J.thickness_lookup(topic_source(m, C.ROLLING_ROLL_QUERY), _known(spark, d),
+                              AD.allow_list(spark, d))
+
+
+@register("allow_route", MAT_SQL + "SELECT seq, id, decision, id || '|' || decision AS command FROM loads")
+def q_allow_route(spark, d):
+    return _loads(spark, d).select("seq", "id", "decision", "command")
+
+
+@register("thickness_lookup", MAT_SQL + "SELECT seq, id, thickness, command FROM thick")
+def q_thickness_lookup(spark, d):
+    return _thick(spark, d).select("seq", "id", "thickness", "command")
+
+
+@register("unknown_material", MAT_SQL + """
+SELECT m.seq, m.id, m.topic FROM material m LEFT JOIN known k ON k.id = m.id
+WHERE m.topic IN ('/rolling/RollQuery', '/rolling/MatAfterRoll', '/quality/MatReadyToQCheck',
+                  '/colourSensor/MatCheck', '/unloading/MatQuery', '/unloading/MatFinal',
+                  '/rolling/MatPosition', '/quality/MatPosition', '/unloading/MatPosition')
+  AND (k.id IS NULL OR (m.ts, m.seq) < (k.fts, k.fseq))""")
+def q_unknown_material(spark, d):
+    u = J.unknown_material(AD.material_messages(spark, d), _known(spark, d))
+    return u.select("seq", "id", "topic")
+
+
+@register("command_out", MAT_SQL + """
+SELECT '/loading/MatProcess' AS topic, id || '|' || decision AS payload, ts, seq FROM loads
+UNION ALL SELECT '/rolling/RollThickness', command, ts, seq FROM thick""")
+def q_command_out(spark, d):
+    a = SK.command_out(_loads(spark, d), C.LOADING_MAT_PROCESS)
+    b = SK.command_out(_thick(spark, d), C.ROLLING_ROLL_THICKNESS)
+    return a.unionByName(b).select("topic", "payload", ntz("ts"), "seq")
+
+
+# --- F6 ---------------------------------------------------------------------
+@register("recent_range", O.with_(O.EV, O.VIBRATION) + """
+SELECT seq, ts, x, y, z FROM vibration
+WHERE ts >= (SELECT max(ts) FROM vibration) - INTERVAL 120 MINUTE ORDER BY ts""")
+def q_recent_range(spark, d):
+    r = FL.recent_range(AD.vibration(spark, d), minutes=120)
+    return r.select("seq", ntz("ts"), "x", "y", "z").orderBy("ts")
+
+
+# --- A4 ---------------------------------------------------------------------
+@register("window_max_by", O.with_(O.EV, O.VIBRATION) + """, b AS (
+  SELECT *, make_timestamp((epoch_us(ts) // 86400000000) * 86400000000) AS window_start FROM vibration)
+SELECT key, window_start, window_start + INTERVAL 1 DAY AS window_end, seq, ts, x, y, z
+FROM b QUALIFY row_number() OVER (PARTITION BY key, window_start ORDER BY ts DESC, seq) = 1""")
+def q_window_max_by(spark, d):
+    r = A.window_max_by(AD.vibration(spark, d), window="1 day")
+    return r.select("key", ntz("window_start"), ntz("window_end"), "seq", ntz("ts"), "x", "y", "z")
+
+
+# --- A9 / A10 / A11 ---------------------------------------------------------
+@register("station_warnings", EVQ + """
+SELECT split_part(topic, '/', 2) AS station, cast(ts as date) AS day, count(*) AS n_messages
+FROM material WHERE topic IN ('/tables/connection', '/loading/rfidReadProblem', '/loading/warning',
+  '/rolling/warning', '/quality/warning', '/colourSensor/warning', '/unloading/warning')
+GROUP BY ALL""")
+def q_station_warnings(spark, d):
+    return A.station_warnings(AD.material_messages(spark, d))
+
+
+@register("downsample_fill", O.with_(O.EV, O.VIBRATION) + """, b AS (
+  SELECT (epoch_us(ts) // 600000000) * 600000000 AS bucket_us, x, y, z FROM vibration),
+m AS (SELECT bucket_us, avg(x) AS ax, avg(y) AS ay, avg(z) AS az FROM b GROUP BY bucket_us),
+g AS (SELECT unnest(generate_series(min(bucket_us), max(bucket_us), 600000000)) AS bucket_us FROM b)
+SELECT make_timestamp(g.bucket_us) AS bucket_start, round(ax, 9) AS avg_x, round(ay, 9) AS avg_y,
+       round(az, 9) AS avg_z
+FROM g LEFT JOIN m USING (bucket_us)""")
+def q_downsample_fill(spark, d):
+    r = A.downsample_fill(AD.vibration(spark, d))
+    return r.select(ntz("bucket_start"), "avg_x", "avg_y", "avg_z")
+
+
+@register("loop_time_stats", O.with_(O.EV, O.LOOP_TIME) + """
+SELECT station, count(ms) AS n_reports, round(avg(ms), 6) AS avg_ms, max(ms) AS max_ms, min(ms) AS min_ms
+FROM loop_time GROUP BY station""")
+def q_loop_time_stats(spark, d):
+    return A.loop_time_stats(AD.loop_time(spark, d))
