@@ -610,3 +610,113 @@ SELECT station, count(ms) AS n_reports, round(avg(ms), 6) AS avg_ms, max(ms) AS
 FROM loop_time GROUP BY station""")
 def q_loop_time_stats(spark, d):
     return A.loop_time_stats(AD.loop_time(spark, d))
+
+
+# --- W1 / W2 / W3 / W4 / W5 -------------------------------------------------
+from fabline.operators import anomaly as AN  # noqa: E402
+from fabline.operators import triggers as TR  # noqa: E402
+
+# Readings are minutes apart in the driver tables, so the registered window
+# queries use 1-day windows; the operators default to the line's 3 s.
+DAY = "1 day"
+TEST_LEVEL, TEST_CHANGE, TEST_COOLDOWN_S = 1.2, 0.6, 6 * 3600
+
+
+@register("tumbling", O.with_(O.EV, O.VIBRATION) + """, b AS (
+  SELECT *, make_timestamp((epoch_us(ts) // 86400000000) * 86400000000) AS window_start FROM vibration)
+SELECT key, window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS n,
+       min(ts) AS first_ts, max(ts) AS last_ts, round(avg(x), 9) AS avg_x, round(avg(y), 9) AS avg_y,
+       round(avg(z), 9) AS avg_z
+FROM b GROUP BY key, window_start""")
+def q_tumbling(spark, d):
+    t = TR.tumbling(AD.vibration(spark, d), window=DAY)
+    return t.select("key", ntz("window_start"), ntz("window_end"), "n", ntz("first_ts"), ntz("last_ts"),
+                    *[F.round(f"avg_{c}", 9).alias(f"avg_{c}") for c in "xyz"])
+
+
+def delta_sql(level: float = 0.3, threshold: float = 0.6) -> str:
+    lvl = "(abs(t.x) + abs(t.y) + abs(t.z)) / 3.0"
+    chg = "(abs(r.ax - t.x) + abs(r.ay - t.y) + abs(r.az - t.z)) / 3.0"
+    stall = f"(t.rolling AND {lvl} < {level})"
+    return ASOF_SQL + f""", t0 AS (
+  SELECT machine_id AS key, make_timestamp((epoch_us(ts) // 86400000000) * 86400000000) AS window_start,
+         seq, ts, x, y, z, rolling FROM asofr),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY key, window_start ORDER BY ts, seq) AS rn,
+         first_value(seq) OVER (PARTITION BY key, window_start, ts ORDER BY seq) AS e_seq
+  FROM t0),
+r AS (
+  SELECT key, window_start, rn, x AS ax, y AS ay, z AS az, false AS fire,
+         NULL::DOUBLE AS change, NULL::DOUBLE AS delta, false AS stall
+  FROM t WHERE rn = 1
+  UNION ALL
+  SELECT key, window_start, rn,
+         CASE WHEN delta > {threshold} THEN x ELSE ax END, CASE WHEN delta > {threshold} THEN y ELSE ay END,
+         CASE WHEN delta > {threshold} THEN z ELSE az END, delta > {threshold}, change, delta, stall
+  FROM (SELECT t.key, t.window_start, t.rn, t.x, t.y, t.z, r.ax, r.ay, r.az, {chg} AS change,
+               {stall} AS stall, CASE WHEN {stall} THEN 1.0 ELSE {chg} END AS delta
+        FROM r JOIN t ON t.key = r.key AND t.window_start = r.window_start AND t.rn = r.rn + 1) s),
+fired AS (
+  SELECT t.key, t.window_start, t.window_start + INTERVAL 1 DAY AS window_end, t.seq AS fire_seq,
+         t.e_seq AS seq, t.ts, t.x, t.y, t.z, r.change, r.delta, r.stall, t.rolling
+  FROM r JOIN t USING (key, window_start, rn) WHERE r.fire)
+"""
+
+
+def _fired(spark, d, level=C.VIBRATION_LIMIT):
+    return TR.delta_trigger(_asof(spark, d), key="machine_id", window=DAY,
+                            level_limit=level).withColumnRenamed("machine_id", "key")
+
+
+@register("delta_trigger", delta_sql() + """
+SELECT key, window_start, window_end, fire_seq, seq, ts, x, y, z, round(change, 9) AS change,
+       round(delta, 9) AS delta, stall, rolling FROM fired""")
+def q_delta_trigger(spark, d):
+    f = _fired(spark, d)
+    return f.select("key", ntz("window_start"), ntz("window_end"), "fire_seq", "seq", ntz("ts"),
+                    "x", "y", "z", F.round("change", 9).alias("change"), F.round("delta", 9).alias("delta"),
+                    "stall", "rolling")
+
+
+@register("watermark_late", O.with_(O.EV, O.VIBRATION) + """
+SELECT seq, ts, coalesce(ts < max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                         false) AS is_late
+FROM vibration""")
+def q_watermark_late(spark, d):
+    w = TR.watermark_late(AD.vibration(spark, d))
+    return w.select("seq", ntz("ts"), "is_late")
+
+
+STREAK_SQL = delta_sql(level=TEST_LEVEL) + f""", fb AS (
+  SELECT *, rolling AND (abs(x) + abs(y) + abs(z)) / 3.0 < {TEST_LEVEL} AND change < {TEST_CHANGE} AS bad,
+         row_number() OVER (PARTITION BY key ORDER BY ts, fire_seq) AS rn
+  FROM fired)
+"""
+
+
+@register("anomaly_streak", STREAK_SQL + """, s AS (
+  SELECT *, max(CASE WHEN NOT bad THEN rn END) OVER (PARTITION BY key ORDER BY ts, fire_seq
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lnb FROM fb)
+SELECT key, fire_seq, bad, CASE WHEN bad THEN rn - coalesce(lnb, 0) ELSE 0 END AS streak,
+       CASE WHEN bad THEN rn - coalesce(lnb, 0) ELSE 0 END > 1 AS alarm FROM s""")
+def q_anomaly_streak(spark, d):
+    s = AN.anomaly_streak(_fired(spark, d, TEST_LEVEL), level_limit=TEST_LEVEL, change_limit=TEST_CHANGE)
+    return s.select("key", "fire_seq", "bad", "streak", "alarm")
+
+
+@register("anomaly_cooldown", STREAK_SQL + f""", rr AS (
+  SELECT key, rn, CASE WHEN bad THEN 1 ELSE 0 END AS cnt, NULL::BIGINT AS sup, false AS alarm FROM fb WHERE rn = 1
+  UNION ALL
+  SELECT key, rn, cnt2, CASE WHEN alarm2 THEN ts_us + {TEST_COOLDOWN_S * 1_000_000} ELSE sup END, alarm2
+  FROM (SELECT fb.key, fb.rn, epoch_us(fb.ts) AS ts_us, rr.sup,
+               CASE WHEN rr.sup IS NOT NULL AND epoch_us(fb.ts) < rr.sup THEN rr.cnt
+                    WHEN fb.bad THEN rr.cnt + 1 ELSE 0 END AS cnt2,
+               NOT coalesce(epoch_us(fb.ts) < rr.sup, false) AND fb.bad AND rr.cnt + 1 > 1 AS alarm2
+        FROM rr JOIN fb ON fb.key = rr.key AND fb.rn = rr.rn + 1) s)
+SELECT fb.key, fb.fire_seq AS seq, fb.ts AS alarm_ts,
+       fb.ts + INTERVAL {TEST_COOLDOWN_S} SECOND AS restart_ts, rr.cnt AS streak
+FROM rr JOIN fb USING (key, rn) WHERE rr.alarm""")
+def q_anomaly_cooldown(spark, d):
+    a = AN.anomaly_cooldown(_fired(spark, d, TEST_LEVEL), level_limit=TEST_LEVEL,
+                            change_limit=TEST_CHANGE, cooldown_s=TEST_COOLDOWN_S)
+    return a.select("key", "seq", ntz("alarm_ts"), ntz("restart_ts"), "streak")
