@@ -720,3 +720,55 @@ def q_anomaly_cooldown(spark, d):
     a = AN.anomaly_cooldown(_fired(spark, d, TEST_LEVEL), level_limit=TEST_LEVEL,
                             change_limit=TEST_CHANGE, cooldown_s=TEST_COOLDOWN_S)
     return a.select("key", "seq", ntz("alarm_ts"), ntz("restart_ts"), "streak")
+
+
+# --- J7 / R1 / A5 / A6 ------------------------------------------------------
+from fabline.operators import knn as KN  # noqa: E402
+
+KNN_SQL = O.with_(O.LABELLED) + """, tr AS (SELECT * FROM labelled WHERE is_train),
+qu AS (SELECT * FROM labelled WHERE NOT is_train),
+nb AS (
+  SELECT qu.vec_id AS q_id, tr.vec_id AS t_id, tr.label AS t_label,
+         sqrt(list_sum(list_transform(list_zip(qu.features, tr.features), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS dist
+  FROM qu, tr
+  QUALIFY row_number() OVER (PARTITION BY qu.vec_id ORDER BY dist, tr.vec_id) <= 5),
+nr AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dist, t_id) AS rank FROM nb),
+votes AS (
+  SELECT q.q_id, c.label, count(n.t_id) AS votes
+  FROM (SELECT DISTINCT q_id FROM nb) q CROSS JOIN (VALUES ('good'), ('defect1'), ('defect2')) c(label)
+  LEFT JOIN nb n ON n.q_id = q.q_id AND n.t_label = c.label GROUP BY ALL),
+dec AS (
+  SELECT q_id, sum(votes) FILTER (WHERE label = 'good') AS good,
+         sum(votes) FILTER (WHERE label = 'defect1') AS defect1,
+         sum(votes) FILTER (WHERE label = 'defect2') AS defect2
+  FROM votes GROUP BY q_id)
+"""
+
+
+def _neigh(spark, d):
+    lv = AD.labelled_vectors(spark, d)
+    return KN.knn_neighbours(lv.where(~F.col("is_train")), lv.where("is_train"))
+
+
+@register("knn_neighbours", KNN_SQL + "SELECT q_id, t_id, t_label, round(dist, 9) AS dist FROM nb")
+def q_knn_neighbours(spark, d):
+    return _neigh(spark, d).select("q_id", "t_id", "t_label", F.round("dist", 9).alias("dist"))
+
+
+@register("knn_topk", KNN_SQL + "SELECT q_id, rank, t_id, t_label FROM nr")
+def q_knn_topk(spark, d):
+    return _neigh(spark, d).select("q_id", "rank", "t_id", "t_label")
+
+
+@register("knn_distribution", KNN_SQL + "SELECT q_id, label, votes, votes / 5.0 AS share FROM votes")
+def q_knn_distribution(spark, d):
+    return KN.knn_distribution(_neigh(spark, d))
+
+
+@register("knn_decide", KNN_SQL + """
+SELECT q_id, good, defect1, defect2,
+       CASE WHEN defect1 >= defect2 AND defect1 >= good THEN 'defect1'
+            WHEN defect2 >= defect1 AND defect2 >= good THEN 'defect2' ELSE 'good' END AS decision
+FROM dec""")
+def q_knn_decide(spark, d):
+    return KN.knn_decide(KN.knn_distribution(_neigh(spark, d)))
