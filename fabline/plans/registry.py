@@ -772,3 +772,142 @@ SELECT q_id, good, defect1, defect2,
 FROM dec""")
 def q_knn_decide(spark, d):
     return KN.knn_decide(KN.knn_distribution(_neigh(spark, d)))
+
+
+# --- W6 / F5 / W8 / W9 ------------------------------------------------------
+from fabline.operators import debounce as DB  # noqa: E402
+from fabline.operators import lifecycle as LC  # noqa: E402
+from fabline.sources.tables import table  # noqa: E402
+
+
+def knn_sql(query_set: str) -> str:
+    """kNN CTEs (``nb``, ``votes``, ``dec``) for the query vectors ``qu``."""
+    return f""", tr AS (SELECT * FROM labelled WHERE is_train),
+qu AS ({query_set}),
+nb AS (
+  SELECT qu.vec_id AS q_id, tr.vec_id AS t_id, tr.label AS t_label,
+         sqrt(list_sum(list_transform(list_zip(qu.features, tr.features), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS dist
+  FROM qu, tr
+  QUALIFY row_number() OVER (PARTITION BY qu.vec_id ORDER BY dist, tr.vec_id) <= 5),
+votes AS (
+  SELECT q.q_id, c.label, count(n.t_id) AS votes
+  FROM (SELECT DISTINCT q_id FROM nb) q CROSS JOIN (VALUES ('good'), ('defect1'), ('defect2')) c(label)
+  LEFT JOIN nb n ON n.q_id = q.q_id AND n.t_label = c.label GROUP BY ALL),
+dec AS (
+  SELECT q_id, CASE WHEN d1 >= d2 AND d1 >= g THEN 'defect1' WHEN d2 >= d1 AND d2 >= g THEN 'defect2'
+                    ELSE 'good' END AS decision
+  FROM (SELECT q_id, sum(votes) FILTER (WHERE label = 'good') AS g,
+               sum(votes) FILTER (WHERE label = 'defect1') AS d1,
+               sum(votes) FILTER (WHERE label = 'defect2') AS d2 FROM votes GROUP BY q_id))
+"""
+
+
+def _check_predictions(spark, d):
+    m = topic_source(AD.material_messages(spark, d), C.COLOUR_MAT_CHECK)
+    n = table(spark, d, "embeddings").select(F.count(F.lit(1))).scalar()
+    checks = m.select("seq", (F.col("seq") % n).alias("q_id"))
+    lv = AD.labelled_vectors(spark, d)
+    queries = lv.join(checks.select(F.col("q_id").alias("vec_id")), "vec_id", "left_semi")
+    dec = KN.knn_decide(KN.knn_distribution(KN.knn_neighbours(queries, lv.where("is_train"))))
+    return checks.join(dec.select("q_id", F.col("decision").alias("prediction")), "q_id").drop("q_id")
+
+
+def _lifecycle(spark, d):
+    return LC.material_lifecycle(AD.material_messages(spark, d), AD.allow_list(spark, d),
+                                 _check_predictions(spark, d))
+
+
+LC_TOPICS = ", ".join(f"'{t}'" for t in LC.LIFECYCLE_TOPICS)
+LIFECYCLE_SQL = O.with_(O.EV, O.MATERIAL, O.ALLOW, O.LABELLED) + knn_sql(
+    "SELECT * FROM labelled WHERE vec_id IN (SELECT seq % (SELECT count(*) FROM embeddings) FROM material "
+    "WHERE topic = '/colourSensor/MatCheck')") + f""", pred AS (
+  SELECT m.seq, dec.decision AS prediction FROM material m
+  JOIN dec ON dec.q_id = m.seq % (SELECT count(*) FROM embeddings) WHERE m.topic = '/colourSensor/MatCheck'),
+al AS (SELECT id, first(thickness) AS thickness FROM allow GROUP BY id),
+t AS (
+  SELECT m.id, m.seq, m.topic, al.thickness AS thickness0, al.id IS NOT NULL AS allowed0, p.prediction,
+         row_number() OVER (PARTITION BY m.id ORDER BY m.ts, m.seq) AS rn
+  FROM material m LEFT JOIN al ON al.id = m.id LEFT JOIN pred p ON p.seq = m.seq
+  WHERE m.topic IN ({LC_TOPICS})),
+lc AS (
+  SELECT DISTINCT id, 0::BIGINT AS rn, false AS known, allowed0 AS allowed, false AS rolled, false AS ready,
+         NULL::VARCHAR AS quality, NULL::BIGINT AS seq, NULL::VARCHAR AS action, NULL::VARCHAR AS out_topic,
+         NULL::VARCHAR AS out_payload
+  FROM t WHERE rn = 1
+  UNION ALL
+  SELECT id, rn, known OR action = 'forward', CASE WHEN action = 'final' THEN false ELSE allowed END,
+         rolled OR action = 'rolled', ready OR action = 'ready',
+         CASE WHEN action = 'classified' AND prediction IS NOT NULL THEN prediction ELSE quality END,
+         seq, action,
+         CASE action WHEN 'forward' THEN '/loading/MatProcess' WHEN 'drop' THEN '/loading/MatProcess'
+                     WHEN 'thickness' THEN '/rolling/RollThickness' WHEN 'ready' THEN '/colourSensor/MatReadyToQCheck'
+                     WHEN 'classified' THEN '/quality/MatCheck' WHEN 'unload' THEN '/unloading/MatDrop' END,
+         CASE action WHEN 'forward' THEN id || '|F' WHEN 'drop' THEN id || '|D'
+                     WHEN 'thickness' THEN id || '|' || CASE WHEN allowed THEN thickness0 ELSE 'null' END
+                     WHEN 'ready' THEN id WHEN 'classified' THEN id || '|0'
+                     WHEN 'unload' THEN id || CASE WHEN quality = 'good' THEN '|0' ELSE '|1' END END
+  FROM (
+    SELECT t.id, t.rn, t.seq, t.thickness0, t.prediction, lc.known, lc.allowed, lc.rolled, lc.ready, lc.quality,
+      CASE
+        WHEN t.topic = '/loading/MatLoaded' THEN CASE WHEN lc.allowed THEN 'forward' ELSE 'drop' END
+        WHEN t.topic LIKE '%/MatPosition' THEN CASE WHEN lc.known THEN 'position'
+             WHEN t.topic = '/loading/MatPosition' THEN 'ignored' ELSE 'unknown_material' END
+        WHEN t.topic = '/rolling/RollQuery' THEN CASE WHEN lc.known THEN 'thickness' ELSE 'unknown_material' END
+        WHEN t.topic = '/rolling/MatAfterRoll' THEN CASE WHEN lc.known THEN 'rolled' ELSE 'unknown_material' END
+        WHEN t.topic = '/quality/MatReadyToQCheck' THEN CASE WHEN lc.known AND lc.rolled THEN 'ready' ELSE 'not_ready' END
+        WHEN t.topic = '/colourSensor/MatCheck' THEN CASE WHEN NOT lc.known THEN 'check_skipped'
+             WHEN lc.ready THEN 'classified' ELSE 'not_ready' END
+        WHEN t.topic = '/unloading/MatQuery' THEN CASE WHEN lc.known AND lc.quality IS NOT NULL THEN 'unload' ELSE 'no_answer' END
+        WHEN t.topic = '/unloading/MatFinal' THEN CASE WHEN lc.known AND lc.quality IS NOT NULL THEN 'final' ELSE 'final_ignored' END
+        ELSE 'log' END AS action
+    FROM lc JOIN t ON t.id = lc.id AND t.rn = lc.rn + 1) s),
+actions AS (SELECT id, seq, action, out_topic, out_payload, quality FROM lc WHERE rn > 0)
+"""
+
+
+@register("material_lifecycle", LIFECYCLE_SQL + "SELECT * FROM actions")
+def q_material_lifecycle(spark, d):
+    return _lifecycle(spark, d).select("id", "seq", "action", "out_topic", "out_payload", "quality")
+
+
+@register("stage_gate", LIFECYCLE_SQL + """
+SELECT id, seq, action, action IN ('ready', 'classified', 'unload') AS passed FROM actions
+WHERE action IN ('ready', 'not_ready', 'classified', 'check_skipped', 'unload', 'no_answer')""")
+def q_stage_gate(spark, d):
+    return LC.stage_gate(_lifecycle(spark, d))
+
+
+@register("one_time_id", O.with_(O.EV, O.MATERIAL, O.ALLOW) + """, lf AS (
+  SELECT seq, ts, id, topic, coalesce(count(*) FILTER (WHERE topic = '/unloading/MatFinal') OVER (
+      PARTITION BY id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_final_before
+  FROM material WHERE topic IN ('/loading/MatLoaded', '/unloading/MatFinal'))
+SELECT lf.seq, lf.id, lf.n_final_before,
+       CASE WHEN a.id IS NOT NULL AND lf.n_final_before = 0 THEN 'F' ELSE 'D' END AS decision
+FROM lf LEFT JOIN (SELECT DISTINCT id FROM allow) a ON a.id = lf.id WHERE lf.topic = '/loading/MatLoaded'""")
+def q_one_time_id(spark, d):
+    o = LC.one_time_id(AD.material_messages(spark, d), AD.allow_list(spark, d))
+    return o.select("seq", "id", "n_final_before", "decision")
+
+
+@register("debounce_change", BITS_SQL + """, c AS (
+  SELECT bi.seq, bi.ts, bi.station, bits,
+         CASE WHEN bi.idx = length(bits) THEN '-' ELSE cast(p.label as varchar) END AS code,
+         row_number() OVER (PARTITION BY bi.station ORDER BY bi.ts, bi.seq) AS rn
+  FROM bi LEFT JOIN positions p ON p.station = bi.station AND p.idx = bi.idx),
+db AS (
+  SELECT DISTINCT station, 0::BIGINT AS rn, ''::VARCHAR AS lbits, NULL::BIGINT AS lpass, ''::VARCHAR AS lcode,
+         NULL::BIGINT AS seq, NULL::VARCHAR AS bits, NULL::VARCHAR AS pub
+  FROM c
+  UNION ALL
+  SELECT station, rn,
+         CASE WHEN pass THEN bits ELSE lbits END, CASE WHEN pass THEN ts_us ELSE lpass END,
+         CASE WHEN NOT pass THEN lcode WHEN code = '-' THEN 'ff' ELSE code END,
+         seq, bits,
+         CASE WHEN NOT pass THEN NULL WHEN code = '-' THEN '-' WHEN code <> lcode THEN code END
+  FROM (SELECT c.station, c.rn, c.seq, c.bits, c.code, epoch_us(c.ts) AS ts_us, db.lbits, db.lpass, db.lcode,
+               c.bits <> db.lbits AND (db.lpass IS NULL OR epoch_us(c.ts) - db.lpass > 200000) AS pass
+        FROM db JOIN c ON c.station = db.station AND c.rn = db.rn + 1) s)
+SELECT station, seq, bits, pub AS code FROM db WHERE pub IS NOT NULL""")
+def q_debounce_change(spark, d):
+    codes = _codes(spark, d).select("seq", "ts", "station", "bits", "code")
+    return DB.debounce_change(codes).select("station", "seq", "bits", "code")
