@@ -62,33 +62,36 @@ def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "s
         delta = F.when(stall, F.lit(1.0)).otherwise(change)
         fire = has & (delta > F.lit(threshold))
         move = ~has | fire
+        # maxBy(ts) of the window so far: the first row seen with the newest ts
+        same = F.coalesce(acc["ets"] == p["ts"], F.lit(False))
+        e = F.when(same, acc["e"]).otherwise(F.struct(p["seq"].alias("seq"), p["x"].alias("x"),
+                                                       p["y"].alias("y"), p["z"].alias("z")))
         return F.struct(
             F.lit(True).alias("has"),
             F.when(move, p["x"]).otherwise(acc["ax"]).alias("ax"),
             F.when(move, p["y"]).otherwise(acc["ay"]).alias("ay"),
             F.when(move, p["z"]).otherwise(acc["az"]).alias("az"),
+            p["ts"].alias("ets"), e.alias("e"),
             F.concat(acc["out"], F.array(F.struct(
                 fire.alias("fire"),
                 F.when(has, change).alias("change"),
                 F.when(has, delta).alias("delta"),
-                stall.alias("stall")))).alias("out"))
+                stall.alias("stall"), e.alias("e")))).alias("out"))
 
+    e_t = "struct<seq:bigint,x:double,y:double,z:double>"
     init = F.struct(F.lit(False).alias("has"), F.lit(0.0).alias("ax"), F.lit(0.0).alias("ay"),
-                    F.lit(0.0).alias("az"),
-                    F.array().cast("array<struct<fire:boolean,change:double,delta:double,stall:boolean>>")
+                    F.lit(0.0).alias("az"), F.lit(None).cast("timestamp").alias("ets"),
+                    F.lit(None).cast(e_t).alias("e"),
+                    F.array().cast(f"array<struct<fire:boolean,change:double,delta:double,stall:boolean,e:{e_t}>>")
                     .alias("out"))
     folded = g.select(key, "w", "rs", F.aggregate("rs", init, step)["out"].alias("out"))
     ex = folded.select(key, "w", F.explode(F.arrays_zip("rs", "out")).alias("e"))
     flat = ex.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                      F.col("e.rs.*"), F.col("e.out.*"))
-    # maxBy on ts: the earliest-seen row of the window with the current ts.
-    wt = Window.partitionBy(key, "window_start", "ts").orderBy("seq")
-    flat = flat.withColumn("__first", F.first(F.struct("seq", "x", "y", "z")).over(wt))
     fired = flat.where("fire")
     return fired.select(key, "window_start", "window_end", F.col("seq").alias("fire_seq"),
-                        F.col("__first.seq").alias("seq"), "ts",
-                        F.col("__first.x").alias("x"), F.col("__first.y").alias("y"),
-                        F.col("__first.z").alias("z"), "change", "delta", "stall", "rolling")
+                        F.col("e.seq").alias("seq"), "ts", F.col("e.x").alias("x"), F.col("e.y").alias("y"),
+                        F.col("e.z").alias("z"), "change", "delta", "stall", "rolling")
 
 
 # --- W3 ---------------------------------------------------------------------

@@ -911,3 +911,44 @@ SELECT station, seq, bits, pub AS code FROM db WHERE pub IS NOT NULL""")
 def q_debounce_change(spark, d):
     codes = _codes(spark, d).select("seq", "ts", "station", "bits", "code")
     return DB.debounce_change(codes).select("station", "seq", "bits", "code")
+
+
+# --- streaming forms (W2 stream, W7, S2 stream) ----------------------------
+from fabline.streaming import stream as ST  # noqa: E402
+
+
+def _land(df: DataFrame, path: str, parts: int = 4) -> None:
+    """Land rows as parquet files in time order (the stream's input)."""
+    df.repartitionByRange(parts, "ts", "seq").sortWithinPartitions("ts", "seq").write.parquet(path)
+
+
+@register("asof_motor_stream", ASOF_SQL + "SELECT seq, machine_id, rolling FROM asofr")
+def q_asof_motor_stream(spark, d):
+    src, out, ck = ST.scratch_query_paths(spark, "asof")
+    r = AD.readings(spark, d)
+    m = AD.motor_messages(spark, d)
+    _land(r, f"{src}/readings")
+    _land(m, f"{src}/motor")
+    rs = ST.read_stream(spark, f"{src}/readings", r.schema)
+    ms = ST.read_stream(spark, f"{src}/motor", m.schema)
+    q = ST.run_to_parquet(ST.stream_asof_motor(rs, ms), out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("seq", "machine_id", "rolling")
+
+
+@register("delta_trigger_stream", delta_sql() + """
+SELECT key, window_start, window_end, fire_seq, seq, ts, x, y, z, round(change, 9) AS change,
+       round(delta, 9) AS delta, stall, rolling FROM fired
+WHERE window_end <= (SELECT max(ts) FROM asofr)""")
+def q_delta_trigger_stream(spark, d):
+    src, out, ck = ST.scratch_query_paths(spark, "delta")
+    a = _asof(spark, d)
+    _land(a, src)
+    s = ST.read_stream(spark, src, a.schema)
+    f = ST.stream_delta_trigger(s, key="machine_id", window=DAY)
+    q = ST.run_to_parquet(f, out, ck)
+    q.awaitTermination()
+    r = spark.read.parquet(out)
+    return r.select(F.col("machine_id").alias("key"), ntz("window_start"), ntz("window_end"), "fire_seq", "seq",
+                    ntz("ts"), "x", "y", "z", F.round("change", 9).alias("change"),
+                    F.round("delta", 9).alias("delta"), "stall", "rolling")
