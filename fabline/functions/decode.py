@@ -23,16 +23,22 @@ def text(payload: str | Column) -> Column:
     return _c(payload).cast("string")
 
 
-def byte_at(hx: Column, i) -> Column:
-    """Unsigned byte ``i`` (0-based; int or Column) of a hex string."""
-    pos = (F.lit(i) if isinstance(i, int) else i) * 2 + 1
-    return F.conv(F.substring(hx, pos, F.lit(2)), 16, 10).cast("int")
+def byte_array(payload: str | Column) -> Column:
+    """Unsigned bytes of a binary payload as ``array<int>``, in one linear
+    pass: Latin-1 maps each byte to one char, ``split`` yields the chars and
+    ``ascii`` their codes."""
+    return F.transform(F.split(F.decode(_c(payload), "ISO-8859-1"), ""), lambda ch: F.ascii(ch))
 
 
-def int16_at(hx: Column, i) -> Column:
-    """Signed big-endian int16 starting at byte ``i`` of a hex string."""
-    pos = (F.lit(i) if isinstance(i, int) else i) * 2 + 1
-    u = F.conv(F.substring(hx, pos, F.lit(4)), 16, 10).cast("int")
+def byte_at(arr: Column, i) -> Column:
+    """Unsigned byte ``i`` (0-based; int or Column) of a byte array."""
+    idx = (F.lit(i) if isinstance(i, int) else i) + 1
+    return F.element_at(arr, idx.cast("int"))
+
+
+def int16_at(arr: Column, i) -> Column:
+    """Signed big-endian int16 starting at byte ``i`` of a byte array."""
+    u = byte_at(arr, i) * 256 + byte_at(arr, (F.lit(i) if isinstance(i, int) else i) + 1)
     return F.when(u >= 32768, u - 65536).otherwise(u)
 
 
@@ -59,10 +65,12 @@ def vib_frame_decode(df: DataFrame, payload: str = "payload") -> DataFrame:
     Position digits are ``byte - 48``; the last position byte ``-`` (45)
     reads as 0. Frames shorter than 52 bytes are rejected.
     """
-    hx = F.hex(_c(payload))
+    hx = byte_array(payload)
     rng = lambda a, n: F.transform(F.sequence(F.lit(a), F.lit(a + n - 1)), lambda i: byte_at(hx, i))
+    out = df.withColumn("__b", hx)
+    hx = F.col("__b")
     pos4 = byte_at(hx, 21)
-    out = df.withColumns({
+    out = out.withColumns({
         "location": byte_at(hx, 0),
         "sensor_id": byte_at(hx, 1),
         "motor_state": rng(2, 5),
@@ -73,7 +81,7 @@ def vib_frame_decode(df: DataFrame, payload: str = "payload") -> DataFrame:
             F.array(F.when(pos4 == 45, F.lit(0)).otherwise(pos4 - 48))),
         "raw": F.transform(F.sequence(F.lit(0), F.lit(14)), lambda j: int16_at(hx, j * 2 + 22)),
     })
-    return out.withColumn("reject_reason", F.when(
+    return out.drop("__b").withColumn("reject_reason", F.when(
         F.octet_length(_c(payload)) < FRAME_BYTES, F.lit("short_frame")))
 
 
@@ -109,9 +117,8 @@ def colour_frame_decode(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Colour check frame -> ``material_id`` (first 8 bytes) and the
     remaining bytes as unsigned ints ``values`` and ``values_csv``."""
     p = _c(payload)
-    hx = F.hex(p)
     n = F.octet_length(p) - 8
-    vals = F.transform(F.sequence(F.lit(0), n - 1), lambda i: byte_at(hx, i + 8))
+    vals = F.slice(byte_array(p), 9, F.greatest(n, F.lit(1)))
     out = df.withColumns({
         "material_id": F.substring(p, 1, 8).cast("string"),
         "values": F.when(n > 0, vals).otherwise(F.array().cast("array<int>")),

@@ -109,7 +109,8 @@ SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || ';' || quality || ';' || datapoi
 FROM batches""")
 def q_export_scan(spark, d):
     path = FS.new_folder(spark, "exports")
-    FS.write_lines(_export_lines(spark, d), path, partition_by=["series", "batch_no"])
+    # One folder per series; the batch number stays in the rows.
+    FS.write_lines(_export_lines(spark, d).repartition("series"), path, partition_by=["series"])
     return FS.export_scan(spark, path).select("line")
 
 
