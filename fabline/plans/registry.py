@@ -4,6 +4,7 @@ DataFrame over the whole driver tables; ``ORACLE`` holds the DuckDB twin.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +15,27 @@ from fabline.functions import decode as D
 from fabline.operators import aggs as A
 from fabline.sources import adapters as AD
 from fabline.plans import oracle as O
+from fabline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings every query relies on, applied to the caller's session: the
+    wall clock is UTC (the tables hold naive timestamps) and a checkpoint
+    folder exists (the shared one when the cluster names it)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
