@@ -69,7 +69,7 @@ def cooldown_spec(cooldown_us: int, alarm_over: int) -> FoldSpec:
 
 def anomaly_cooldown(fired: DataFrame, key: str = "key", level_limit: float = C.VIBRATION_LIMIT,
                      change_limit: float | None = None, cooldown_s: float = C.COOLDOWN_S,
-                     alarm_over: int = C.ALARM_STREAK) -> DataFrame:
+                     alarm_over: int = C.ALARM_STREAK, segment_rows: int = 2_000_000) -> DataFrame:
     """Alarms with cool-down per key: ``key, seq, alarm_ts, restart_ts, streak``.
 
     STOP is sent at ``alarm_ts`` and START at ``restart_ts``; readings before
@@ -78,7 +78,7 @@ def anomaly_cooldown(fired: DataFrame, key: str = "key", level_limit: float = C.
     b = _with_bad(fired, level_limit, change_limit).withColumns({
         "ts_us": F.unix_micros("ts"), "__day": day_bucket("ts")})
     out = run_fold(b, [key], ["ts_us", "fire_seq"], "__day",
-                   cooldown_spec(int(cooldown_s * 1_000_000), alarm_over))
+                   cooldown_spec(int(cooldown_s * 1_000_000), alarm_over), segment_rows=segment_rows)
     return out.select(key, "seq", F.timestamp_micros("alarm_us").alias("alarm_ts"),
                       F.timestamp_micros("restart_us").alias("restart_ts"), "streak")
 

@@ -34,8 +34,10 @@ def debounce_spec(debounce_us: int) -> FoldSpec:
                     "seq long, bits string, code string")
 
 
-def debounce_change(codes: DataFrame, key: str = "station", debounce_ms: int = C.DEBOUNCE_MS) -> DataFrame:
+def debounce_change(codes: DataFrame, key: str = "station", debounce_ms: int = C.DEBOUNCE_MS,
+                    segment_rows: int = 2_000_000) -> DataFrame:
     """Published position changes per ``key``: ``key, seq, bits, code``.
     Input needs ``seq, ts, bits, code`` (``code`` from ``position_code``)."""
     b = codes.withColumns({"ts_us": F.unix_micros("ts"), "__day": day_bucket("ts")})
-    return run_fold(b, [key], ["ts_us", "seq"], "__day", debounce_spec(debounce_ms * 1000))
+    return run_fold(b, [key], ["ts_us", "seq"], "__day", debounce_spec(debounce_ms * 1000),
+                    segment_rows=segment_rows)

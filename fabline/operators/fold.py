@@ -56,12 +56,20 @@ def _run_segment(pdf: pd.DataFrame, spec: FoldSpec, order: Sequence[str], entry:
 
 
 def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-             spec: FoldSpec, max_rounds: int | None = None) -> DataFrame:
-    """Run ``spec`` per key in ``order``; returns ``keys + out_schema`` rows."""
+             spec: FoldSpec, max_rounds: int | None = None,
+             segment_rows: int = 2_000_000) -> DataFrame:
+    """Run ``spec`` per key in ``order``; returns ``keys + out_schema`` rows.
+
+    Only keys with more than ``segment_rows`` rows are cut into ``bucket``
+    segments; every other key is one segment, which needs no settling.
+    """
     keys = list(keys)
     seg = [*keys, bucket]
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
+    df = df.join(sizes, keys).withColumn(
+        bucket, F.when(F.col("__key_rows") > segment_rows, F.col(bucket)).otherwise(F.lit(None)).cast("bigint"))
     cols = list(dict.fromkeys([*seg, *order, *spec.in_cols]))
     # Every round re-reads the fold input; keep it (memory, spilling to
     # disk) so rounds do not recompute the upstream plan. A lost executor

@@ -109,7 +109,7 @@ def test_cooldown_fold_equals_python_loop_on_hot_key(spark):
     for i in range(3000):
         t += rnd.choice([1, 2, 3, 40, 3000, 90000])
         rows.append((t, i, rnd.choice([0.1, 0.1, 0.9]), rnd.choice([0.0, 0.0, 0.5])))
-    got = [(a.seq, a.streak) for a in AN.anomaly_cooldown(_fired(spark, rows), cooldown_s=10)
+    got = [(a.seq, a.streak) for a in AN.anomaly_cooldown(_fired(spark, rows), cooldown_s=10, segment_rows=100)
            .orderBy("seq").collect()]
     exp, cnt, sup = [], 0, None
     for s, q, lvl, chg in rows:
@@ -169,7 +169,7 @@ def test_empty_bits_publish_dash(spark):
     rows = [(1, 0, "000100", "21"), (2, 1, "000000", "-"), (3, 2, "000100", "21"), (4, 2.1, "010000", "21")]
     df = spark.createDataFrame([("rolling", q, ts(s), b, c) for q, s, b, c in rows],
                                "station string, seq long, ts timestamp, bits string, code string")
-    out = [(r.seq, r.code) for r in DB.debounce_change(df).orderBy("seq").collect()]
+    out = [(r.seq, r.code) for r in DB.debounce_change(df, segment_rows=1).orderBy("seq").collect()]
     # seq 4 is within 200 ms of seq 3 -> debounced
     assert out == [(1, "21"), (2, "-"), (3, "21")]
 
