@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +77,10 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
     q = split_by_dim(queries.select(F.col(q_id).alias("q_id"), F.col(features).alias("features")), dim)[0]
     t = split_by_dim(train.select(F.col(t_id).alias("t_id"), F.col(features).alias("features"),
                                   F.col(label).alias("t_label")), dim)[0]
+    # Both sides are counted to size the blocks and then read again by the
+    # cogroup; keep them rather than deriving them twice.
+    q = q.persist(StorageLevel.MEMORY_AND_DISK)
+    t = t.persist(StorageLevel.MEMORY_AND_DISK)
     n_tb = max(1, math.ceil(t.count() / t_block))
     n_qb = max(1, math.ceil(q.count() / q_block))
     qx = q.withColumns({"qb": F.pmod(F.xxhash64("q_id"), F.lit(n_qb)),

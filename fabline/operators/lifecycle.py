@@ -15,6 +15,7 @@ query is never answered. Re-forwarding a known id does not reset its state.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +119,10 @@ def material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame
     aggregation, no single task per id); the as-of runs per id and day.
     """
     t = F.col("topic")
-    m = _lifecycle_input(msgs, allow, predictions, id_col).withColumn("o", F.struct("ts", "seq"))
+    # The input feeds four milestone aggregates and their joins; keep it
+    # (memory, spilling to disk) instead of re-deriving it per branch.
+    m = (_lifecycle_input(msgs, allow, predictions, id_col).withColumn("o", F.struct("ts", "seq"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
     k1 = m.groupBy(id_col).agg(
         F.min(F.when(t == C.LOADING_MAT_LOADED, F.col("o"))).alias("__first_load"),
         F.max("allowed0").alias("__allowed0"))
