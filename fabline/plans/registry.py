@@ -737,6 +737,22 @@ def q_anomaly_cooldown(spark, d):
     return a.select("key", "seq", ntz("alarm_ts"), ntz("restart_ts"), "streak")
 
 
+COOLDOWN_SQL = ORACLE["anomaly_cooldown"]
+ALARMS_CTE = COOLDOWN_SQL[:COOLDOWN_SQL.rindex("SELECT fb.key")]
+
+
+@register("alarm_commands", ALARMS_CTE + f""", alarms AS (
+  SELECT fb.fire_seq AS seq, fb.ts AS alarm_ts, fb.ts + INTERVAL {TEST_COOLDOWN_S} SECOND AS restart_ts
+  FROM rr JOIN fb USING (key, rn) WHERE rr.alarm)
+SELECT '/rolling/control' AS topic, p.payload, alarm_ts AS ts, seq FROM alarms, (VALUES ('z'), ('p')) p(payload)
+UNION ALL
+SELECT '/rolling/control', p.payload, restart_ts, seq FROM alarms, (VALUES ('m'), ('s')) p(payload)""")
+def q_alarm_commands(spark, d):
+    a = AN.anomaly_cooldown(_fired(spark, d, TEST_LEVEL), level_limit=TEST_LEVEL,
+                            change_limit=TEST_CHANGE, cooldown_s=TEST_COOLDOWN_S)
+    return AN.alarm_commands(a).select("topic", "payload", ntz("ts"), "seq")
+
+
 # --- J7 / R1 / A5 / A6 ------------------------------------------------------
 from fabline.operators import knn as KN  # noqa: E402
 
