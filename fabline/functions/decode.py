@@ -184,7 +184,7 @@ def clock_text(ts: Column) -> Column:
 def rescale(v: Column, lo: int, hi: int) -> Column:
     """Clamp to [lo, hi], then integer linear map to 0..255."""
     cl = F.least(F.greatest(v.cast("bigint"), F.lit(lo)), F.lit(hi))
-    return F.floor((cl - F.lit(lo)) * F.lit(255) / F.lit(hi - lo)).cast("int")
+    return F.floor((cl - F.lit(lo)) * F.lit(255) / F.lit(hi - lo)).cast("bigint")
 
 
 def colour_rescale(df: DataFrame, red: str = "red", green: str = "green", blue: str = "blue") -> DataFrame:

@@ -90,7 +90,7 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
     part = (qx.groupBy("qb", "tb").cogroup(tx.groupBy("qb", "tb"))
             .applyInPandas(_block_topk(k), NEIGHBOUR_SCHEMA))
     w = Window.partitionBy("q_id").orderBy("dist", "t_id")
-    return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+    return part.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k) \
         .select("q_id", "rank", "t_id", "t_label", "dist")
 
 

@@ -201,14 +201,15 @@ def q_stats_lines(spark, d):
 
 
 @register("stats_parse", DAILY_SQL + """
-SELECT sum(good) AS good, sum(defect1) AS defect1, sum(defect2) AS defect2, 0 AS n_bad_counters FROM daily""")
+SELECT sum(good)::BIGINT AS good, sum(defect1)::BIGINT AS defect1, sum(defect2)::BIGINT AS defect2,
+       0::BIGINT AS n_bad_counters FROM daily""")
 def q_stats_parse(spark, d):
     lines = q_stats_lines(spark, d)
     return FS.stats_parse(lines)
 
 
 @register("train_ready", DAILY_SQL + """
-SELECT sum(good) AS good, sum(defect1) AS defect1, sum(defect2) AS defect2,
+SELECT sum(good)::BIGINT AS good, sum(defect1)::BIGINT AS defect1, sum(defect2)::BIGINT AS defect2,
        sum(good) >= 150 AND sum(defect1) >= 150 AND sum(defect2) >= 150 AS ready FROM daily""")
 def q_train_ready(spark, d):
     return A.train_ready(_daily(spark, d))
@@ -262,7 +263,7 @@ def q_feature_parse(spark, d):
     r = AD.quality_records(spark, d)
     lines = r.select("seq", FS.delimited_line("time_text", "quality", "datapoints").alias("line"))
     p, _ = FL.split_rejects(D.feature_parse(lines))
-    return p.select("seq", "label", F.size("features").alias("n_features"),
+    return p.select("seq", "label", F.size("features").cast("bigint").alias("n_features"),
                     F.aggregate("features", F.lit(0.0), lambda a, v: a + v).alias("f_sum"))
 
 
@@ -417,7 +418,8 @@ SELECT seq, bi.station, bits, bi.idx,
        CASE WHEN bi.idx = length(bits) THEN '-' ELSE cast(p.coordinate as varchar) END AS coordinate_text
 FROM bi LEFT JOIN positions p ON p.station = bi.station AND p.idx = bi.idx""")
 def q_position_code(spark, d):
-    return _codes(spark, d).select("seq", "station", "bits", "idx", "code", "coordinate_text")
+    return _codes(spark, d).select("seq", "station", "bits", F.col("idx").cast("bigint").alias("idx"), "code",
+                                   "coordinate_text")
 
 
 @register("position_lookup", BITS_SQL + """
@@ -425,7 +427,7 @@ SELECT seq, bi.station, bi.idx, p.label, p.coordinate
 FROM bi JOIN positions p ON p.station = bi.station AND p.idx = bi.idx""")
 def q_position_lookup(spark, d):
     return _codes(spark, d).where(F.col("label").isNotNull()).select(
-        "seq", "station", "idx", "label", "coordinate")
+        "seq", "station", F.col("idx").cast("bigint").alias("idx"), "label", "coordinate")
 
 
 # --- F1 ---------------------------------------------------------------------
@@ -729,7 +731,7 @@ def q_anomaly_streak(spark, d):
                NOT coalesce(epoch_us(fb.ts) < rr.sup, false) AND fb.bad AND rr.cnt + 1 > 1 AS alarm2
         FROM rr JOIN fb ON fb.key = rr.key AND fb.rn = rr.rn + 1) s)
 SELECT fb.key, fb.fire_seq AS seq, fb.ts AS alarm_ts,
-       fb.ts + INTERVAL {TEST_COOLDOWN_S} SECOND AS restart_ts, rr.cnt AS streak
+       fb.ts + INTERVAL {TEST_COOLDOWN_S} SECOND AS restart_ts, rr.cnt::BIGINT AS streak
 FROM rr JOIN fb USING (key, rn) WHERE rr.alarm""")
 def q_anomaly_cooldown(spark, d):
     a = AN.anomaly_cooldown(_fired(spark, d, TEST_LEVEL), level_limit=TEST_LEVEL,
@@ -769,9 +771,9 @@ votes AS (
   FROM (SELECT DISTINCT q_id FROM nb) q CROSS JOIN (VALUES ('good'), ('defect1'), ('defect2')) c(label)
   LEFT JOIN nb n ON n.q_id = q.q_id AND n.t_label = c.label GROUP BY ALL),
 dec AS (
-  SELECT q_id, sum(votes) FILTER (WHERE label = 'good') AS good,
-         sum(votes) FILTER (WHERE label = 'defect1') AS defect1,
-         sum(votes) FILTER (WHERE label = 'defect2') AS defect2
+  SELECT q_id, (sum(votes) FILTER (WHERE label = 'good'))::BIGINT AS good,
+         (sum(votes) FILTER (WHERE label = 'defect1'))::BIGINT AS defect1,
+         (sum(votes) FILTER (WHERE label = 'defect2'))::BIGINT AS defect2
   FROM votes GROUP BY q_id)
 """
 
