@@ -81,14 +81,19 @@ def downsample_fill(df: DataFrame, ts: str = "ts", fields=("x", "y", "z"),
     """Mean per fixed time bucket over the table's time range; empty
     buckets appear with null means.
 
-    The bucket grid is generated from the min/max bucket (one row), so its
+    The bucket grid spans the min/max bucket (two scalars read back), so its
     size follows the time range, not the row count.
     """
     us = bucket_s * 1_000_000
     b = (F.floor(F.unix_micros(F.col(ts)) / us) * us).cast("bigint")
     means = df.groupBy(b.alias("bucket_us")).agg(*[F.avg(f).alias(f"avg_{f}") for f in fields])
-    rng = df.agg(F.min(b).alias("lo"), F.max(b).alias("hi"))
-    grid = rng.select(F.explode(F.sequence("lo", "hi", F.lit(us).cast("bigint"))).alias("bucket_us"))
+    lo, hi = df.agg(F.min(b).alias("lo"), F.max(b).alias("hi")).first()
+    if lo is None:
+        return means.select(F.timestamp_micros("bucket_us").alias("bucket_start"),
+                            *[F.col(f"avg_{f}") for f in fields])
+    # The grid is a distributed range (its size follows the time span, and
+    # it is generated by many tasks, not exploded from one row).
+    grid = df.sparkSession.range(lo, hi + us, us).withColumnRenamed("id", "bucket_us")
     out = grid.join(means, "bucket_us", "left")
     return out.select(F.timestamp_micros("bucket_us").alias("bucket_start"),
                       *[F.round(f"avg_{f}", 9).alias(f"avg_{f}") for f in fields])

@@ -95,23 +95,30 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
             return base.withColumn("entry_state", F.lit(None).cast("string"))
         return base.join(entries, seg, "left")
 
-    entries = None
-    rounds = 0
+    # Round 1 folds every segment from the initial state. Later rounds
+    # re-fold only the segments whose entry state changed and keep the other
+    # exits, so a round costs the frontier of unsettled segments only.
+    exits = with_entries(None).groupBy(*seg).applyInPandas(exits_fn, exit_schema).checkpoint()
+    entries = entries_from(exits).checkpoint()
+    rounds = 1
     while True:
-        exits = with_entries(entries).groupBy(*seg).applyInPandas(exits_fn, exit_schema)
-        new_entries = entries_from(exits).checkpoint()
-        rounds += 1
-        if entries is not None:
-            changed = (new_entries.alias("n").join(entries.alias("o"), seg, "inner")
-                       .where(~F.col("n.entry_state").eqNullSafe(F.col("o.entry_state"))).limit(1).count())
-            if changed == 0:
-                break
-        elif new_entries.where(F.col("entry_state").isNotNull()).limit(1).count() == 0:
+        settled_init = F.col("entry_state").isNull()
+        if rounds == 1:
+            changed = entries.where(~settled_init).select(*seg)
+        else:
+            changed = (entries.alias("n").join(prev.alias("o"), seg, "inner")
+                       .where(~F.col("n.entry_state").eqNullSafe(F.col("o.entry_state"))).select(*seg))
+        changed = changed.checkpoint()
+        if changed.limit(1).count() == 0:
             break
-        entries = new_entries
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("fold did not settle within max_rounds")
-    entries = new_entries
+        redo = base.join(changed, seg, "left_semi").join(entries, seg, "left")
+        fresh = redo.groupBy(*seg).applyInPandas(exits_fn, exit_schema)
+        exits = exits.join(changed, seg, "left_anti").unionByName(fresh).checkpoint()
+        prev = entries
+        entries = entries_from(exits).checkpoint()
+        rounds += 1
 
     out_struct = T._parse_datatype_string(spec.out_schema)
     full_schema = T.StructType(list(key_schema.fields)[:len(keys)] + list(out_struct.fields))

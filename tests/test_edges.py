@@ -205,3 +205,15 @@ def test_colour_rescale_bounds(spark):
     df = spark.createDataFrame([(1, 50, 5000, 725)], "seq long, red long, green long, blue long")
     r = D.colour_rescale(df).first()
     assert (r.r8, r.g8, r.b8) == (0, 255, 127)
+
+
+def test_split_keys_equal_unsplit_on_tables(spark):
+    from fabline.plans import registry as R
+    d = "/root/testdata/sf0.001"
+    f = R._fired(spark, d, R.TEST_LEVEL)
+    kw = dict(level_limit=R.TEST_LEVEL, change_limit=R.TEST_CHANGE, cooldown_s=R.TEST_COOLDOWN_S)
+    a = sorted(AN.anomaly_cooldown(f, **kw).collect())
+    b = sorted(AN.anomaly_cooldown(f, segment_rows=1, **kw).collect())
+    assert a == b and len(a) > 0
+    codes = R._codes(spark, d).select("seq", "ts", "station", "bits", "code")
+    assert sorted(DB.debounce_change(codes).collect()) == sorted(DB.debounce_change(codes, segment_rows=1).collect())
