@@ -28,8 +28,9 @@ NEIGHBOUR_SCHEMA = "q_id long, t_id long, t_label string, dist double"
 def _block_topk(k: int, chunk: int = 64):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if q.empty or t.empty:
-            return pd.DataFrame({"q_id": pd.Series([], "int64"), "t_id": pd.Series([], "int64"),
-                                 "t_label": pd.Series([], "object"), "dist": pd.Series([], "float64")})
+            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "t_id": pd.Series([], dtype="int64"),
+                                 "t_label": pd.Series([], dtype="object"),
+                                 "dist": pd.Series([], dtype="float64")})
         tm = np.vstack(t["features"].to_numpy()).astype(np.float64)
         tid = t["t_id"].to_numpy(np.int64)
         tlab = t["t_label"].to_numpy(object)

@@ -985,3 +985,27 @@ def q_delta_trigger_stream(spark, d):
     return r.select(F.col("machine_id").alias("key"), ntz("window_start"), ntz("window_end"), "fire_seq", "seq",
                     ntz("ts"), "x", "y", "z", F.round("change", 9).alias("change"),
                     F.round("delta", 9).alias("delta"), "stall", "rolling")
+
+
+@register("topic_source_stream", ORACLE["topic_source"])
+def q_topic_source_stream(spark, d):
+    src, out, ck = ST.scratch_query_paths(spark, "topics")
+    m = AD.material_messages(spark, d)
+    _land(m, src)
+    s = topic_source(ST.read_stream(spark, src, m.schema), C.LOADING_MAT_LOADED)
+    ST.run_to_parquet(s.select("topic", "payload", "ts", "seq"), out, ck).awaitTermination()
+    return spark.read.parquet(out).select("topic", "payload", ntz("ts"), "seq")
+
+
+@register("material_lifecycle_stream", ORACLE["material_lifecycle"])
+def q_material_lifecycle_stream(spark, d):
+    src, out, ck = ST.scratch_query_paths(spark, "lifecycle")
+    m = AD.material_messages(spark, d)
+    _land(m, src)
+    s = ST.read_stream(spark, src, m.schema)
+    # Static sides of a long-running stream are materialised once.
+    preds = _check_predictions(spark, d).checkpoint()
+    allow = AD.allow_list(spark, d).checkpoint()
+    lc = ST.stream_material_lifecycle(s, allow, preds)
+    ST.run_to_parquet(lc, out, ck).awaitTermination()
+    return spark.read.parquet(out).select("id", "seq", "action", "out_topic", "out_payload", "quality")

@@ -114,3 +114,34 @@ def scratch_query_paths(spark: SparkSession, name: str) -> tuple[str, str, str]:
     import uuid
     base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
     return f"{base}/in", f"{base}/out", f"{base}/ckpt"
+
+
+# --- W6 ---------------------------------------------------------------------
+LIFECYCLE_OUT = "id string, seq long, action string, out_topic string, out_payload string, quality string"
+
+
+def _lifecycle_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    import json
+    from fabline.operators.lifecycle import LIFECYCLE_SPEC
+    parts = [p for p in pdfs]
+    if not parts:
+        return
+    pdf = pd.concat(parts, ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
+    st = json.loads(state.get[0]) if state.exists else LIFECYCLE_SPEC.init()
+    out = []
+    for r in pdf[list(LIFECYCLE_SPEC.in_cols)].itertuples(index=False, name="Row"):
+        st, rows = LIFECYCLE_SPEC.step(st, r)
+        out.extend((key[0],) + tuple(o) for o in rows)
+    state.update((json.dumps(st),))
+    if out:
+        yield pd.DataFrame(out, columns=["id", "seq", "action", "out_topic", "out_payload", "quality"])
+
+
+def stream_material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame | None = None) -> DataFrame:
+    """Material lifecycle over a message stream (W6): the allow-list and the
+    predictions are static tables joined to the stream; each id keeps its
+    state (known, allowed, rolled, ready, quality) between micro-batches."""
+    from fabline.operators.lifecycle import _lifecycle_input
+    m = _lifecycle_input(msgs, allow, predictions, "id")
+    return m.groupBy("id").applyInPandasWithState(
+        _lifecycle_state, LIFECYCLE_OUT, "state string", "append", GroupStateTimeout.NoTimeout)

@@ -217,3 +217,11 @@ def test_split_keys_equal_unsplit_on_tables(spark):
     assert a == b and len(a) > 0
     codes = R._codes(spark, d).select("seq", "ts", "station", "bits", "code")
     assert sorted(DB.debounce_change(codes).collect()) == sorted(DB.debounce_change(codes, segment_rows=1).collect())
+
+
+def test_knn_block_with_empty_side(spark):
+    tr = spark.createDataFrame([(i, [float(i), 0.0], "good") for i in range(6)],
+                               "vec_id long, features array<double>, label string")
+    q = spark.createDataFrame([(100, [0.2, 0.0])], "vec_id long, features array<double>")
+    n = KN.knn_neighbours(q, tr, k=3, q_block=1, t_block=2).collect()
+    assert sorted((r.rank, r.t_id) for r in n) == [(1, 0), (2, 1), (3, 2)]
