@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.functions.decode import last_one_index
-from fabline.operators.ordered import asof_last, day_bucket
+from fabline.operators.ordered import asof_last, day_bucket, time_bucket
 
 
 def position_table(spark: SparkSession) -> DataFrame:
@@ -76,9 +76,12 @@ def asof_motor(readings: DataFrame, motor: DataFrame, key: str = "machine_id",
 
 
 # --- J4 ---------------------------------------------------------------------
-def asof_frame(frames: DataFrame, motor_info: DataFrame) -> DataFrame:
+def asof_frame(frames: DataFrame, motor_info: DataFrame, bucket_s: int = 3600) -> DataFrame:
     """Each frame gets, per station, the last reported ``isStarted`` and
-    ``speed`` before it (the header fill of the vibration sensor)."""
+    ``speed`` before it (the header fill of the vibration sensor).
+
+    Motor reports are line-wide (no key), so the work is split by time only:
+    ``bucket_s``-long spans run in parallel with a carry table between them."""
     parts = F.split(F.col("payload"), r"\|")
     mk, mv = parts.getItem(0), parts.getItem(1)
     cols = {}
@@ -88,7 +91,7 @@ def asof_frame(frames: DataFrame, motor_info: DataFrame) -> DataFrame:
     m = motor_info.select("ts", "seq", *[c.alias(n) for n, c in cols.items()],
                           F.lit(False).alias("__is_frame"))
     f = frames.withColumn("__is_frame", F.lit(True))
-    u = f.unionByName(m, allowMissingColumns=True).withColumn("__day", day_bucket("ts"))
+    u = f.unionByName(m, allowMissingColumns=True).withColumn("__day", time_bucket("ts", bucket_s))
     a = asof_last(u, [], ["ts", "seq"], "__day", list(cols), suffix="")
     return a.where("__is_frame").drop("__is_frame", "__day")
 

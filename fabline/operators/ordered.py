@@ -66,10 +66,15 @@ def asof_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     }).drop(*[f"__l_{v}" for v in values], *[f"__c_{v}" for v in values])
 
 
+def time_bucket(ts: str | Column = "ts", seconds: int = 86_400) -> Column:
+    """Bucket number of ``ts``: whole ``seconds``-long spans since the epoch."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.floor(F.unix_micros(c.cast("timestamp")) / (seconds * 1_000_000)).cast("bigint")
+
+
 def day_bucket(ts: str | Column = "ts") -> Column:
     """Default bucket: whole days since the epoch of ``ts``."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c.cast("timestamp")) / 86_400_000_000).cast("bigint")
+    return time_bucket(ts, 86_400)
 
 
 def prev_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
