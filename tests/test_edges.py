@@ -225,3 +225,22 @@ def test_knn_block_with_empty_side(spark):
     q = spark.createDataFrame([(100, [0.2, 0.0])], "vec_id long, features array<double>")
     n = KN.knn_neighbours(q, tr, k=3, q_block=1, t_block=2).collect()
     assert sorted((r.rank, r.t_id) for r in n) == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_jobs_compose_on_tables(spark):
+    from fabline.plans import jobs
+    from fabline.sources import adapters as AD
+    from fabline.sources.tables import table
+    d = "/root/testdata/sf0.001"
+    v = jobs.vibration_anomaly_job(AD.readings(spark, d), AD.motor_messages(spark, d), window="1 day",
+                                   level_limit=1.2, change_limit=0.6, cooldown_s=6 * 3600)
+    assert v["fired"].count() > 0 and v["commands"].count() == 4 * v["alarms"].count()
+    t = jobs.training_data_job(AD.series_rows(spark, d))
+    assert t["ready"].count() == 1 and t["training_set"].count() > 0
+    m = AD.material_messages(spark, d)
+    n = table(spark, d, "embeddings").count()
+    lv = AD.labelled_vectors(spark, d)
+    checks = (m.where(F.col("topic") == C.COLOUR_MAT_CHECK).select("seq", (F.col("seq") % n).alias("vec_id"))
+              .join(lv.select("vec_id", "features"), "vec_id").drop("vec_id"))
+    out = jobs.material_decision_job(m, AD.allow_list(spark, d), checks, lv.where("is_train"))
+    assert out["actions"].count() > 0 and out["commands"].count() > 0
