@@ -6,8 +6,10 @@ into ``n_qb`` blocks, training vectors into ``n_tb`` blocks, and each
 with numpy and keeps only its partial top-k per query. The partial lists
 (k rows per query and train block) are merged with a ``row_number`` window.
 Each query row is copied ``n_tb`` times and each training row ``n_qb``
-times; no pair of rows is ever materialised as a DataFrame row, and block
-sizes bound every task's memory whatever the table sizes.
+times (query blocks grow with a small training set, so the training copies
+stay below the query volume); no pair of rows is ever materialised as a
+DataFrame row, and block sizes bound every task's memory whatever the table
+sizes.
 """
 
 from __future__ import annotations
@@ -65,7 +67,7 @@ def split_by_dim(df: DataFrame, dim: int, features: str = "features") -> tuple[D
 def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
                    q_id: str = "vec_id", t_id: str = "vec_id", features: str = "features",
                    label: str = "label", q_block: int = 2048, t_block: int = 8192,
-                   dim: int | None = None) -> DataFrame:
+                   dim: int | None = None, q_block_max: int = 65536) -> DataFrame:
     """The k nearest training vectors (Euclidean) of every query vector:
     ``q_id, rank, t_id, t_label, dist``. Ties break on the training id.
 
@@ -82,8 +84,13 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
     # cogroup; keep them rather than deriving them twice.
     q = q.persist(StorageLevel.MEMORY_AND_DISK)
     t = t.persist(StorageLevel.MEMORY_AND_DISK)
-    n_tb = max(1, math.ceil(t.count() / t_block))
-    n_qb = max(1, math.ceil(q.count() / q_block))
+    n_t, n_q = t.count(), q.count()
+    n_tb = max(1, math.ceil(n_t / t_block))
+    # Training rows are copied once per query block: make query blocks at
+    # least as large as the training set (up to q_block_max) so those copies
+    # never outgrow the query side itself.
+    q_block = max(q_block, min(n_t, q_block_max))
+    n_qb = max(1, math.ceil(n_q / q_block))
     qx = q.withColumns({"qb": F.pmod(F.xxhash64("q_id"), F.lit(n_qb)),
                         "tb": F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))})
     tx = t.withColumns({"tb": F.pmod(F.xxhash64("t_id"), F.lit(n_tb)),

@@ -75,6 +75,11 @@ def series_purge(stored: DataFrame, exported: DataFrame, keys=("series", "seq"))
     return stored.join(exported.select(*keys), list(keys), "left_anti")
 
 
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """Catalog database of the series tables (one table per measurement)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
 # --- S11 --------------------------------------------------------------------
 def command_out(commands: DataFrame, topic: str, payload: str = "command",
                 ts: str = "ts", seq: str = "seq") -> DataFrame:
