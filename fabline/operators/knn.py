@@ -72,11 +72,13 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
     ``q_id, rank, t_id, t_label, dist``. Ties break on the training id.
 
     Block counts come from two counts of the inputs; vectors whose length
-    is not ``dim`` (default: the training vectors' length) are left out (see
-    ``split_by_dim``).
+    is not ``dim`` (default: the most common training length) are left out
+    (see ``split_by_dim``).
     """
     if dim is None:
-        dim = train.select(F.size(features)).first()[0]
+        # the most common training length (ties: the smaller), deterministic
+        dim = (train.groupBy(F.size(features).alias("n")).count()
+               .orderBy(F.desc("count"), "n").first()[0])
     q = split_by_dim(queries.select(F.col(q_id).alias("q_id"), F.col(features).alias("features")), dim)[0]
     t = split_by_dim(train.select(F.col(t_id).alias("t_id"), F.col(features).alias("features"),
                                   F.col(label).alias("t_label")), dim)[0]
@@ -122,7 +124,7 @@ def decide(good, defect1, defect2):
 def knn_decide(dist: DataFrame) -> DataFrame:
     """Class decision per query from its vote distribution:
     ``q_id, good, defect1, defect2, decision`` (missing votes -> ``unknown``)."""
-    p = dist.groupBy("q_id").pivot("label", C.CLASSES).agg(F.first("votes"))
+    p = dist.groupBy("q_id").pivot("label", C.CLASSES).agg(F.max("votes"))
     g, d1, d2 = F.col(C.GOOD), F.col(C.DEFECT1), F.col(C.DEFECT2)
     dec = F.when(g.isNull() | d1.isNull() | d2.isNull(), F.lit(C.UNKNOWN_LABEL)).otherwise(decide(g, d1, d2))
     return p.withColumn("decision", dec)

@@ -89,7 +89,7 @@ def material_lifecycle_fold(msgs: DataFrame, allow: DataFrame, predictions: Data
 
 def _lifecycle_input(msgs, allow, predictions, id_col):
     m = msgs.where(F.col("topic").isin(*LIFECYCLE_TOPICS)).select(id_col, "seq", "ts", "topic")
-    a = allow.groupBy(F.col("id").alias(id_col)).agg(F.first("thickness").alias("thickness0"))
+    a = allow.groupBy(F.col("id").alias(id_col)).agg(F.max("thickness").alias("thickness0"))
     m = m.join(a, id_col, "left").withColumn("allowed0", F.col("thickness0").isNotNull())
     if predictions is None:
         return m.withColumn("prediction", F.lit(None).cast("string"))

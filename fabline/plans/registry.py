@@ -856,7 +856,7 @@ LIFECYCLE_SQL = O.with_(O.EV, O.MATERIAL, O.ALLOW, O.LABELLED) + knn_sql(
     "WHERE topic = '/colourSensor/MatCheck')") + f""", pred AS (
   SELECT m.seq, dec.decision AS prediction FROM material m
   JOIN dec ON dec.q_id = m.seq % (SELECT count(*) FROM embeddings) WHERE m.topic = '/colourSensor/MatCheck'),
-al AS (SELECT id, first(thickness) AS thickness FROM allow GROUP BY id),
+al AS (SELECT id, max(thickness) AS thickness FROM allow GROUP BY id),
 t AS (
   SELECT m.id, m.seq, m.topic, al.thickness AS thickness0, al.id IS NOT NULL AS allowed0, p.prediction,
          row_number() OVER (PARTITION BY m.id ORDER BY m.ts, m.seq) AS rn
