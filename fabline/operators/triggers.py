@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
+from fabline.operators.fold import FoldSpec, run_fold
 from fabline.operators.ordered import day_bucket
 
 
@@ -35,7 +36,8 @@ def tumbling(df: DataFrame, key: str = "key", ts: str = "ts", window: str = "3 s
 # --- W2 ---------------------------------------------------------------------
 def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "seq",
                   window: str = window_ms(C.WINDOW_MS), threshold: float = C.DELTA_THRESHOLD,
-                  level_limit: float = C.VIBRATION_LIMIT, rolling: str | None = "rolling") -> DataFrame:
+                  level_limit: float = C.VIBRATION_LIMIT, rolling: str | None = "rolling",
+                  engine: str = "auto") -> DataFrame:
     """Fired rows of the delta trigger per key and tumbling window.
 
     For each reading p (in ``(ts, seq)`` order) with anchor a:
@@ -47,7 +49,18 @@ def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "s
 
     Output: ``key, window_start, window_end, fire_seq, seq, ts, x, y, z,
     change, delta, stall, rolling``.
+
+    ``engine``: ``"jvm"`` folds each window's sorted rows with ``aggregate``
+    (no Python, but the accumulated array is copied per row, so the cost is
+    quadratic in the rows per window: right for the line's seconds-long
+    windows); ``"fold"`` runs one pandas fold per (key, window), linear in
+    its rows; ``"auto"`` picks ``fold`` for windows longer than a minute.
+    Streams need ``"jvm"``.
     """
+    if engine == "auto":
+        engine = "fold" if window_seconds(window) > 60 else "jvm"
+    if engine == "fold":
+        return _delta_trigger_fold(df, key, ts, seq, window, threshold, level_limit, rolling)
     roll = F.coalesce(F.col(rolling), F.lit(False)) if rolling else F.lit(False)
     rows = df.select(key, F.window(ts, window).alias("w"),
                      F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), "x", "y", "z",
@@ -94,6 +107,48 @@ def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "s
                         F.col("e.z").alias("z"), "change", "delta", "stall", "rolling")
 
 
+_UNITS = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def window_seconds(window: str) -> float:
+    """Length of a ``"<n> <unit>"`` window string in seconds."""
+    n, unit = window.strip().split()
+    return float(n) * _UNITS[unit.lower().rstrip("s")]
+
+
+def _delta_spec(threshold: float, level_limit: float) -> FoldSpec:
+    def step(state, r):
+        if state is None:                       # first row: anchor only
+            return [r.x, r.y, r.z, r.ts_us, r.seq, r.x, r.y, r.z], None
+        ax, ay, az, ets, es, ex, ey, ez = state
+        if r.ts_us != ets:                      # newest row so far (maxBy on ts)
+            ets, es, ex, ey, ez = r.ts_us, r.seq, r.x, r.y, r.z
+        change = (abs(ax - r.x) + abs(ay - r.y) + abs(az - r.z)) / 3.0
+        stall = bool(r.rolling) and (abs(r.x) + abs(r.y) + abs(r.z)) / 3.0 < level_limit
+        delta = 1.0 if stall else change
+        out = None
+        if delta > threshold:
+            ax, ay, az = r.x, r.y, r.z
+            out = [(r.seq, es, r.ts_us, ex, ey, ez, change, delta, stall, bool(r.rolling))]
+        return [ax, ay, az, ets, es, ex, ey, ez], out
+
+    return FoldSpec(lambda: None, step, ["seq", "ts_us", "x", "y", "z", "rolling"],
+                    "fire_seq long, seq long, ts_us long, x double, y double, z double, change double, "
+                    "delta double, stall boolean, rolling boolean")
+
+
+def _delta_trigger_fold(df, key, ts, seq, window, threshold, level_limit, rolling):
+    roll = F.coalesce(F.col(rolling), F.lit(False)) if rolling else F.lit(False)
+    w = F.window(ts, window)
+    rows = df.select(F.col(key).alias(key), w.start.alias("window_start"), w.end.alias("window_end"),
+                     F.unix_micros(F.col(ts)).alias("ts_us"), F.col(seq).alias("seq"), "x", "y", "z",
+                     roll.alias("rolling"), day_bucket(ts).alias("__day"))
+    out = run_fold(rows, [key, "window_start", "window_end"], ["ts_us", "seq"], "__day",
+                   _delta_spec(threshold, level_limit))
+    return out.select(key, "window_start", "window_end", "fire_seq", "seq",
+                      F.timestamp_micros("ts_us").alias("ts"), "x", "y", "z", "change", "delta", "stall", "rolling")
+
+
 # --- W3 ---------------------------------------------------------------------
 def watermark_late(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay_ms: int = 0,
                    arrival_width: int = 1_000_000) -> DataFrame:

@@ -41,7 +41,7 @@ def stream_delta_trigger(stream: DataFrame, delay: str = "0 seconds", **kw) -> D
     """Delta trigger over a stream; a window's firings are emitted when the
     watermark (newest ts minus ``delay``) passes the window end. Rows older
     than the watermark are dropped as late (W3)."""
-    return delta_trigger(stream.withWatermark(kw.get("ts", "ts"), delay), **kw)
+    return delta_trigger(stream.withWatermark(kw.get("ts", "ts"), delay), engine="jvm", **kw)
 
 
 # --- W7 ---------------------------------------------------------------------

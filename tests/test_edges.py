@@ -244,3 +244,12 @@ def test_jobs_compose_on_tables(spark):
               .join(lv.select("vec_id", "features"), "vec_id").drop("vec_id"))
     out = jobs.material_decision_job(m, AD.allow_list(spark, d), checks, lv.where("is_train"))
     assert out["actions"].count() > 0 and out["commands"].count() > 0
+
+
+def test_delta_trigger_engines_agree(spark):
+    from fabline.plans import registry as R
+    a = R._asof(spark, "/root/testdata/sf0.001")
+    for lim in (0.3, 1.2):
+        j = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, engine="jvm")
+        f = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, engine="fold")
+        assert sorted(j.collect()) == sorted(f.select(*j.columns).collect())
