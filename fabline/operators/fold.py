@@ -57,24 +57,36 @@ def _run_segment(pdf: pd.DataFrame, spec: FoldSpec, order: Sequence[str], entry:
 
 def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
              spec: FoldSpec, max_rounds: int | None = None,
-             segment_rows: int = 2_000_000) -> DataFrame:
+             segment_rows: int = 2_000_000, independent: bool = False) -> DataFrame:
     """Run ``spec`` per key in ``order``; returns ``keys + out_schema`` rows.
 
     Only keys with more than ``segment_rows`` rows are cut into ``bucket``
-    segments; every other key is one segment, which needs no settling.
+    segments; every other key is one segment, which needs no settling. With
+    ``independent=True`` the caller guarantees every key is bounded (e.g. a
+    key that includes a tumbling window), and each key is folded in one pass.
     """
     keys = list(keys)
     seg = [*keys, bucket]
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
-    df = df.join(sizes, keys).withColumn(
-        bucket, F.when(F.col("__key_rows") > segment_rows, F.col(bucket)).otherwise(F.lit(None)).cast("bigint"))
+    if independent:
+        split = False
+    else:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
+        split = sizes.where(F.col("__key_rows") > segment_rows).limit(1).count() > 0
+    if split:
+        df = df.join(sizes, keys).withColumn(
+            bucket, F.when(F.col("__key_rows") > segment_rows, F.col(bucket)).otherwise(F.lit(None))
+            .cast("bigint"))
+    else:
+        df = df.withColumn(bucket, F.lit(None).cast("bigint"))
     cols = list(dict.fromkeys([*seg, *order, *spec.in_cols]))
-    # Every round re-reads the fold input; keep it (memory, spilling to
-    # disk) so rounds do not recompute the upstream plan. A lost executor
-    # only means recomputing its blocks from lineage.
-    base = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    base = df.select(*cols)
+    if split:
+        # Every round re-reads the fold input; keep it (memory, spilling to
+        # disk) so rounds do not recompute the upstream plan. A lost
+        # executor only means recomputing its blocks from lineage.
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     key_schema = base.select(*seg).schema
 
     exit_schema = T.StructType(list(key_schema.fields) + [T.StructField("exit_state", T.StringType())])
@@ -95,6 +107,20 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
             return base.withColumn("entry_state", F.lit(None).cast("string"))
         return base.join(entries, seg, "left")
 
+    out_struct = T._parse_datatype_string(spec.out_schema)
+    full_schema = T.StructType(list(key_schema.fields)[:len(keys)] + list(out_struct.fields))
+
+    def emit_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        entry = pdf["entry_state"].iloc[0]
+        _, outs = _run_segment(pdf, spec, order, None if entry is None else json.loads(entry))
+        kv = pdf[keys].iloc[0].tolist()
+        return pd.DataFrame([tuple(kv) + tuple(o) for o in outs],
+                            columns=[f.name for f in full_schema.fields])
+
+    if not split:
+        # One segment per key: nothing to settle, fold once and emit.
+        return with_entries(None).groupBy(*seg).applyInPandas(emit_fn, full_schema)
+
     # Round 1 folds every segment from the initial state. Later rounds
     # re-fold only the segments whose entry state changed and keep the other
     # exits, so a round costs the frontier of unsettled segments only.
@@ -120,14 +146,4 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
         entries = entries_from(exits).checkpoint()
         rounds += 1
 
-    out_struct = T._parse_datatype_string(spec.out_schema)
-    full_schema = T.StructType(list(key_schema.fields)[:len(keys)] + list(out_struct.fields))
-
-    def emit_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = pdf["entry_state"].iloc[0]
-        _, outs = _run_segment(pdf, spec, order, None if entry is None else json.loads(entry))
-        kv = pdf[keys].iloc[0].tolist()
-        return pd.DataFrame([tuple(kv) + tuple(o) for o in outs],
-                            columns=[f.name for f in full_schema.fields])
-
     return with_entries(entries).groupBy(*seg).applyInPandas(emit_fn, full_schema)

@@ -144,7 +144,7 @@ def _delta_trigger_fold(df, key, ts, seq, window, threshold, level_limit, rollin
                      F.unix_micros(F.col(ts)).alias("ts_us"), F.col(seq).alias("seq"), "x", "y", "z",
                      roll.alias("rolling"), day_bucket(ts).alias("__day"))
     out = run_fold(rows, [key, "window_start", "window_end"], ["ts_us", "seq"], "__day",
-                   _delta_spec(threshold, level_limit))
+                   _delta_spec(threshold, level_limit), independent=True)
     return out.select(key, "window_start", "window_end", "fire_seq", "seq",
                       F.timestamp_micros("ts_us").alias("ts"), "x", "y", "z", "change", "delta", "stall", "rolling")
 
