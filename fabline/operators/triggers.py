@@ -37,7 +37,7 @@ def tumbling(df: DataFrame, key: str = "key", ts: str = "ts", window: str = "3 s
 def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "seq",
                   window: str = window_ms(C.WINDOW_MS), threshold: float = C.DELTA_THRESHOLD,
                   level_limit: float = C.VIBRATION_LIMIT, rolling: str | None = "rolling",
-                  engine: str = "auto") -> DataFrame:
+                  engine: str = "auto", jvm_max_rows: int = 2000) -> DataFrame:
     """Fired rows of the delta trigger per key and tumbling window.
 
     For each reading p (in ``(ts, seq)`` order) with anchor a:
@@ -54,11 +54,20 @@ def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "s
     (no Python, but the accumulated array is copied per row, so the cost is
     quadratic in the rows per window: right for the line's seconds-long
     windows); ``"fold"`` runs one pandas fold per (key, window), linear in
-    its rows; ``"auto"`` picks ``fold`` for windows longer than a minute.
+    its rows; ``"auto"`` keeps ``jvm`` for windows up to a minute and, for
+    longer ones, while the largest (key, window) group has at most
+    ``jvm_max_rows`` rows (one small aggregate measures it), else ``fold``.
     Streams need ``"jvm"``.
     """
     if engine == "auto":
-        engine = "fold" if window_seconds(window) > 60 else "jvm"
+        engine = "jvm"
+        if window_seconds(window) > 60:
+            # Long windows may hold many rows: measure the largest (key,
+            # window) group and keep the JVM fold only while its quadratic
+            # cost stays small.
+            biggest = (df.groupBy(key, F.window(ts, window)).count()
+                       .agg(F.max("count")).first()[0]) or 0
+            engine = "jvm" if biggest <= jvm_max_rows else "fold"
     if engine == "fold":
         return _delta_trigger_fold(df, key, ts, seq, window, threshold, level_limit, rolling)
     roll = F.coalesce(F.col(rolling), F.lit(False)) if rolling else F.lit(False)
