@@ -175,6 +175,12 @@ def record_day(time_text: Column) -> Column:
     return F.when(F.instr(time_text, "T") > 0, F.substring_index(time_text, "T", 1))
 
 
+def receive_stamp(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Stamp rows with the receive time (the line stamps messages on
+    arrival, not with device time)."""
+    return df.withColumn(ts, F.current_timestamp())
+
+
 def clock_text(ts: Column) -> Column:
     """``HH:mm:ss.SSS`` rendering of a timestamp."""
     return F.date_format(ts, "HH:mm:ss.SSS")

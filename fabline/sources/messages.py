@@ -32,3 +32,22 @@ def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) ->
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
+
+
+def stream_kafka(spark: SparkSession, bootstrap: str, topics: list[str] | str,
+                 starting: str = "latest") -> DataFrame:
+    """Message stream from Kafka in the raw message shape (``topic, payload,
+    ts, seq``); ``seq`` is the partition offset made unique across
+    partitions. Needs the Spark Kafka connector on the classpath."""
+    subs = topics if isinstance(topics, str) else ",".join(topics)
+    k = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+         .option("subscribe", subs).option("startingOffsets", starting).load())
+    return k.select("topic", F.col("value").alias("payload"), F.col("timestamp").alias("ts"),
+                    (F.col("offset") * 4096 + F.col("partition")).alias("seq"))
+
+
+def to_kafka(commands: DataFrame, bootstrap: str, checkpoint: str):
+    """Publish ``topic, payload`` command messages to Kafka (S11)."""
+    out = commands.select("topic", F.col("payload").cast("binary").alias("value"))
+    return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+            .option("checkpointLocation", checkpoint).start())
