@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fabline.operators.ordered import prefix_sum
 from fabline.session import ensure_checkpoint_dir
 
 
@@ -60,8 +61,10 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
              segment_rows: int = 2_000_000, independent: bool = False) -> DataFrame:
     """Run ``spec`` per key in ``order``; returns ``keys + out_schema`` rows.
 
-    Only keys with more than ``segment_rows`` rows are cut into ``bucket``
-    segments; every other key is one segment, which needs no settling. With
+    Only keys with more than ``segment_rows`` rows are cut into segments of
+    ``segment_rows`` consecutive rows (``bucket`` must be monotone in
+    ``order``; it spreads the numbering); every other key is one segment,
+    which needs no settling. With
     ``independent=True`` the caller guarantees every key is bounded (e.g. a
     key that includes a tumbling window), and each key is folded in one pass.
     """
@@ -75,9 +78,14 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
         split = sizes.where(F.col("__key_rows") > segment_rows).limit(1).count() > 0
     if split:
-        df = df.join(sizes, keys).withColumn(
-            bucket, F.when(F.col("__key_rows") > segment_rows, F.col(bucket)).otherwise(F.lit(None))
-            .cast("bigint"))
+        # Segments of a big key are runs of at most ``segment_rows`` rows in
+        # order (row number per key from the bucketed running count), so no
+        # segment outgrows a task, however the rows fall in time.
+        big = df.join(sizes, keys)
+        numbered = prefix_sum(big, keys, order, bucket, {"__rn": F.lit(1)})
+        df = numbered.withColumn(
+            bucket, F.when(F.col("__key_rows") > segment_rows,
+                           F.floor((F.col("__rn") - 1) / segment_rows)).otherwise(F.lit(None)).cast("bigint"))
     else:
         df = df.withColumn(bucket, F.lit(None).cast("bigint"))
     cols = list(dict.fromkeys([*seg, *order, *spec.in_cols]))
