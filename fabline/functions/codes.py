@@ -4,7 +4,7 @@ These must equal the line's own settings for results to match; they are
 stated here plainly, in natural order.
 """
 
-# --- fixed values: MQTT topics --------------------------------------------
+# --- fixed values: message topics -----------------------------------------
 TABLES_CONNECTION = "/tables/connection"
 
 LOADING_READY_TO_NEW_MAT = "/loading/ReadyToNewMat"
