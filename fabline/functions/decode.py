@@ -33,7 +33,7 @@ def byte_array(payload: str | Column) -> Column:
 def byte_at(arr: Column, i) -> Column:
     """Unsigned byte ``i`` (0-based; int or Column) of a byte array."""
     idx = (F.lit(i) if isinstance(i, int) else i) + 1
-    return F.element_at(arr, idx.cast("int"))
+    return F.try_element_at(arr, idx.cast("int"))
 
 
 def int16_at(arr: Column, i) -> Column:
@@ -97,7 +97,7 @@ def vib_frame_accel(df: DataFrame, raw: str = "raw") -> DataFrame:
 
     def mean_axis(axis: int, shift: float = 0.0) -> Column:
         vals = F.transform(F.sequence(F.lit(0), F.lit(4)),
-                           lambda s: gravity(F.element_at(r, s * 3 + axis + 1)) - F.lit(shift))
+                           lambda s: gravity(F.try_element_at(r, s * 3 + axis + 1)) - F.lit(shift))
         return F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v) / F.lit(5.0)
 
     return df.withColumns({"x": mean_axis(0), "y": mean_axis(1), "z": mean_axis(2, C.Z_OFFSET)})
@@ -153,7 +153,7 @@ def pipe_parse(df: DataFrame, payload: str = "payload", left: str = "id",
                right: str = "value") -> DataFrame:
     """``a|b`` -> two string columns; missing right part is rejected."""
     parts = F.split(text(payload), r"\|")
-    out = df.withColumns({left: F.element_at(parts, 1),
+    out = df.withColumns({left: F.try_element_at(parts, F.lit(1)),
                           right: F.try_element_at(parts, F.lit(2))})
     return out.withColumn("reject_reason", F.when(F.col(right).isNull(), F.lit("no_pipe")))
 

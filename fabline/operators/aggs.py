@@ -71,7 +71,7 @@ def station_warnings(df: DataFrame, topics=tuple(C.WARNING_TOPICS), topic: str =
                      ts: str = "ts") -> DataFrame:
     """Warning / connection messages per station and day."""
     w = df.where(F.col(topic).isin(*topics))
-    return w.groupBy(F.split(F.col(topic), "/").getItem(1).alias("station"),
+    return w.groupBy(F.try_element_at(F.split(F.col(topic), "/"), F.lit(2)).alias("station"),
                      F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n_messages"))
 
 

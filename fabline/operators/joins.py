@@ -63,7 +63,7 @@ def asof_motor(readings: DataFrame, motor: DataFrame, key: str = "machine_id",
     Runs per (machine, day) in parallel; the state entering a day comes from
     a one-row-per-day carry table, so a busy machine is not one task.
     """
-    state = (F.split(F.col("payload"), r"\|").getItem(1) == "1")
+    state = (F.try_element_at(F.split(F.col("payload"), r"\|"), F.lit(2)) == "1")
     m = motor.where(F.col("payload").startswith("isRollingStarted")).select(
         key, "ts", "seq", state.alias("__state"), F.lit(False).alias("__is_reading"))
     r = readings.withColumns({"__state": F.lit(None).cast("boolean"),
@@ -83,7 +83,7 @@ def asof_frame(frames: DataFrame, motor_info: DataFrame, bucket_s: int = 3600) -
     Motor reports are line-wide (no key), so the work is split by time only:
     ``bucket_s``-long spans run in parallel with a carry table between them."""
     parts = F.split(F.col("payload"), r"\|")
-    mk, mv = parts.getItem(0), parts.getItem(1)
+    mk, mv = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
     cols = {}
     for s in C.STATIONS:
         cols[f"{s}_started"] = F.when((F.col("station") == s) & (mk == "isStarted"), mv.cast("int"))

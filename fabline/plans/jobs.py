@@ -47,7 +47,7 @@ def training_data_job(records: DataFrame, min_sets: int = C.MIN_SETS_FOR_ML,
     lines = batches.select("series", "batch_no", "seq", "ts", FS.delimited_line(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "quality", "datapoints").alias("line"))
     parsed = lines.withColumn("day", F.substring_index("line", "T", 1)).withColumn(
-        "quality", F.split("line", ";").getItem(1))
+        "quality", F.try_element_at(F.split("line", ";"), F.lit(2)))
     daily = A.daily_quality(parsed)
     ready = A.train_ready(daily, min_sets)
     files = batches.groupBy("series", "batch_no").agg(F.max("ts").alias("file_ts"))

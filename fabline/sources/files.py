@@ -56,11 +56,11 @@ def labelled_dump(lines: DataFrame, line: str = "line") -> DataFrame:
     id, map the class digit to its label (others stay as text), keep the
     vector text ``datapoints``."""
     parts = F.split(F.regexp_replace(F.col(line), "'", ""), ",")
-    digit = F.element_at(parts, 3)
+    digit = F.try_element_at(parts, F.lit(3))
     label = (F.when(digit == "0", C.GOOD).when(digit == "1", C.DEFECT1)
              .when(digit == "2", C.DEFECT2).otherwise(digit))
     return lines.select(
-        F.element_at(parts, 2).alias("id"), label.alias("label"),
+        F.try_element_at(parts, F.lit(2)).alias("id"), label.alias("label"),
         F.array_join(F.slice(parts, 4, F.size(parts) - 3), ",").alias("datapoints"))
 
 

@@ -74,7 +74,7 @@ def stream_asof_motor(readings: DataFrame, motor: DataFrame) -> DataFrame:
     m = motor.where(F.col("payload").startswith("isRollingStarted")).select(
         "machine_id", "seq", "ts", F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"),
         F.lit(None).cast("double").alias("z"), F.lit(True).alias("is_motor"),
-        (F.split("payload", r"\|").getItem(1) == "1").alias("state"))
+        (F.try_element_at(F.split("payload", r"\|"), F.lit(2)) == "1").alias("state"))
     return r.unionByName(m).groupBy("machine_id").applyInPandasWithState(
         _asof_state, ASOF_OUT, "rolling boolean", "append", GroupStateTimeout.NoTimeout)
 

@@ -43,6 +43,9 @@ def test_short_frame_is_quarantined(spark):
     good, bad = FL.split_rejects(dec)
     assert [r.seq for r in good.collect()] == [1]
     assert [(r.seq, r.reject_reason) for r in FL.quarantine(dec).collect()] == [(2, "short_frame")]
+    # every decoded column of a short frame evaluates (null where bytes are missing), ANSI mode included
+    short = {r.seq: r for r in dec.collect()}[2]
+    assert short.raw[-1] is None and short.location == 0
     r = good.collect()[0]
     assert r.location == 0 and r.sensor_id == 1
     assert r.raw[0] == (22 << 8) + 23
