@@ -75,6 +75,8 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
     if independent:
         split = False
     else:
+        # The size check and the fold both read the input: keep it once.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
         split = sizes.where(F.col("__key_rows") > segment_rows).limit(1).count() > 0
     if split:
