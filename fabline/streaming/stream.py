@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from fabline.functions import codes as C
 from fabline.operators.triggers import delta_trigger, tumbling
 from fabline.session import scratch_path
 from fabline.sources.sinks import upsert_into
