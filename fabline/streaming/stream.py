@@ -11,6 +11,7 @@ resumes exactly where it stopped.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from fabline.operators.lifecycle import LIFECYCLE_SPEC, _lifecycle_input
 from fabline.operators.triggers import delta_trigger, tumbling
 from fabline.session import scratch_path
 from fabline.sources.sinks import upsert_into
@@ -120,8 +122,6 @@ LIFECYCLE_OUT = "id string, seq long, action string, out_topic string, out_paylo
 
 
 def _lifecycle_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    import json
-    from fabline.operators.lifecycle import LIFECYCLE_SPEC
     parts = [p for p in pdfs]
     if not parts:
         return
@@ -140,7 +140,6 @@ def stream_material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: Da
     """Material lifecycle over a message stream (W6): the allow-list and the
     predictions are static tables joined to the stream; each id keeps its
     state (known, allowed, rolled, ready, quality) between micro-batches."""
-    from fabline.operators.lifecycle import _lifecycle_input
     m = _lifecycle_input(msgs, allow, predictions, "id")
     return m.groupBy("id").applyInPandasWithState(
         _lifecycle_state, LIFECYCLE_OUT, "state string", "append", GroupStateTimeout.NoTimeout)

@@ -256,3 +256,16 @@ def test_delta_trigger_engines_agree(spark):
         j = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, engine="jvm")
         f = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, engine="fold")
         assert sorted(j.collect()) == sorted(f.select(*j.columns).collect())
+
+
+def test_no_function_local_package_imports():
+    """Worker-side functions are pickled by value; an ``import fabline...``
+    inside a function body would run on the executor, where the package need
+    not be installed."""
+    import pathlib
+    import re
+    root = pathlib.Path(__file__).resolve().parents[1] / "fabline"
+    bad = [f"{p}:{i}" for p in root.rglob("*.py")
+           for i, line in enumerate(p.read_text().splitlines(), 1)
+           if re.match(r"\s+(from|import)\s+fabline", line)]
+    assert bad == []
