@@ -71,22 +71,24 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
     """The k nearest training vectors (Euclidean) of every query vector:
     ``q_id, rank, t_id, t_label, dist``. Ties break on the training id.
 
-    Block counts come from two counts of the inputs; vectors whose length
-    is not ``dim`` (default: the most common training length) are left out
-    (see ``split_by_dim``).
+    Block counts come from a length histogram of the training side and a
+    count of the queries; vectors whose length is not ``dim`` (default: the
+    most common training length) are left out (see ``split_by_dim``).
     """
+    # One small job: vector lengths of the training side and their counts.
+    lengths = {r["n"]: r["count"] for r in
+               train.groupBy(F.size(features).alias("n")).count().collect()}
     if dim is None:
         # the most common training length (ties: the smaller), deterministic
-        dim = (train.groupBy(F.size(features).alias("n")).count()
-               .orderBy(F.desc("count"), "n").first()[0])
+        dim = min((n for n in lengths if n is not None and n >= 0),
+                  key=lambda n: (-lengths[n], n), default=0)
     q = split_by_dim(queries.select(F.col(q_id).alias("q_id"), F.col(features).alias("features")), dim)[0]
     t = split_by_dim(train.select(F.col(t_id).alias("t_id"), F.col(features).alias("features"),
                                   F.col(label).alias("t_label")), dim)[0]
-    # Both sides are counted to size the blocks and then read again by the
-    # cogroup; keep them rather than deriving them twice.
+    # The query side is counted to size the blocks and then read again by
+    # the cogroup; keep it rather than deriving it twice.
     q = q.persist(StorageLevel.MEMORY_AND_DISK)
-    t = t.persist(StorageLevel.MEMORY_AND_DISK)
-    n_t, n_q = t.count(), q.count()
+    n_t, n_q = lengths.get(dim, 0), q.count()
     n_tb = max(1, math.ceil(n_t / t_block))
     # Training rows are copied once per query block: make query blocks at
     # least as large as the training set (up to q_block_max) so those copies
