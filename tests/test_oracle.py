@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from fabline.plans.registry import ORACLE, QUERIES
 from fabline.sources.tables import TABLES
 
 SF_SMALL = "/root/testdata/sf0.001"
 
-SQL = E.oracle_sql()
+SQL = ORACLE
 
 
 def _norm(v):
@@ -39,12 +40,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = df.collect()
     res = duck.execute(SQL[name])
     dcols = [c[0] for c in res.description]
