@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import packing, token_count
+from . import langid, mixing, packing, token_count
 from .common import table
 
 SIZE = 1024
@@ -19,8 +19,18 @@ def op8_best_fit(spark, sf_dir):
                                   rank_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_mix": op3_mix,
     "op6_token_count": op6_token_count,
     "op8_best_fit": op8_best_fit,
+    "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE}
