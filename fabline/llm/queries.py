@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import langid, mixing, packing, token_count
+from . import langid, mixing, packing, simhash, token_count
 from .common import table
 
 SIZE = 1024
 
 
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_token_count(spark, sf_dir):
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -29,6 +33,7 @@ def op10_language_id(spark, sf_dir):
 
 QUERIES = {
     "op3_mix": op3_mix,
+    "op5_simhash": op5_simhash,
     "op6_token_count": op6_token_count,
     "op8_best_fit": op8_best_fit,
     "op10_language_id": op10_language_id,
