@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import langid, mixing, packing, simhash, token_count
+from . import hnsw, langid, mixing, packing, simhash, token_count, topk
 from .common import table
 
 SIZE = 1024
@@ -18,11 +18,19 @@ def op6_token_count(spark, sf_dir):
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_exact_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_best_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SIZE, 2,
                                   rank_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op2_hnsw(spark, sf_dir):
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -32,10 +40,12 @@ def op10_language_id(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_hnsw": op2_hnsw,
     "op3_mix": op3_mix,
     "op5_simhash": op5_simhash,
     "op6_token_count": op6_token_count,
+    "op7_exact_topk": op7_exact_topk,
     "op8_best_fit": op8_best_fit,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE, "op7_exact_topk": topk.ORACLE}
