@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import hnsw, langid, mixing, packing, simhash, token_count, topk
+from . import hnsw, langid, mixing, packing, simhash, token_count, topk, urls
 from .common import table
 
 SIZE = 1024
 
 
+def op4_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -42,10 +46,11 @@ def op10_language_id(spark, sf_dir):
 QUERIES = {
     "op2_hnsw": op2_hnsw,
     "op3_mix": op3_mix,
+    "op4_url_filter": op4_url_filter,
     "op5_simhash": op5_simhash,
     "op6_token_count": op6_token_count,
     "op7_exact_topk": op7_exact_topk,
     "op8_best_fit": op8_best_fit,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE, "op7_exact_topk": topk.ORACLE}
+ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE, "op4_url_filter": urls.oracle(), "op7_exact_topk": topk.ORACLE}
