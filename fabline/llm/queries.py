@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import hnsw, langid, mixing, packing, simhash, token_count, topk, urls
+from . import hnsw, langid, mixing, packing, simhash, suffix, token_count, topk, urls
 from .common import table
 
 SIZE = 1024
@@ -31,6 +31,10 @@ def op8_best_fit(spark, sf_dir):
                                   rank_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_hnsw(spark, sf_dir):
     return hnsw.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +48,7 @@ def op10_language_id(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_hnsw": op2_hnsw,
     "op3_mix": op3_mix,
     "op4_url_filter": op4_url_filter,
