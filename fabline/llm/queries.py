@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import hnsw, langid, mixing, packing, simhash, suffix, token_count, topk, urls
+from . import hnsw, langid, mixing, packing, paragraphs, simhash, suffix, token_count, topk, urls
 from .common import table
 
 SIZE = 1024
@@ -43,6 +43,10 @@ def op3_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_paragraph_dedup(spark, sf_dir):
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_token_count": op6_token_count,
     "op7_exact_topk": op7_exact_topk,
     "op8_best_fit": op8_best_fit,
+    "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE, "op4_url_filter": urls.oracle(), "op7_exact_topk": topk.ORACLE}
