@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .token_count import slices
 
 BITS = 15
@@ -211,7 +212,7 @@ def predict(docs: DataFrame, model: Model, out: tuple[str, str] = ("lang_pred",
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=[f.name for f in shape.fields])
 
-    return docs.select(*[docs[c] for c in cols], docs[text_col].alias("text_")).mapInArrow(run, shape)
+    return docs.select(*[docs[c] for c in cols], docs[text_col].alias(fresh(docs, "text_"))).mapInArrow(run, shape)
 
 
 def identify(docs: DataFrame, per_lang: int = 500, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
