@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fabline.functions import codes as C
 from fabline.functions.decode import amplitude
 from fabline.operators.fold import FoldSpec, run_fold
-from fabline.operators.ordered import asof_last, day_bucket, prefix_sum
+from fabline.operators.ordered import asof_last, prefix_sum, row_bucket
 
 
 def bad_reading(level: Column, change: Column, rolling: Column,
@@ -35,8 +35,8 @@ def anomaly_streak(fired: DataFrame, key: str = "key", level_limit: float = C.VI
                    change_limit: float | None = None, alarm_over: int = C.ALARM_STREAK) -> DataFrame:
     """Consecutive-bad counter per key without cool-down: ``streak`` is the
     number of bad rows ending at this row (0 when not bad); ``alarm`` when
-    it exceeds ``alarm_over``. Window functions only (bucketed by day)."""
-    b = _with_bad(fired, level_limit, change_limit).withColumn("__day", day_bucket("ts"))
+    it exceeds ``alarm_over``. Window functions only (row buckets)."""
+    b = row_bucket(_with_bad(fired, level_limit, change_limit), [key])
     order = ["ts", "fire_seq"]
     n = prefix_sum(b, [key], order, "__day", {"__rn": F.lit(1)})
     n = n.withColumn("__nb", F.when(~F.col("bad"), F.col("__rn")))
@@ -75,9 +75,8 @@ def anomaly_cooldown(fired: DataFrame, key: str = "key", level_limit: float = C.
     STOP is sent at ``alarm_ts`` and START at ``restart_ts``; readings before
     ``restart_ts`` are skipped and leave the counter unchanged.
     """
-    b = _with_bad(fired, level_limit, change_limit).withColumns({
-        "ts_us": F.unix_micros("ts"), "__day": day_bucket("ts")})
-    out = run_fold(b, [key], ["ts_us", "fire_seq"], "__day",
+    b = _with_bad(fired, level_limit, change_limit).withColumn("ts_us", F.unix_micros("ts"))
+    out = run_fold(b, [key], ["ts_us", "fire_seq"],
                    cooldown_spec(int(cooldown_s * 1_000_000), alarm_over), segment_rows=segment_rows)
     return out.select(key, "seq", F.timestamp_micros("alarm_us").alias("alarm_ts"),
                       F.timestamp_micros("restart_us").alias("restart_ts"), "streak")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.operators.fold import FoldSpec, run_fold
-from fabline.operators.ordered import day_bucket
 
 NONE_CODE = "-"
 
@@ -38,6 +37,6 @@ def debounce_change(codes: DataFrame, key: str = "station", debounce_ms: int = C
                     segment_rows: int = 2_000_000) -> DataFrame:
     """Published position changes per ``key``: ``key, seq, bits, code``.
     Input needs ``seq, ts, bits, code`` (``code`` from ``position_code``)."""
-    b = codes.withColumns({"ts_us": F.unix_micros("ts"), "__day": day_bucket("ts")})
-    return run_fold(b, [key], ["ts_us", "seq"], "__day", debounce_spec(debounce_ms * 1000),
+    b = codes.withColumn("ts_us", F.unix_micros("ts"))
+    return run_fold(b, [key], ["ts_us", "seq"], debounce_spec(debounce_ms * 1000),
                     segment_rows=segment_rows)

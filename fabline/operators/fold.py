@@ -4,7 +4,7 @@ A sequential operator (anchor moves only when a trigger fires, an alarm
 suppresses the next readings, a material passes gates) cannot be written
 with window functions. The obvious plan, one pandas group per key, puts a
 key with a third of all rows into one task. Here every key is cut into
-ordered segments (``bucket``, e.g. a day) and processed per segment:
+ordered segments of bounded row count and processed per segment:
 
 1. every segment is folded from the initial state and reports its exit state;
 2. a segment's entry state is the exit state of the key's previous segment
@@ -26,12 +26,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fabline.operators.ordered import prefix_sum
+from fabline.operators.ordered import null_safe_join, prefix_sum, row_bucket
 from fabline.session import ensure_checkpoint_dir
 
 
@@ -46,7 +45,7 @@ class FoldSpec:
 
 
 def _run_segment(pdf: pd.DataFrame, spec: FoldSpec, order: Sequence[str], entry: object):
-    pdf = pdf.sort_values(list(order), kind="mergesort")
+    pdf = pdf.sort_values(list(order), kind="mergesort", na_position="first")
     state = spec.init() if entry is None else entry
     outs: list = []
     for row in pdf[list(spec.in_cols)].itertuples(index=False, name="Row"):
@@ -56,35 +55,32 @@ def _run_segment(pdf: pd.DataFrame, spec: FoldSpec, order: Sequence[str], entry:
     return state, outs
 
 
-def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-             spec: FoldSpec, max_rounds: int | None = None,
-             segment_rows: int = 2_000_000, independent: bool = False) -> DataFrame:
+def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: FoldSpec,
+             max_rounds: int | None = None, segment_rows: int = 2_000_000) -> DataFrame:
     """Run ``spec`` per key in ``order``; returns ``keys + out_schema`` rows.
 
-    Only keys with more than ``segment_rows`` rows are cut into segments of
-    ``segment_rows`` consecutive rows (``bucket`` must be monotone in
-    ``order``; it spreads the numbering); every other key is one segment,
-    which needs no settling. With
-    ``independent=True`` the caller guarantees every key is bounded (e.g. a
-    key that includes a tumbling window), and each key is folded in one pass.
+    ``order[0]`` is the time in microseconds. Keys with more than
+    ``segment_rows`` rows are cut into segments of that many consecutive
+    rows; every other key is one segment, which needs no settling. The
+    result is the same for any ``segment_rows``. A null key is a key like
+    any other; rows with a null time come first, in the order of the rest.
     """
     keys = list(keys)
+    bucket = "__seg"
     seg = [*keys, bucket]
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    if independent:
-        split = False
-    else:
-        # The size check and the fold both read the input: keep it once.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
-        split = sizes.where(F.col("__key_rows") > segment_rows).limit(1).count() > 0
+    # The size check, the numbering and every round read the input: write it
+    # once to the shared folder (freed with the frame, safe from lost executors).
+    df = df.select(*dict.fromkeys([*keys, *order, *spec.in_cols])).checkpoint()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
+    split = not sizes.where(F.col("__key_rows") > segment_rows).isEmpty()
     if split:
         # Segments of a big key are runs of at most ``segment_rows`` rows in
         # order (row number per key from the bucketed running count), so no
         # segment outgrows a task, however the rows fall in time.
-        big = df.join(sizes, keys)
-        numbered = prefix_sum(big, keys, order, bucket, {"__rn": F.lit(1)})
+        big = null_safe_join(df, sizes, keys).withColumn("__ts", F.timestamp_micros(order[0]))
+        numbered = prefix_sum(row_bucket(big, keys, "__ts", bucket), keys, order, bucket, {"__rn": F.lit(1)})
         df = numbered.withColumn(
             bucket, F.when(F.col("__key_rows") > segment_rows,
                            F.floor((F.col("__rn") - 1) / segment_rows)).otherwise(F.lit(None)).cast("bigint"))
@@ -93,10 +89,7 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
     cols = list(dict.fromkeys([*seg, *order, *spec.in_cols]))
     base = df.select(*cols)
     if split:
-        # Every round re-reads the fold input; keep it (memory, spilling to
-        # disk) so rounds do not recompute the upstream plan. A lost
-        # executor only means recomputing its blocks from lineage.
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        base = base.checkpoint()
     key_schema = base.select(*seg).schema
 
     exit_schema = T.StructType(list(key_schema.fields) + [T.StructField("exit_state", T.StringType())])
@@ -115,7 +108,7 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
     def with_entries(entries: DataFrame | None) -> DataFrame:
         if entries is None:
             return base.withColumn("entry_state", F.lit(None).cast("string"))
-        return base.join(entries, seg, "left")
+        return null_safe_join(base, entries, seg, "left")
 
     out_struct = T._parse_datatype_string(spec.out_schema)
     full_schema = T.StructType(list(key_schema.fields)[:len(keys)] + list(out_struct.fields))
@@ -142,16 +135,16 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
         if rounds == 1:
             changed = entries.where(~settled_init).select(*seg)
         else:
-            changed = (entries.alias("n").join(prev.alias("o"), seg, "inner")
-                       .where(~F.col("n.entry_state").eqNullSafe(F.col("o.entry_state"))).select(*seg))
+            changed = (null_safe_join(entries, prev.withColumnRenamed("entry_state", "__old"), seg)
+                       .where(~F.col("entry_state").eqNullSafe(F.col("__old"))).select(*seg))
         changed = changed.checkpoint()
         if changed.limit(1).count() == 0:
             break
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("fold did not settle within max_rounds")
-        redo = base.join(changed, seg, "left_semi").join(entries, seg, "left")
+        redo = null_safe_join(null_safe_join(base, changed, seg, "left_semi"), entries, seg, "left")
         fresh = redo.groupBy(*seg).applyInPandas(exits_fn, exit_schema)
-        exits = exits.join(changed, seg, "left_anti").unionByName(fresh).checkpoint()
+        exits = null_safe_join(exits, changed, seg, "left_anti").unionByName(fresh).checkpoint()
         prev = entries
         entries = entries_from(exits).checkpoint()
         rounds += 1

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.functions.decode import last_one_index
-from fabline.operators.ordered import asof_last, day_bucket, time_bucket
+from fabline.operators.ordered import asof_last, row_bucket
 
 
 def position_table(spark: SparkSession) -> DataFrame:
@@ -60,15 +60,16 @@ def asof_motor(readings: DataFrame, motor: DataFrame, key: str = "machine_id",
     """Each reading gets the state of the last ``isRollingStarted`` message
     of its machine before it (``false`` before the first).
 
-    Runs per (machine, day) in parallel; the state entering a day comes from
-    a one-row-per-day carry table, so a busy machine is not one task.
+    Runs per machine and row bucket in parallel; the state entering a bucket
+    comes from a carry table, so a busy machine is not one task. Readings
+    with a null machine or time are kept.
     """
     state = (F.try_element_at(F.split(F.col("payload"), r"\|"), F.lit(2)) == "1")
     m = motor.where(F.col("payload").startswith("isRollingStarted")).select(
         key, "ts", "seq", state.alias("__state"), F.lit(False).alias("__is_reading"))
     r = readings.withColumns({"__state": F.lit(None).cast("boolean"),
                               "__is_reading": F.lit(True)})
-    u = r.unionByName(m, allowMissingColumns=True).withColumn("__day", day_bucket("ts"))
+    u = row_bucket(r.unionByName(m, allowMissingColumns=True), [key])
     a = asof_last(u, [key], ["ts", "seq"], "__day", ["__state"])
     return (a.where("__is_reading")
             .withColumn(state_col, F.coalesce(F.col("__state_asof"), F.lit(False)))
@@ -76,12 +77,12 @@ def asof_motor(readings: DataFrame, motor: DataFrame, key: str = "machine_id",
 
 
 # --- J4 ---------------------------------------------------------------------
-def asof_frame(frames: DataFrame, motor_info: DataFrame, bucket_s: int = 3600) -> DataFrame:
+def asof_frame(frames: DataFrame, motor_info: DataFrame) -> DataFrame:
     """Each frame gets, per station, the last reported ``isStarted`` and
     ``speed`` before it (the header fill of the vibration sensor).
 
-    Motor reports are line-wide (no key), so the work is split by time only:
-    ``bucket_s``-long spans run in parallel with a carry table between them."""
+    Motor reports are line-wide (no key), so the work is split by time only: buckets of bounded row count run in
+    parallel with a carry table between them."""
     parts = F.split(F.col("payload"), r"\|")
     mk, mv = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
     cols = {}
@@ -91,7 +92,7 @@ def asof_frame(frames: DataFrame, motor_info: DataFrame, bucket_s: int = 3600) -
     m = motor_info.select("ts", "seq", *[c.alias(n) for n, c in cols.items()],
                           F.lit(False).alias("__is_frame"))
     f = frames.withColumn("__is_frame", F.lit(True))
-    u = f.unionByName(m, allowMissingColumns=True).withColumn("__day", time_bucket("ts", bucket_s))
+    u = row_bucket(f.unionByName(m, allowMissingColumns=True), [])
     a = asof_last(u, [], ["ts", "seq"], "__day", list(cols), suffix="")
     return a.where("__is_frame").drop("__is_frame", "__day")
 

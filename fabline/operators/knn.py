@@ -1,119 +1,132 @@
 """k-nearest-neighbour classification (J7, R1, A5, A6).
 
-Exact brute force, distributed as a blocked nested loop: queries are cut
-into ``n_qb`` blocks, training vectors into ``n_tb`` blocks, and each
-(query block, train block) pair is one cogroup task that computes distances
-with numpy and keeps only its partial top-k per query. The partial lists
-(k rows per query and train block) are merged with a ``row_number`` window.
-Each query row is copied ``n_tb`` times and each training row ``n_qb``
-times (query blocks grow with a small training set, so the training copies
-stay below the query volume); no pair of rows is ever materialised as a
-DataFrame row, and block sizes bound every task's memory whatever the table
-sizes.
+Exact. The training set is the capped one (A8), so it is bounded; its size is
+checked before anything is sent. Up to ``broadcast_bytes`` it goes to every
+task once and queries are scored where they are, without a shuffle. Beyond
+that, query blocks meet training blocks in tasks of bounded size and the
+partial lists are merged. Either way candidates come from one matrix product
+per block (norms plus inner products) and are then measured exactly.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 
-NEIGHBOUR_SCHEMA = "q_id long, t_id long, t_label string, dist double"
-
-
-def _block_topk(k: int, chunk: int = 64):
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "t_id": pd.Series([], dtype="int64"),
-                                 "t_label": pd.Series([], dtype="object"),
-                                 "dist": pd.Series([], dtype="float64")})
-        tm = np.vstack(t["features"].to_numpy()).astype(np.float64)
-        tid = t["t_id"].to_numpy(np.int64)
-        tlab = t["t_label"].to_numpy(object)
-        qm = np.vstack(q["features"].to_numpy()).astype(np.float64)
-        qid = q["q_id"].to_numpy(np.int64)
-        kk = min(k, len(tid))
-        outs = []
-        for s in range(0, len(qid), chunk):
-            diff = qm[s:s + chunk, None, :] - tm[None, :, :]
-            dist = np.sqrt(np.einsum("qtd,qtd->qt", diff, diff))
-            for i in range(dist.shape[0]):
-                row = dist[i]
-                if kk < len(row):
-                    cut = np.partition(row, kk - 1)[kk - 1]
-                    cand = np.nonzero(row <= cut)[0]
-                else:
-                    cand = np.arange(len(row))
-                order = np.lexsort((tid[cand], row[cand]))[:kk]
-                sel = cand[order]
-                outs.append(pd.DataFrame({"q_id": qid[s + i], "t_id": tid[sel],
-                                          "t_label": tlab[sel], "dist": row[sel]}))
-        return pd.concat(outs, ignore_index=True)
-    return fn
+NEIGHBOUR_SCHEMA = "q_id long, rank long, t_id long, t_label string, dist double"
+
+
+def nearest(q: np.ndarray, t: np.ndarray, t_ids: np.ndarray, k: int, chunk: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query index, training indices, distances) of the ``k`` nearest, ties to the smaller training id."""
+    k = min(k, len(t))
+    t2 = np.einsum("td,td->t", t, t)
+    for lo in range(0, len(q), chunk):
+        part = q[lo:lo + chunk]
+        q2 = np.einsum("qd,qd->q", part, part)
+        d2 = q2[:, None] + t2[None, :] - 2.0 * (part @ t.T)
+        # Rounding of the product form can't move a true neighbour beyond this slack.
+        slack = 1e-9 * (q2[:, None] + t2[None, :]) + 1e-12
+        limit = np.partition(d2 + slack, k - 1, axis=1)[:, k - 1]
+        for i in range(len(part)):
+            cand = np.flatnonzero(d2[i] - slack[i] <= limit[i])
+            diff = t[cand] - part[i]
+            dist = np.sqrt(np.einsum("td,td->t", diff, diff))
+            best = np.lexsort((t_ids[cand], dist))[:k]
+            yield lo + i, cand[best], dist[best]
+
+
+def _matrix(column, dim: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
+def _rows(q_ids: np.ndarray, found) -> pa.Table:
+    cols = ([], [], [], [], [])
+    for q_id, t_ids, labels, dist in found:
+        for col, v in zip(cols, ([q_id] * len(dist), range(1, len(dist) + 1), t_ids, labels, dist)):
+            col.extend(v)
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64())
+    return pa.table({n: pa.array(v, ty) for n, v, ty in zip(("q_id", "rank", "t_id", "t_label", "dist"), cols, types)})
+
+
+def fits(features: str, dim: int):
+    """Vectors of length ``dim`` without null or NaN components."""
+    bad = F.exists(features, lambda x: x.isNull() | F.isnan(x))
+    return F.coalesce((F.size(features) == dim) & ~bad, F.lit(False))
 
 
 def split_by_dim(df: DataFrame, dim: int, features: str = "features") -> tuple[DataFrame, DataFrame]:
-    """(vectors of length ``dim``, quarantined vectors of other lengths)."""
-    ok = F.size(features) == dim
-    return df.where(ok), df.where(~ok | F.col(features).isNull())
+    """(usable vectors of length ``dim``, quarantined others)."""
+    return df.where(fits(features, dim)), df.where(~fits(features, dim))
 
 
-def knn_neighbours(queries: DataFrame, train: DataFrame, k: int = C.KNN_K,
+def knn_neighbours(queries: DataFrame, train: DataFrame, dim: int, k: int = C.KNN_K,
                    q_id: str = "vec_id", t_id: str = "vec_id", features: str = "features",
-                   label: str = "label", q_block: int = 2048, t_block: int = 8192,
-                   dim: int | None = None, q_block_max: int = 65536) -> DataFrame:
-    """The k nearest training vectors (Euclidean) of every query vector:
+                   label: str = "label", broadcast_bytes: int = 64 << 20,
+                   q_block: int = 16384, t_block: int = 65536) -> DataFrame:
+    """The k nearest training vectors (Euclidean) of every usable query vector:
     ``q_id, rank, t_id, t_label, dist``. Ties break on the training id.
 
-    Block counts come from a length histogram of the training side and a
-    count of the queries; vectors whose length is not ``dim`` (default: the
-    most common training length) are left out (see ``split_by_dim``).
+    ``dim`` is the line's vector length; vectors of another length, or with
+    null or NaN components, have no neighbours (``split_by_dim`` gives them,
+    ``knn_decide`` answers them with ``unknown``).
     """
-    # One small job: vector lengths of the training side and their counts.
-    lengths = {r["n"]: r["count"] for r in
-               train.groupBy(F.size(features).alias("n")).count().collect()}
-    if dim is None:
-        # the most common training length (ties: the smaller), deterministic
-        dim = min((n for n in lengths if n is not None and n >= 0),
-                  key=lambda n: (-lengths[n], n), default=0)
     q = split_by_dim(queries.select(F.col(q_id).alias("q_id"), F.col(features).alias("features")), dim)[0]
     t = split_by_dim(train.select(F.col(t_id).alias("t_id"), F.col(features).alias("features"),
                                   F.col(label).alias("t_label")), dim)[0]
-    # The query side is counted to size the blocks and then read again by
-    # the cogroup; keep it rather than deriving it twice.
-    q = q.persist(StorageLevel.MEMORY_AND_DISK)
-    n_t, n_q = lengths.get(dim, 0), q.count()
-    n_tb = max(1, math.ceil(n_t / t_block))
-    # Training rows are copied once per query block: make query blocks at
-    # least as large as the training set (up to q_block_max) so those copies
-    # never outgrow the query side itself.
-    q_block = max(q_block, min(n_t, q_block_max))
-    n_qb = max(1, math.ceil(n_q / q_block))
+    n_t = t.count()
+    if n_t * (dim + 4) * 8 <= broadcast_bytes:
+        table = t.toArrow()
+        held = queries.sparkSession.sparkContext.broadcast(
+            (_matrix(table.column("features"), dim), table.column("t_id").to_numpy(), table.column("t_label").to_pylist()))
+
+        def score(batches):
+            tm, tid, lab = held.value
+            for batch in batches:
+                ids = batch.column(0).to_pylist()
+                found = nearest(_matrix(batch.column(1), dim), tm, tid, k) if len(tid) else ()
+                yield from _rows(ids, ((ids[i], tid[at].tolist(), [lab[j] for j in at], dist.tolist())
+                                       for i, at, dist in found)).to_batches()
+
+        return q.mapInArrow(score, NEIGHBOUR_SCHEMA)
+    n_tb, n_qb = math.ceil(n_t / t_block), max(1, math.ceil(q.count() / q_block))
     qx = q.withColumns({"qb": F.pmod(F.xxhash64("q_id"), F.lit(n_qb)),
                         "tb": F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))})
     tx = t.withColumns({"tb": F.pmod(F.xxhash64("t_id"), F.lit(n_tb)),
                         "qb": F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))})
-    part = (qx.groupBy("qb", "tb").cogroup(tx.groupBy("qb", "tb"))
-            .applyInPandas(_block_topk(k), NEIGHBOUR_SCHEMA))
+
+    def block(qs, ts):
+        ids, tid, lab = qs.column("q_id").to_pylist(), ts.column("t_id").to_numpy(), ts.column("t_label").to_pylist()
+        found = nearest(_matrix(qs.column("features"), dim), _matrix(ts.column("features"), dim), tid, k) if ids and len(tid) else ()
+        return _rows(ids, ((ids[i], tid[at].tolist(), [lab[j] for j in at], dist.tolist()) for i, at, dist in found))
+
+    part = qx.groupBy("qb", "tb").cogroup(tx.groupBy("qb", "tb")).applyInArrow(block, NEIGHBOUR_SCHEMA).drop("rank")
     w = Window.partitionBy("q_id").orderBy("dist", "t_id")
     return part.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k) \
         .select("q_id", "rank", "t_id", "t_label", "dist")
 
 
-def knn_distribution(neigh: DataFrame, k: int = C.KNN_K) -> DataFrame:
+def knn_distribution(neigh: DataFrame, queries: DataFrame | None = None, k: int = C.KNN_K, q_id: str = "vec_id") -> DataFrame:
     """Votes per query and class (classes without votes included):
-    ``q_id, label, votes, share``."""
+    ``q_id, label, votes, share``.
+
+    With ``queries`` every query has its rows; votes and share of one without
+    neighbours are null."""
     votes = neigh.groupBy("q_id", F.col("t_label").alias("label")).agg(F.count(F.lit(1)).alias("votes"))
-    grid = neigh.select("q_id").distinct().select(
-        "q_id", F.explode(F.array(*[F.lit(c) for c in C.CLASSES])).alias("label"))
-    out = grid.join(votes, ["q_id", "label"], "left").fillna(0, ["votes"])
-    return out.withColumn("share", F.col("votes") / F.lit(float(k)))
+    answered = neigh.select("q_id").distinct().withColumn("answered", F.lit(True))
+    if queries is not None:
+        answered = queries.select(F.col(q_id).alias("q_id")).distinct().join(answered, "q_id", "left")
+    grid = answered.withColumn("label", F.explode(F.array(*[F.lit(c) for c in C.CLASSES])))
+    out = grid.join(votes, ["q_id", "label"], "left")
+    votes = F.when(F.col("answered"), F.coalesce("votes", F.lit(0)))
+    return out.select("q_id", "label", votes.alias("votes"), (votes / F.lit(float(k))).alias("share"))
 
 
 def decide(good, defect1, defect2):

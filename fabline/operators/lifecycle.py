@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.operators.fold import FoldSpec, run_fold
-from fabline.operators.ordered import asof_last, day_bucket, prefix_sum
+from fabline.operators.ordered import asof_last, prefix_sum, row_bucket
 
 LIFECYCLE_TOPICS = [C.LOADING_MAT_LOADED, C.LOADING_MAT_POSITION, C.ROLLING_MAT_POSITION,
                     C.QUALITY_MAT_POSITION, C.UNLOADING_MAT_POSITION, C.ROLLING_ROLL_QUERY,
@@ -83,8 +83,8 @@ def material_lifecycle_fold(msgs: DataFrame, allow: DataFrame, predictions: Data
     machine (segmented fold). Same output; used to cross-check the
     declarative form on small inputs."""
     m = _lifecycle_input(msgs, allow, predictions, id_col)
-    m = m.withColumns({"ts_us": F.unix_micros("ts"), "__day": day_bucket("ts")})
-    return run_fold(m, [id_col], ["ts_us", "seq"], "__day", LIFECYCLE_SPEC)
+    m = m.withColumn("ts_us", F.unix_micros("ts"))
+    return run_fold(m, [id_col], ["ts_us", "seq"], LIFECYCLE_SPEC)
 
 
 def _lifecycle_input(msgs, allow, predictions, id_col):
@@ -116,7 +116,7 @@ def material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame
     check after that, the quality as of each message (last classified
     prediction, a bucketed as-of) and the first effective final (which takes
     the id off the allow-list). Milestones are per-id aggregates (partial
-    aggregation, no single task per id); the as-of runs per id and day.
+    aggregation, no single task per id); the as-of runs per id and row bucket.
     """
     t = F.col("topic")
     # The input feeds four milestone aggregates and their joins; keep it
@@ -138,8 +138,8 @@ def material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame
     ready = F.coalesce(F.col("o") > F.col("ready_from"), F.lit(False))
     classified = (t == C.COLOUR_MAT_CHECK) & known & ready
     m3 = m3.withColumns({"__known": known, "__rolled": rolled, "__ready": ready,
-                         "__pred": F.when(classified, F.col("prediction")),
-                         "__day": day_bucket("ts")})
+                         "__pred": F.when(classified, F.col("prediction"))})
+    m3 = row_bucket(m3, [id_col])
     # Quality after each message: the last classified prediction up to it.
     # Unload queries and finals are never classifications, so for them it is
     # also the quality before the message.
@@ -196,7 +196,7 @@ def one_time_id(msgs: DataFrame, allow: DataFrame, id_col: str = "id") -> DataFr
     """Loads with their decision when each final event removes the id from
     the allow-list: ``F`` only if allowed and no final came before."""
     m = msgs.where(F.col("topic").isin(C.LOADING_MAT_LOADED, C.UNLOADING_MAT_FINAL))
-    m = m.withColumn("__day", day_bucket("ts"))
+    m = row_bucket(m, [id_col])
     c = prefix_sum(m, [id_col], ["ts", "seq"], "__day",
                    {"n_final_before": (F.col("topic") == C.UNLOADING_MAT_FINAL).cast("int")},
                    inclusive=False).drop("__day")

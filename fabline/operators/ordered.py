@@ -2,9 +2,11 @@
 
 A window ``partitionBy(key).orderBy(ts)`` sends every row of one key to one
 task. When a key may hold a large share of all rows, the helpers here split
-each key into ordered buckets (for example a day), work inside each bucket
-in parallel, and carry what earlier buckets contribute through a small
-per-bucket table (one row per key and bucket). Results are exact.
+each key into ordered buckets of bounded row count (``row_bucket``), work
+inside each bucket in parallel, and carry what earlier buckets contribute
+through a small per-bucket table (one row per key and bucket). Results are
+exact. A null key is a key like any other, and rows with a null time come
+first in order.
 """
 
 from __future__ import annotations
@@ -19,11 +21,40 @@ def _cols(cs: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+BUCKET_ROWS = 200_000
+SPAN_SECONDS = 60
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``cols`` where null equals null; the left side's columns stay."""
+    other = right.withColumnsRenamed({c: f"__j_{c}" for c in cols})
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__j_{c}"))
+    return left.join(other, cond, how).drop(*[f"__j_{c}" for c in cols])
+
+
+def row_bucket(df: DataFrame, keys: Sequence[str], ts: str = "ts", name: str = "__day",
+               rows: int = BUCKET_ROWS, seconds: int = SPAN_SECONDS) -> DataFrame:
+    """Add a bucket number, monotone in ``ts`` within each key, of about ``rows`` rows a bucket.
+
+    Rows are counted per key and ``seconds``-long span; the running count of
+    the spans before, divided by ``rows``, is the bucket. A bucket holds at
+    most ``rows`` rows and one span more, however the rows fall in time.
+    """
+    keys = list(keys)
+    spanned = df.withColumn("__span", time_bucket(ts, seconds))
+    per = spanned.groupBy(*keys, "__span").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1))
+    per = per.select(*keys, "__span", F.floor(F.coalesce(before, F.lit(0)) / rows).cast("bigint").alias(name))
+    return null_safe_join(spanned, per, [*keys, "__span"]).drop("__span")
+
+
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
                values: dict[str, Column], inclusive: bool = True) -> DataFrame:
     """Add running sums ``name`` of each value per ``keys`` in ``order``.
 
-    ``bucket`` must be monotone in ``order`` (e.g. the day of ``ts``). With
+    ``bucket`` must be monotone in ``order`` (see ``row_bucket``). With
     ``inclusive=False`` the current row is left out.
     """
     keys = list(keys)
@@ -37,7 +68,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     w_b = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, bucket, *[
         F.coalesce(F.sum(f"__t_{n}").over(w_b), F.lit(0)).alias(f"__o_{n}") for n in values])
-    out = local.join(offsets, [*keys, bucket], "inner")
+    out = null_safe_join(local, offsets, [*keys, bucket])
     return out.withColumns({
         n: F.coalesce(F.col(f"__l_{n}"), F.lit(0)) + F.col(f"__o_{n}") for n in values
     }).drop(*tmp.values(), *[f"__l_{n}" for n in values], *[f"__o_{n}" for n in values])
@@ -60,7 +91,7 @@ def asof_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     w_b = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(*keys, bucket, *[
         F.last(f"__b_{v}", ignorenulls=True).over(w_b).alias(f"__c_{v}") for v in values])
-    out = local.join(carried, [*keys, bucket], "inner")
+    out = null_safe_join(local, carried, [*keys, bucket])
     return out.withColumns({
         f"{v}{suffix}": F.coalesce(F.col(f"__l_{v}"), F.col(f"__c_{v}")) for v in values
     }).drop(*[f"__l_{v}" for v in values], *[f"__c_{v}" for v in values])
@@ -90,7 +121,7 @@ def prev_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: s
     last = df.groupBy(*keys, bucket).agg(F.max_by(F.struct(*values), ordc).alias("__last"))
     w_b = Window.partitionBy(*keys).orderBy(bucket)
     carried = last.select(*keys, bucket, F.lag("__last").over(w_b).alias("__carry"))
-    out = local.join(carried, [*keys, bucket], "inner")
+    out = null_safe_join(local, carried, [*keys, bucket])
     return out.withColumns({
         f"{prefix}{v}": F.when(F.col("__rn") == 1, F.col(f"__carry.{v}")).otherwise(F.col(f"__p_{v}"))
         for v in values

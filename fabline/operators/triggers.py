@@ -3,18 +3,19 @@
 The delta trigger keeps, per key and tumbling window, an anchor reading and
 fires when the reading's delta from the anchor exceeds the threshold; the
 anchor moves only on firing, so the result is a fold over the window's rows
-in time order. The fold runs JVM-side (``aggregate`` over the window's
-sorted rows); a tumbling window bounds the array by its duration.
+in time order (``run_fold``), the same in batch and stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.operators.fold import FoldSpec, run_fold
-from fabline.operators.ordered import day_bucket
+from fabline.operators.ordered import null_safe_join
 
 
 def window_ms(ms: int) -> str:
@@ -34,86 +35,79 @@ def tumbling(df: DataFrame, key: str = "key", ts: str = "ts", window: str = "3 s
 
 
 # --- W2 ---------------------------------------------------------------------
+def mean_change(anchor: tuple, point: tuple) -> float:
+    """The line's delta function: mean absolute change of the three axes."""
+    return (abs(anchor[0] - point[0]) + abs(anchor[1] - point[1]) + abs(anchor[2] - point[2])) / 3.0
+
+
+def delta_spec(window_us: int, threshold: float, level_limit: float,
+               delta_fn: Callable[[tuple, tuple], float] = mean_change) -> FoldSpec:
+    """The delta trigger as a fold over one key's readings in (ts, seq) order.
+
+    The state carries the window it belongs to and starts anew in the next,
+    so a window with very many rows is cut into segments like any other run.
+    """
+    def step(state, r):
+        window = r.ts_us // window_us
+        if state is None or state[0] != window:  # first row: anchor only
+            return [window, r.x, r.y, r.z, r.ts_us, r.seq, r.x, r.y, r.z], None
+        _, ax, ay, az, ets, es, ex, ey, ez = state
+        if r.ts_us != ets:                      # newest row so far (maxBy on ts)
+            ets, es, ex, ey, ez = r.ts_us, r.seq, r.x, r.y, r.z
+        change = delta_fn((ax, ay, az), (r.x, r.y, r.z))
+        stall = bool(r.rolling) and (abs(r.x) + abs(r.y) + abs(r.z)) / 3.0 < level_limit
+        delta = 1.0 if stall else change
+        out = None
+        if delta > threshold:
+            ax, ay, az = r.x, r.y, r.z
+            out = [(window * window_us, r.seq, es, r.ts_us, ex, ey, ez, change, delta, stall, bool(r.rolling))]
+        return [window, ax, ay, az, ets, es, ex, ey, ez], out
+
+    return FoldSpec(lambda: None, step, ["seq", "ts_us", "x", "y", "z", "rolling"],
+                    "window_us long, fire_seq long, seq long, ts_us long, x double, y double, z double, "
+                    "change double, delta double, stall boolean, rolling boolean")
+
+
+def delta_input(df: DataFrame, key: str, ts: str, seq: str, rolling: str | None) -> DataFrame:
+    roll = F.coalesce(F.col(rolling), F.lit(False)) if rolling else F.lit(False)
+    return df.where(F.col(ts).isNotNull()).select(
+        F.col(key).alias(key), F.col(ts).alias("ts"), F.unix_micros(F.col(ts)).alias("ts_us"), F.col(seq).alias("seq"),
+        "x", "y", "z", roll.alias("rolling"))
+
+
+def delta_output(out: DataFrame, key: str, window_us: int) -> DataFrame:
+    return out.select(key, F.timestamp_micros("window_us").alias("window_start"),
+                      F.timestamp_micros(F.col("window_us") + window_us).alias("window_end"), "fire_seq", "seq",
+                      F.timestamp_micros("ts_us").alias("ts"), "x", "y", "z", "change", "delta", "stall", "rolling")
+
+
 def delta_trigger(df: DataFrame, key: str = "key", ts: str = "ts", seq: str = "seq",
                   window: str = window_ms(C.WINDOW_MS), threshold: float = C.DELTA_THRESHOLD,
                   level_limit: float = C.VIBRATION_LIMIT, rolling: str | None = "rolling",
-                  engine: str = "auto", jvm_max_rows: int = 2000) -> DataFrame:
+                  delta_fn: Callable[[tuple, tuple], float] = mean_change,
+                  segment_rows: int = 2_000_000) -> DataFrame:
     """Fired rows of the delta trigger per key and tumbling window.
 
     For each reading p (in ``(ts, seq)`` order) with anchor a:
-    ``change = (|ax-px|+|ay-py|+|az-pz|)/3``; ``stall = rolling and level < limit``;
-    the delta is 1 on a stall, else ``change``; fire when delta > threshold
-    and move the anchor to p. The first reading of a window only sets the
-    anchor. Each firing emits the newest row of the window so far (the
-    earliest one with p's ``ts``).
+    ``change = delta_fn(a, p)`` (default ``(|ax-px|+|ay-py|+|az-pz|)/3``);
+    ``stall = rolling and level < limit``; the delta is 1 on a stall, else
+    ``change``; fire when delta > threshold and move the anchor to p. The
+    first reading of a window only sets the anchor. Each firing emits the
+    newest row of the window so far (the earliest one with p's ``ts``).
 
     Output: ``key, window_start, window_end, fire_seq, seq, ts, x, y, z,
     change, delta, stall, rolling``.
 
-    ``engine``: ``"jvm"`` folds each window's sorted rows with ``aggregate``
-    (no Python, but the accumulated array is copied per row, so the cost is
-    quadratic in the rows per window: right for the line's seconds-long
-    windows); ``"fold"`` runs one pandas fold per (key, window), linear in
-    its rows; ``"auto"`` keeps ``jvm`` for windows up to a minute and, for
-    longer ones, while the largest (key, window) group has at most
-    ``jvm_max_rows`` rows (one small aggregate measures it), else ``fold``.
-    Streams need ``"jvm"``.
+    Comparisons with NaN are false: a NaN (or null) reading never fires, and
+    as a window's first reading it keeps the others from firing. A null key
+    is a key; readings without a time lie in no window. One pass, linear in
+    the rows; keys over ``segment_rows`` rows are folded in parallel
+    segments, with the same result.
     """
-    if engine == "auto":
-        engine = "jvm"
-        if window_seconds(window) > 60:
-            # Long windows may hold many rows: measure the largest (key,
-            # window) group and keep the JVM fold only while its quadratic
-            # cost stays small.
-            biggest = (df.groupBy(key, F.window(ts, window)).count()
-                       .agg(F.max("count")).first()[0]) or 0
-            engine = "jvm" if biggest <= jvm_max_rows else "fold"
-    if engine == "fold":
-        return _delta_trigger_fold(df, key, ts, seq, window, threshold, level_limit, rolling)
-    roll = F.coalesce(F.col(rolling), F.lit(False)) if rolling else F.lit(False)
-    rows = df.select(key, F.window(ts, window).alias("w"),
-                     F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), "x", "y", "z",
-                              roll.alias("rolling")).alias("r"))
-    g = rows.groupBy(key, "w").agg(F.array_sort(F.collect_list("r")).alias("rs"))
-
-    def step(acc: Column, p: Column) -> Column:
-        has = acc["has"]
-        change = (F.abs(acc["ax"] - p["x"]) + F.abs(acc["ay"] - p["y"]) + F.abs(acc["az"] - p["z"])) / F.lit(3.0)
-        level = (F.abs(p["x"]) + F.abs(p["y"]) + F.abs(p["z"])) / F.lit(3.0)
-        stall = p["rolling"] & (level < F.lit(level_limit))
-        delta = F.when(stall, F.lit(1.0)).otherwise(change)
-        fire = has & (delta > F.lit(threshold))
-        move = ~has | fire
-        # maxBy(ts) of the window so far: the first row seen with the newest ts
-        same = F.coalesce(acc["ets"] == p["ts"], F.lit(False))
-        e = F.when(same, acc["e"]).otherwise(F.struct(p["seq"].alias("seq"), p["x"].alias("x"),
-                                                       p["y"].alias("y"), p["z"].alias("z")))
-        return F.struct(
-            F.lit(True).alias("has"),
-            F.when(move, p["x"]).otherwise(acc["ax"]).alias("ax"),
-            F.when(move, p["y"]).otherwise(acc["ay"]).alias("ay"),
-            F.when(move, p["z"]).otherwise(acc["az"]).alias("az"),
-            p["ts"].alias("ets"), e.alias("e"),
-            F.concat(acc["out"], F.array(F.struct(
-                fire.alias("fire"),
-                F.when(has, change).alias("change"),
-                F.when(has, delta).alias("delta"),
-                stall.alias("stall"), e.alias("e")))).alias("out"))
-
-    e_t = "struct<seq:bigint,x:double,y:double,z:double>"
-    init = F.struct(F.lit(False).alias("has"), F.lit(0.0).alias("ax"), F.lit(0.0).alias("ay"),
-                    F.lit(0.0).alias("az"), F.lit(None).cast("timestamp").alias("ets"),
-                    F.lit(None).cast(e_t).alias("e"),
-                    F.array().cast(f"array<struct<fire:boolean,change:double,delta:double,stall:boolean,e:{e_t}>>")
-                    .alias("out"))
-    folded = g.select(key, "w", "rs", F.aggregate("rs", init, step)["out"].alias("out"))
-    ex = folded.select(key, "w", F.explode(F.arrays_zip("rs", "out")).alias("e"))
-    flat = ex.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                     F.col("e.rs.*"), F.col("e.out.*"))
-    fired = flat.where("fire")
-    return fired.select(key, "window_start", "window_end", F.col("seq").alias("fire_seq"),
-                        F.col("e.seq").alias("seq"), "ts", F.col("e.x").alias("x"), F.col("e.y").alias("y"),
-                        F.col("e.z").alias("z"), "change", "delta", "stall", "rolling")
+    us = int(window_seconds(window) * 1_000_000)
+    out = run_fold(delta_input(df, key, ts, seq, rolling).drop("ts"), [key], ["ts_us", "seq"],
+                   delta_spec(us, threshold, level_limit, delta_fn), segment_rows=segment_rows)
+    return delta_output(out, key, us)
 
 
 _UNITS = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -125,39 +119,6 @@ def window_seconds(window: str) -> float:
     return float(n) * _UNITS[unit.lower().rstrip("s")]
 
 
-def _delta_spec(threshold: float, level_limit: float) -> FoldSpec:
-    def step(state, r):
-        if state is None:                       # first row: anchor only
-            return [r.x, r.y, r.z, r.ts_us, r.seq, r.x, r.y, r.z], None
-        ax, ay, az, ets, es, ex, ey, ez = state
-        if r.ts_us != ets:                      # newest row so far (maxBy on ts)
-            ets, es, ex, ey, ez = r.ts_us, r.seq, r.x, r.y, r.z
-        change = (abs(ax - r.x) + abs(ay - r.y) + abs(az - r.z)) / 3.0
-        stall = bool(r.rolling) and (abs(r.x) + abs(r.y) + abs(r.z)) / 3.0 < level_limit
-        delta = 1.0 if stall else change
-        out = None
-        if delta > threshold:
-            ax, ay, az = r.x, r.y, r.z
-            out = [(r.seq, es, r.ts_us, ex, ey, ez, change, delta, stall, bool(r.rolling))]
-        return [ax, ay, az, ets, es, ex, ey, ez], out
-
-    return FoldSpec(lambda: None, step, ["seq", "ts_us", "x", "y", "z", "rolling"],
-                    "fire_seq long, seq long, ts_us long, x double, y double, z double, change double, "
-                    "delta double, stall boolean, rolling boolean")
-
-
-def _delta_trigger_fold(df, key, ts, seq, window, threshold, level_limit, rolling):
-    roll = F.coalesce(F.col(rolling), F.lit(False)) if rolling else F.lit(False)
-    w = F.window(ts, window)
-    rows = df.select(F.col(key).alias(key), w.start.alias("window_start"), w.end.alias("window_end"),
-                     F.unix_micros(F.col(ts)).alias("ts_us"), F.col(seq).alias("seq"), "x", "y", "z",
-                     roll.alias("rolling"), day_bucket(ts).alias("__day"))
-    out = run_fold(rows, [key, "window_start", "window_end"], ["ts_us", "seq"], "__day",
-                   _delta_spec(threshold, level_limit), independent=True)
-    return out.select(key, "window_start", "window_end", "fire_seq", "seq",
-                      F.timestamp_micros("ts_us").alias("ts"), "x", "y", "z", "change", "delta", "stall", "rolling")
-
-
 # --- W3 ---------------------------------------------------------------------
 def watermark_late(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay_ms: int = 0,
                    arrival_width: int = 1_000_000) -> DataFrame:
@@ -173,7 +134,7 @@ def watermark_late(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay_ms
     per = b.groupBy("__b").agg(F.max(ts).alias("__bmax"))
     w_b = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carried = per.select("__b", F.max("__bmax").over(w_b).alias("__cmax"))
-    j = local.join(carried, "__b")
+    j = null_safe_join(local, carried, ["__b"])
     wm = F.greatest(F.col("__lmax"), F.col("__cmax"))
     late = F.coalesce(F.col(ts) < wm - F.expr(f"INTERVAL {delay_ms} MILLISECONDS"), F.lit(False))
     return j.withColumn("is_late", late).drop("__b", "__lmax", "__cmax")

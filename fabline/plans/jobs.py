@@ -58,12 +58,16 @@ def training_data_job(records: DataFrame, min_sets: int = C.MIN_SETS_FOR_ML,
 
 
 def material_decision_job(msgs: DataFrame, allow: DataFrame, checks: DataFrame, train: DataFrame,
-                          k: int = C.KNN_K) -> dict:
+                          dim: int, k: int = C.KNN_K, ready: DataFrame | None = None) -> dict:
     """``msgs``: ``seq, ts, id, topic, payload``; ``checks``: ``seq,
     features`` of the colour-check messages; ``train``: ``vec_id, features,
-    label``."""
+    label``; ``dim``: length of the line's vectors. With ``ready`` (one row
+    of ``train_ready``) classification waits for the flag: until it is set
+    the training set counts as empty and every decision is ``unknown``."""
     q = checks.select(F.col("seq").alias("vec_id"), "features")
-    dec = KN.knn_decide(KN.knn_distribution(KN.knn_neighbours(q, train, k=k), k=k))
+    if ready is not None:
+        train = train.join(ready.where(F.col("ready")).limit(1).select(F.lit(1).alias("__go")), F.lit(1) == F.col("__go"), "left_semi")
+    dec = KN.knn_decide(KN.knn_distribution(KN.knn_neighbours(q, train, dim, k=k), q, k=k))
     preds = dec.select(F.col("q_id").alias("seq"), F.col("decision").alias("prediction"))
     actions = LC.material_lifecycle(msgs, allow, preds)
     commands = actions.where(F.col("out_topic").isNotNull()).select(

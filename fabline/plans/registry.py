@@ -15,7 +15,6 @@ from fabline.functions import decode as D
 from fabline.operators import aggs as A
 from fabline.sources import adapters as AD
 from fabline.plans import oracle as O
-from fabline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,10 +22,9 @@ ORACLE: dict[str, str] = {}
 
 def prepare(spark: SparkSession) -> None:
     """Settings every query relies on, applied to the caller's session: the
-    wall clock is UTC (the tables hold naive timestamps) and a checkpoint
-    folder exists (the shared one when the cluster names it)."""
+    wall clock is UTC (the tables hold naive timestamps). A checkpoint folder
+    is asked for only by the operators that write to one."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
 
 
 def register(name: str, sql: str | None = None):
@@ -61,7 +59,7 @@ def ntz(c):
 
 from fabline.operators import filters as FL  # noqa: E402
 from fabline.operators import joins as J  # noqa: E402
-from fabline.operators.ordered import day_bucket, prev_row  # noqa: E402
+from fabline.operators.ordered import row_bucket, prev_row  # noqa: E402
 from fabline.sources import files as FS  # noqa: E402
 from fabline.sources import sinks as SK  # noqa: E402
 from fabline.sources.messages import topic_source  # noqa: E402
@@ -314,6 +312,25 @@ def q_quarantine(spark, d):
     return FL.quarantine(D.vib_frame_decode(AD.vib_frames(spark, d)))
 
 
+@register("text_rejects", O.with_(O.EV, O.VIBRATION, O.QUALITY_RECORDS.replace("WITH ", "")) + """
+SELECT 'vibration' AS kind, seq FROM vibration WHERE seq % 7 = 0
+UNION ALL SELECT 'colour', seq FROM quality_records WHERE seq % 5 = 0
+UNION ALL SELECT 'features', seq FROM quality_records WHERE seq % 4 = 0
+UNION ALL SELECT 'pipe', seq FROM vibration WHERE seq % 3 = 0""")
+def q_text_rejects(spark, d):
+    """Rejects of the text decoders, each message of a fixed residue cut short or spoilt on the way."""
+    v, r = AD.vibration_text(spark, d), AD.quality_records(spark, d)
+    vib = D.vib_text_decode(v.withColumn("payload", F.when(F.col("seq") % 7 == 0, F.lit("1.0;x").cast("binary")).otherwise(F.col("payload"))))
+    digit = F.when(F.col("seq") % 5 == 0, "9").otherwise("0")
+    col = D.colour_train_decode(r.select("seq", F.concat(digit, F.lit(","), "datapoints").cast("binary").alias("payload")))
+    line = FS.delimited_line("time_text", "quality", F.when(F.col("seq") % 4 == 0, "1,b,3").otherwise(F.col("datapoints")))
+    fea = D.feature_parse(r.select("seq", line.alias("line")))
+    pipe = D.pipe_parse(v.select("seq", F.when(F.col("seq") % 3 == 0, "nobar").otherwise("id|1").cast("binary").alias("payload")))
+    out = [FL.quarantine(x).select(F.lit(k).alias("kind"), "seq") for k, x in
+           (("vibration", vib), ("colour", col), ("features", fea), ("pipe", pipe))]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 # --- P5 ---------------------------------------------------------------------
 @register("colour_frame_decode", O.with_(O.EV, O.COLOUR_FRAMES) + f"""
 SELECT seq, material_id, 392 AS n_values,
@@ -383,7 +400,7 @@ SELECT seq, machine_id, round((abs(x) + abs(y) + abs(z)) / 3.0, 9) AS level,
        round((abs(px - x) + abs(py - y) + abs(pz - z)) / 3.0, 9) AS change
 FROM p""")
 def q_vib_amplitude(spark, d):
-    v = AD.vibration(spark, d).withColumn("__day", day_bucket("ts"))
+    v = row_bucket(AD.vibration(spark, d), ["machine_id"])
     p = prev_row(v, ["machine_id"], ["ts", "seq"], "__day", ["x", "y", "z"])
     x, y, z = F.col("x"), F.col("y"), F.col("z")
     return p.select("seq", "machine_id",
@@ -780,7 +797,7 @@ dec AS (
 
 def _neigh(spark, d):
     lv = AD.labelled_vectors(spark, d)
-    return KN.knn_neighbours(lv.where(~F.col("is_train")), lv.where("is_train"))
+    return KN.knn_neighbours(lv.where(~F.col("is_train")), lv.where("is_train"), AD.VECTOR_DIM)
 
 
 @register("knn_neighbours", KNN_SQL + "SELECT q_id, t_id, t_label, round(dist, 9) AS dist FROM nb")
@@ -807,6 +824,19 @@ def q_knn_decide(spark, d):
     return KN.knn_decide(KN.knn_distribution(_neigh(spark, d)))
 
 
+@register("knn_unknown", KNN_SQL + """
+SELECT q_id, CASE WHEN q_id % 10 = 0 THEN 'unknown'
+       WHEN defect1 >= defect2 AND defect1 >= good THEN 'defect1'
+       WHEN defect2 >= defect1 AND defect2 >= good THEN 'defect2' ELSE 'good' END AS decision
+FROM dec""")
+def q_knn_unknown(spark, d):
+    """A decision for every query vector; those cut short on the way are ``unknown``."""
+    lv = AD.labelled_vectors(spark, d)
+    q = lv.where(~F.col("is_train")).withColumn("features", F.when(F.col("vec_id") % 10 == 0, F.slice("features", 1, 5)).otherwise(F.col("features")))
+    near = KN.knn_neighbours(q, lv.where("is_train"), AD.VECTOR_DIM)
+    return KN.knn_decide(KN.knn_distribution(near, q)).select("q_id", "decision")
+
+
 # --- W6 / F5 / W8 / W9 ------------------------------------------------------
 from fabline.operators import debounce as DB  # noqa: E402
 from fabline.operators import lifecycle as LC  # noqa: E402
@@ -841,7 +871,8 @@ def _check_predictions(spark, d):
     checks = m.select("seq", (F.col("seq") % n).alias("q_id"))
     lv = AD.labelled_vectors(spark, d)
     queries = lv.join(checks.select(F.col("q_id").alias("vec_id")), "vec_id", "left_semi")
-    dec = KN.knn_decide(KN.knn_distribution(KN.knn_neighbours(queries, lv.where("is_train"))))
+    near = KN.knn_neighbours(queries, lv.where("is_train"), AD.VECTOR_DIM)
+    dec = KN.knn_decide(KN.knn_distribution(near, queries))
     return checks.join(dec.select("q_id", F.col("decision").alias("prediction")), "q_id").drop("q_id")
 
 
@@ -950,62 +981,98 @@ def q_debounce_change(spark, d):
 from fabline.streaming import stream as ST  # noqa: E402
 
 
-def _land(df: DataFrame, path: str, parts: int = 4) -> None:
-    """Land rows as parquet files in time order (the stream's input)."""
-    df.repartitionByRange(parts, "ts", "seq").sortWithinPartitions("ts", "seq").write.parquet(path)
+def _land(df: DataFrame, path: str, slices: int = 6, rows: int = 1_000_000, end: dict | None = None) -> str:
+    """Land rows as the stream's input files, one time slice after the other; returns the slice length.
+
+    Files hold at most about ``rows`` rows; rows lie in no order within a slice, so a delay of one slice covers them.
+    ``end`` lands one closing row, later than all others by two slices, that lets the watermark pass them.
+    """
+    lo, hi, n = df.select(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts")), F.count(F.lit(1))).first()
+    length = (hi - lo) // slices + 1
+    files = max(1, -(-n // (slices * rows)))
+    at = df.withColumn("__slice", F.floor((F.unix_micros("ts") - lo) / length))
+    for i in range(slices):
+        at.where(F.col("__slice") == i).drop("__slice").repartition(files).write.mode("append").parquet(path)
+    if end is not None:
+        last = [F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name != "ts"]
+        (df.sparkSession.range(1).select(F.timestamp_micros(F.lit(hi + 2 * length)).alias("ts"), *last)
+         .select(*df.columns).coalesce(1).write.mode("append").parquet(path))
+    return f"{length // 1000 + 1} milliseconds"
+
+
+def _stream_in(spark, name: str, df: DataFrame, end: dict | None = None):
+    """(stream of ``df`` with one file a micro-batch, delay, output folder, checkpoint folder)."""
+    src, out, ck = ST.scratch_query_paths(spark, name)
+    delay = _land(df, src, end=end)
+    return ST.read_stream(spark, src, df.schema, max_files=1), delay, out, ck
+
+
+def _stream_out(df: DataFrame, out: str, ck: str) -> DataFrame:
+    ST.run_to_parquet(df, out, ck).awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
 @register("asof_motor_stream", ASOF_SQL + "SELECT seq, machine_id, rolling FROM asofr")
 def q_asof_motor_stream(spark, d):
-    src, out, ck = ST.scratch_query_paths(spark, "asof")
-    r = AD.readings(spark, d)
-    m = AD.motor_messages(spark, d)
-    _land(r, f"{src}/readings")
-    _land(m, f"{src}/motor")
-    rs = ST.read_stream(spark, f"{src}/readings", r.schema)
-    ms = ST.read_stream(spark, f"{src}/motor", m.schema)
-    q = ST.run_to_parquet(ST.stream_asof_motor(rs, ms), out, ck)
-    q.awaitTermination()
-    return spark.read.parquet(out).select("seq", "machine_id", "rolling")
-
-
-@register("delta_trigger_stream", delta_sql() + """
-SELECT key, window_start, window_end, fire_seq, seq, ts, x, y, z, round(change, 9) AS change,
-       round(delta, 9) AS delta, stall, rolling FROM fired
-WHERE window_end <= (SELECT max(ts) FROM asofr)""")
+    # One topic stream carries both kinds of message, as on the line.
+    r = AD.readings(spark, d).withColumn("payload", F.lit(None).cast("string"))
+    u = r.unionByName(AD.motor_messages(spark, d).select("seq", "ts", "machine_id", D.text("payload").alias("payload")), allowMissingColumns=True)
+    s, delay, out, ck = _stream_in(spark, "asof", u, end={})
+    rs = ST.stream_asof_motor(s.where(F.col("payload").isNull()), s.where(F.col("payload").isNotNull()), delay)
+    return _stream_out(rs, out, ck).select("seq", "machine_id", "rolling")
+
+
+@register("delta_trigger_stream", ORACLE["delta_trigger"])
 def q_delta_trigger_stream(spark, d):
-    src, out, ck = ST.scratch_query_paths(spark, "delta")
-    a = _asof(spark, d)
-    _land(a, src)
-    s = ST.read_stream(spark, src, a.schema)
-    f = ST.stream_delta_trigger(s, key="machine_id", window=DAY)
-    q = ST.run_to_parquet(f, out, ck)
-    q.awaitTermination()
-    r = spark.read.parquet(out)
+    s, delay, out, ck = _stream_in(spark, "delta", _asof(spark, d), end={})
+    r = _stream_out(ST.stream_delta_trigger(s, delay, key="machine_id", window=DAY), out, ck)
     return r.select(F.col("machine_id").alias("key"), ntz("window_start"), ntz("window_end"), "fire_seq", "seq",
                     ntz("ts"), "x", "y", "z", F.round("change", 9).alias("change"),
                     F.round("delta", 9).alias("delta"), "stall", "rolling")
 
 
+def _stream_alarms(spark, d):
+    s, delay, out, ck = _stream_in(spark, "alarms", _asof(spark, d), end={})
+    return _stream_out(ST.stream_alarms(s, delay, key="machine_id", window=DAY, level_limit=TEST_LEVEL, change_limit=TEST_CHANGE,
+                                        cooldown_s=TEST_COOLDOWN_S).withColumnRenamed("machine_id", "key"), out, ck)
+
+
+@register("anomaly_cooldown_stream", ORACLE["anomaly_cooldown"])
+def q_anomaly_cooldown_stream(spark, d):
+    return _stream_alarms(spark, d).select("key", "seq", ntz("alarm_ts"), ntz("restart_ts"), "streak")
+
+
+@register("alarm_commands_stream", ORACLE["alarm_commands"])
+def q_alarm_commands_stream(spark, d):
+    return AN.alarm_commands(_stream_alarms(spark, d)).select("topic", "payload", ntz("ts"), "seq")
+
+
+@register("ts_upsert_stream", O.with_(O.EV, O.VIBRATION) + """
+SELECT CASE WHEN key = 'error' THEN '007' WHEN key = 'signup' THEN NULL ELSE key END AS measurement,
+       epoch_us(ts) // 1000 AS time_ms, arg_max(x, seq) AS x, arg_max(y, seq) AS y, arg_max(z, seq) AS z
+FROM vibration GROUP BY ALL""")
+def q_ts_upsert_stream(spark, d):
+    """The store merged batch by batch, with a measurement that looks like a number and a null one, points written twice."""
+    v = AD.vibration(spark, d).select(
+        F.when(F.col("key") == "error", "007").when(F.col("key") != "signup", F.col("key")).alias("measurement"), "ts", "seq", "x", "y", "z")
+    s, _, out, ck = _stream_in(spark, "store", v.unionByName(v.where("seq % 3 = 0").withColumn("seq", F.col("seq") - 1)))
+    ST.upsert_stream(s, out, ck).awaitTermination()
+    schema = "measurement string, ts timestamp, seq bigint, x double, y double, z double, day date"
+    return spark.read.schema(schema).parquet(out).select("measurement", SK.point_time("ts").alias("time_ms"), "x", "y", "z")
+
+
 @register("topic_source_stream", ORACLE["topic_source"])
 def q_topic_source_stream(spark, d):
-    src, out, ck = ST.scratch_query_paths(spark, "topics")
-    m = AD.material_messages(spark, d)
-    _land(m, src)
-    s = topic_source(ST.read_stream(spark, src, m.schema), C.LOADING_MAT_LOADED)
-    ST.run_to_parquet(s.select("topic", "payload", "ts", "seq"), out, ck).awaitTermination()
-    return spark.read.parquet(out).select("topic", "payload", ntz("ts"), "seq")
+    m, _, out, ck = _stream_in(spark, "topics", AD.material_messages(spark, d))
+    s = topic_source(m, C.LOADING_MAT_LOADED)
+    return _stream_out(s.select("topic", "payload", "ts", "seq"), out, ck).select("topic", "payload", ntz("ts"), "seq")
 
 
 @register("material_lifecycle_stream", ORACLE["material_lifecycle"])
 def q_material_lifecycle_stream(spark, d):
-    src, out, ck = ST.scratch_query_paths(spark, "lifecycle")
-    m = AD.material_messages(spark, d)
-    _land(m, src)
-    s = ST.read_stream(spark, src, m.schema)
+    s, delay, out, ck = _stream_in(spark, "lifecycle", AD.material_messages(spark, d), end={"topic": C.LOADING_MAT_LOADED})
     # Static sides of a long-running stream are materialised once.
     preds = _check_predictions(spark, d).checkpoint()
     allow = AD.allow_list(spark, d).checkpoint()
-    lc = ST.stream_material_lifecycle(s, allow, preds)
-    ST.run_to_parquet(lc, out, ck).awaitTermination()
-    return spark.read.parquet(out).select("id", "seq", "action", "out_topic", "out_payload", "quality")
+    lc = ST.stream_material_lifecycle(s, allow, delay, preds)
+    return _stream_out(lc, out, ck).select("id", "seq", "action", "out_topic", "out_payload", "quality")

@@ -40,21 +40,25 @@ def get_session(master: str | None = None, app: str = "fabline",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is. Only when it is
-    unset (local runs and tests) do we create a scratch folder of our own.
+    A cluster names a shared folder there; it is used as is. Only a local
+    run without one gets a scratch folder of its own; a cluster without one
+    is refused, since its machines do not share local folders.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    d = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fabline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
 
 

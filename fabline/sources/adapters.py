@@ -222,6 +222,9 @@ def series_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(F.col("value")).cast("bigint")).alias("datapoints"))
 
 
+VECTOR_DIM = 64  # length of the vectors in ``embeddings``
+
+
 def labelled_vectors(spark: SparkSession, sf_dir: str, holdout_mod: int = 5) -> DataFrame:
     """Embeddings as labelled colour vectors: ``vec_id, features, label, is_train``."""
     em = table(spark, sf_dir, "embeddings")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,13 +37,23 @@ def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) ->
 def stream_kafka(spark: SparkSession, bootstrap: str, topics: list[str] | str,
                  starting: str = "latest") -> DataFrame:
     """Message stream from Kafka in the raw message shape (``topic, payload,
-    ts, seq``); ``seq`` is the partition offset made unique across
-    partitions. Needs the Spark Kafka connector on the classpath."""
-    subs = topics if isinstance(topics, str) else ",".join(topics)
+    ts, seq``). ``seq`` is unique over all subscribed topics: 7 bits of the
+    topic's place in the list, 16 of the partition, 40 of the offset. Needs
+    the Spark Kafka connector on the classpath."""
+    names = topics.split(",") if isinstance(topics, str) else list(topics)
+    if len(names) > 127:
+        raise ValueError("at most 127 topics in one stream")
+    subs = ",".join(names)
     k = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", subs).option("startingOffsets", starting).load())
     return k.select("topic", F.col("value").alias("payload"), F.col("timestamp").alias("ts"),
-                    (F.col("offset") * 4096 + F.col("partition")).alias("seq"))
+                    kafka_seq(names).alias("seq"))
+
+
+def kafka_seq(names: list[str]) -> Column:
+    """``seq`` of a Kafka record from its topic, partition and offset."""
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("topic")) - 1
+    return F.shiftleft(place, 56) + F.shiftleft(F.col("partition").cast("bigint"), 40) + F.col("offset")
 
 
 def to_kafka(commands: DataFrame, bootstrap: str, checkpoint: str):

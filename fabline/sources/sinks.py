@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
-from fabline.operators.ordered import day_bucket, prefix_sum
+from fabline.operators.ordered import null_safe_join, prefix_sum, row_bucket
+from fabline.session import ensure_checkpoint_dir
 
 
 # --- S2 ---------------------------------------------------------------------
@@ -27,25 +28,33 @@ def ts_upsert(points: DataFrame, measurement: str = "measurement", ts: str = "ts
     return g.select("measurement", "time_ms", *[F.col(f"f.{c}").alias(c) for c in fields], "n_writes")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def upsert_into(spark: SparkSession, batch: DataFrame, path: str, measurement: str = "measurement",
                 ts: str = "ts", seq: str = "seq", fields=("x", "y", "z")) -> None:
     """Merge a batch of points into a parquet series store partitioned by
     measurement and day; only touched partitions are rewritten.
 
-    Suitable as a ``foreachBatch`` function. The merged result is
-    checkpointed (reliable, shared folder) before the overwrite so the write
-    never reads the files it replaces.
+    Suitable as a ``foreachBatch`` function. The store is read with the
+    batch's own schema (a measurement ``007`` stays a text) and touched
+    partitions are found null-safe. The merged result is checkpointed
+    (reliable, shared folder) before the overwrite so the write never reads
+    the files it replaces. Partition folders hold no empty text: an empty
+    measurement is stored like a null one.
     """
     new = (batch.select(F.col(measurement).alias("measurement"), F.col(ts).alias("ts"),
                         F.col(seq).alias("seq"), *fields)
            .withColumn("day", F.to_date("ts")))
-    try:
-        old = spark.read.parquet(path)
+    new = new.withColumn("measurement", F.nullif(F.col("measurement"), F.lit("")))
+    allr = new
+    if _exists(spark, path):
+        old = spark.read.schema(new.schema).parquet(path)
         touched = new.select("measurement", "day").distinct()
-        old = old.join(touched, ["measurement", "day"], "left_semi")
-        allr = old.unionByName(new)
-    except Exception:  # noqa: BLE001 - no store yet
-        allr = new
+        allr = null_safe_join(old, touched, ["measurement", "day"], "left_semi").unionByName(new)
+    ensure_checkpoint_dir(spark)
     merged = ts_upsert(allr.withColumn("ms_ts", F.col("ts")), ts="ms_ts", fields=("ts", "seq", *fields))
     merged = merged.select("measurement", "ts", "seq", *fields).withColumn("day", F.to_date("ts")).checkpoint()
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -61,10 +70,10 @@ def export_batches(df: DataFrame, series: str = "series", order=("ts", "seq"),
     Row numbers come from a bucketed running count, so a series with most of
     the rows is still numbered by many tasks.
     """
-    d = df.withColumn("__day", day_bucket(order[0]))
+    d = row_bucket(df, [series], order[0])
     n = prefix_sum(d, [series], list(order), "__day", {"rn": F.lit(1)}).drop("__day")
     sizes = df.groupBy(series).agg(F.count(F.lit(1)).alias("__n"))
-    out = n.join(sizes, series).withColumn("batch_no", F.floor((F.col("rn") - 1) / batch).cast("bigint"))
+    out = null_safe_join(n, sizes, [series]).withColumn("batch_no", F.floor((F.col("rn") - 1) / batch).cast("bigint"))
     full = F.col("batch_no") < F.floor(F.col("__n") / batch)
     return out.where(full).drop("__n")
 

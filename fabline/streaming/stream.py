@@ -1,26 +1,30 @@
 """Structured Streaming forms: message stream in, windowed trigger, as-of
-motor state, series upsert and command output.
-
-Batch and stream share the operators: the delta trigger is a window
-aggregate followed by stateless projections, so with a watermark it runs in
-append mode and emits each window once it closes. The as-of motor state
-(W7) is a keyed state of one boolean per machine. Sinks use checkpoint
-locations below the shared ``spark.checkpoint.dir`` so a restarted query
-resumes exactly where it stopped.
+motor state, live alarms, lifecycle, series upsert and command output.
+
+Batch and stream share the step functions: a stream applies each key's rows
+in event-time order once the watermark has reached them (``stream_fold``).
+Sinks use checkpoint locations below the shared ``spark.checkpoint.dir`` so a
+restarted query resumes exactly where it stopped.
 """
 
 from __future__ import annotations
 
 import json
+from collections import namedtuple
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from fabline.functions import codes as C
+from fabline.operators.anomaly import cooldown_spec
+from fabline.operators.fold import FoldSpec
 from fabline.operators.lifecycle import LIFECYCLE_SPEC, _lifecycle_input
-from fabline.operators.triggers import delta_trigger, tumbling
+from fabline.operators.triggers import (delta_input, delta_output, delta_spec, mean_change, tumbling, window_ms,
+                                        window_seconds)
 from fabline.session import scratch_path
 from fabline.sources.sinks import upsert_into
 
@@ -38,46 +42,125 @@ def stream_tumbling(stream: DataFrame, delay: str = "0 seconds", **kw) -> DataFr
     return tumbling(stream.withWatermark(kw.get("ts", "ts"), delay), **kw)
 
 
-def stream_delta_trigger(stream: DataFrame, delay: str = "0 seconds", **kw) -> DataFrame:
-    """Delta trigger over a stream; a window's firings are emitted when the
-    watermark (newest ts minus ``delay``) passes the window end. Rows older
-    than the watermark are dropped as late (W3)."""
-    return delta_trigger(stream.withWatermark(kw.get("ts", "ts"), delay), engine="jvm", **kw)
+def stream_fold(rows: DataFrame, key: str, spec: FoldSpec, delay: str, ts: str = "ts", seq: str = "seq",
+                idle: str | None = None) -> DataFrame:
+    """A fold over a stream, the same as ``run_fold`` over all of it.
+
+    Rows wait in keyed state until the watermark (newest ``ts`` minus
+    ``delay``) reaches them and are then applied in ``(ts_us, seq)`` order,
+    so neither the cut into micro-batches nor the order of files matters.
+    Rows later than ``delay`` are dropped (``late_rows`` finds them). Needs
+    ``ts`` (event time) and ``ts_us``. A key without rows for ``idle`` is
+    forgotten.
+    """
+    cols = list(dict.fromkeys(["ts_us", seq, *spec.in_cols]))
+    at, by = cols.index("ts_us"), cols.index(seq)
+    kind = rows.schema[key].dataType.simpleString()
+    names = [key, *[f.name for f in T._parse_datatype_string(spec.out_schema).fields]]
+    idle_ms = int(window_seconds(idle) * 1000) if idle else None
+    Row = namedtuple("Row", spec.in_cols)
+    pick = [cols.index(c) for c in spec.in_cols]
+
+    def apply(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, waiting = json.loads(state.get[0]) if state.exists else (spec.init(), [])
+        for pdf in pdfs:
+            waiting.extend([None if v is pd.NA or v is pd.NaT else v for v in r] for r in pdf[cols].itertuples(index=False, name=None))
+        now = state.getCurrentWatermarkMs() * 1000
+        due = sorted((r for r in waiting if r[at] <= now), key=lambda r: (r[at], r[by]))
+        waiting = [r for r in waiting if r[at] > now]
+        out = []
+        for r in due:
+            held, emitted = spec.step(held, Row(*[r[i] for i in pick]))
+            out.extend((k[0], *o) for o in emitted or ())
+        if waiting:
+            state.update((json.dumps([held, waiting]),))
+            state.setTimeoutTimestamp(max(min(r[at] for r in waiting) // 1000, now // 1000) + 1)
+        elif idle_ms is None:
+            state.update((json.dumps([held, waiting]),))
+        elif state.hasTimedOut and not due:
+            state.remove()
+        else:
+            state.update((json.dumps([held, waiting]),))
+            state.setTimeoutTimestamp(max(now, 0) // 1000 + idle_ms)
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    return rows.select(key, ts, *cols).withWatermark(ts, delay).groupBy(key).applyInPandasWithState(
+        apply, f"{key} {kind}, {spec.out_schema}", "state string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def late_rows(batch: DataFrame, watermark_ms: int, ts: str = "ts") -> DataFrame:
+    """Rows of a micro-batch that are behind the watermark (for a side table, from ``foreachBatch``)."""
+    return batch.where(F.col(ts) <= F.timestamp_millis(F.lit(watermark_ms)))
+
+
+def stream_delta_trigger(stream: DataFrame, delay: str, key: str = "key", ts: str = "ts", seq: str = "seq",
+                         window: str = window_ms(C.WINDOW_MS), threshold: float = C.DELTA_THRESHOLD,
+                         level_limit: float = C.VIBRATION_LIMIT, rolling: str | None = "rolling",
+                         delta_fn=mean_change, idle: str | None = None) -> DataFrame:
+    """Delta trigger over a stream: a reading that fires is emitted as soon as
+    the watermark reaches it, not when its window closes."""
+    us = int(window_seconds(window) * 1_000_000)
+    out = stream_fold(delta_input(stream, key, ts, seq, rolling), key, delta_spec(us, threshold, level_limit, delta_fn),
+                      delay, idle=idle)
+    return delta_output(out, key, us)
+
+
+# --- W4 / W5 / S11: live alarms ----------------------------------------------
+def alarm_spec(window_us: int, threshold: float, level_limit: float, change_limit: float | None,
+               cooldown_us: int, alarm_over: int) -> FoldSpec:
+    """Delta trigger and cool-down alarms as one fold, so an alarm leaves with the reading that raises it."""
+    trigger = delta_spec(window_us, threshold, level_limit)
+    cooldown = cooldown_spec(cooldown_us, alarm_over)
+    limit = level_limit / 2.0 if change_limit is None else change_limit
+    Fired = namedtuple("Fired", cooldown.in_cols)
+
+    def step(state, r):
+        first, second = state
+        first, fired = trigger.step(first, r)
+        out = []
+        for _, fire_seq, _, ts_us, x, y, z, change, _, _, rolling in fired or ():
+            bad = rolling and (abs(x) + abs(y) + abs(z)) / 3.0 < level_limit and change < limit
+            second, alarms = cooldown.step(second, Fired(ts_us=ts_us, fire_seq=fire_seq, bad=bad))
+            out.extend(alarms or ())
+        return [first, second], out
+
+    return FoldSpec(lambda: [trigger.init(), cooldown.init()], step, trigger.in_cols, cooldown.out_schema)
+
+
+def stream_alarms(readings: DataFrame, delay: str, key: str = "key", window: str = window_ms(C.WINDOW_MS),
+                  threshold: float = C.DELTA_THRESHOLD, level_limit: float = C.VIBRATION_LIMIT,
+                  change_limit: float | None = None, cooldown_s: float = C.COOLDOWN_S,
+                  alarm_over: int = C.ALARM_STREAK, idle: str | None = None) -> DataFrame:
+    """Cool-down alarms of a live reading stream: ``key, seq, alarm_ts, restart_ts, streak``."""
+    spec = alarm_spec(int(window_seconds(window) * 1_000_000), threshold, level_limit, change_limit,
+                      int(cooldown_s * 1_000_000), alarm_over)
+    out = stream_fold(delta_input(readings, key, "ts", "seq", "rolling"), key, spec, delay, idle=idle)
+    return out.select(key, "seq", F.timestamp_micros("alarm_us").alias("alarm_ts"),
+                      F.timestamp_micros("restart_us").alias("restart_ts"), "streak")
 
 
 # --- W7 ---------------------------------------------------------------------
-ASOF_OUT = "machine_id long, seq long, ts timestamp, x double, y double, z double, rolling boolean"
-
-
-def _asof_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rolling = bool(state.get[0]) if state.exists else False
-    parts = [p for p in pdfs]
-    if not parts:
-        return
-    pdf = pd.concat(parts, ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
-    out = []
-    for r in pdf.itertuples(index=False):
-        if r.is_motor:
-            rolling = bool(r.state)
-        else:
-            out.append((r.machine_id, r.seq, r.ts, r.x, r.y, r.z, rolling))
-    state.update((rolling,))
-    if out:
-        yield pd.DataFrame(out, columns=["machine_id", "seq", "ts", "x", "y", "z", "rolling"])
+def _asof_step(state, r):
+    if r.is_motor:
+        return bool(r.state), None
+    return state, [(r.seq, r.ts_us, r.x, r.y, r.z, state)]
+
+
+ASOF_SPEC = FoldSpec(lambda: False, _asof_step, ["seq", "ts_us", "x", "y", "z", "is_motor", "state"],
+                     "seq long, ts_us long, x double, y double, z double, rolling boolean")
 
 
-def stream_asof_motor(readings: DataFrame, motor: DataFrame) -> DataFrame:
-    """Latest ``isRollingStarted`` state per machine attached to each
-    reading (W7). Both inputs may be streams; rows are applied in
-    ``(ts, seq)`` order within each micro-batch."""
+def stream_asof_motor(readings: DataFrame, motor: DataFrame, delay: str, idle: str | None = None) -> DataFrame:
+    """Latest ``isRollingStarted`` state per machine attached to each reading (W7), in event-time order over both inputs."""
     r = readings.select("machine_id", "seq", "ts", "x", "y", "z",
                         F.lit(False).alias("is_motor"), F.lit(None).cast("boolean").alias("state"))
     m = motor.where(F.col("payload").startswith("isRollingStarted")).select(
         "machine_id", "seq", "ts", F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"),
         F.lit(None).cast("double").alias("z"), F.lit(True).alias("is_motor"),
         (F.try_element_at(F.split("payload", r"\|"), F.lit(2)) == "1").alias("state"))
-    return r.unionByName(m).groupBy("machine_id").applyInPandasWithState(
-        _asof_state, ASOF_OUT, "rolling boolean", "append", GroupStateTimeout.NoTimeout)
+    out = stream_fold(r.unionByName(m).withColumn("ts_us", F.unix_micros("ts")), "machine_id", ASOF_SPEC, delay, idle=idle)
+    return out.select("machine_id", "seq", F.timestamp_micros("ts_us").alias("ts"), "x", "y", "z", "rolling")
 
 
 # --- sinks ------------------------------------------------------------------
@@ -118,28 +201,10 @@ def scratch_query_paths(spark: SparkSession, name: str) -> tuple[str, str, str]:
 
 
 # --- W6 ---------------------------------------------------------------------
-LIFECYCLE_OUT = "id string, seq long, action string, out_topic string, out_payload string, quality string"
-
-
-def _lifecycle_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    parts = [p for p in pdfs]
-    if not parts:
-        return
-    pdf = pd.concat(parts, ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
-    st = json.loads(state.get[0]) if state.exists else LIFECYCLE_SPEC.init()
-    out = []
-    for r in pdf[list(LIFECYCLE_SPEC.in_cols)].itertuples(index=False, name="Row"):
-        st, rows = LIFECYCLE_SPEC.step(st, r)
-        out.extend((key[0],) + tuple(o) for o in rows)
-    state.update((json.dumps(st),))
-    if out:
-        yield pd.DataFrame(out, columns=["id", "seq", "action", "out_topic", "out_payload", "quality"])
-
-
-def stream_material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame | None = None) -> DataFrame:
+def stream_material_lifecycle(msgs: DataFrame, allow: DataFrame, delay: str, predictions: DataFrame | None = None,
+                              idle: str | None = None) -> DataFrame:
     """Material lifecycle over a message stream (W6): the allow-list and the
     predictions are static tables joined to the stream; each id keeps its
     state (known, allowed, rolled, ready, quality) between micro-batches."""
-    m = _lifecycle_input(msgs, allow, predictions, "id")
-    return m.groupBy("id").applyInPandasWithState(
-        _lifecycle_state, LIFECYCLE_OUT, "state string", "append", GroupStateTimeout.NoTimeout)
+    m = _lifecycle_input(msgs, allow, predictions, "id").withColumn("ts_us", F.unix_micros("ts"))
+    return stream_fold(m.withColumn("mid", F.col("id")), "mid", LIFECYCLE_SPEC, delay, idle=idle).withColumnRenamed("mid", "id")

@@ -226,7 +226,8 @@ def test_knn_block_with_empty_side(spark):
     tr = spark.createDataFrame([(i, [float(i), 0.0], "good") for i in range(6)],
                                "vec_id long, features array<double>, label string")
     q = spark.createDataFrame([(100, [0.2, 0.0])], "vec_id long, features array<double>")
-    n = KN.knn_neighbours(q, tr, k=3, q_block=1, t_block=2).collect()
+    n = KN.knn_neighbours(q, tr, 2, k=3, broadcast_bytes=0, q_block=1, t_block=2).collect()
+    assert sorted(n) == sorted(KN.knn_neighbours(q, tr, 2, k=3).collect())
     assert sorted((r.rank, r.t_id) for r in n) == [(1, 0), (2, 1), (3, 2)]
 
 
@@ -245,17 +246,80 @@ def test_jobs_compose_on_tables(spark):
     lv = AD.labelled_vectors(spark, d)
     checks = (m.where(F.col("topic") == C.COLOUR_MAT_CHECK).select("seq", (F.col("seq") % n).alias("vec_id"))
               .join(lv.select("vec_id", "features"), "vec_id").drop("vec_id"))
-    out = jobs.material_decision_job(m, AD.allow_list(spark, d), checks, lv.where("is_train"))
+    out = jobs.material_decision_job(m, AD.allow_list(spark, d), checks, lv.where("is_train"), AD.VECTOR_DIM)
     assert out["actions"].count() > 0 and out["commands"].count() > 0
 
 
-def test_delta_trigger_engines_agree(spark):
+def test_delta_trigger_is_the_same_for_any_segment_size(spark):
     from fabline.plans import registry as R
     a = R._asof(spark, "/root/testdata/sf0.001")
     for lim in (0.3, 1.2):
-        j = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, engine="jvm")
-        f = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, engine="fold")
-        assert sorted(j.collect()) == sorted(f.select(*j.columns).collect())
+        j = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim)
+        f = TR.delta_trigger(a, key="machine_id", window="1 day", level_limit=lim, segment_rows=11)
+        assert sorted(j.collect()) == sorted(f.select(*j.columns).collect()) and j.count() > 0
+
+
+def test_nan_reading_never_fires_and_null_keys_stay(spark):
+    nan = float("nan")
+    rows = [(k, s, s, x, 0.0, 0.0, False) for k in ("a", None) for s, x in enumerate([0.0, 3.0, nan, 3.0, 0.0, 3.0])]
+    for seg in (2_000_000, 2):
+        got = TR.delta_trigger(_readings(spark, rows), window="1 day", segment_rows=seg).collect()
+        assert sorted((r.key or "", r.fire_seq) for r in got) == [(k, s) for k in ("", "a") for s in (1, 4, 5)]
+
+
+def test_own_delta_function(spark):
+    df = _readings(spark, [("a", 0, 1, 0.0, 0.0, 0.0, False), ("a", 1, 2, 0.0, 0.0, 5.0, False), ("a", 2, 3, 1.0, 0.0, 0.0, False)])
+    got = TR.delta_trigger(df, window="1 day", threshold=0.9, delta_fn=lambda a, p: abs(a[0] - p[0])).collect()
+    assert [r.fire_seq for r in got] == [3]
+
+
+def test_null_key_and_time_are_kept_by_asof(spark):
+    from fabline.operators import joins as J
+    r = spark.createDataFrame([(1, ts(5), 1), (2, ts(5), None), (3, None, 1)], "seq long, ts timestamp, machine_id long")
+    m = spark.createDataFrame([(9, ts(0), 1, "isRollingStarted|1"), (10, ts(0), None, "isRollingStarted|1")],
+                              "seq long, ts timestamp, machine_id long, payload string")
+    assert sorted((x.seq, x.rolling) for x in J.asof_motor(r, m).collect()) == [(1, True), (2, True), (3, False)]
+
+
+def test_null_station_survives_segments(spark):
+    rows = [(st, q, ts(q), f"{q % 2}{q % 3}01", str(q % 4)) for st in ("s", None) for q in range(9)]
+    df = spark.createDataFrame(rows, "station string, seq long, ts timestamp, bits string, code string")
+    key = lambda r: (r.station or "", r.seq)
+    whole, cut = (sorted(DB.debounce_change(df, segment_rows=n).collect(), key=key) for n in (100, 2))
+    assert whole == cut and sum(r.station is None for r in cut) == sum(r.station == "s" for r in cut) > 0
+
+
+def test_every_query_vector_gets_a_decision(spark):
+    tr = spark.createDataFrame([(i, [float(i), 0.0], "good") for i in range(6)] + [(9, [1.0], "defect1")],
+                               "vec_id long, features array<double>, label string")
+    q = spark.createDataFrame([(1, [0.2, 0.0]), (2, [0.1]), (3, None), (4, [float("nan"), 1.0])], "vec_id long, features array<double>")
+    dec = KN.knn_decide(KN.knn_distribution(KN.knn_neighbours(q, tr, 2), q)).collect()
+    assert {r.q_id: r.decision for r in dec} == {1: "good", 2: "unknown", 3: "unknown", 4: "unknown"}
+
+
+def test_store_merge_keeps_null_and_number_like_measurements(spark, tmp_path):
+    from fabline.sources.sinks import upsert_into
+    schema = "measurement string, ts timestamp, seq long, x double, y double, z double"
+    for seq in (1, 2):
+        upsert_into(spark, spark.createDataFrame([("007", ts(0), seq, float(seq), 0.0, 0.0), (None, ts(seq), seq, 1.0, 0.0, 0.0)], schema),
+                    str(tmp_path / "store"))
+    got = spark.read.schema(schema).parquet(str(tmp_path / "store")).collect()
+    assert sorted((r.measurement or "", r.seq) for r in got) == [("", 1), ("", 2), ("007", 2)]
+
+
+def test_kafka_seq_is_unique_over_topics_and_partitions(spark):
+    from fabline.sources.messages import kafka_seq
+    rows = [(t, p, o) for t in ("a", "b") for p in (0, 1, 4096, 65535) for o in (0, 1, 4096, 1 << 39)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    assert df.select(kafka_seq(["a", "b"]).alias("s")).distinct().count() == len(rows)
+
+
+def test_row_buckets_bound_a_hot_key(spark):
+    from fabline.operators.ordered import row_bucket
+    rows = [("hot", ts(i * 7), i) for i in range(3000)] + [(None, ts(i), i) for i in range(500)]
+    df = row_bucket(spark.createDataFrame(rows, "k string, ts timestamp, seq long"), ["k"], rows=100)
+    assert df.count() == 3500
+    assert df.groupBy("k", "__day").count().agg(F.max("count")).first()[0] <= 100 + 60
 
 
 def test_no_function_local_package_imports():
