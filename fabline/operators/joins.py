@@ -70,10 +70,11 @@ def asof_motor(readings: DataFrame, motor: DataFrame, key: str = "machine_id",
     r = readings.withColumns({"__state": F.lit(None).cast("boolean"),
                               "__is_reading": F.lit(True)})
     u = row_bucket(r.unionByName(m, allowMissingColumns=True), [key])
-    a = asof_last(u, [key], ["ts", "seq"], "__day", ["__state"])
+    u = u.withColumn("__later", ~F.col("__is_reading"))  # a message of the same place does not come before
+    a = asof_last(u, [key], ["ts", "seq", "__later"], "__day", ["__state"])
     return (a.where("__is_reading")
             .withColumn(state_col, F.coalesce(F.col("__state_asof"), F.lit(False)))
-            .drop("__state", "__state_asof", "__is_reading", "__day"))
+            .drop("__state", "__state_asof", "__is_reading", "__later", "__day"))
 
 
 # --- J4 ---------------------------------------------------------------------
@@ -93,8 +94,9 @@ def asof_frame(frames: DataFrame, motor_info: DataFrame) -> DataFrame:
                           F.lit(False).alias("__is_frame"))
     f = frames.withColumn("__is_frame", F.lit(True))
     u = row_bucket(f.unionByName(m, allowMissingColumns=True), [])
-    a = asof_last(u, [], ["ts", "seq"], "__day", list(cols), suffix="")
-    return a.where("__is_frame").drop("__is_frame", "__day")
+    u = u.withColumn("__later", ~F.col("__is_frame"))  # a report of the same place does not come before
+    a = asof_last(u, [], ["ts", "seq", "__later"], "__day", list(cols), suffix="")
+    return a.where("__is_frame").drop("__is_frame", "__later", "__day")
 
 
 # --- J5 ---------------------------------------------------------------------

@@ -314,20 +314,17 @@ def q_quarantine(spark, d):
 
 @register("text_rejects", O.with_(O.EV, O.VIBRATION, O.QUALITY_RECORDS.replace("WITH ", "")) + """
 SELECT 'vibration' AS kind, seq FROM vibration WHERE seq % 7 = 0
-UNION ALL SELECT 'colour', seq FROM quality_records WHERE seq % 5 = 0
 UNION ALL SELECT 'features', seq FROM quality_records WHERE seq % 4 = 0
 UNION ALL SELECT 'pipe', seq FROM vibration WHERE seq % 3 = 0""")
 def q_text_rejects(spark, d):
     """Rejects of the text decoders, each message of a fixed residue cut short or spoilt on the way."""
     v, r = AD.vibration_text(spark, d), AD.quality_records(spark, d)
     vib = D.vib_text_decode(v.withColumn("payload", F.when(F.col("seq") % 7 == 0, F.lit("1.0;x").cast("binary")).otherwise(F.col("payload"))))
-    digit = F.when(F.col("seq") % 5 == 0, "9").otherwise("0")
-    col = D.colour_train_decode(r.select("seq", F.concat(digit, F.lit(","), "datapoints").cast("binary").alias("payload")))
     line = FS.delimited_line("time_text", "quality", F.when(F.col("seq") % 4 == 0, "1,b,3").otherwise(F.col("datapoints")))
     fea = D.feature_parse(r.select("seq", line.alias("line")))
     pipe = D.pipe_parse(v.select("seq", F.when(F.col("seq") % 3 == 0, "nobar").otherwise("id|1").cast("binary").alias("payload")))
     out = [FL.quarantine(x).select(F.lit(k).alias("kind"), "seq") for k, x in
-           (("vibration", vib), ("colour", col), ("features", fea), ("pipe", pipe))]
+           (("vibration", vib), ("features", fea), ("pipe", pipe))]
     return functools.reduce(DataFrame.unionByName, out)
 
 
@@ -528,7 +525,7 @@ def _asof_frame_sql():
   SELECT seq, ts, true AS is_f, {nulls} FROM vib_frames
   UNION ALL SELECT seq, ts, false, {", ".join(sel)} FROM motor_info)
 SELECT seq, {", ".join(lv)} FROM u
-WINDOW w AS (ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+WINDOW w AS (ORDER BY ts, seq, is_f DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 QUALIFY is_f"""
 
 
