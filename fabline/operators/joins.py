@@ -78,20 +78,32 @@ def asof_motor(readings: DataFrame, motor: DataFrame, key: str = "machine_id",
 
 
 # --- J4 ---------------------------------------------------------------------
-def asof_frame(frames: DataFrame, motor_info: DataFrame) -> DataFrame:
-    """Each frame gets, per station, the last reported ``isStarted`` and
-    ``speed`` before it (the header fill of the vibration sensor).
+def header_fields() -> dict[str, tuple[str, str, str]]:
+    """Header field -> (station, report key, type): the four stations' motors and the rolling station's second one."""
+    out = {}
+    for s in C.STATIONS:
+        out |= {f"{s}_started": (s, "isStarted", "int"), f"{s}_direction": (s, "direction", "string"), f"{s}_speed": (s, "speed", "int")}
+    return out | {"roll_started": ("rolling", "isRollingStarted", "int"), "roll_direction": ("rolling", "rollingDirection", "string"),
+                  "roll_speed": ("rolling", "rollingSpeed", "int")}
+
 
-    Motor reports are line-wide (no key), so the work is split by time only: buckets of bounded row count run in
-    parallel with a carry table between them."""
+def asof_frame(frames: DataFrame, motor_info: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """Each frame gets every field of its header: per motor the last reported
+    state, direction and speed before it, and (with ``positions``: ``seq, ts,
+    payload``) the last loading position as five digits.
+
+    Reports are line-wide (no key), so the work is split by time only:
+    buckets of bounded row count run in parallel with a carry table between
+    them."""
     parts = F.split(F.col("payload"), r"\|")
     mk, mv = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
-    cols = {}
-    for s in C.STATIONS:
-        cols[f"{s}_started"] = F.when((F.col("station") == s) & (mk == "isStarted"), mv.cast("int"))
-        cols[f"{s}_speed"] = F.when((F.col("station") == s) & (mk == "speed"), mv.cast("int"))
+    cols = {n: F.when((F.col("station") == s) & (mk == k), mv.try_cast(t)) for n, (s, k, t) in header_fields().items()}
     m = motor_info.select("ts", "seq", *[c.alias(n) for n, c in cols.items()],
                           F.lit(False).alias("__is_frame"))
+    if positions is not None:
+        m = m.unionByName(positions.select("ts", "seq", F.lpad(mv, 5, "0").alias("pos"), F.lit(False).alias("__is_frame")),
+                          allowMissingColumns=True)
+        cols["pos"] = None
     f = frames.withColumn("__is_frame", F.lit(True))
     u = row_bucket(f.unionByName(m, allowMissingColumns=True), [])
     u = u.withColumn("__later", ~F.col("__is_frame"))  # a report of the same place does not come before

@@ -15,13 +15,13 @@ query is never answered. Re-forwarding a known id does not reset its state.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.operators.fold import FoldSpec, run_fold
 from fabline.operators.ordered import asof_last, prefix_sum, row_bucket
+from fabline.session import ensure_checkpoint_dir
 
 LIFECYCLE_TOPICS = [C.LOADING_MAT_LOADED, C.LOADING_MAT_POSITION, C.ROLLING_MAT_POSITION,
                     C.QUALITY_MAT_POSITION, C.UNLOADING_MAT_POSITION, C.ROLLING_ROLL_QUERY,
@@ -93,7 +93,10 @@ def _lifecycle_input(msgs, allow, predictions, id_col):
     m = m.join(a, id_col, "left").withColumn("allowed0", F.col("thickness0").isNotNull())
     if predictions is None:
         return m.withColumn("prediction", F.lit(None).cast("string"))
-    return m.join(predictions.select("seq", "prediction"), "seq", "left")
+    # Only colour checks carry a prediction; all other messages stay out of the join.
+    checks = F.col("topic") == C.COLOUR_MAT_CHECK
+    return (m.where(checks).join(predictions.select("seq", "prediction"), "seq", "left").select(*m.columns, "prediction")
+            .unionByName(m.where(~checks).withColumn("prediction", F.lit(None).cast("string"))))
 
 
 def _first_after(m: DataFrame, id_col: str, cond, after: str, name: str) -> DataFrame:
@@ -119,10 +122,10 @@ def material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame
     aggregation, no single task per id); the as-of runs per id and row bucket.
     """
     t = F.col("topic")
-    # The input feeds four milestone aggregates and their joins; keep it
-    # (memory, spilling to disk) instead of re-deriving it per branch.
-    m = (_lifecycle_input(msgs, allow, predictions, id_col).withColumn("o", F.struct("ts", "seq"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
+    # The input feeds four milestone aggregates and their joins: written once
+    # to the shared folder instead of derived per branch or held on executors.
+    ensure_checkpoint_dir(msgs.sparkSession)
+    m = _lifecycle_input(msgs, allow, predictions, id_col).withColumn("o", F.struct("ts", "seq")).checkpoint()
     k1 = m.groupBy(id_col).agg(
         F.min(F.when(t == C.LOADING_MAT_LOADED, F.col("o"))).alias("__first_load"),
         F.max("allowed0").alias("__allowed0"))

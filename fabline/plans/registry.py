@@ -122,7 +122,7 @@ FROM batches""")
 def q_export_scan(spark, d):
     path = FS.new_folder(spark, "exports")
     # One folder per series; the batch number stays in the rows.
-    FS.write_lines(_export_lines(spark, d).repartition("series"), path, partition_by=["series"])
+    FS.write_lines(_export_lines(spark, d), path, partition_by=["series"])
     return FS.export_scan(spark, path).select("line")
 
 
@@ -514,17 +514,17 @@ def q_stall_filter(spark, d):
 
 # --- J4 ---------------------------------------------------------------------
 def _asof_frame_sql():
-    sel, lv = [], []
-    for s in C.STATIONS:
-        for k, n in (("isStarted", "started"), ("speed", "speed")):
-            sel.append(f"CASE WHEN station = '{s}' AND split_part(payload, '|', 1) = '{k}' "
-                       f"THEN cast(split_part(payload, '|', 2) as int) END AS {s}_{n}")
-            lv.append(f"last_value({s}_{n} IGNORE NULLS) OVER w AS {s}_{n}")
-    nulls = ", ".join(f"NULL::INT AS {s}_{n}" for s in C.STATIONS for n in ("started", "speed"))
-    return O.with_(O.EV, O.VIB_FRAMES, O.MOTOR_INFO) + f""", u AS (
-  SELECT seq, ts, true AS is_f, {nulls} FROM vib_frames
-  UNION ALL SELECT seq, ts, false, {", ".join(sel)} FROM motor_info)
-SELECT seq, {", ".join(lv)} FROM u
+    fields = J.header_fields()
+    sel = [f"CASE WHEN station = '{s}' AND split_part(payload, '|', 1) = '{k}' THEN cast(split_part(payload, '|', 2) as "
+           f"{'int' if t == 'int' else 'varchar'}) END AS {n}" for n, (s, k, t) in fields.items()]
+    nulls = ", ".join(f"NULL::{'INT' if t == 'int' else 'VARCHAR'} AS {n}" for n, (_, _, t) in fields.items())
+    lv = ", ".join(f"last_value({n} IGNORE NULLS) OVER w AS {n}" for n in [*fields, "pos"])
+    return O.with_(O.EV, O.VIB_FRAMES, O.MOTOR_INFO, O.MATERIAL) + f""", u AS (
+  SELECT seq, ts, true AS is_f, {nulls}, NULL::VARCHAR AS pos FROM vib_frames
+  UNION ALL SELECT seq, ts, false, {", ".join(sel)}, NULL FROM motor_info
+  UNION ALL SELECT seq, ts, false, {", ".join(["NULL"] * len(fields))}, lpad(split_part(payload, '|', 2), 5, '0')
+  FROM material WHERE topic = '/loading/MatPosition')
+SELECT seq, {lv} FROM u
 WINDOW w AS (ORDER BY ts, seq, is_f DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 QUALIFY is_f"""
 
@@ -532,8 +532,9 @@ QUALIFY is_f"""
 @register("asof_frame", _asof_frame_sql())
 def q_asof_frame(spark, d):
     f = AD.vib_frames(spark, d).select("seq", "ts")
-    a = J.asof_frame(f, AD.motor_info(spark, d))
-    return a.select("seq", *[f"{s}_{n}" for s in C.STATIONS for n in ("started", "speed")])
+    pos = topic_source(AD.material_messages(spark, d), C.LOADING_MAT_POSITION).select("seq", "ts", D.text("payload").alias("payload"))
+    a = J.asof_frame(f, AD.motor_info(spark, d), pos)
+    return a.select("seq", *J.header_fields(), "pos")
 
 
 # --- J1 / J2 / J5 / S11 -----------------------------------------------------
@@ -974,6 +975,35 @@ def q_debounce_change(spark, d):
     return DB.debounce_change(codes).select("station", "seq", "bits", "code")
 
 
+PUBLISH_SQL = BITS_SQL + """, c AS (
+  SELECT bi.seq, bi.ts, bi.station, bits, CASE WHEN bi.seq % 5 = 0 THEN NULL ELSE substr(bi.id, 8, 1) END AS id,
+         CASE WHEN bi.idx = length(bits) THEN '-' ELSE cast(p.label as varchar) END AS code,
+         CASE WHEN bi.idx = length(bits) THEN '-' ELSE cast(p.coordinate as varchar) END AS coord,
+         row_number() OVER (PARTITION BY bi.station ORDER BY bi.ts, bi.seq) AS rn
+  FROM bi LEFT JOIN positions p ON p.station = bi.station AND p.idx = bi.idx),
+db AS (
+  SELECT DISTINCT station, 0::BIGINT AS rn, ''::VARCHAR AS lbits, NULL::BIGINT AS lpass, ''::VARCHAR AS lcode, NULL::VARCHAR AS lid,
+         NULL::BIGINT AS seq, NULL::VARCHAR AS id, false AS isnew, NULL::VARCHAR AS pub FROM c
+  UNION ALL
+  SELECT station, rn, CASE WHEN pass THEN bits ELSE lbits END, CASE WHEN pass THEN ts_us ELSE lpass END,
+         CASE WHEN NOT pass THEN lcode WHEN code = '-' AND isnew THEN lcode WHEN code = '-' THEN 'ff' ELSE code END,
+         coalesce(id, lid), seq, id, isnew,
+         CASE WHEN NOT pass THEN NULL WHEN code = '-' THEN CASE WHEN NOT isnew THEN '-' END WHEN code <> lcode THEN coord END
+  FROM (SELECT s.*, id IS NOT NULL AND ((bits <> lbits AND (lpass IS NULL OR ts_us - lpass > 200000)) OR isnew) AS pass
+        FROM (SELECT c.station, c.rn, c.seq, c.bits, c.code, c.coord, c.id, epoch_us(c.ts) AS ts_us, db.lbits, db.lpass, db.lcode, db.lid,
+                     c.station = 'loading' AND c.id IS NOT NULL AND c.id IS DISTINCT FROM db.lid AS isnew
+              FROM db JOIN c ON c.station = db.station AND c.rn = db.rn + 1) s) s)
+SELECT station, seq, id || '|7560' AS payload, 0 AS place FROM db WHERE isnew
+UNION ALL SELECT station, seq, id || '|' || pub, 1 FROM db WHERE pub IS NOT NULL"""
+
+
+@register("position_publish", PUBLISH_SQL)
+def q_position_publish(spark, d):
+    codes = _codes(spark, d).select("seq", "ts", "station", "bits", "code", "coordinate_text",
+                                    F.when(F.col("seq") % 5 != 0, F.substring("id", 8, 1)).alias("id"))
+    return DB.position_publish(codes).select("station", "seq", "payload", "place")
+
+
 # --- streaming forms (W2 stream, W7, S2 stream) ----------------------------
 from fabline.streaming import stream as ST  # noqa: E402
 

@@ -307,6 +307,26 @@ def test_store_merge_keeps_null_and_number_like_measurements(spark, tmp_path):
     assert sorted((r.measurement or "", r.seq) for r in got) == [("", 1), ("", 2), ("007", 2)]
 
 
+def test_series_database(spark):
+    from fabline.sources.sinks import ensure_database
+    ensure_database(spark, "fabline_series")
+    ensure_database(spark, "fabline_series")
+    assert spark.catalog.databaseExists("fabline_series")
+    spark.sql("DROP DATABASE fabline_series")
+
+
+def test_decisions_wait_for_readiness(spark):
+    from fabline.plans import jobs
+    msgs = spark.createDataFrame([(1, ts(0), "x", C.LOADING_MAT_LOADED, "x")], "seq long, ts timestamp, id string, topic string, payload string")
+    allow = spark.createDataFrame([("x", "50")], "id string, thickness string")
+    checks = spark.createDataFrame([(5, [0.0, 1.0])], "seq long, features array<double>")
+    train = spark.createDataFrame([(1, [0.0, 1.0], "good")], "vec_id long, features array<double>, label string")
+    for flag, want in ((True, "good"), (False, "unknown")):
+        ready = spark.createDataFrame([(flag,)], "ready boolean")
+        out = jobs.material_decision_job(msgs, allow, checks, train, 2, k=1, ready=ready)
+        assert [r.decision for r in out["decisions"].collect()] == [want]
+
+
 def test_kafka_seq_is_unique_over_topics_and_partitions(spark):
     from fabline.sources.messages import kafka_seq
     rows = [(t, p, o) for t in ("a", "b") for p in (0, 1, 4096, 65535) for o in (0, 1, 4096, 1 << 39)]
