@@ -1,9 +1,8 @@
 """Removal of every byte that a repeated string of ``length`` bytes covers, by hash-compared suffix sorting.
 
 All windows of ``length`` bytes of all texts would be too many to sort together, so they are first dealt out by an
-anchor: the smallest hash among the ``gram``-byte strings inside a window (its leftmost place). Equal windows have
-equal anchors at equal offsets, consecutive windows mostly share theirs, and a run of windows with one anchor
-travels as one row. Runs whose anchor string occurs once are unique. Runs that are equal as a whole are repeats as
+anchor: the ``gram``-byte string inside a window with the smallest hash. Equal windows have equal anchors at equal
+offsets, consecutive windows mostly share theirs, and a run of windows with one anchor string travels as one row. Runs whose anchor string occurs once are unique. Runs that are equal as a whole are repeats as
 a whole. Only where runs with one anchor string differ are their bytes fetched and their windows sorted as suffixes:
 a merge sort that compares two suffixes by the length of their common extension, found by binary search over prefix
 polynomial hashes; neighbours that agree for ``length`` bytes are verified byte by byte.
@@ -21,9 +20,10 @@ from pyspark.sql import functions as F
 from .common import cut, with_row_id
 
 LENGTH = 200
-GRAM = 50
-PIECE = 1 << 19  # bytes hashed at once; longer texts go in pieces that overlap by a window
-GROUP = 256  # differing runs of one anchor string that meet in one task; larger groups compare window by window
+GRAM = 100
+PIECE = 1 << 18  # bytes hashed at once; longer texts go in pieces that overlap by a window
+LONGEST = 128  # windows a run has at most, so rows bound what a task holds
+GROUP = 1024  # differing runs of one anchor string that meet in one task; larger groups compare window by window
 _rng = np.random.default_rng(20240229)
 BYTES = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -65,31 +65,43 @@ def window_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Runs of windows that share an anchor, in texts laid end to end: (first window, windows, anchor offset in
-    the first window, anchor hash, hash of the run's bytes). ``ends`` are the texts' ends in ``data``."""
+    """Runs of windows that share an anchor string, in texts laid end to end: (first window, windows, whether the
+    anchor string occurs more than once in it, anchor hash, hash of the run's bytes). ``ends`` are the texts' ends."""
     width = length - gram + 1
     if len(data) < length:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),) + (np.zeros(0, np.uint64),) * 2
     h, h2 = PrefixHashes(data, 0), PrefixHashes(data, 1)
     at = np.arange(len(data) - gram + 1)
     grams = mix(h(at, at + gram))
-    low = np.uint64((1 << 21) - 1)
-    place = (window_min((grams & ~low) | at.astype(np.uint64), width) & low).astype(np.int64)
+    low = window_min(grams, width)
     starts = np.concatenate([[0], ends[:-1]])
     limit = np.maximum(ends - length + 1, starts)  # windows of a text: starts .. limit
     fits = np.zeros(len(data) + 1, dtype=np.int8)
     np.add.at(fits, starts, 1)
     np.add.at(fits, limit, -1)
-    fits = np.cumsum(fits)[:len(place)].astype(bool)
+    fits = np.cumsum(fits)[:len(low)].astype(bool)
     new = fits.copy()
-    new[1:] &= ~fits[:-1] | (place[1:] != place[:-1])
+    new[1:] &= ~fits[:-1] | (low[1:] != low[:-1])
     new[starts[(starts < limit) & (starts < len(new))]] = True
     first = np.flatnonzero(new)
-    stop = np.minimum(np.append(first[1:], len(data)), limit[np.searchsorted(ends, first, side="right")])
-    count, anchor = stop - first, place[first]
-    offset = anchor - first
+    stop = np.minimum(np.append(first[1:], len(data))[:len(first)], limit[np.searchsorted(ends, first, side="right")])
+    parts = -(-(stop - first) // LONGEST)  # periodic text has one anchor string throughout
+    inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    first, stop = np.repeat(first, parts) + inner * LONGEST, np.repeat(stop, parts)
+    stop = np.minimum(stop, first + LONGEST)
+    offset = np.concatenate([np.zeros(0, np.int64), *(
+        (grams[f[:, None] + np.arange(width)] == low[f][:, None]).argmax(axis=1) for f in np.split(first, range(4096, len(first), 4096)))])
+    # Does the anchor string occur again inside the run? Only then can its own windows repeat.
+    edge = np.zeros(width - 1, np.uint64)
+    anchors = np.flatnonzero(grams == ~window_min(~np.concatenate([edge, low, edge]), width))
+    order = np.lexsort((anchors, grams[anchors]))
+    again = np.full(len(anchors), len(data))
+    same = np.flatnonzero(grams[anchors[order]][1:] == grams[anchors[order]][:-1])
+    again[order[same]] = anchors[order[same + 1]]
+    twice = again[np.searchsorted(anchors, first + offset)] < stop + width - 1
+    count = stop - first
     whole = mix(h2(first, stop + length - 1) + count.astype(np.uint64) * np.uint64(BASES[0]) + offset.astype(np.uint64) * np.uint64(BASES[1]))
-    return first, count, offset, grams[anchor], whole
+    return first, count, twice, low[first], whole
 
 
 def pieces(texts: list[bytes]):
@@ -175,15 +187,20 @@ def suffix_sort(data: np.ndarray, at: np.ndarray, cls: np.ndarray, length: int =
     return order, equal
 
 
-def repeated_windows(kh: np.ndarray, segments: list[bytes], count: np.ndarray, offset: np.ndarray, length: int = LENGTH):
-    """For runs (distinct within an anchor string): (run index, window in the run) of windows that another run has."""
+def repeated_windows(kh: np.ndarray, segments: list[bytes], count: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """For runs (distinct within an anchor string): (run index, window in the run) of windows that another run, or
+    another place of the same run, has. Windows can only be equal if their anchor lies equally far in."""
     data = np.frombuffer(b"".join(segments), dtype=np.uint8)
-    base = np.concatenate([[0], np.cumsum([len(s) for s in segments])[:-1]]).astype(np.int64)
+    sizes = np.array([len(s) for s in segments], dtype=np.int64)
+    base = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(segments)), count)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    left = offset[owner] - inner  # bytes of the window before its anchor
+    at = np.arange(len(data) - gram + 1)
+    anchors = np.flatnonzero(mix(PrefixHashes(data)(at, at + gram)) == np.repeat(kh, sizes)[:len(at)])
+    place = base[owner] + inner
+    left = anchors[np.searchsorted(anchors, place)] - place
     group = np.unique(kh, return_inverse=True)[1]
-    order, equal = suffix_sort(data, base[owner] + inner, group[owner] * (length + 1) + left, length)
+    order, equal = suffix_sort(data, place, group[owner] * (length + 1) + left, length)
     twin = equal.copy()
     twin[:-1] |= equal[1:]
     hit = order[twin]
@@ -196,7 +213,7 @@ def _spans(owner: np.ndarray, inner: np.ndarray):
     owner, inner = owner[order], inner[order]
     new = np.r_[True, (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)] if len(owner) else np.zeros(0, bool)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(owner)) - 1
+    last = np.append(first[1:], len(owner))[:len(first)] - 1
     return owner[first], inner[first], inner[last]
 
 
@@ -211,11 +228,11 @@ def _find_runs(batches):
         for group in pieces(texts):
             data = np.frombuffer(b"".join(p for _, _, p in group), dtype=np.uint8)
             ends = np.cumsum([len(p) for _, _, p in group])
-            first, count, offset, kh, fh = runs(data, ends[np.diff(np.r_[0, ends]) > 0])
+            first, count, twice, kh, fh = runs(data, ends[np.diff(np.r_[0, ends]) > 0])
             at = np.searchsorted(ends, first, side="right")
             row = rows[np.array([i for i, _, _ in group], dtype=np.int64)[at]]
             start = np.array([lo for _, lo, _ in group], dtype=np.int64)[at] + first - (np.r_[0, ends[:-1]])[at]
-            yield pa.RecordBatch.from_arrays([_as_long(x) for x in (kh, fh, row, start, count * 256 + offset)], ["kh", "fh", "row", "start", "shape"])
+            yield pa.RecordBatch.from_arrays([_as_long(x) for x in (kh, fh, row, start, 2 * count + twice)], ["kh", "fh", "row", "start", "shape"])
 
 
 RUN = "kh bigint, fh bigint, row bigint, start bigint, shape bigint"
@@ -229,7 +246,7 @@ def _cut_segments(batches):
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             raw = text.encode()
             for w in wanted:
-                part = raw[w["start"]:w["start"] + (w["shape"] >> 8) + LENGTH - 1]
+                part = raw[w["start"]:w["start"] + (w["shape"] >> 1) + LENGTH - 1]
                 for col, v in zip(out, (w["kh"], w["many"], w["copies"], w["row"], w["start"], w["shape"], part)):
                     col.append(v)
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -255,7 +272,7 @@ def _sorted_groups(batches):
 
 def _sort_table(t: pa.Table) -> pa.RecordBatch:
     shape = t.column("shape").to_numpy()
-    owner, inner = repeated_windows(t.column("kh").to_numpy(), t.column("bytes").to_pylist(), shape >> 8, shape & 255)
+    owner, inner = repeated_windows(t.column("kh").to_numpy().view(np.uint64), t.column("bytes").to_pylist(), shape >> 1)
     owner, first, last = _spans(owner, inner)
     once = t.column("copies").to_numpy()[owner] == 1  # whole repeats have their spans already
     owner, first, last = owner[once], first[once], last[once]
@@ -271,7 +288,7 @@ def _each_window(batches):
             segments = t.column("bytes").to_pylist()
             data = np.frombuffer(b"".join(segments), dtype=np.uint8)
             base = np.concatenate([[0], np.cumsum([len(s) for s in segments])[:-1]]).astype(np.int64)
-            count = t.column("shape").to_numpy() >> 8
+            count = t.column("shape").to_numpy() >> 1
             owner = np.repeat(np.arange(len(segments)), count)
             inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
             at = base[owner] + inner
@@ -286,12 +303,14 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     ``texts`` has row (unique) and text. A text shorter than a window has none.
     """
     found = texts.select("row", "text").mapInArrow(_find_runs, RUN)
-    often = found.groupBy("kh").count().where("count > 1").select("kh")
+    twice = (F.col("shape") % 2).cast("bigint")
+    often = found.groupBy("kh").agg(F.sum(1 + twice).alias("n")).where("n > 1").select("kh")
     known = cut(found.join(often, "kh", "left_semi"))
     distinct = known.groupBy("kh", "fh").agg(F.count("*").alias("copies"), F.min(F.struct("row", "start", "shape")).alias("first"))
-    differ = distinct.groupBy("kh").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    differ = (distinct.groupBy("kh").agg(F.count("*").alias("kinds"), F.max(F.when(F.col("copies") == 1, F.col("first.shape") % 2)).alias("twice"))
+              .where("kinds > 1 OR twice = 1").select("kh", "kinds"))
     whole = (known.join(distinct.where("copies > 1").select("kh", "fh"), ["kh", "fh"], "left_semi")
-             .select("row", "start", (F.col("start") + F.shiftright("shape", 8) + LENGTH - 1).alias("stop")))
+             .select("row", "start", (F.col("start") + F.shiftright("shape", 1) + LENGTH - 1).alias("stop")))
     wanted = (distinct.join(differ, "kh").select("kh", (F.col("kinds") > GROUP).alias("many"), "copies", "first.*")
               .groupBy(F.col("row").alias("of")).agg(F.collect_list(F.struct("kh", "many", "copies", "row", "start", "shape")).alias("wanted")))
     segments = texts.join(wanted, F.col("row") == F.col("of")).drop("of").mapInArrow(_cut_segments, SEGMENT)
