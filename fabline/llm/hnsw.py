@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import finite, matrix, meet
+from .blocks import finite, matrix, meet, search_groups
 from .common import cut, with_row_id
 
 WIDTH = 4  # nodes expanded a step
@@ -151,7 +151,7 @@ class Graph:
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 256, links: int = 16, id_col: str = "vec_id",
-            vec_col: str = "embedding", block: int = 16384, shard: int = 65536, least_shards: int = 8) -> DataFrame:
+            vec_col: str = "embedding", block: int = 1 << 20, shard: int = 65536, least_shards: int = 8) -> DataFrame:
     """For each row whose id is divisible by ``every``: query_id, rank (from 1), vec_id, score of the k nearest found.
 
     Nearness is the inner product in double precision, ties to the smaller id. Vectors that are null, zero or hold
@@ -168,25 +168,25 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 256, lin
                 .withColumn("dims", F.size("vec")))
     asked = rows.where(F.col("id") % every == 0)
     asking = cut(asked.groupBy("vec").agg(F.min("row").alias("row")).withColumn("dims", F.size("vec")))
-    parts = meet(asking, index, asking.count(), index.count(), block, shard, least_shards)
-
-    def search(key, group):
-        is_query = group.column("is_query").to_numpy(zero_copy_only=False).astype(bool)
-        group = group.select(["row", "vec", "ids"])
-        q, c = group.filter(pa.array(is_query)), group.filter(pa.array(~is_query)).sort_by("row")
-        out = ([], [], [], [])
-        if q.num_rows and c.num_rows:
-            x, ids = matrix(c.column("vec"), np.float64), c.column("ids").to_pylist()
-            for row, vec, at in zip(q.column("row").to_pylist(), (qs := matrix(q.column("vec"), np.float64)),
-                                    Graph(x, links).search(qs, k + 1, ef)):
-                score = x[at] @ vec
-                found = sorted((-s, i["id"], i["row"]) for s, a in zip(score.tolist(), at.tolist()) for i in ids[a])[:k + 1]
-                for col, v in zip(out, ([row] * len(found), [f[1] for f in found], [f[2] for f in found], [-f[0] for f in found])):
-                    col.extend(v)
+    parts, groups = meet(asking, index, block, shard, least_shards)
+
+    def build(t):
+        t = t.select(["row", "vec", "ids"]).sort_by("row")
+        x = matrix(t.column("vec"), np.float64)
+        return Graph(x, links), x, t.column("ids").to_pylist()
+
+    def search(built, q):
+        graph, x, ids = built
+        out, vectors_ = ([], [], [], []), matrix(q.column("vec"), np.float64)
+        for row, vec, at in zip(q.column("row").to_pylist(), vectors_, graph.search(vectors_, k + 1, ef)):
+            score = x[at] @ vec
+            found = sorted((-s, i["id"], i["row"]) for s, a in zip(score.tolist(), at.tolist()) for i in ids[a])[:k + 1]
+            for col, v in zip(out, ([row] * len(found), [f[1] for f in found], [f[2] for f in found], [-f[0] for f in found])):
+                col.extend(v)
         return pa.table({"asking": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
                          "row": pa.array(out[2], pa.int64()), "score": pa.array(out[3], pa.float64())})
 
-    found = parts.groupBy("dims", "block", "shard").applyInArrow(search, "asking bigint, vec_id bigint, row bigint, score double")
+    found = search_groups(parts, groups, "asking bigint, vec_id bigint, row bigint, score double", build, search)
     best = Window.partitionBy("asking").orderBy(F.col("score").desc(), "vec_id", "row")
     merged = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
     by_query = (asked.select(F.col("id").alias("query_id"), F.col("row").alias("query_row"), "vec")

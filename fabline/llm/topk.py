@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import finite, matrix, meet
+from .blocks import finite, matrix, meet, search_groups
 from .common import cut, with_row_id
 
 EXACT = float(1 << 53)
@@ -67,7 +67,7 @@ def quantised(vectors: DataFrame, factor: int = 256, id_col: str = "vec_id", vec
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, factor: int = 256, id_col: str = "vec_id", vec_col: str = "embedding",
-          block: int = 16384, shard: int = 65536, least_shards: int = 16) -> DataFrame:
+          block: int = 1 << 20, shard: int = 65536, least_shards: int = 16) -> DataFrame:
     """For each row whose id is divisible by ``every``: query_id, rank (from 1), vec_id, score of its k best.
 
     Candidates are all other rows of the same length; ties go to the smaller id. Rows with a null id are
@@ -76,27 +76,28 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, factor: int = 256, id
     """
     rows = cut(quantised(vectors, factor, id_col, vec_col).withColumn("dims", F.size("vec")))
     queries = rows.where(F.col("id") % every == 0)
-    parts = meet(queries, rows, queries.count(), rows.count(), block, shard, least_shards)
+    parts, groups = meet(queries, rows, block, shard, least_shards)
 
-    def search(key, group):
-        is_query = group.column("is_query").to_numpy(zero_copy_only=False).astype(bool)
-        q, c = group.filter(pa.array(is_query)), group.filter(pa.array(~is_query))
+    def build(t):
+        # Null ids sort last among ties.
+        ids = np.array([LONG[1] if i is None else i for i in t.column("id").to_pylist()], dtype=np.int64)
+        null = np.array(t.column("id").is_null().to_pylist(), dtype=bool)
+        vertical = Vertical(matrix(t.column("vec"), np.int64), ids, t.column("row").to_numpy())
+        return vertical, set(t.column("row").to_numpy()[null].tolist())
+
+    def search(index, q):
+        vertical, nulls = index
         out = ([], [], [], [], [])
-        if q.num_rows and c.num_rows:
-            ids = np.array([LONG[1] if i is None else i for i in c.column("id").to_pylist()], dtype=np.int64)
-            null = np.array(c.column("id").is_null().to_pylist())
-            table = Vertical(matrix(c.column("vec"), np.int64), ids, c.column("row").to_numpy())
-            nulls = set(c.column("row").to_numpy()[null].tolist())
-            for row, qid, vec in zip(q.column("row").to_pylist(), q.column("id").to_pylist(), matrix(q.column("vec"), np.int64)):
-                at, scores = table.top(vec, row, k)
-                out[0].extend([row] * len(at))
-                out[1].extend([qid] * len(at))
-                out[2].extend(None if r in nulls else i for i, r in zip(table.ids[at].tolist(), table.rows[at].tolist()))
-                out[3].extend(scores)
-                out[4].extend(table.rows[at].tolist())
+        for row, qid, vec in zip(q.column("row").to_pylist(), q.column("id").to_pylist(), matrix(q.column("vec"), np.int64)):
+            at, scores = vertical.top(vec, row, k)
+            out[0].extend([row] * len(at))
+            out[1].extend([qid] * len(at))
+            out[2].extend(None if r in nulls else i for i, r in zip(vertical.ids[at].tolist(), vertical.rows[at].tolist()))
+            out[3].extend(scores)
+            out[4].extend(vertical.rows[at].tolist())
         return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(("query_row", "query_id", "vec_id", "score", "row"), out)})
 
-    found = parts.groupBy("dims", "block", "shard").applyInArrow(search, "query_row bigint, query_id bigint, vec_id bigint, score bigint, row bigint")
+    found = search_groups(parts, groups, "query_row bigint, query_id bigint, vec_id bigint, score bigint, row bigint", build, search)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
