@@ -14,7 +14,7 @@ Each returns a dict of DataFrames; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
@@ -50,8 +50,8 @@ def training_data_job(records: DataFrame, min_sets: int = C.MIN_SETS_FOR_ML,
         "quality", F.try_element_at(F.split("line", ";"), F.lit(2)))
     daily = A.daily_quality(parsed)
     ready = A.train_ready(daily, min_sets)
-    files = batches.groupBy("series", "batch_no").agg(F.max("ts").alias("file_ts"))
-    recs = batches.join(files, ["series", "batch_no"]).withColumnRenamed("quality", "label")
+    one_file = Window.partitionBy("series", "batch_no")  # a batch of ``batch`` rows
+    recs = batches.withColumn("file_ts", F.max("ts").over(one_file)).withColumnRenamed("quality", "label")
     train = A.train_cap(recs, file_cols=("series", "batch_no"), file_order=("file_ts",), min_sets=min_sets)
     return {"batches": batches, "lines": lines, "daily": daily, "ready": ready, "training_set": train,
             "left_in_store": SK.series_purge(records, batches)}

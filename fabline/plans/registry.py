@@ -7,7 +7,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
@@ -229,8 +229,8 @@ FROM batches b JOIN run r USING (series, batch_no)
 WHERE NOT (r.bg > 150 AND r.bd1 > 150 AND r.bd2 > 150)""")
 def q_train_cap(spark, d):
     b = SK.export_batches(AD.series_rows(spark, d))
-    files = b.groupBy("series", "batch_no").agg(F.max("ts").alias("file_ts"))
-    recs = b.join(files, ["series", "batch_no"]).withColumnRenamed("quality", "label")
+    one_file = Window.partitionBy("series", "batch_no")  # a batch of 50 rows
+    recs = b.withColumn("file_ts", F.max("ts").over(one_file)).withColumnRenamed("quality", "label")
     kept = A.train_cap(recs, file_cols=("series", "batch_no"), file_order=("file_ts",))
     return kept.select("series", "batch_no", "seq", "label")
 
