@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +53,22 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def few_rows(batches, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so a task holds few whole texts as Python objects at once.
+
+    Workers serve many tasks: memory that a task has freed goes back to the system at its end.
+    """
+    try:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                yield batch.slice(lo, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

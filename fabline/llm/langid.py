@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import few_rows, fresh
 from .token_count import slices
 
 BITS = 15
@@ -89,7 +89,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     """In how many rows of (text) each slot occurs, over all rows; per task at most one row per slot."""
     def run(batches):
         seen = np.zeros(SLOTS + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = [t for t in batch.column(0).to_pylist() if t]
             for a, b in slices(list(map(len, rows)), BLOCK_CHARS):
                 _, size, slots = ngram_slots(rows[a:b])
@@ -113,7 +113,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 def sample_features(rows: DataFrame) -> list:
     """Sparse counts of the sample's texts: rows (id, lang, slots, counts, grams)."""
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = ([], [], [], [])
             for lang, t in zip(langs, texts):
@@ -207,7 +207,7 @@ def predict(docs: DataFrame, model: Model, out: tuple[str, str] = ("lang_pred",
     shape = docs.select(*cols).schema.add(out[0], "string").add(out[1], "double")
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             lang, score = model.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=[f.name for f in shape.fields])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, few_rows
 from .token_count import slices
 
 SPECIAL = "<|endoftext|>"
@@ -36,7 +36,7 @@ class ChunkIds(dict):
     are encoded with the same vocabulary's rank file, where one is given, which is faster on short strings.
     """
 
-    def __init__(self, tokenizer_file: str, rank_file: str | None = None, limit: int = 600_000):
+    def __init__(self, tokenizer_file: str, rank_file: str | None = None, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -90,7 +90,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, size: int = 1024, end_id: int =
         if tokenizer_file not in _CHUNKS:
             _CHUNKS[tokenizer_file] = ChunkIds(tokenizer_file, rank_file)
         ids_of = _CHUNKS[tokenizer_file]
-        for batch in batches:
+        for batch in few_rows(batches, 2000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(list(map(len, texts)), 1 << 22):
                 row, piece, start, length, crc = [], [], [], [], []
@@ -109,6 +109,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, size: int = 1024, end_id: int =
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
+        ids_of.clear()  # workers outlive this stage
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, fresh, with_row_id
+from .common import components, cut, few_rows, fresh, with_row_id
 from .token_count import slices
 
 SEED = 42
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, blocks
     shape = rows.select(*names).schema.add("fp", "long")
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             fp = fingerprints(batch.column(len(names)).to_pylist(), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fp, pa.int64())], names=[*names, "fp"])
 

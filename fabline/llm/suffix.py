@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, with_row_id
+from .common import cut, few_rows, with_row_id
 
 LENGTH = 200
 GRAM = 100
@@ -222,7 +222,7 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 
 def _find_runs(batches):
-    for batch in batches:
+    for batch in few_rows(batches):
         rows = batch.column(0).to_numpy()
         texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
         for group in pieces(texts):
@@ -241,7 +241,7 @@ SEGMENT = "kh bigint, many boolean, copies bigint, row bigint, start bigint, sha
 
 def _cut_segments(batches):
     """Bytes of the wanted runs of each text."""
-    for batch in batches:
+    for batch in few_rows(batches):
         out = [[] for _ in range(7)]
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             raw = text.encode()
@@ -360,7 +360,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.binary()] * with_kept
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             out = [[] for _ in names]
             for text, starts, stops in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "stops"))):
                 raw = (text or "").encode()
@@ -387,7 +387,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rows = _with_spans(texts)
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             kept = []
             for text, starts, stops in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "stops"))):
                 kept.append(_kept(text.encode(), removed(starts, stops)).decode("utf-8", "ignore") if starts else text)

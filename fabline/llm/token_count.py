@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import few_rows
+
 SPACE = "▁"
 MARKED = (SPACE, "\n")
 NO_PAIR = np.iinfo(np.int64).max
@@ -200,7 +202,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, id_col: st
 
     def run(batches):
         merger = _merger(model_file)
-        for batch in batches:
+        for batch in few_rows(batches, 2000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sizes = [len(t.encode()) for t in texts]
             counts = []
