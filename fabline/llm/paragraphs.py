@@ -11,13 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, with_row_id
+from .common import components, cut, few_rows, with_row_id
 from .simhash import settle
-from .suffix import mix, window_min
+from .suffix import PrefixHashes, _powers, mix, window_min
 from .token_count import slices
 
 SHINGLE = 5
@@ -30,34 +29,40 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 FACTORS = np.random.default_rng(77).integers(0, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+#: Blanks and the lower case of A-Z, by byte.
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+PIECE = 1 << 20
 
 
-_WORDS = WordHashes()
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words data[start:end], a bounded stretch of text at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for lo in range(0, len(data), PIECE):
+        a, b = np.searchsorted(start, [lo, lo + PIECE])
+        if a < b:
+            h = PrefixHashes(data[start[a]:end[b - 1]])
+            out.append(mix(h(start[a:b] - start[a], end[a:b] - start[a])))
+    return np.concatenate(out)
 
 
 class Words:
     """The words of some texts end to end: value hashes, text and line ends, hashes of any stretch."""
 
     def __init__(self, texts: list[str]):
-        words, self.text_ends, self.line_ends = [], [], []
-        for t in texts:
-            for line in t.encode().lower().split(b"\n"):
-                if part := line.split():
-                    words.extend(part)
-                    self.line_ends.append(len(words))
-            self.text_ends.append(len(words))
-        n = len(words)
-        value = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=n)
-        power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, BASE)]))
-        self.inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, np.uint64(pow(int(BASE), -1, 1 << 64)))]))
+        raw = [t.encode() + b"\n" for t in texts]
+        data = LOWER[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+        blank = BLANK[data]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank]).astype(np.int8)))  # word starts and ends in turn
+        start, end = edge[::2], edge[1::2]
+        value = word_hashes(data, start, end)
+        self.text_ends = np.searchsorted(start, np.cumsum([len(t) for t in raw])).astype(np.int64)
+        ends = np.unique(np.searchsorted(start, np.flatnonzero(data == 10)))
+        self.line_ends = ends[ends > 0].astype(np.int64)
+        n = len(value)
+        power, self.inverse = _powers(n + 1)[0]
         self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * power[:n])])
-        self.text_ends, self.line_ends = np.array(self.text_ends, np.int64), np.array(self.line_ends, np.int64)
         at = np.arange(max(0, n - SHINGLE + 1))
         self.grams = mix(self.hash(at, at + SHINGLE))
 
@@ -117,7 +122,7 @@ def _long(x):
 
 
 def _blocks(batches):
-    for batch in batches:
+    for batch in few_rows(batches):
         for rows, w in _groups(batch):
             at = w.blocks()
             text, place = w.in_text(at)
@@ -125,7 +130,7 @@ def _blocks(batches):
 
 
 def _lines(batches):
-    for batch in batches:
+    for batch in few_rows(batches):
         for rows, w in _groups(batch):
             start, end = w.lines()
             text, place = w.in_text(start)
@@ -136,7 +141,7 @@ def _lines(batches):
 
 def _line_shingles(batches):
     """Each line's set of shingle hashes (32 bits each, sorted)."""
-    for batch in batches:
+    for batch in few_rows(batches):
         for _, w in _groups(batch):
             start, end = w.lines()
             short = (w.grams >> np.uint64(32)).astype("<u4")
@@ -185,11 +190,12 @@ def _verify(batches):
 
 
 def line_links(texts: DataFrame, lines: DataFrame) -> DataFrame:
-    """Links (a, b) of similar lines among the distinct ``lines`` (h, bands) of ``texts``."""
+    """Links (a, b) of similar lines among ``lines`` (h, bands) of ``texts``; equal lines share h."""
     banded = lines.select("h", F.posexplode("bands").alias("t", "key"))
-    met = banded.groupBy("t", "key").count().where("count > 1")
-    pairs = cut(banded.join(met, ["t", "key"]))
-    wanted = pairs.select("h").distinct()
+    met = banded.groupBy("t", "key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("t", "key")
+    found = cut(banded.join(met, ["t", "key"], "left_semi").distinct())
+    pairs = found.join(found.groupBy("t", "key").count(), ["t", "key"])
+    wanted = found.select("h").distinct()
     sets = (texts.select("row", "text").mapInArrow(_line_shingles, "h bigint, shingles binary")
             .join(wanted, "h", "left_semi").groupBy("h").agg(F.min("shingles").alias("shingles")))
     n = F.ceil(F.col("count") / CHUNK).cast("int")
@@ -214,9 +220,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = (blocks.join(often, "h", "left_semi")
              .select("row", "start", F.lit(LEAST).alias("words"), F.lit("block").alias("kind"), F.col("h").alias("component")))
     shape = "h bigint, row bigint, start int, words int, bands array<bigint>"
-    lines = only.mapInArrow(_lines, shape)
-    distinct = cut(lines.groupBy("h").agg(F.min("bands").alias("bands"), F.min("row").alias("lo"), F.max("row").alias("hi")))
-    roots = components(line_links(texts, distinct.select("h", "bands")))
+    lines = cut(only.mapInArrow(_lines, shape))
+    distinct = lines.groupBy("h").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+    roots = components(line_links(texts, lines.select("h", "bands")))
     classed = distinct.join(roots, distinct["h"] == roots["node"], "left").select("h", "lo", "hi", F.coalesce("root", "h").alias("root"))
     spread = classed.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("root")
     kept = classed.join(spread, "root", "left_semi").select("h", F.col("root").alias("component"))
