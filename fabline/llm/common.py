@@ -32,6 +32,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _cut_plain(df: DataFrame) -> DataFrame:
+    """``cut`` without the size estimate of ``df``'s plan. A checkpoint keeps that estimate, and joins multiply it, so in
+    a loop of joins it doubles its digits each time until planning stands still."""
+    stored = cut(df)
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(stored._jdf.toJavaRDD(), stored._jdf.schema()), spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -73,24 +81,39 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, root), root the smallest node reachable.
 
-    Minimum-label propagation with pointer jumping. Each round is joins and partial minima on the link
-    table, cut into the shared folder, so neither a component nor a hub's links ever meet in one task.
+    Each round every node picks its smallest neighbour, whatever its own number. Only two nodes that pick each other
+    form a ring (by the order of links as (smaller, larger), no longer ring can close), so the picks are trees of two
+    nodes at least; pointer jumping brings each to its root and the links between roots are the next round's. A round
+    at least halves the nodes that have links, however they are numbered, so there are at most log2(nodes) rounds,
+    each over fewer links. All are joins and partial minima on tables cut into the shared folder, so neither a
+    component nor a hub's links ever meet in one task.
     """
-    spark = edges.sparkSession
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _cut_plain(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
                .where("a <> b").distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                 .select("node", F.least("node", "m").alias("root")))
-    for _ in range(max_rounds):
-        near = (both.join(labels.select(F.col("node").alias("b"), "root"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        step = (labels.join(near, "node").select("node", "root", F.least("root", "near").alias("low")))
-        jump = labels.select(F.col("node").alias("low"), F.col("root").alias("lower"))
-        after = cut(step.join(jump, "low").select("node", F.least("low", "lower").alias("root"), F.col("root").alias("old")))
-        labels = after.select("node", "root")
-        if after.where("root <> old").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle; raise max_rounds")
+    rounds = []
+    while not rounds or not both.isEmpty():
+        up = _roots(_cut_plain(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up"))))
+        rounds.append(up)
+        both = _cut_plain(both.join(up.select(F.col("node").alias("a"), F.col("up").alias("c")), "a")
+                   .join(up.select(F.col("node").alias("b"), F.col("up").alias("d")), "b")
+                   .where("c <> d").select(F.col("c").alias("a"), F.col("d").alias("b")).distinct())
+    labels = rounds.pop()
+    while rounds:  # a root that has no links left in the next round stays
+        last = labels.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        labels = _cut_plain(rounds.pop().join(last, "up", "left").select("node", F.coalesce("top", "up").alias("up")))
+    least = labels.groupBy("up").agg(F.min("node").alias("root"))
+    return _cut_plain(labels.join(least, "up").select("node", "root"))
+
+
+def _roots(up: DataFrame) -> DataFrame:
+    """(node, up) with ``up`` the tree's root: of two nodes that point at each other the smaller one."""
+    while True:
+        over = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        after = _cut_plain(up.join(over, "up").select(
+            "node", F.when(F.col("top") == F.col("node"), F.least("node", "up")).otherwise(F.col("top")).alias("up"), F.col("up").alias("old")))
+        up = after.select("node", "up")
+        if after.where("up <> old").isEmpty():
+            return up

@@ -134,6 +134,15 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(31)}, 200: 0, 100: 100, 101: 100}
 
 
+def test_components_of_long_chains(spark):
+    r = np.random.default_rng(5)
+    names = r.permutation(3001).tolist()
+    edges = list(zip(names, names[1:])) + [(5000 + i, 9000) for i in range(300)] + [(9000, 9001), (9001, 9002)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(3001)}, **{5000 + i: 5000 for i in range(300)}, **{9000 + i: 5000 for i in range(3)}}
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
 def _norm(v):
     return round(v, 6) if isinstance(v, float) else v
 
