@@ -1,7 +1,8 @@
 """Substring dedup on paragraphs: MinHash banding, exact Jaccard, components.
 
-Paragraphs are of two kinds. Lines of ``LEAST`` words or more are compared by their five-word shingles: bands tuned
+Paragraphs are of two kinds. Lines of ``SHINGLE`` words or more are compared by their five-word shingles: bands tuned
 for high recall bring likely pairs together, the exact Jaccard similarity decides, and components form the classes.
+Shorter lines have no shingle and form a class when their words are equal.
 Passages that sit inside longer text have no line of their own; for them every text also yields blocks of ``LEAST``
 words that begin at content-chosen places (the smallest shingle hash of any ``WINDOW`` in a row), so any passage of
 ``WINDOW + LEAST`` words has a whole block in every text that holds it. Blocks form a class when they are equal.
@@ -93,13 +94,11 @@ class Words:
         return first[fits]
 
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, end) of the lines that are long enough."""
-        start = np.r_[0, self.line_ends[:-1]] if len(self.line_ends) else self.line_ends
-        long = self.line_ends - start >= LEAST
-        return start[long], self.line_ends[long]
+        """(first word, end) of the lines."""
+        return (np.r_[0, self.line_ends[:-1]] if len(self.line_ends) else self.line_ends), self.line_ends
 
     def bands(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Band keys (lines, BANDS) of the lines' shingle sets."""
+        """Band keys (lines, BANDS) of the lines' shingle sets; every line has a shingle."""
         if not len(start):
             return np.zeros((0, BANDS), np.uint64)
         edges = np.column_stack([start, end - SHINGLE + 1]).ravel()
@@ -134,7 +133,9 @@ def _lines(batches):
         for rows, w in _groups(batch):
             start, end = w.lines()
             text, place = w.in_text(start)
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1) * BANDS, pa.int32()), _long(w.bands(start, end).ravel()))
+            long = end - start >= SHINGLE
+            ends = np.r_[0, np.cumsum(long)] * BANDS
+            keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _long(w.bands(start[long], end[long]).ravel()))
             yield pa.RecordBatch.from_arrays([_long(w.hash(start, end)), _long(rows[text]), pa.array(place, pa.int32()), pa.array(end - start, pa.int32()), keys],
                                              ["h", "row", "start", "words", "bands"])
 
@@ -144,6 +145,8 @@ def _line_shingles(batches):
     for batch in few_rows(batches):
         for _, w in _groups(batch):
             start, end = w.lines()
+            long = end - start >= SHINGLE
+            start, end = start[long], end[long]
             short = (w.grams >> np.uint64(32)).astype("<u4")
             sets = [np.unique(short[a:b - SHINGLE + 1]).tobytes() for a, b in zip(start.tolist(), end.tolist())]
             yield pa.RecordBatch.from_arrays([_long(w.hash(start, end)), pa.array(sets, pa.binary())], ["h", "shingles"])

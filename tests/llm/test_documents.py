@@ -10,7 +10,7 @@ import pytest
 
 from fabline.llm import langid, mixing, packing, paragraphs, simhash, suffix, token_count
 
-from .conftest import hard_documents
+from .conftest import hard_documents, write
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORD = rb"[^\x20\x09-\x0D]+"
@@ -296,6 +296,23 @@ def test_similar_lines_form_classes(spark, tmp_path, monkeypatch, chunk):
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def test_short_lines_form_classes(spark, tmp_path):
+    near = [f"n{k}" for k in range(20)]
+    texts = ["\n".join(["Read more", "one two three four five", "a b c d e f g h i", " ".join(near), f"own line {i}"]) for i in range(3)]
+    texts[1] = texts[1].replace("n19", "x19")
+    texts += ["read  MORE\na b c d e f g h z", "a b c d e f g h i", "more", "\n \n", "", None]
+    write(spark, tmp_path, list(enumerate(texts)), "doc_id long, text string")
+    rows = paragraphs.repeated_paragraphs(spark.read.parquet(f"{tmp_path}/t.parquet")).collect()
+    got = defaultdict(set)
+    for r in (r for r in rows if r.kind == "line"):
+        got[r.component].add((r.doc_id, r.start, r.words, r.removed))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, [
+        {(0, 0, 2, False), (1, 0, 2, True), (2, 0, 2, True), (3, 0, 2, True)},
+        {(0, 2, 5, False), (1, 2, 5, True), (2, 2, 5, True)},
+        {(0, 7, 9, False), (1, 7, 9, True), (2, 7, 9, True), (4, 0, 9, True)},
+        {(0, 16, 20, False), (1, 16, 20, True), (2, 16, 20, True)}]))
+
+
 # 10 language
 
 def test_language(docs):
