@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import hnsw, langid, mixing, packing, paragraphs, simhash, suffix, token_count, topk, urls
+from . import audit, hnsw, langid, merkle, mixing, packing, paragraphs, simhash, slack, suffix, token_count, topk, urls
 from .common import table
 
 SIZE = 1024
@@ -51,6 +51,19 @@ def op10_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return audit.filter_audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def op12_merkle(spark, sf_dir):
+    return merkle.document_manifest(table(spark, sf_dir, "documents")).drop("path")
+
+
+def op13_bin_slack(spark, sf_dir):
+    return slack.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SIZE, 0,
+                                rank_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_hnsw": op2_hnsw,
@@ -62,5 +75,9 @@ QUERIES = {
     "op8_best_fit": op8_best_fit,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_language_id": op10_language_id,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_merkle": op12_merkle,
+    "op13_bin_slack": op13_bin_slack,
 }
-ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE, "op4_url_filter": urls.oracle(), "op7_exact_topk": topk.ORACLE}
+ORACLE: dict[str, str] = {"op3_mix": mixing.ORACLE, "op4_url_filter": urls.oracle(), "op7_exact_topk": topk.ORACLE,
+                          "op11_filter_audit": audit.ORACLE, "op12_merkle": merkle.ORACLE}
