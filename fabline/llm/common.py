@@ -71,10 +71,15 @@ def few_rows(batches, rows: int = 1000) -> Iterator[pa.RecordBatch]:
             for lo in range(0, batch.num_rows, rows):
                 yield batch.slice(lo, rows)
     finally:
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system; the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def ascii_lower(col):

@@ -10,7 +10,6 @@ prefix count. The result is the packing that best-fit decreasing gives for all p
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -18,64 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, few_rows
+from .common import cut, few_rows, give_back
+from .text_ids import TextIds
 from .token_count import slices
 
-SPECIAL = "<|endoftext|>"
-BLANKS = re.compile(r"\s\s|\s\Z")
-BEYOND = re.compile("[^\x00-\u024f]")
 BUCKETS = 256
 
 
-class ChunkIds(dict):
-    """Token ids (little-endian bytes) of the chunks between blanks, each encoded once.
-
-    A single blank or line break before other text always starts a new pre-token, so a chunk that begins
-    there has the ids it has in the whole text. Texts with two blanks in a row, a blank at their end or
-    the special string go to the tokenizer whole, and so do chunks beyond the Latin letters. The others
-    are encoded with the same vocabulary's rank file, where one is given, which is faster on short strings.
-    """
-
-    def __init__(self, tokenizer_file: str, rank_file: str | None = None, limit: int = 300_000):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tok, self.fast, self.limit = Tokenizer.from_file(tokenizer_file), None, limit
-        if rank_file:
-            import base64
-
-            import public_tokenizers
-            import tiktoken
-
-            with open(rank_file, "rb") as f:
-                ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        marked = chunk if chunk[0] == "\n" else " " + chunk
-        if self.fast and not BEYOND.search(chunk):
-            ids = np.array(self.fast.encode_ordinary(marked), dtype="<u4").tobytes()
-        else:
-            ids = self.encode(marked)
-        self[chunk] = ids
-        return ids
-
-    def text(self, t: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit bytes."""
-        if SPECIAL in t or BLANKS.search(t):
-            return self.encode(t)
-        first, *rest = t.replace("\n", " \n").split(" ")
-        if len(self) > self.limit:
-            self.clear()
-        return (self.encode(first) if first else b"") + b"".join(map(self.__getitem__, rest))
-
-
-_CHUNKS: dict[str, ChunkIds] = {}
-
-
 def pieces(docs: DataFrame, tokenizer_file: str, size: int = 1024, end_id: int = 2, id_col: str = "doc_id",
            text_col: str = "text", rank_file: str | None = None) -> DataFrame:
     """Tokenise each document, append ``end_id``, and cut those longer than ``size`` into ``size``-token pieces.
@@ -87,15 +35,13 @@ def pieces(docs: DataFrame, tokenizer_file: str, size: int = 1024, end_id: int =
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        if tokenizer_file not in _CHUNKS:
-            _CHUNKS[tokenizer_file] = ChunkIds(tokenizer_file, rank_file)
-        ids_of = _CHUNKS[tokenizer_file]
-        for batch in few_rows(batches, 2000):
+        ids_of = TextIds(tokenizer_file, rank_file)
+        for batch in few_rows(batches, 500):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(list(map(len, texts)), 1 << 22):
                 row, piece, start, length, crc = [], [], [], [], []
                 for i in range(a, b):
-                    raw = ids_of.text(texts[i]) + tail
+                    raw = ids_of.of(texts[i]).tobytes() + tail
                     n = len(raw) // 4
                     at, k = 0, 0
                     while at < n:
@@ -109,7 +55,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, size: int = 1024, end_id: int =
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
-        ids_of.clear()  # workers outlive this stage
+        del ids_of  # workers outlive the task
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")

@@ -14,7 +14,6 @@ fill no window are cut alike and laid out in sequences of power-of-two length, w
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict, deque
 
@@ -23,43 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, few_rows, with_row_id
+from .common import cut, few_rows, give_back, with_row_id
+from .text_ids import TextIds
 
-SPECIAL = "<|endoftext|>"
-BEYOND = re.compile("[^\x00-\u024f]")
-BLANKS = re.compile(r"\s{1000}")  # the pattern's lookahead goes back over a run of blanks one by one
 PART_BITS = 33  # monotonically_increasing_id: partition number above, place in it below
 
 
-class TextIds:
-    """Token ids of whole texts as little-endian unsigned 32-bit numbers.
-
-    The vocabulary's rank file, where one is given, encodes plain Latin texts; texts with the special string, with
-    other letters or with very long runs of blanks go to the tokenizer, which is loaded only then.
-    """
-
-    def __init__(self, tokenizer_file: str, rank_file: str | None = None):
-        self.file, self.tok, self.fast = tokenizer_file, None, None
-        if rank_file:
-            import base64
-
-            import public_tokenizers
-            import tiktoken
-
-            with open(rank_file, "rb") as f:
-                ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def of(self, text: str) -> np.ndarray:
-        if self.fast and SPECIAL not in text and not BEYOND.search(text) and not BLANKS.search(text):
-            return np.array(self.fast.encode_ordinary(text), dtype="<u4")
-        if self.tok is None:
-            from tokenizers import Tokenizer
-
-            self.tok = Tokenizer.from_file(self.file)
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-
 def halves(length: int) -> list[tuple[int, int]]:
     """(start, length) of the parts a piece may be cut into: the powers of two of its length, longest first."""
     out, at = [], 0
@@ -98,6 +66,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, size: int = 1024, end_id: int =
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(tokens, pa.int64()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(parts, pa.list_(pa.int64()))],
                 ["id", "doc_tokens", "start", "length", "ids_crc32", "parts"])
+        del ids_of  # workers outlive the task
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint, parts array<bigint>")
