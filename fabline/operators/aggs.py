@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
-from fabline.operators.ordered import day_bucket, prefix_sum
+from fabline.operators.ordered import day_bucket, null_safe_join, prefix_sum
 
 
 def _count_if(c: Column) -> Column:
@@ -126,4 +126,4 @@ def train_cap(records: DataFrame, file_cols=("file_id",), file_order=("file_orde
     for c in C.CLASSES:
         full = full & (F.col(f"b_{c}") > min_sets)
     kept = before.where(~full).select(*file_cols)
-    return records.join(kept, list(file_cols), "left_semi")
+    return null_safe_join(records, kept, list(file_cols), "left_semi")

@@ -121,9 +121,10 @@ def window_seconds(window: str) -> float:
 
 # --- W3 ---------------------------------------------------------------------
 def watermark_late(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay_ms: int = 0,
-                   arrival_width: int = 1_000_000) -> DataFrame:
+                   arrival_width: int = 1_000_000, newest=None) -> DataFrame:
     """Flag rows that arrive behind the watermark: ``ts`` older than the
     newest ``ts`` seen before them (in ``arrival`` order) minus ``delay_ms``.
+    ``newest`` is the newest time of rows that arrived before all of ``df``.
 
     The running maximum works per arrival bucket (``arrival // width``) in
     parallel and carries earlier buckets' maxima through a small table.
@@ -135,6 +136,6 @@ def watermark_late(df: DataFrame, ts: str = "ts", arrival: str = "seq", delay_ms
     w_b = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carried = per.select("__b", F.max("__bmax").over(w_b).alias("__cmax"))
     j = null_safe_join(local, carried, ["__b"])
-    wm = F.greatest(F.col("__lmax"), F.col("__cmax"))
+    wm = F.greatest(F.col("__lmax"), F.col("__cmax"), F.lit(newest).cast(df.schema[ts].dataType))
     late = F.coalesce(F.col(ts) < wm - F.expr(f"INTERVAL {delay_ms} MILLISECONDS"), F.lit(False))
     return j.withColumn("is_late", late).drop("__b", "__lmax", "__cmax")

@@ -1005,21 +1005,32 @@ def q_position_publish(spark, d):
 
 
 # --- streaming forms (W2 stream, W7, S2 stream) ----------------------------
+from fabline.operators.triggers import window_seconds  # noqa: E402
+from fabline.sources import store as STORE  # noqa: E402
+from fabline.streaming import stateful as SF  # noqa: E402
 from fabline.streaming import stream as ST  # noqa: E402
 
 
-def _land(df: DataFrame, path: str, slices: int = 6, rows: int = 1_000_000, end: dict | None = None) -> str:
-    """Land rows as the stream's input files, one time slice after the other; returns the slice length.
+SLICE = "5 days"
 
-    Files hold at most about ``rows`` rows; rows lie in no order within a slice, so a delay of one slice covers them.
-    ``end`` lands one closing row, later than all others by two slices, that lets the watermark pass them.
+
+def _land(df: DataFrame, path: str, by: str = "ts", rows: int = 1_000_000, end: dict | None = None) -> str:
+    """Land rows as the stream's input files, one slice of time after the other; returns the slice length.
+
+    Slices are ``SLICE`` long whatever the table (six equal runs of numbers if ``by`` is a number); files hold at most
+    about ``rows`` rows, in no order within a slice, so a delay of one slice covers them. Rows without a time come with
+    the first slice. ``end`` lands one closing row, later than all others by two slices, that lets the watermark pass them.
     """
-    lo, hi, n = df.select(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts")), F.count(F.lit(1))).first()
-    length = (hi - lo) // slices + 1
+    at = F.unix_micros("ts") if by == "ts" else F.col(by)
+    lo, hi, n = df.select(F.min(at), F.max(at), F.count(F.lit(1))).first()
+    if lo is None:
+        lo = hi = 0
+    length = int(window_seconds(SLICE) * 1_000_000) if by == "ts" else (hi - lo) // 6 + 1
+    slices = (hi - lo) // length + 1
     files = max(1, -(-n // (slices * rows)))
-    at = df.withColumn("__slice", F.floor((F.unix_micros("ts") - lo) / length))
+    cut = df.withColumn("__slice", F.coalesce(F.floor((at - lo) / length), F.lit(0)))
     for i in range(slices):
-        at.where(F.col("__slice") == i).drop("__slice").repartition(files).write.mode("append").parquet(path)
+        cut.where(F.col("__slice") == i).drop("__slice").repartition(files).write.mode("append").parquet(path)
     if end is not None:
         last = [F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name != "ts"]
         (df.sparkSession.range(1).select(F.timestamp_micros(F.lit(hi + 2 * length)).alias("ts"), *last)
@@ -1027,10 +1038,10 @@ def _land(df: DataFrame, path: str, slices: int = 6, rows: int = 1_000_000, end:
     return f"{length // 1000 + 1} milliseconds"
 
 
-def _stream_in(spark, name: str, df: DataFrame, end: dict | None = None):
+def _stream_in(spark, name: str, df: DataFrame, end: dict | None = None, by: str = "ts"):
     """(stream of ``df`` with one file a micro-batch, delay, output folder, checkpoint folder)."""
     src, out, ck = ST.scratch_query_paths(spark, name)
-    delay = _land(df, src, end=end)
+    delay = _land(df, src, by=by, end=end)
     return ST.read_stream(spark, src, df.schema, max_files=1), delay, out, ck
 
 
@@ -1052,26 +1063,63 @@ def q_asof_motor_stream(spark, d):
 @register("delta_trigger_stream", ORACLE["delta_trigger"])
 def q_delta_trigger_stream(spark, d):
     s, delay, out, ck = _stream_in(spark, "delta", _asof(spark, d), end={})
-    r = _stream_out(ST.stream_delta_trigger(s, delay, key="machine_id", window=DAY), out, ck)
+    r = _stream_out(SF.delta_trigger_live(s, delay, key="machine_id", window=DAY), out, ck)
     return r.select(F.col("machine_id").alias("key"), ntz("window_start"), ntz("window_end"), "fire_seq", "seq",
                     ntz("ts"), "x", "y", "z", F.round("change", 9).alias("change"),
                     F.round("delta", 9).alias("delta"), "stall", "rolling")
 
 
-def _stream_alarms(spark, d):
+def _live_alarms(spark, d):
     s, delay, out, ck = _stream_in(spark, "alarms", _asof(spark, d), end={})
-    return _stream_out(ST.stream_alarms(s, delay, key="machine_id", window=DAY, level_limit=TEST_LEVEL, change_limit=TEST_CHANGE,
-                                        cooldown_s=TEST_COOLDOWN_S).withColumnRenamed("machine_id", "key"), out, ck)
+    return _stream_out(SF.alarms_live(s, delay, key="machine_id", window=DAY, level_limit=TEST_LEVEL, change_limit=TEST_CHANGE,
+                                      cooldown_s=TEST_COOLDOWN_S).withColumnRenamed("machine_id", "key"), out, ck)
 
 
 @register("anomaly_cooldown_stream", ORACLE["anomaly_cooldown"])
 def q_anomaly_cooldown_stream(spark, d):
-    return _stream_alarms(spark, d).select("key", "seq", ntz("alarm_ts"), ntz("restart_ts"), "streak")
+    return _live_alarms(spark, d).where("event = 'stop'").select("key", "seq", ntz("alarm_ts"), ntz("restart_ts"), "streak")
 
 
 @register("alarm_commands_stream", ORACLE["alarm_commands"])
 def q_alarm_commands_stream(spark, d):
-    return AN.alarm_commands(_stream_alarms(spark, d)).select("topic", "payload", ntz("ts"), "seq")
+    """STOP with the alarm, START by a timer at the restart time."""
+    return SF.live_commands(_live_alarms(spark, d)).select("topic", "payload", ntz("ts"), "seq")
+
+
+NULL_SERIES = O.with_(O.EV, O.SERIES_ROWS.replace("event_type AS series", "CASE WHEN event_type <> 'signup' THEN event_type END AS series")) + SERIES_RN.split(O.SERIES_ROWS)[1].strip()
+
+
+def _null_series(spark, d):
+    """Series rows, one of the series without a name."""
+    return AD.series_rows(spark, d).withColumn("series", F.when(F.col("series") != "signup", F.col("series")))
+
+
+@register("export_batches_stream", NULL_SERIES + "SELECT series, batch_no, rn, seq, ts, quality, datapoints FROM batches")
+def q_export_batches_stream(spark, d):
+    """Batches leave a running stream as soon as they are full."""
+    s, delay, out, ck = _stream_in(spark, "exports", _null_series(spark, d), end={"series": "end of input"})
+    live = SF.export_live(s, delay)
+    SF.write_micro_batches(live, out, ck).awaitTermination()
+    return spark.read.schema(live.schema).parquet(out).select("series", "batch_no", "rn", "seq", ntz("ts"), "quality", "datapoints")
+
+
+@register("series_purge_store", NULL_SERIES + "SELECT series, seq, ts, quality, datapoints FROM numbered WHERE (rn - 1) // 50 >= n // 50")
+def q_series_purge_store(spark, d):
+    """What a stored series table holds after its full batches are exported, committed and purged."""
+    store = FS.new_folder(spark, "series-store")
+    STORE.append_points(_null_series(spark, d), store)
+    STORE.export_and_purge(spark, store)
+    return STORE.points(spark, store).select("series", "seq", ntz("ts"), "quality", "datapoints")
+
+
+@register("watermark_late_stream", ORACLE["watermark_late"])
+def q_watermark_late_stream(spark, d):
+    """On-time and late rows of a stream in two tables, put together again."""
+    v = AD.vibration(spark, d)
+    s, _, out, ck = _stream_in(spark, "late", v, by="seq")
+    SF.split_late(s, out, ck).awaitTermination()
+    parts = [spark.read.schema(v.schema).parquet(f"{out}/{name}").withColumn("is_late", F.lit(name == "late")) for name in ("on_time", "late")]
+    return parts[0].unionByName(parts[1]).select("seq", ntz("ts"), "is_late")
 
 
 @register("ts_upsert_stream", O.with_(O.EV, O.VIBRATION) + """

@@ -80,8 +80,8 @@ def export_batches(df: DataFrame, series: str = "series", order=("ts", "seq"),
 
 # --- S10 --------------------------------------------------------------------
 def series_purge(stored: DataFrame, exported: DataFrame, keys=("series", "seq")) -> DataFrame:
-    """Rows still in the store after the exported batches are dropped."""
-    return stored.join(exported.select(*keys), list(keys), "left_anti")
+    """Rows still in the store after the exported batches are dropped (a null series is a series)."""
+    return null_safe_join(stored, exported.select(*keys), list(keys), "left_anti")
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:

@@ -1,8 +1,9 @@
-"""Structured Streaming forms: message stream in, windowed trigger, as-of
-motor state, live alarms, lifecycle, series upsert and command output.
+"""Structured Streaming forms: message stream in, as-of motor state,
+lifecycle, series upsert and command output. The operators on typed state
+(trigger, alarms, exports, late rows) are in ``stateful``.
 
 Batch and stream share the step functions: a stream applies each key's rows
-in event-time order once the watermark has reached them (``stream_fold``).
+in event-time order once the watermark has reached them.
 Sinks use checkpoint locations below the shared ``spark.checkpoint.dir`` so a
 restarted query resumes exactly where it stopped.
 """
@@ -19,14 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from fabline.functions import codes as C
-from fabline.operators.anomaly import cooldown_spec
 from fabline.operators.fold import FoldSpec
 from fabline.operators.lifecycle import LIFECYCLE_SPEC, _lifecycle_input
-from fabline.operators.triggers import (delta_input, delta_output, delta_spec, mean_change, tumbling, window_ms,
-                                        window_seconds)
+from fabline.operators.triggers import tumbling, window_seconds
 from fabline.session import scratch_path
 from fabline.sources.sinks import upsert_into
+from fabline.streaming.stateful import asof_live
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -94,52 +93,6 @@ def late_rows(batch: DataFrame, watermark_ms: int, ts: str = "ts") -> DataFrame:
     return batch.where(F.col(ts) <= F.timestamp_millis(F.lit(watermark_ms)))
 
 
-def stream_delta_trigger(stream: DataFrame, delay: str, key: str = "key", ts: str = "ts", seq: str = "seq",
-                         window: str = window_ms(C.WINDOW_MS), threshold: float = C.DELTA_THRESHOLD,
-                         level_limit: float = C.VIBRATION_LIMIT, rolling: str | None = "rolling",
-                         delta_fn=mean_change, idle: str | None = None) -> DataFrame:
-    """Delta trigger over a stream: a reading that fires is emitted as soon as
-    the watermark reaches it, not when its window closes."""
-    us = int(window_seconds(window) * 1_000_000)
-    out = stream_fold(delta_input(stream, key, ts, seq, rolling), key, delta_spec(us, threshold, level_limit, delta_fn),
-                      delay, idle=idle)
-    return delta_output(out, key, us)
-
-
-# --- W4 / W5 / S11: live alarms ----------------------------------------------
-def alarm_spec(window_us: int, threshold: float, level_limit: float, change_limit: float | None,
-               cooldown_us: int, alarm_over: int) -> FoldSpec:
-    """Delta trigger and cool-down alarms as one fold, so an alarm leaves with the reading that raises it."""
-    trigger = delta_spec(window_us, threshold, level_limit)
-    cooldown = cooldown_spec(cooldown_us, alarm_over)
-    limit = level_limit / 2.0 if change_limit is None else change_limit
-    Fired = namedtuple("Fired", cooldown.in_cols)
-
-    def step(state, r):
-        first, second = state
-        first, fired = trigger.step(first, r)
-        out = []
-        for _, fire_seq, _, ts_us, x, y, z, change, _, _, rolling in fired or ():
-            bad = rolling and (abs(x) + abs(y) + abs(z)) / 3.0 < level_limit and change < limit
-            second, alarms = cooldown.step(second, Fired(ts_us=ts_us, fire_seq=fire_seq, bad=bad))
-            out.extend(alarms or ())
-        return [first, second], out
-
-    return FoldSpec(lambda: [trigger.init(), cooldown.init()], step, trigger.in_cols, cooldown.out_schema)
-
-
-def stream_alarms(readings: DataFrame, delay: str, key: str = "key", window: str = window_ms(C.WINDOW_MS),
-                  threshold: float = C.DELTA_THRESHOLD, level_limit: float = C.VIBRATION_LIMIT,
-                  change_limit: float | None = None, cooldown_s: float = C.COOLDOWN_S,
-                  alarm_over: int = C.ALARM_STREAK, idle: str | None = None) -> DataFrame:
-    """Cool-down alarms of a live reading stream: ``key, seq, alarm_ts, restart_ts, streak``."""
-    spec = alarm_spec(int(window_seconds(window) * 1_000_000), threshold, level_limit, change_limit,
-                      int(cooldown_s * 1_000_000), alarm_over)
-    out = stream_fold(delta_input(readings, key, "ts", "seq", "rolling"), key, spec, delay, idle=idle)
-    return out.select(key, "seq", F.timestamp_micros("alarm_us").alias("alarm_ts"),
-                      F.timestamp_micros("restart_us").alias("restart_ts"), "streak")
-
-
 # --- W7 ---------------------------------------------------------------------
 def _asof_step(state, r):
     if r.is_motor:
@@ -159,7 +112,7 @@ def stream_asof_motor(readings: DataFrame, motor: DataFrame, delay: str, idle: s
         "machine_id", "seq", "ts", F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"),
         F.lit(None).cast("double").alias("z"), F.lit(True).alias("is_motor"),
         (F.try_element_at(F.split("payload", r"\|"), F.lit(2)) == "1").alias("state"))
-    out = stream_fold(r.unionByName(m).withColumn("ts_us", F.unix_micros("ts")), "machine_id", ASOF_SPEC, delay, idle=idle)
+    out = asof_live(r.unionByName(m).withColumn("ts_us", F.unix_micros("ts")), "machine_id", ASOF_SPEC, delay, idle=idle)
     return out.select("machine_id", "seq", F.timestamp_micros("ts_us").alias("ts"), "x", "y", "z", "rolling")
 
 

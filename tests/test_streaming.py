@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fabline.sources.sinks import upsert_into
+from fabline.streaming import stateful as SF
 from fabline.streaming import stream as ST
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -58,7 +59,7 @@ def test_stream_trigger_drops_late_rows(spark, tmp_path):
 
     def run():
         s = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-        ST.run_to_parquet(ST.stream_delta_trigger(s, "0 seconds", window="3 seconds"), out, ck).awaitTermination()
+        ST.run_to_parquet(SF.delta_trigger_live(s, "0 seconds", window="3 seconds"), out, ck).awaitTermination()
 
     rows((0, 1, 0.0), (1, 2, 3.0), (4, 3, 0.0), (5, 4, 3.0)).coalesce(1).write.parquet(f"{src}/a")
     run()
@@ -99,7 +100,7 @@ def test_stream_fold_in_many_shuffled_batches_with_restart(spark, tmp_path):
 
     def run():
         s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
-        ST.run_to_parquet(ST.stream_delta_trigger(s, "20 seconds", window="30 seconds"), out, ck).awaitTermination()
+        ST.run_to_parquet(SF.delta_trigger_live(s, "20 seconds", window="30 seconds"), out, ck).awaitTermination()
 
     for n, part in enumerate([late[:40], late[40:80], late[80:], [(None, T0 + dt.timedelta(hours=1), 999, 0.0, 0.0, 0.0, False)]]):
         for k in range(0, len(part), 20):
