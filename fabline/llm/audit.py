@@ -79,13 +79,15 @@ def settle(rows: DataFrame, held: DataFrame | None) -> DataFrame:
     counter, negative where earlier rows are taken back. A null id is no smaller than any and none is smaller than it.
     """
     same = rows.groupBy("key", "id", "part", "good", "toxic", "mask").agg(F.count(F.lit(1)).alias("n"))
-    known = same.where("id IS NOT NULL").groupBy("key", "part", "good", "toxic", "mask").agg(
-        F.min(F.struct("id", "n")).alias("least"), F.sum("n").alias("total"))
-    new = known.select("key", "least.id", "part", "good", "toxic", "mask", "least.n", "total")
+    has_id = F.col("id").isNotNull()
+    known = same.groupBy("key", "part", "good", "toxic", "mask").agg(
+        F.min(F.when(has_id, F.struct("id", "n"))).alias("least"), F.sum(F.when(has_id, F.col("n")).otherwise(0)).alias("total"),
+        F.sum(F.when(has_id, 0).otherwise(F.col("n"))).alias("unnamed"))
+    new = known.select("key", "least.id", "part", "good", "toxic", "mask", "least.n", "total", "unnamed")
     old = F.lit(None).cast("bigint")
     events = new.withColumn("fresh", F.lit(True))
     if held is not None:
-        events = events.unionByName(held.withColumns({"total": F.lit(0).cast("bigint"), "fresh": F.lit(False)}))
+        events = events.unionByName(held.withColumns({"total": F.lit(0).cast("bigint"), "unnamed": F.lit(0).cast("bigint"), "fresh": F.lit(False)}))
         old = F.min(F.when(~F.col("fresh"), F.col("id"))).over(Window.partitionBy("key"))
     events = events.withColumns({"least": F.min("id").over(Window.partitionBy("key")), "old": old})
     first = F.col("id") == F.col("least")
@@ -97,14 +99,13 @@ def settle(rows: DataFrame, held: DataFrame | None) -> DataFrame:
     none = F.array().cast("array<struct<kind:string,mask:int,n:bigint>>")
     arrived = F.concat(
         F.when(first, F.array(F.struct(F.lit("held").alias("kind"), "mask", "n"), change(F.col("mask"), F.col("n"))))
-        .otherwise(F.array(change(late, F.col("n")))),
+        .when(has_id, F.array(change(late, F.col("n")))).otherwise(none),
+        F.when(F.col("unnamed") > 0, F.array(change(F.col("mask"), F.col("unnamed")))).otherwise(none),
         F.when(F.col("total") > F.col("n"), F.array(change(late, F.col("total") - F.col("n")))).otherwise(none))
     taken_back = F.when((F.col("id") == F.col("old")) & (F.col("least") < F.col("old")),
                         F.array(change(F.col("mask"), -F.col("n")), change(late, F.col("n")))).otherwise(none)
     out = events.withColumn("e", F.explode(F.when(F.col("fresh"), arrived).otherwise(taken_back)))
-    out = out.select("key", "id", "part", "good", "toxic", "e.mask", "e.n", "e.kind")
-    unknown = same.where("id IS NULL").select("key", "id", "part", "good", "toxic", "mask", "n", F.lit("change").alias("kind"))
-    return out.unionByName(unknown)
+    return out.select("key", "id", "part", "good", "toxic", "e.mask", "e.n", "e.kind")
 
 
 def counters(stream: DataFrame, labels: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
