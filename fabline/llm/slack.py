@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import cut, few_rows, give_back, with_row_id
 from .text_ids import TextIds
 
+SENT_RUNS = 200_000  # runs of a plan (72 bytes each) that are sent to every task
 PART_BITS = 33  # monotonically_increasing_id: partition number above, place in it below
 
 
@@ -199,7 +200,8 @@ def pack(parts: DataFrame, size: int = 1024) -> DataFrame:
     ranked = (short.withColumn("rank", F.row_number().over(Window.partitionBy("length", "in").orderBy("row")) - 1)
               .join(before, (F.col("length") == F.col("of")) & (F.col("in") == F.col("at")))
               .withColumn("rank", F.col("rank") + F.col("before")))
-    met = ranked.join(runs_of, F.col("length") == F.col("size_of"))
+    # The plan's size follows the window, not the documents; a plan too large to send meets the rows by length.
+    met = ranked.join(F.broadcast(runs_of) if len(runs) <= SENT_RUNS else runs_of, F.col("length") == F.col("size_of"))
     mine = F.filter("runs", lambda r: (F.col("rank") >= r["first"]) & (F.col("rank") < r["first"] + r["n"]))
     met = met.withColumn("run", F.explode(mine)).withColumn("i", F.col("rank") - F.col("run.first") + F.col("run.phase"))
     short = met.select(
