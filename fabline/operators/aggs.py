@@ -23,12 +23,16 @@ def _count_if(c: Column) -> Column:
 def daily_quality(df: DataFrame, day: str = "day", quality: str = "quality") -> DataFrame:
     """Per day: counts of good / defect1 / defect2; unknown labels still
     yield the day's row (with zeros). Sorted by day."""
+    return daily_counts(df, day, quality).orderBy(day)
+
+
+def daily_counts(df: DataFrame, day: str = "day", quality: str = "quality") -> DataFrame:
+    """``daily_quality`` in no order, also over a stream."""
     q = F.col(quality)
-    return (df.groupBy(day).agg(
+    return df.groupBy(day).agg(
         _count_if(q == C.GOOD).alias("good"),
         _count_if(q == C.DEFECT1).alias("defect1"),
         _count_if(q == C.DEFECT2).alias("defect2"))
-        .orderBy(day))
 
 
 # --- A2 ---------------------------------------------------------------------

@@ -52,3 +52,30 @@ def recent_range(df: DataFrame, ts: str = "ts", minutes: int = C.RECENT_RANGE_MI
         # Scalar subquery: the newest ts is planned as one small aggregate.
         end = df.select(F.max(ts)).scalar()
     return df.where(F.col(ts) >= end - F.expr(f"INTERVAL {minutes} MINUTES"))
+
+
+def recent_from_store(spark, path: str, schema: str, ts: str = "ts", minutes: int = C.RECENT_RANGE_MIN, part: str = "day") -> DataFrame:
+    """``recent_range`` over a store partitioned by ``part`` (the date of ``ts``; other partition levels may lie above it).
+
+    The newest day is found in the folder names; only its files are asked for the newest ``ts``, and only the partitions
+    that the range reaches into are read. Rows without a time (no day) are in no range; an empty store gives no rows.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    level = at
+    days: list[str] = []
+    for _ in range(4):  # levels of partitions above
+        level = spark._jvm.org.apache.hadoop.fs.Path(level, "*")
+        names = [s.getPath().getName() for s in fs.globStatus(level) or []]
+        days = [n[len(part) + 1:] for n in names if n.startswith(f"{part}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")]
+        if days:
+            break
+    stored = spark.read.schema(schema).parquet(path)
+    if not days:
+        return stored.limit(0)
+    newest = F.lit(max(days)).cast("date")
+    end = stored.where(F.col(part) == newest).select(F.max(ts)).first()[0]
+    if end is None:
+        return stored.limit(0)
+    start = F.lit(end).cast(stored.schema[ts].dataType) - F.expr(f"INTERVAL {minutes} MINUTES")
+    return stored.where((F.col(part) >= F.to_date(start)) & (F.col(ts) >= start))

@@ -15,12 +15,14 @@ query is never answered. Re-forwarding a known id does not reset its state.
 
 from __future__ import annotations
 
+from collections import namedtuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.operators.fold import FoldSpec, run_fold
-from fabline.operators.ordered import asof_last, prefix_sum, row_bucket
+from fabline.operators.ordered import asof_last, null_safe_join, prefix_sum, row_bucket
 from fabline.session import ensure_checkpoint_dir
 
 LIFECYCLE_TOPICS = [C.LOADING_MAT_LOADED, C.LOADING_MAT_POSITION, C.ROLLING_MAT_POSITION,
@@ -99,6 +101,50 @@ def _lifecycle_input(msgs, allow, predictions, id_col):
             .unionByName(m.where(~checks).withColumn("prediction", F.lit(None).cast("string"))))
 
 
+# --- live form: allow-list as messages, state as a table ---------------------
+#: Control messages of a changing allow-list: an id is allowed (payload: its thickness) or taken off.
+ALLOW_TOPIC, REMOVE_TOPIC = "/control/allow", "/control/remove"
+LIFE_STATE = "known boolean, allowed boolean, rolled boolean, ready boolean, quality string, thickness string"
+
+
+def _live_step(state, r):
+    known, allowed, rolled, ready, quality, thickness = state
+    if r.topic == ALLOW_TOPIC:
+        return [known, True, rolled, ready, quality, r.payload], None
+    if r.topic == REMOVE_TOPIC:
+        return [known, False, rolled, ready, quality, thickness], None
+    message = _Message(r.seq, r.id, r.topic, allowed, thickness, r.prediction)
+    after, out = _step([known, allowed, rolled, ready, quality], message)
+    return [*after, thickness], out
+
+
+_Message = namedtuple("Message", LIFECYCLE_SPEC.in_cols)
+LIVE_SPEC = FoldSpec(lambda: [False, False, False, False, None, None], _live_step,
+                     ["seq", "id", "topic", "payload", "prediction"], OUT_SCHEMA)
+
+
+def lifecycle_state(allow: DataFrame, actions: DataFrame | None = None, msgs: DataFrame | None = None) -> DataFrame:
+    """State of every id (``id`` and ``LIFE_STATE``) that a stream can start from.
+
+    Without ``actions`` it is the allow-list alone; with the actions of a batch and the messages they answer (``id, seq,
+    ts``) it is the state after that batch.
+    """
+    a = allow.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("thickness").alias("thickness"))
+    if actions is None:
+        return a.select("id", F.lit(False).alias("known"), F.lit(True).alias("allowed"), F.lit(False).alias("rolled"),
+                        F.lit(False).alias("ready"), F.lit(None).cast("string").alias("quality"), "thickness")
+    timed = null_safe_join(actions, msgs.select("id", "seq", "ts"), ["id", "seq"])
+    s = timed.groupBy("id").agg(
+        *[F.max(F.col("action") == name).alias(flag) for name, flag in
+          (("forward", "known"), ("rolled", "rolled"), ("ready", "ready"), ("final", "gone"))],
+        F.max_by("quality", F.struct("ts", "seq")).alias("quality"))
+    j = s.join(a, "id", "full")
+    off = F.coalesce("gone", F.lit(False))
+    return j.select("id", F.coalesce("known", F.lit(False)).alias("known"),
+                    (F.col("thickness").isNotNull() & ~off).alias("allowed"),
+                    *[F.coalesce(c, F.lit(False)).alias(c) for c in ("rolled", "ready")], "quality", "thickness")
+
+
 def _first_after(m: DataFrame, id_col: str, cond, after: str, name: str) -> DataFrame:
     """Per id: the first ``(ts, seq)`` of rows meeting ``cond`` after milestone ``after``."""
     hit = m.where(cond & (F.col("o") > F.col(after)))

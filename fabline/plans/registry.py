@@ -1143,11 +1143,48 @@ def q_topic_source_stream(spark, d):
     return _stream_out(s.select("topic", "payload", "ts", "seq"), out, ck).select("topic", "payload", ntz("ts"), "seq")
 
 
+LIFE_COLS = ["id", "seq", "action", "out_topic", "out_payload", "quality"]
+
+
 @register("material_lifecycle_stream", ORACLE["material_lifecycle"])
 def q_material_lifecycle_stream(spark, d):
+    """The stream starts from the allow-list as its state table."""
     s, delay, out, ck = _stream_in(spark, "lifecycle", AD.material_messages(spark, d), end={"topic": C.LOADING_MAT_LOADED})
     # Static sides of a long-running stream are materialised once.
     preds = _check_predictions(spark, d).checkpoint()
-    allow = AD.allow_list(spark, d).checkpoint()
-    lc = ST.stream_material_lifecycle(s, allow, delay, preds)
-    return _stream_out(lc, out, ck).select("id", "seq", "action", "out_topic", "out_payload", "quality")
+    state = LC.lifecycle_state(AD.allow_list(spark, d)).checkpoint()
+    return _stream_out(SF.lifecycle_live(s, state, delay, preds), out, ck).where("id IS NOT NULL").select(*LIFE_COLS)
+
+
+@register("material_lifecycle_resume", ORACLE["material_lifecycle"])
+def q_material_lifecycle_resume(spark, d):
+    """The first messages by the batch operator, the others by a stream that starts from the state the batch has left."""
+    msgs, allow = AD.material_messages(spark, d), AD.allow_list(spark, d).checkpoint()
+    preds = _check_predictions(spark, d).checkpoint()
+    half = F.timestamp_micros(F.floor((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).cast("bigint"))
+    at = msgs.select(half).scalar()
+    early = msgs.where(F.col("ts") <= at).checkpoint()
+    actions = LC.material_lifecycle(early, allow, preds).select(*LIFE_COLS).checkpoint()
+    state = LC.lifecycle_state(allow, actions, early).checkpoint()
+    s, delay, out, ck = _stream_in(spark, "resume", msgs.where(F.col("ts") > at), end={"topic": C.LOADING_MAT_LOADED})
+    later = _stream_out(SF.lifecycle_live(s, state, delay, preds), out, ck).where("id IS NOT NULL")
+    return actions.unionByName(later.select(*LIFE_COLS))
+
+
+@register("daily_quality_stream", DAILY_SQL + "SELECT day, good, defect1, defect2 FROM daily")
+def q_daily_quality_stream(spark, d):
+    r = AD.quality_records(spark, d).withColumn("day", D.record_day(F.col("time_text"))).select("seq", "ts", "day", "quality")
+    s, _, out, ck = _stream_in(spark, "daily", r, by="seq")
+    SF.daily_quality_live(s, out, ck).awaitTermination()
+    return spark.read.schema(SF.DAILY).parquet(out).select("day", "good", "defect1", "defect2")
+
+
+@register("recent_range_store", O.with_(O.EV, O.VIBRATION) + """
+SELECT seq, ts, x, y, z FROM vibration WHERE ts >= (SELECT max(ts) FROM vibration) - INTERVAL 120 MINUTE""")
+def q_recent_range_store(spark, d):
+    """The recent range out of a store partitioned by series and day, reading its last days only."""
+    path = FS.new_folder(spark, "vibration-store")
+    v = AD.vibration(spark, d).select("seq", "ts", "x", "y", "z", "key", F.to_date("ts").alias("day"))
+    v.write.partitionBy("key", "day").parquet(path)
+    schema = "seq bigint, ts timestamp, x double, y double, z double, key string, day date"
+    return FL.recent_from_store(spark, path, schema, minutes=120).select("seq", ntz("ts"), "x", "y", "z")

@@ -1,4 +1,4 @@
-"""Event-time ordered keyed state machines on typed state (W2, W3, W5, S3, W7).
+"""Event-time ordered keyed state machines on typed state (W2, W3, W5-W8, S3, A1).
 
 ``OrderedFold`` is the base: every row waits as one entry of a map state until the watermark reaches it, an event-time
 timer set for the earliest waiting row wakes the key, and due rows are applied in ``(ts_us, seq)`` order to a
@@ -10,6 +10,8 @@ are those of the batch operators. State needs the RocksDB provider (``use_rocksd
   rows is spread over its windows, and a window's state goes when the watermark has passed its end.
 * ``alarms_live``: cool-down alarms whose START is sent by a timer when it is due, also without a further reading.
 * ``export_live``: full export batches per series, out of a list state that is flushed at ``batch`` rows.
+* ``lifecycle_live``: the material lifecycle with an allow-list that changes by control messages, started from a table.
+* ``daily_quality_live``: daily counts that follow arriving files.
 * ``split_late``: on-time and late rows of a running stream as two tables.
 """
 
@@ -25,9 +27,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from fabline.functions import codes as C
+from fabline.operators.aggs import daily_counts
 from fabline.operators.anomaly import cooldown_spec
 from fabline.operators.fold import FoldSpec
+from fabline.operators.lifecycle import ALLOW_TOPIC, LIFE_STATE, LIFECYCLE_TOPICS, LIVE_SPEC, REMOVE_TOPIC
+from fabline.operators.ordered import null_safe_join
 from fabline.operators.triggers import delta_input, delta_output, delta_spec, mean_change, watermark_late, window_ms, window_seconds
+from fabline.session import ensure_checkpoint_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,7 +60,7 @@ class OrderedFold(StatefulProcessor):
 
     def __init__(self, spec: FoldSpec, state: TypedState, rows: str, keys: list[str], idle_ms: int | None = None):
         self.spec, self.state, self.rows, self.idle_ms = spec, state, rows, idle_ms
-        self.cols = _names(rows)
+        self.cols, self.held_cols = _names(rows), _names(state.schema)
         self.out = Row(*keys, *_names(spec.out_schema))
 
     def init(self, handle) -> None:
@@ -67,6 +73,9 @@ class OrderedFold(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.held.update(tuple(initialState[c] for c in self.held_cols))
+
     def _wake(self, arrived: int, timer: int | None, at: int | None) -> None:
         """Note the number of rows so far and set the timer for ``at``, unless an earlier one is set."""
         if at is not None and (timer is None or at < timer):
@@ -123,14 +132,17 @@ class OrderedFold(StatefulProcessor):
         return True
 
 
-def run_ordered(rows: DataFrame, keys: list[str], processor: OrderedFold, delay: str, ts: str = "ts", seq: str = "seq") -> DataFrame:
+def run_ordered(rows: DataFrame, keys: list[str], processor: OrderedFold, delay: str, ts: str = "ts", seq: str = "seq",
+                initial: DataFrame | None = None) -> DataFrame:
     """Rows (keys, ts, ts_us, seq, the processor's columns) through a processor; rows without a time are left out
-    (``without_time`` gives them), rows later than ``delay`` are dropped by the watermark (``split_late`` keeps them)."""
+    (``without_time`` gives them), rows later than ``delay`` are dropped by the watermark (``split_late`` keeps them).
+    ``initial`` is a table of keys and state columns that a new query starts from; a restarted one has its own state."""
     use_rocksdb(rows.sparkSession)
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     cols = dict.fromkeys([*keys, ts, "ts_us", seq, *processor.cols])
     timed = rows.where(F.col(ts).isNotNull()).select(*cols).withColumnRenamed(seq, "seq").withWatermark(ts, delay)
-    return timed.groupBy(*keys).transformWithState(processor, f"{kinds}, {processor.spec.out_schema}", "Append", "EventTime")
+    start = None if initial is None else initial.select(*keys, *_names(processor.state.schema)).groupBy(*keys)
+    return timed.groupBy(*keys).transformWithState(processor, f"{kinds}, {processor.spec.out_schema}", "Append", "EventTime", start)
 
 
 def without_time(rows: DataFrame, ts: str = "ts") -> DataFrame:
@@ -246,6 +258,23 @@ def asof_live(rows: DataFrame, key: str, spec: FoldSpec, delay: str, idle: str |
     return run_ordered(rows, [key], OrderedFold(spec, state, kinds, [key], int(window_seconds(idle) * 1000) if idle else None), delay)
 
 
+# --- W6 / W8 ----------------------------------------------------------------
+def lifecycle_live(msgs: DataFrame, state: DataFrame, delay: str, predictions: DataFrame | None = None, idle: str | None = None) -> DataFrame:
+    """Lifecycle of materials over a stream of material and control messages: ``id`` and the actions.
+
+    ``msgs`` is ``seq, ts, id, topic, payload``; messages of ``ALLOW_TOPIC`` and ``REMOVE_TOPIC`` change the allow-list while
+    the stream runs, in time order with the others. ``state`` (see ``lifecycle_state``) is what a new stream starts from: the
+    allow-list, or all that a batch has left. A null id is an id that is never allowed.
+    """
+    m = msgs.where(F.col("topic").isin(*LIFECYCLE_TOPICS, ALLOW_TOPIC, REMOVE_TOPIC)).select("id", "seq", "ts", "topic", "payload")
+    m = (m.withColumn("prediction", F.lit(None).cast("string")) if predictions is None
+         else m.join(predictions.select("seq", "prediction"), "seq", "left"))
+    m = m.withColumns({"ts_us": F.unix_micros("ts"), "mid": F.col("id")})
+    rows = "ts_us long, seq long, id string, topic string, payload string, prediction string"
+    fold = OrderedFold(LIVE_SPEC, TypedState(LIFE_STATE), rows, ["mid"], int(window_seconds(idle) * 1000) if idle else None)
+    return run_ordered(m, ["mid"], fold, delay, initial=state.withColumnRenamed("id", "mid")).withColumnRenamed("mid", "id")
+
+
 # --- S3 ---------------------------------------------------------------------
 class ExportFold(OrderedFold):
     """Rows of a series gather in a list state and leave as a batch when it is full; what has gathered is only added to."""
@@ -294,6 +323,34 @@ def write_micro_batches(stream: DataFrame, out: str, checkpoint: str, available_
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+# --- A1 / S9 ----------------------------------------------------------------
+DAILY = "day string, good bigint, defect1 bigint, defect2 bigint, year string"
+
+
+def daily_quality_live(records: DataFrame, out: str, checkpoint: str, day: str = "day", available_now: bool = True):
+    """Daily counts (``DAILY``) that follow arriving files.
+
+    The counts are the stream's state, and a micro-batch replaces the days that it has touched: files of other years are
+    neither read nor written, and old input is never read again. A repeated micro-batch writes the same totals. A null day
+    is a day, in the year ``none``.
+    """
+    def replace(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        ensure_checkpoint_dir(session)
+        year = F.coalesce(F.substring("day", 1, 4), F.lit("none"))
+        new = batch.withColumnRenamed(day, "day").withColumn("year", year).checkpoint()
+        merged = new
+        if number:
+            old = null_safe_join(session.read.schema(DAILY).parquet(out), new.select("year").distinct(), ["year"], "left_semi")
+            merged = null_safe_join(old, new, ["day"], "left_anti").unionByName(new).checkpoint()
+        (merged.repartition("year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year").parquet(out))
+
+    use_rocksdb(records.sparkSession)
+    w = daily_counts(records, day).writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).outputMode("update")
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
 # --- W3 ---------------------------------------------------------------------
 def split_late(stream: DataFrame, out: str, checkpoint: str, ts: str = "ts", arrival: str = "seq", delay_ms: int = 0,
                available_now: bool = True):

@@ -1,6 +1,6 @@
 """Structured Streaming forms: message stream in, as-of motor state,
-lifecycle, series upsert and command output. The operators on typed state
-(trigger, alarms, exports, late rows) are in ``stateful``.
+series upsert and command output. The operators on typed state
+(trigger, alarms, lifecycle, exports, late rows) are in ``stateful``.
 
 Batch and stream share the step functions: a stream applies each key's rows
 in event-time order once the watermark has reached them.
@@ -10,19 +10,11 @@ restarted query resumes exactly where it stopped.
 
 from __future__ import annotations
 
-import json
-from collections import namedtuple
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fabline.operators.fold import FoldSpec
-from fabline.operators.lifecycle import LIFECYCLE_SPEC, _lifecycle_input
-from fabline.operators.triggers import tumbling, window_seconds
+from fabline.operators.triggers import tumbling
 from fabline.session import scratch_path
 from fabline.sources.sinks import upsert_into
 from fabline.streaming.stateful import asof_live
@@ -41,53 +33,6 @@ def stream_tumbling(stream: DataFrame, delay: str = "0 seconds", **kw) -> DataFr
     return tumbling(stream.withWatermark(kw.get("ts", "ts"), delay), **kw)
 
 
-def stream_fold(rows: DataFrame, key: str, spec: FoldSpec, delay: str, ts: str = "ts", seq: str = "seq",
-                idle: str | None = None) -> DataFrame:
-    """A fold over a stream, the same as ``run_fold`` over all of it.
-
-    Rows wait in keyed state until the watermark (newest ``ts`` minus
-    ``delay``) reaches them and are then applied in ``(ts_us, seq)`` order,
-    so neither the cut into micro-batches nor the order of files matters.
-    Rows later than ``delay`` are dropped (``late_rows`` finds them). Needs
-    ``ts`` (event time) and ``ts_us``. A key without rows for ``idle`` is
-    forgotten.
-    """
-    cols = list(dict.fromkeys(["ts_us", seq, *spec.in_cols]))
-    at, by = cols.index("ts_us"), cols.index(seq)
-    kind = rows.schema[key].dataType.simpleString()
-    names = [key, *[f.name for f in T._parse_datatype_string(spec.out_schema).fields]]
-    idle_ms = int(window_seconds(idle) * 1000) if idle else None
-    Row = namedtuple("Row", spec.in_cols)
-    pick = [cols.index(c) for c in spec.in_cols]
-
-    def apply(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held, waiting = json.loads(state.get[0]) if state.exists else (spec.init(), [])
-        for pdf in pdfs:
-            waiting.extend([None if v is pd.NA or v is pd.NaT else v for v in r] for r in pdf[cols].itertuples(index=False, name=None))
-        now = state.getCurrentWatermarkMs() * 1000
-        due = sorted((r for r in waiting if r[at] <= now), key=lambda r: (r[at], r[by]))
-        waiting = [r for r in waiting if r[at] > now]
-        out = []
-        for r in due:
-            held, emitted = spec.step(held, Row(*[r[i] for i in pick]))
-            out.extend((k[0], *o) for o in emitted or ())
-        if waiting:
-            state.update((json.dumps([held, waiting]),))
-            state.setTimeoutTimestamp(max(min(r[at] for r in waiting) // 1000, now // 1000) + 1)
-        elif idle_ms is None:
-            state.update((json.dumps([held, waiting]),))
-        elif state.hasTimedOut and not due:
-            state.remove()
-        else:
-            state.update((json.dumps([held, waiting]),))
-            state.setTimeoutTimestamp(max(now, 0) // 1000 + idle_ms)
-        if out:
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.select(key, ts, *cols).withWatermark(ts, delay).groupBy(key).applyInPandasWithState(
-        apply, f"{key} {kind}, {spec.out_schema}", "state string", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def late_rows(batch: DataFrame, watermark_ms: int, ts: str = "ts") -> DataFrame:
     """Rows of a micro-batch that are behind the watermark (for a side table, from ``foreachBatch``)."""
     return batch.where(F.col(ts) <= F.timestamp_millis(F.lit(watermark_ms)))
@@ -151,13 +96,3 @@ def scratch_query_paths(spark: SparkSession, name: str) -> tuple[str, str, str]:
     import uuid
     base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
     return f"{base}/in", f"{base}/out", f"{base}/ckpt"
-
-
-# --- W6 ---------------------------------------------------------------------
-def stream_material_lifecycle(msgs: DataFrame, allow: DataFrame, delay: str, predictions: DataFrame | None = None,
-                              idle: str | None = None) -> DataFrame:
-    """Material lifecycle over a message stream (W6): the allow-list and the
-    predictions are static tables joined to the stream; each id keeps its
-    state (known, allowed, rolled, ready, quality) between micro-batches."""
-    m = _lifecycle_input(msgs, allow, predictions, "id").withColumn("ts_us", F.unix_micros("ts"))
-    return stream_fold(m.withColumn("mid", F.col("id")), "mid", LIFECYCLE_SPEC, delay, idle=idle).withColumnRenamed("mid", "id")

@@ -4,9 +4,13 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fabline.operators.aggs import train_cap
+from fabline.functions import codes as C
+from fabline.operators import filters as FL
+from fabline.operators import lifecycle as LC
+from fabline.operators.aggs import daily_quality, train_cap
 from fabline.operators.anomaly import anomaly_cooldown
 from fabline.operators.triggers import delta_trigger, watermark_late
 from fabline.sources import sinks as SK
@@ -262,7 +266,7 @@ def test_null_series_is_purged_and_capped(spark):
     rows = spark.createDataFrame([(None if i % 2 else "a", i, sec(i), "good", "v") for i in range(100)], POINT)
     b = SK.export_batches(rows)
     assert b.count() == 100 and SK.series_purge(rows, b).count() == 0
-    recs = b.withColumn("file_ts", F.max("ts").over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("series", "batch_no"))).withColumnRenamed("quality", "label")
+    recs = b.withColumn("file_ts", F.max("ts").over(Window.partitionBy("series", "batch_no"))).withColumnRenamed("quality", "label")
     assert train_cap(recs, file_cols=("series", "batch_no"), file_order=("file_ts",)).count() == 100
 
 
@@ -289,3 +293,107 @@ def test_every_row_is_on_time_or_late(spark, tmp_path):
     flags = watermark_late(spark.createDataFrame(rows, schema), delay_ms=20_000).collect()
     assert got == {"on_time": sorted(r.seq for r in flags if not r.is_late), "late": sorted(r.seq for r in flags if r.is_late)}
     assert len(got["late"]) > 20
+
+
+# W6 / W8
+
+MSG = "seq long, ts timestamp, id string, topic string, payload string"
+
+
+def messages(rows):
+    return [(n, sec(n), mid, topic, payload) for n, (mid, topic, payload) in enumerate(rows)]
+
+
+def test_ids_are_allowed_and_taken_off_while_the_stream_runs(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    rows = messages([
+        ("a", C.LOADING_MAT_LOADED, None), ("b", C.LOADING_MAT_LOADED, None), ("b", LC.ALLOW_TOPIC, "70"), ("b", C.LOADING_MAT_LOADED, None),
+        ("b", C.ROLLING_ROLL_QUERY, None), ("a", C.ROLLING_ROLL_QUERY, None), ("a", LC.REMOVE_TOPIC, None), ("a", C.LOADING_MAT_LOADED, None),
+        ("a", C.ROLLING_ROLL_QUERY, None), (None, C.LOADING_MAT_LOADED, None), ("a", LC.ALLOW_TOPIC, "90"), ("a", C.ROLLING_ROLL_QUERY, None)])
+    state = LC.lifecycle_state(spark.createDataFrame([("a", "50"), (None, "1")], "id string, thickness string"))
+
+    def run():
+        ST.run_to_parquet(SF.lifecycle_live(source(spark, src, MSG), state, "3 seconds"), out, ck).awaitTermination()
+
+    land(spark, src, 0, [rows[i] for i in (2, 0, 1)], MSG)
+    land(spark, src, 1, [rows[i] for i in (5, 3, 6, 4)], MSG)
+    run()
+    land(spark, src, 2, rows[7:], MSG)  # after a restart: the state is the stream's own, not the table's
+    land(spark, src, 3, [(99, sec(999), "z", C.LOADING_MAT_LOADED, None)], MSG)
+    run()
+    got = {r.seq: (r.id, r.action, r.out_payload) for r in spark.read.parquet(out).collect()}
+    assert got == {0: ("a", "forward", "a|F"), 1: ("b", "drop", "b|D"), 3: ("b", "forward", "b|F"), 4: ("b", "thickness", "b|70"),
+                   5: ("a", "thickness", "a|50"), 7: ("a", "drop", "a|D"), 8: ("a", "thickness", "a|null"), 9: (None, "drop", "None|D"),
+                   11: ("a", "thickness", "a|90")}
+
+
+def test_a_stream_goes_on_from_any_point_of_a_batch(spark, tmp_path):
+    rnd = random.Random(9)
+    topics = [C.LOADING_MAT_LOADED, C.ROLLING_ROLL_QUERY, C.ROLLING_MAT_AFTER_ROLL, C.QUALITY_MAT_READY_TO_QCHECK, C.COLOUR_MAT_CHECK,
+              C.UNLOADING_MAT_QUERY, C.UNLOADING_MAT_FINAL, C.LOADING_MAT_POSITION]
+    rows = messages([(rnd.choice("abcd"), rnd.choice(topics), None) for _ in range(200)])
+    allow = spark.createDataFrame([("a", "50"), ("b", "60"), ("c", "70")], "id string, thickness string")
+    preds = spark.createDataFrame([(n, rnd.choice(["good", "defect1"])) for n in range(200)], "seq long, prediction string")
+    cols = ["id", "seq", "action", "out_topic", "out_payload", "quality"]
+    want = LC.material_lifecycle(spark.createDataFrame(rows, MSG), allow, preds).select(*cols)
+    early = spark.createDataFrame(rows[:90], MSG)
+    actions = LC.material_lifecycle(early, allow, preds).select(*cols)
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    for k in range(90, 200, 60):
+        land(spark, src, k, rows[k:k + 60], MSG)
+    land(spark, src, "end", [(999, sec(9999), "z", C.LOADING_MAT_LOADED, None)], MSG)
+    live = SF.lifecycle_live(source(spark, src, MSG), LC.lifecycle_state(allow, actions, early), "5 seconds", preds)
+    ST.run_to_parquet(live, out, ck).awaitTermination()
+    got = actions.unionByName(spark.read.parquet(out).select(*cols)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want.collect()))
+    assert {"final", "classified", "unload"} <= {r.action for r in got}
+
+
+# A1 / S9
+
+def test_daily_counts_follow_files_and_touch_their_days_only(spark, tmp_path):
+    rnd = random.Random(2)
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), tmp_path / "ck"
+    schema = "day string, quality string"
+    rows = [(rnd.choice(["2023-12-31", "2024-01-01", "2024-02-02", None]), rnd.choice(["good", "defect1", "defect2", "none"])) for _ in range(200)]
+    late = [("2025-05-05", "good")] * 3 + [("2024-02-02", "good")]
+
+    def run():
+        q = SF.daily_quality_live(source(spark, src, schema), out, str(ck))
+        q.awaitTermination()
+        return sum(p["numInputRows"] for p in q.recentProgress)
+
+    def got():
+        return {r.day: (r.good, r.defect1, r.defect2) for r in spark.read.schema(SF.DAILY).parquet(out).collect()}
+
+    def want(rows):
+        return {r.day: (r.good, r.defect1, r.defect2) for r in daily_quality(spark.createDataFrame(rows, schema)).collect()}
+
+    for k in range(0, 200, 100):
+        land(spark, src, k, rows[k:k + 100], schema)
+    assert run() == 200 and got() == want(rows)
+    files = {p.name for p in (tmp_path / "out" / "year=2023").iterdir()}
+    forget_last_commit(ck)
+    run()
+    assert got() == want(rows)
+    files = {p.name for p in (tmp_path / "out" / "year=2023").iterdir()}
+    land(spark, src, "late", late, schema)
+    assert run() == 4 and got() == want(rows + late)  # old files are not read again
+    assert files == {p.name for p in (tmp_path / "out" / "year=2023").iterdir()}
+
+
+# F6
+
+def test_recent_range_reads_the_last_days_of_a_store(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "seq long, ts timestamp, key string, day date"
+    rows = [(i, sec(3600 * i), "a" if i % 2 else "b") for i in range(100)] + [(500, None, "a")]
+    df = spark.createDataFrame(rows, "seq long, ts timestamp, key string").withColumn("day", F.to_date("ts"))
+    df.write.partitionBy("key", "day").parquet(path)
+    got = FL.recent_from_store(spark, path, schema, minutes=240)
+    want = FL.recent_range(df, minutes=240)
+    assert sorted(r.seq for r in got.collect()) == sorted(r.seq for r in want.collect()) == [95, 96, 97, 98, 99]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+    assert {f.split("/day=")[1].split("/")[0] for f in got.inputFiles()} >= {"2024-01-05"}
+    spark.createDataFrame([], df.schema).write.parquet(str(tmp_path / "empty"))
+    assert FL.recent_from_store(spark, str(tmp_path / "empty"), schema).collect() == []
