@@ -17,14 +17,15 @@ def finite(vec: Column) -> Column:
 def meet(queries: DataFrame, rows: DataFrame, block: int, shard: int, least: int) -> tuple[DataFrame, int]:
     """Every block of at most about ``block`` queries with every shard of about ``shard`` rows, and their number.
 
-    Both sides have (row, vec, ...) and get is_query, block, shard; rows go once to each query block, queries once
+    Both sides have (row, vec, ...) and get is_query, block, shard and place, the pair's number; rows go once to each query block, queries once
     to each shard, so no pair of rows is ever a row. At least ``least`` shards are made.
     """
     shards, blocks = max(least, -(-rows.count() // shard)), max(1, -(-queries.count() // block))
     to = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = queries.withColumn("is_query", F.lit(True)).withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn("shard", to(shards))
     r = rows.withColumn("is_query", F.lit(False)).withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")).withColumn("block", to(blocks))
-    return q.unionByName(r, allowMissingColumns=True), shards * blocks
+    met = q.unionByName(r, allowMissingColumns=True)
+    return met.withColumn("place", F.col("block").cast("bigint") * shards + F.col("shard")), shards * blocks
 
 
 def search_groups(parts: DataFrame, groups: int, schema: str, build, search) -> DataFrame:
@@ -55,7 +56,9 @@ def search_groups(parts: DataFrame, groups: int, schema: str, build, search) ->
                     yield from search(index, pa.Table.from_batches([part])).to_batches()
                 lo = hi
 
-    return parts.repartition(min(3 * groups, 20_000), *key).sortWithinPartitions(*key, "is_query").mapInArrow(run, schema)
+    tasks = min(groups, 20_000)  # dealt by number: no two groups share a task while there are tasks enough
+    dealt = parts.withColumn("place", F.pmod("place", F.lit(tasks)).cast("int")).repartitionById(tasks, F.col("place"))
+    return dealt.sortWithinPartitions(*key, "is_query").mapInArrow(run, schema)
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dtype) -> np.ndarray:

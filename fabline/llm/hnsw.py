@@ -108,7 +108,7 @@ class Graph:
         entry = np.zeros((len(q), 1), dtype=np.int64)
         for level in upper:
             entry = self._beam(q, level, entry, 8)[0][:, :4]
-        spare = np.arange(min(len(near), ef if len(near) <= ef else 2), dtype=np.int64)  # small graphs: every node
+        spare = np.arange(min(len(near), 2), dtype=np.int64)
         entry = np.hstack([entry, np.broadcast_to(spare, (len(q), len(spare)))])
         return self._beam(q, near, entry, ef)
 
@@ -140,6 +140,21 @@ class Graph:
             open_ = np.where(live, np.take_along_axis(ids, at, axis=1), -1)
             new = np.where(open_[:, :, None] >= 0, near[open_], -1).reshape(len(q), -1).astype(np.int64)
 
+    def width_for(self, recall: float, k: int, ef: int, sample: int = 64, seed: int = 2) -> int:
+        """The least beam of ``ef``, 2 ``ef``, 4 ``ef``, ... that finds ``recall`` of the true ``k`` nearest of ``sample`` indexed
+        vectors, measured against brute force. A beam as wide as the graph ends the search for one."""
+        n = len(self.x)
+        at = np.sort(np.random.default_rng(seed).permutation(n)[:sample])
+        asked = self.x[at].copy()
+        asked[:, -1] = 0  # as queries come: without the component that equals lengths
+        true = np.argsort(-(asked @ self.x.T), axis=1, kind="stable")[:, :k]
+        while ef < n:
+            found = self._search(asked, self.levels[-1], self.levels[:-1], ef)[0][:, :k]
+            if np.mean([len(np.intersect1d(t, f)) for t, f in zip(true, found)]) >= recall * true.shape[1]:
+                return ef
+            ef *= 2
+        return max(n, k)
+
     def search(self, queries: np.ndarray, k: int, ef: int) -> list[np.ndarray]:
         """Rows of the indexed matrix found nearest to each query, in no exact order."""
         out = []
@@ -150,13 +165,15 @@ class Graph:
         return out
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 256, links: int = 16, id_col: str = "vec_id",
-            vec_col: str = "embedding", block: int = 1 << 20, shard: int = 65536, least_shards: int = 8) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 64, links: int = 16, id_col: str = "vec_id",
+            vec_col: str = "embedding", block: int = 1 << 20, shard: int = 16384, least_shards: int = 8, recall: float = 0.97) -> DataFrame:
     """For each row whose id is divisible by ``every``: query_id, rank (from 1), vec_id, score of the k nearest found.
 
     Nearness is the inner product in double precision, ties to the smaller id. Vectors that are null, zero or hold
     null or non-finite components take no part, nor do rows with a null id; vectors meet those of their length.
-    Equal vectors are indexed once, with their k + 1 smallest ids: no query can name more of them.
+    Equal vectors are indexed once, with their k + 1 smallest ids: no query can name more of them. Every shard's beam starts
+    at ``ef`` and is widened until it finds ``recall`` of what brute force finds for a sample of the shard's own vectors, so
+    hard tables (long, evenly spread vectors) cost more, not recall.
     """
     double = F.transform("vec", lambda x: x.cast("double") + F.lit(0.0))
     rows = cut(with_row_id(vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")), "row")
@@ -173,12 +190,13 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 256, lin
     def build(t):
         t = t.select(["row", "vec", "ids"]).sort_by("row")
         x = matrix(t.column("vec"), np.float64)
-        return Graph(x, links), x, t.column("ids").to_pylist()
+        graph = Graph(x, links)
+        return graph, graph.width_for(recall, k + 1, max(ef, k + 1)), x, t.column("ids").to_pylist()
 
     def search(built, q):
-        graph, x, ids = built
+        graph, beam, x, ids = built
         out, vectors_ = ([], [], [], []), matrix(q.column("vec"), np.float64)
-        for row, vec, at in zip(q.column("row").to_pylist(), vectors_, graph.search(vectors_, k + 1, ef)):
+        for row, vec, at in zip(q.column("row").to_pylist(), vectors_, graph.search(vectors_, k + 1, beam)):
             score = x[at] @ vec
             found = sorted((-s, i["id"], i["row"]) for s, a in zip(score.tolist(), at.tolist()) for i in ids[a])[:k + 1]
             for col, v in zip(out, ([row] * len(found), [f[1] for f in found], [f[2] for f in found], [-f[0] for f in found])):

@@ -92,6 +92,48 @@ def test_hnsw_recall_on_the_tables(spark):
     assert hit / len(got) >= 0.9
 
 
+def hard_vectors(kind, n, dims=64):
+    r = np.random.default_rng(11)
+    if kind == "clustered":
+        return r.normal(size=(40, dims))[r.integers(0, 40, n)] + 0.3 * r.normal(size=(n, dims))
+    return r.normal(size=(n, dims)) * (r.uniform(0.2, 3, (n, 1)) if kind == "lengths" else 1)
+
+
+@pytest.mark.parametrize("kind", ["gauss", "lengths", "clustered"])
+def test_one_graph_is_walked_and_finds_nine_in_ten(kind):
+    """One shard of 4,000 vectors: the beam adapts until recall holds and stays narrower than the graph."""
+    x = hard_vectors(kind, 4000)
+    graph = hnsw.Graph(x)
+    beam = graph.width_for(0.97, 21, 64)
+    assert beam < len(x)
+    asked = x[::40] + 0.01 * np.random.default_rng(5).normal(size=(100, 64))
+    hits = 0
+    for q, found in zip(asked, graph.search(asked, 21, beam)):
+        hits += len(set(found[np.argsort(-(x[found] @ q))[:20]]) & set(np.argsort(-(x @ q))[:20]))
+    assert hits >= 0.9 * 20 * len(asked)
+
+
+def test_small_graphs_are_walked_too():
+    graph = hnsw.Graph(hard_vectors("gauss", 100))
+    entries = []
+    beam = graph._beam
+    graph._beam = lambda q, near, entry, ef: entries.append(entry.shape[1]) or beam(q, near, entry, ef)
+    graph.search(hard_vectors("gauss", 5), 5, 64)
+    assert max(entries) <= 6
+
+
+def test_hnsw_in_one_shard_against_brute_force(spark, tmp_path):
+    x = hard_vectors("lengths", 1500, 32)
+    df = write(spark, tmp_path, [(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = hnsw.nearest(df, least_shards=1).collect()
+    hits = 0
+    for r in got:
+        s = x @ x[r.query_id]
+        s[r.query_id] = -np.inf
+        hits += s[r.vec_id] >= np.sort(s)[-20]
+    assert len(got) == 75 * 20 and hits >= 0.9 * len(got)
+
+
 def test_empty_vectors(spark, tmp_path):
     df = write(spark, tmp_path, [], "vec_id long, embedding array<float>")
     assert topk.top_k(df).count() == 0 and hnsw.nearest(df).count() == 0
