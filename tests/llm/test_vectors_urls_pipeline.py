@@ -160,6 +160,39 @@ def test_url_rules(spark, tmp_path):
     assert urls.judge(write(spark, tmp_path, [], "page_id long, url string", "none")).count() == 0
 
 
+def section(first, host, name, n, bad):
+    return [(first + i, f"http://{host}/{name}/{first + i}") for i in range(n)], [(first + i, 0, int(bad(i))) for i in range(n)]
+
+
+def verdicts(spark, tmp_path, sections, name):
+    pages = [p for ps, _ in sections for p in ps]
+    labels = spark.createDataFrame([x for _, ls in sections for x in ls], "doc_id long, quality int, toxic int")
+    df = write(spark, tmp_path, pages, "page_id long, url string", name)
+    return {r.path: r.verdict for r in urls.judge(df, labels).collect()}
+
+
+def test_a_bad_section_is_blocked_whatever_the_size_of_its_host(spark, tmp_path):
+    small = [section(0, "h.de", "bad", 30, lambda i: True)]
+    large = small + [section(1000 + 30 * k, "h.de", f"s{k}", 30, lambda i: False) for k in range(99)]
+    for name, sections in (("small", small), ("large", large)):
+        got = verdicts(spark, tmp_path, sections, name)
+        assert {v for p, v in got.items() if p.startswith("/bad/")} == {"block"}
+        assert {v for p, v in got.items() if not p.startswith("/bad/")} <= {"allow"}
+
+
+def test_rates_do_not_chain(spark, tmp_path):
+    """Eleven sections from no bad pages to bad ones only: the ends are judged by themselves."""
+    got = verdicts(spark, tmp_path, [section(100 * k, "h.de", f"s{k}", 10, lambda i, k=k: i < k) for k in range(11)], "chain")
+    of = lambda k: {v for p, v in got.items() if p.startswith(f"/s{k}/")}
+    assert of(0) == of(1) == {"allow"} and of(9) == of(10) == {"block"}
+
+
+def test_paths_are_told_apart_at_any_depth(spark, tmp_path):
+    deep = "/".join("abcdefgh")
+    got = verdicts(spark, tmp_path, [section(0, "h.de", f"{deep}/x", 10, lambda i: True), section(100, "h.de", f"{deep}/y", 10, lambda i: False)], "deep")
+    assert {v for p, v in got.items() if "/x/" in p} == {"block"} and {v for p, v in got.items() if "/y/" in p} == {"allow"}
+
+
 def test_url_templates_follow_labels(spark, tmp_path):
     pages = [(i, f"http://h.com/spam/{i}.html") for i in range(40)] + [(100 + i, f"http://h.com/news/{i}") for i in range(40)]
     df = write(spark, tmp_path, pages, "page_id long, url string")
