@@ -8,7 +8,7 @@ group and map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
@@ -43,6 +43,26 @@ def train_ready(stats: DataFrame, min_sets: int = C.MIN_SETS_FOR_ML) -> DataFram
                           & (F.col(C.DEFECT2) >= min_sets))
 
 
+def ready_at(records: DataFrame, min_sets: int = C.MIN_SETS_FOR_ML, before: dict | None = None,
+             label: str = "label", order: str = "seq") -> DataFrame:
+    """One row: counts per class (on top of ``before``) and ``switch``, the order of the record that makes A2 true; null
+    while a class lacks records. Records without an order or of no known class don't count. A class is completed by
+    one of its first ``min_sets`` records, so a task sends on no more than those."""
+    had = {c: (before or {}).get(c, 0) for c in C.CLASSES}
+    need = {c: min_sets - n for c, n in had.items()}
+    known = records.where(F.col(label).isin(*C.CLASSES) & F.col(order).isNotNull()).select(F.col(label).alias("c"), F.col(order).alias("at"))
+    counts = known.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("at"))
+    first = known.withColumn("n", F.row_number().over(Window.partitionBy("c").orderBy("at")))
+    nth = first.where(F.col("n") <= max(1, *need.values())).where(F.col("n") == F.create_map(*[F.lit(x) for e in need.items() for x in e])[F.col("c")])
+    both = counts.unionByName(nth.select("c", F.lit(None).cast("bigint").alias("n"), F.col("at").cast("bigint").alias("at")))
+    last = [F.max(F.when(F.col("c") == c, F.col("at"))) for c in C.CLASSES if need[c] > 0]
+    complete = F.lit(bool(last))
+    for c in last:
+        complete = complete & c.isNotNull()
+    return both.agg(*[(F.coalesce(F.max(F.when(F.col("c") == c, F.col("n"))), F.lit(0)) + had[c]).cast("bigint").alias(c) for c in C.CLASSES],
+                    F.when(complete, F.array_max(F.array(*last or [F.lit(None).cast("bigint")]))).alias("switch"))
+
+
 # --- A3 ---------------------------------------------------------------------
 def series_count(df: DataFrame, series: str = "series", field: str = "datapoints") -> DataFrame:
     """Non-null field count per series."""
@@ -80,30 +100,6 @@ def station_warnings(df: DataFrame, topics=tuple(C.WARNING_TOPICS), topic: str =
                      F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n_messages"))
 
 
-# --- A10 --------------------------------------------------------------------
-def downsample_fill(df: DataFrame, ts: str = "ts", fields=("x", "y", "z"),
-                    bucket_s: int = 600) -> DataFrame:
-    """Mean per fixed time bucket over the table's time range; empty
-    buckets appear with null means.
-
-    The bucket grid spans the min/max bucket (two scalars read back), so its
-    size follows the time range, not the row count.
-    """
-    us = bucket_s * 1_000_000
-    b = (F.floor(F.unix_micros(F.col(ts)) / us) * us).cast("bigint")
-    means = df.groupBy(b.alias("bucket_us")).agg(*[F.avg(f).alias(f"avg_{f}") for f in fields])
-    lo, hi = df.agg(F.min(b).alias("lo"), F.max(b).alias("hi")).first()
-    if lo is None:
-        return means.select(F.timestamp_micros("bucket_us").alias("bucket_start"),
-                            *[F.col(f"avg_{f}") for f in fields])
-    # The grid is a distributed range (its size follows the time span, and
-    # it is generated by many tasks, not exploded from one row).
-    grid = df.sparkSession.range(lo, hi + us, us).withColumnRenamed("id", "bucket_us")
-    out = grid.join(means, "bucket_us", "left")
-    return out.select(F.timestamp_micros("bucket_us").alias("bucket_start"),
-                      *[F.round(f"avg_{f}", 9).alias(f"avg_{f}") for f in fields])
-
-
 # --- A11 --------------------------------------------------------------------
 def loop_time_stats(df: DataFrame, station: str = "station", ms: str = "ms") -> DataFrame:
     return df.groupBy(station).agg(

@@ -633,7 +633,7 @@ SELECT make_timestamp(g.bucket_us) AS bucket_start, round(ax, 9) AS avg_x, round
        round(az, 9) AS avg_z
 FROM g LEFT JOIN m USING (bucket_us)""")
 def q_downsample_fill(spark, d):
-    r = A.downsample_fill(AD.vibration(spark, d))
+    r = GP.downsample_fill(AD.vibration(spark, d))
     return r.select(ntz("bucket_start"), "avg_x", "avg_y", "avg_z")
 
 
@@ -646,6 +646,7 @@ def q_loop_time_stats(spark, d):
 
 # --- W1 / W2 / W3 / W4 / W5 -------------------------------------------------
 from fabline.operators import anomaly as AN  # noqa: E402
+from fabline.operators import gaps as GP  # noqa: E402
 from fabline.operators import triggers as TR  # noqa: E402
 
 # Readings are minutes apart in the driver tables, so the registered window
@@ -1007,6 +1008,8 @@ def q_position_publish(spark, d):
 # --- streaming forms (W2 stream, W7, S2 stream) ----------------------------
 from fabline.operators.triggers import window_seconds  # noqa: E402
 from fabline.sources import store as STORE  # noqa: E402
+from fabline.streaming import gaps as GL  # noqa: E402
+from fabline.streaming import handoff as HO  # noqa: E402
 from fabline.streaming import stateful as SF  # noqa: E402
 from fabline.streaming import stream as ST  # noqa: E402
 
@@ -1188,3 +1191,46 @@ def q_recent_range_store(spark, d):
     v.write.partitionBy("key", "day").parquet(path)
     schema = "seq bigint, ts timestamp, x double, y double, z double, key string, day date"
     return FL.recent_from_store(spark, path, schema, minutes=120).select("seq", ntz("ts"), "x", "y", "z")
+
+
+@register("downsample_fill_stream", O.with_(O.EV, O.VIBRATION) + """, b AS (
+  SELECT key, (epoch_us(ts) // 600000000) * 600000000 AS bucket_us, x, y, z FROM vibration),
+m AS (SELECT key, bucket_us, avg(x) AS ax, avg(y) AS ay, avg(z) AS az FROM b GROUP BY ALL),
+g AS (SELECT key, unnest(generate_series(min(bucket_us), (SELECT max(bucket_us) FROM b), 600000000)) AS bucket_us FROM b GROUP BY key)
+SELECT g.key, make_timestamp(g.bucket_us) AS bucket_start, round(ax, 9) AS avg_x, round(ay, 9) AS avg_y, round(az, 9) AS avg_z
+FROM g LEFT JOIN m ON m.key IS NOT DISTINCT FROM g.key AND m.bucket_us = g.bucket_us""")
+def q_downsample_fill_stream(spark, d):
+    """Per key, empty buckets by timers; up to the last bucket of the table, a live stream goes on."""
+    v = AD.vibration(spark, d).select("key", "ts", "seq", "x", "y", "z")
+    s, delay, out, ck = _stream_in(spark, "downsample", v, end={"key": "end of input"})
+    live = _stream_out(GL.downsample_live(s, delay, "key"), out, ck).where("key IS DISTINCT FROM 'end of input'")
+    last = v.select(F.timestamp_micros(GP.bucket_start(F.max("ts"), 600)).alias("last"))
+    return live.where(F.col("bucket_start") <= last.scalar()).select("key", ntz("bucket_start"), "avg_x", "avg_y", "avg_z")
+
+
+HANDOFF_SETS = 30  # small enough for the smallest table to be ready in mid-stream
+
+
+@register("readiness_handoff_stream", O.with_(O.LABELLED) + f""", nth AS (
+  SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n FROM labelled WHERE is_train),
+sw AS (SELECT CASE WHEN count(*) = 3 THEN max(vec_id) END AS version FROM nth WHERE n = {HANDOFF_SETS}),
+tr AS (SELECT * FROM labelled, sw WHERE is_train AND vec_id <= version),
+qu AS (SELECT * FROM labelled, sw WHERE NOT is_train AND vec_id > version),
+nb AS (
+  SELECT qu.vec_id AS q_id, tr.label AS t_label
+  FROM qu, tr
+  QUALIFY row_number() OVER (PARTITION BY qu.vec_id ORDER BY
+    sqrt(list_sum(list_transform(list_zip(qu.features, tr.features), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), tr.vec_id) <= 5),
+votes AS (SELECT q_id, count(*) FILTER (WHERE t_label = 'good') AS good, count(*) FILTER (WHERE t_label = 'defect1') AS defect1,
+                 count(*) FILTER (WHERE t_label = 'defect2') AS defect2 FROM nb GROUP BY q_id)
+SELECT vec_id AS seq, good, defect1, defect2,
+       CASE WHEN good IS NULL THEN 'unknown' WHEN defect1 >= defect2 AND defect1 >= good THEN 'defect1'
+            WHEN defect2 >= defect1 AND defect2 >= good THEN 'defect2' ELSE 'good' END AS decision,
+       CASE WHEN good IS NOT NULL THEN version END AS version
+FROM labelled CROSS JOIN sw LEFT JOIN votes ON q_id = vec_id WHERE NOT is_train""")
+def q_readiness_handoff_stream(spark, d):
+    """Records and checks in one stream: unknown up to the switch row, then decisions of the training set handed over there."""
+    m = AD.labelled_vectors(spark, d).select(F.col("vec_id").alias("seq"), "features", "label", (~F.col("is_train")).alias("is_check"))
+    s, _, out, ck = _stream_in(spark, "handoff", m, by="seq")
+    HO.classify_live(s, out, ck, AD.VECTOR_DIM, HANDOFF_SETS).awaitTermination()
+    return HO.decisions(spark, out)
