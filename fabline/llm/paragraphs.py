@@ -4,8 +4,10 @@ Paragraphs are of two kinds. Lines of ``SHINGLE`` words or more are compared by
 for high recall bring likely pairs together, the exact Jaccard similarity decides, and components form the classes.
 Shorter lines have no shingle and form a class when their words are equal.
 Passages that sit inside longer text have no line of their own; for them every text also yields blocks of ``LEAST``
-words that begin at content-chosen places (the smallest shingle hash of any ``WINDOW`` in a row), so any passage of
-``WINDOW + LEAST`` words has a whole block in every text that holds it. Blocks form a class when they are equal.
+words that begin at content-chosen places (the smallest shingle hash of any ``WINDOW`` in a row), so any run of
+``WINDOW + LEAST - 1`` = 24 words has a whole block in every text that holds it. Blocks form a class when they are equal.
+Two passages of 49 words or more at a Jaccard similarity of 0.8 share such a run: of m shingles each misses at most m / 9,
+a break costs four at least, so the longest of the runs left holds 20 shingles; near copies inside longer text are found too.
 """
 
 from __future__ import annotations
@@ -21,10 +23,12 @@ from .suffix import PrefixHashes, _powers, mix, window_min
 from .token_count import slices
 
 SHINGLE = 5
-LEAST = 24
-WINDOW = 26
+LEAST = 16
+WINDOW = 9
 BANDS, ROWS = 6, 2  # 1 - (1 - 0.8 ** 2) ** 6 = 0.998 of pairs at similarity 0.8 meet
 SIMILAR = 0.8
+COLUMNS = 4096  # shingles of one bucket compared at once
+HOT, SALTS = 200, 32  # a key of over 1 / HOT of the rows (so fewer than HOT keys) is dealt to SALTS parts
 CHUNK = 256  # lines of one bucket that meet in one task; larger buckets go as pairs of chunks
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FACTORS = np.random.default_rng(77).integers(0, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,11 +160,18 @@ def jaccard_links(sets: list[np.ndarray], similar: float = SIMILAR) -> tuple[np.
     """(i, j) that span what exact Jaccard similarity of at least ``similar`` connects among the sets."""
     n = len(sets)
     size = np.array(list(map(len, sets)))
-    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    _, code, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(n), size)
-    table = np.zeros((n, int(code.max()) + 1), dtype=np.float32)
-    table[owner, code] = 1
-    both = table @ table.T
+    shared = seen[code] > 1  # a shingle of one line alone is in no intersection
+    order = np.argsort(code[shared], kind="stable")
+    code, owner = code[shared][order], owner[shared][order]
+    both = np.zeros((n, n), dtype=np.float32)
+    at = np.cumsum(np.r_[0, code[1:] != code[:-1]]) if len(code) else code
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, [lo, lo + COLUMNS])
+        table = np.zeros((n, COLUMNS), dtype=np.float32)
+        table[owner[a:b], at[a:b] - lo] = 1
+        both += table @ table.T
     i, j = np.nonzero(np.triu(both >= similar * (size[:, None] + size[None, :] - both) - 1e-6, 1))
     root = settle(np.arange(n), i, j)
     far = np.flatnonzero(root != np.arange(n))
@@ -208,31 +219,47 @@ def line_links(texts: DataFrame, lines: DataFrame) -> DataFrame:
     return sent.join(sets, "h").repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify, "a bigint, b bigint").distinct()
 
 
+def join_spread(left: DataFrame, right: DataFrame, keys: list[str], total: int, spread: str = "row") -> DataFrame:
+    """``left`` joined with ``right``, one row a key with ``n``, the key's rows in ``left`` of ``total``. Keys of over
+    1 / ``HOT`` of the rows, fewer than ``HOT`` and so sent to every task, are dealt by ``spread`` to several parts."""
+    hot = F.col("n") > max(total // HOT, 1000)
+    flags = F.broadcast(right.where(hot).select(*keys, F.lit(True).alias("__hot")))
+    part = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    dealt = left.join(flags, keys, "left").withColumn("__part", part).drop("__hot")
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(right.withColumn("__part", F.explode(parts)).drop("n"), [*keys, "__part"]).drop("__part")
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per paragraph whose class occurs in more than one row of ``docs``: id, kind (line or block), start and
-    words (place and length in words), component (class), first_doc, removed.
+    """One row per paragraph whose class occurs more than once, in one row of ``docs`` or in several: id, kind (line or
+    block), start and words (place and length in words), component (class), first_doc, removed.
 
     Of each class the first paragraph (by id, nulls last, then place) stays and all others count as removed. Words are
-    lower-cased (A-Z) runs without blanks. Null and empty texts have no paragraphs; repeated rows repeat all of theirs.
+    lower-cased (A-Z) runs without blanks. Blocks of one row that overlap, as in periodic text, are no repeat of each
+    other. Null and empty texts have no paragraphs; repeated rows repeat all of theirs. A text without line breaks is
+    one line however long it is: its whole shingle set is compared, a bounded number of shingles at a time.
     """
     texts = with_row_id(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "row")
     only = texts.select("row", "text")
     ids = texts.select(F.col("row").alias("of"), "id")
     blocks = only.mapInArrow(_blocks, "h bigint, row bigint, start int")
-    often = blocks.groupBy("h").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("h")
-    found = (blocks.join(often, "h", "left_semi")
+    span = [F.min("row").alias("lo"), F.max("row").alias("hi"), F.min("start").alias("s"), F.max("start").alias("e"), F.count(F.lit(1)).alias("n")]
+    often = cut(blocks.groupBy("h").agg(*span).where(f"lo < hi OR e - s >= {LEAST}").select("h", "n"))
+    met = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = (join_spread(blocks, often, ["h"], met)
              .select("row", "start", F.lit(LEAST).alias("words"), F.lit("block").alias("kind"), F.col("h").alias("component")))
     shape = "h bigint, row bigint, start int, words int, bands array<bigint>"
     lines = cut(only.mapInArrow(_lines, shape))
-    distinct = lines.groupBy("h").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+    distinct = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     roots = components(line_links(texts, lines.select("h", "bands")))
-    classed = distinct.join(roots, distinct["h"] == roots["node"], "left").select("h", "lo", "hi", F.coalesce("root", "h").alias("root"))
-    spread = classed.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("root")
-    kept = classed.join(spread, "root", "left_semi").select("h", F.col("root").alias("component"))
-    found = cut(found.unionByName(lines.drop("bands").join(kept, "h").select("row", "start", "words", F.lit("line").alias("kind"), "component"))
+    classed = distinct.join(roots, distinct["h"] == roots["node"], "left").select("h", "n", F.coalesce("root", "h").alias("root"))
+    spread = classed.groupBy("root").agg(F.sum("n").alias("all")).where("all > 1").select("root")
+    kept = cut(classed.join(spread, "root", "left_semi").select("h", "n", F.col("root").alias("component")))
+    found = cut(found.unionByName(join_spread(lines.drop("bands"), kept, ["h"], lines.count())
+                                  .select("row", "start", "words", F.lit("line").alias("kind"), "component"))
                 .join(ids, F.col("row") == F.col("of")).drop("of"))
     place = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("row").alias("r"), F.col("start").alias("s"))
-    first = found.groupBy("kind", "component").agg(F.min(place).alias("first"))
-    return found.join(first, ["kind", "component"]).select(
+    first = found.groupBy("kind", "component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    return join_spread(found, first, ["kind", "component"], found.count()).select(
         F.col("id").alias(id_col), "kind", "start", "words", "component", F.col("first.i").alias("first_doc"),
         (~((F.col("row") == F.col("first.r")) & (F.col("start") == F.col("first.s")))).alias("removed"))

@@ -255,10 +255,10 @@ def test_long_passages_are_found_and_clean_documents_left(docs):
             seen[tuple(w[i:i + 50])].add(k)
     short = defaultdict(set)
     for k, w in enumerate(words):
-        for i in range(len(w) - 23):
-            short[tuple(w[i:i + 24])].add(k)
+        for i in range(len(w) - 15):
+            short[tuple(w[i:i + 16])].add((k, i))
     must = {ids[k] for s in seen.values() if len(s) > 1 for k in s}
-    may = {ids[k] for s in short.values() if len(s) > 1 for k in s}
+    may = {ids[k] for s in short.values() if len(s) > 1 for k, _ in s}
     rows = paragraphs.repeated_paragraphs(docs).collect()
     got = {r.doc_id for r in rows}
     lines = {r.doc_id for r in rows if r.kind == "line"}
@@ -296,6 +296,81 @@ def test_similar_lines_form_classes(spark, tmp_path, monkeypatch, chunk):
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def test_near_passages_inside_longer_text_are_found(spark, tmp_path):
+    """Pairs of 50-word passages that differ by a changed, an added or a left-out word, amid other words; clean texts."""
+    import random
+
+    r = random.Random(11)
+    word = lambda: f"w{r.randrange(10**7)}"
+    texts = []
+    for i in range(120):
+        p = [word() for _ in range(50)]
+        q, at = list(p), r.randrange(50)
+        q[at:at + 1] = [[word()], [], [p[at], word()]][i % 3]
+        for body in (p, q):
+            texts.append(" ".join([word() for _ in range(r.randrange(60))] + body + [word() for _ in range(r.randrange(60))]))
+    texts += [" ".join(word() for _ in range(150)) for _ in range(60)]
+    write(spark, tmp_path, list(enumerate(texts)), "doc_id long, text string")
+    rows = paragraphs.repeated_paragraphs(spark.read.parquet(f"{tmp_path}/t.parquet")).collect()
+    assert {r.doc_id for r in rows} == set(range(240)) and {r.doc_id for r in rows if r.removed} == set(range(1, 240, 2))
+
+
+def test_exact_passages_are_covered_but_for_their_ends(spark, tmp_path):
+    p = " ".join(f"p{k}" for k in range(100))
+    texts = [" ".join(f"{c}{i}_{k}" for k in range(30)) + f" {p} " + " ".join(f"z{c}{i}_{k}" for k in range(30)) for i, c in enumerate("abc")]
+    write(spark, tmp_path, list(enumerate(texts)), "doc_id long, text string")
+    covered = defaultdict(set)
+    for r in paragraphs.repeated_paragraphs(spark.read.parquet(f"{tmp_path}/t.parquet")).collect():
+        covered[r.doc_id].update(range(r.start, r.start + r.words))
+    assert all(covered[i] <= set(range(30, 130)) and covered[i] >= set(range(38, 122)) for i in range(3))
+
+
+def test_repeats_within_one_document(spark, tmp_path):
+    p = " ".join(f"p{k}" for k in range(40))
+    texts = [f"{p}\nbetween\n{p}\nown words here now\n{p}", "tick " * 300, "x y\nx y", "alone"]
+    write(spark, tmp_path, list(enumerate(texts)), "doc_id long, text string")
+    rows = paragraphs.repeated_paragraphs(spark.read.parquet(f"{tmp_path}/t.parquet")).collect()
+    lines = sorted((r.doc_id, r.start, r.removed) for r in rows if r.kind == "line")
+    assert lines == [(0, 0, False), (0, 41, True), (0, 85, True), (2, 0, False), (2, 2, True)]
+    assert {r.doc_id for r in rows if r.kind == "block"} <= {0, 1} and {r.first_doc for r in rows} <= {0, 1, 2}
+
+
+@pytest.mark.parametrize("columns", [7, 4096])
+def test_jaccard_of_long_lines_in_bounded_memory(monkeypatch, columns):
+    import tracemalloc
+
+    monkeypatch.setattr(paragraphs, "COLUMNS", columns)
+    rng = np.random.default_rng(5)
+    small = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype("<u4") for _ in range(40)] + [np.arange(200, 230, dtype="<u4")] * 2
+    a, b = paragraphs.jaccard_links(small)
+    comp = list(range(len(small)))
+    near = [[len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)) for y in small] for x in small]
+    for _ in small:
+        comp = [min(comp[j] for j in range(len(small)) if near[i][j]) for i in range(len(small))]
+    got = list(range(len(small)))
+    for i, j in zip(a.tolist(), b.tolist()):
+        got[i] = j
+    assert [got.index(g) for g in got] == [comp.index(c) for c in comp]
+    if columns == 4096:
+        base = np.unique(rng.integers(0, 1 << 32, 10_000, dtype=np.uint64).astype("<u4"))
+        long = [np.unique(np.r_[base[i:], rng.integers(0, 1 << 32, 30, dtype=np.uint64).astype("<u4")]) for i in range(128)]
+        tracemalloc.start()
+        far, _ = paragraphs.jaccard_links(long)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(far) == 127 and peak < 150 << 20
+
+
+@pytest.mark.parametrize("hot", [200, 2])
+def test_hot_lines_are_dealt_to_parts(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(paragraphs, "HOT", hot)
+    texts = ["the same line in all of them\n" * 3 + f"one of its own {i} a b c" for i in range(1200)]
+    write(spark, tmp_path, list(enumerate(texts)), "doc_id long, text string")
+    rows = paragraphs.repeated_paragraphs(spark.read.parquet(f"{tmp_path}/t.parquet")).collect()
+    lines = [r for r in rows if r.kind == "line"]
+    assert len(lines) == 3600 and sum(not r.removed for r in lines) == 1 and {r.first_doc for r in lines} == {0}
+
+
 def test_short_lines_form_classes(spark, tmp_path):
     near = [f"n{k}" for k in range(20)]
     texts = ["\n".join(["Read more", "one two three four five", "a b c d e f g h i", " ".join(near), f"own line {i}"]) for i in range(3)]
