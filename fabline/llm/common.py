@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,6 +41,15 @@ def _cut_plain(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.createDataFrame(stored._jdf.toJavaRDD(), stored._jdf.schema()), spark)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``cut`` as a parquet table in the shared checkpoint folder: compressed, for wide or long tables."""
+    spark = df.sparkSession
+    ensure_shared(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, few_rows, with_row_id
+from .common import components, cut, few_rows, stored, with_row_id
 from .simhash import settle
 from .suffix import PrefixHashes, _powers, mix, window_min
 from .token_count import slices
@@ -243,23 +243,24 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     only = texts.select("row", "text")
     ids = texts.select(F.col("row").alias("of"), "id")
     blocks = only.mapInArrow(_blocks, "h bigint, row bigint, start int")
-    span = [F.min("row").alias("lo"), F.max("row").alias("hi"), F.min("start").alias("s"), F.max("start").alias("e"), F.count(F.lit(1)).alias("n")]
-    often = cut(blocks.groupBy("h").agg(*span).where(f"lo < hi OR e - s >= {LEAST}").select("h", "n"))
+    often = cut(blocks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = (join_spread(blocks, often, ["h"], met)
              .select("row", "start", F.lit(LEAST).alias("words"), F.lit("block").alias("kind"), F.col("h").alias("component")))
     shape = "h bigint, row bigint, start int, words int, bands array<bigint>"
-    lines = cut(only.mapInArrow(_lines, shape))
+    lines = stored(only.mapInArrow(_lines, shape))
     distinct = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     roots = components(line_links(texts, lines.select("h", "bands")))
     classed = distinct.join(roots, distinct["h"] == roots["node"], "left").select("h", "n", F.coalesce("root", "h").alias("root"))
     spread = classed.groupBy("root").agg(F.sum("n").alias("all")).where("all > 1").select("root")
     kept = cut(classed.join(spread, "root", "left_semi").select("h", "n", F.col("root").alias("component")))
-    found = cut(found.unionByName(join_spread(lines.drop("bands"), kept, ["h"], lines.count())
+    found = stored(found.unionByName(join_spread(lines.drop("bands"), kept, ["h"], lines.count())
                                   .select("row", "start", "words", F.lit("line").alias("kind"), "component"))
                 .join(ids, F.col("row") == F.col("of")).drop("of"))
     place = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("row").alias("r"), F.col("start").alias("s"))
-    first = found.groupBy("kind", "component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    apart = (F.col("kind") == "line") | (F.min("row") < F.max("row")) | (F.max("start") - F.min("start") >= LEAST)
+    first = (found.groupBy("kind", "component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), apart.alias("apart"))
+             .where("apart").drop("apart"))
     return join_spread(found, first, ["kind", "component"], found.count()).select(
         F.col("id").alias(id_col), "kind", "start", "words", "component", F.col("first.i").alias("first_doc"),
         (~((F.col("row") == F.col("first.r")) & (F.col("start") == F.col("first.s")))).alias("removed"))
