@@ -167,9 +167,10 @@ def jaccard_links(sets: list[np.ndarray], similar: float = SIMILAR) -> tuple[np.
     code, owner = code[shared][order], owner[shared][order]
     both = np.zeros((n, n), dtype=np.float32)
     at = np.cumsum(np.r_[0, code[1:] != code[:-1]]) if len(code) else code
-    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+    columns = int(at[-1]) + 1 if len(at) else 0
+    for lo in range(0, columns, COLUMNS):
         a, b = np.searchsorted(at, [lo, lo + COLUMNS])
-        table = np.zeros((n, COLUMNS), dtype=np.float32)
+        table = np.zeros((n, min(COLUMNS, columns - lo)), dtype=np.float32)
         table[owner[a:b], at[a:b] - lo] = 1
         both += table @ table.T
     i, j = np.nonzero(np.triu(both >= similar * (size[:, None] + size[None, :] - both) - 1e-6, 1))
@@ -208,8 +209,12 @@ def line_links(texts: DataFrame, lines: DataFrame) -> DataFrame:
     banded = lines.select("h", F.posexplode("bands").alias("t", "key"))
     met = banded.groupBy("t", "key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("t", "key")
     found = cut(banded.join(met, ["t", "key"], "left_semi").distinct())
-    pairs = found.join(found.groupBy("t", "key").count(), ["t", "key"])
-    wanted = found.select("h").distinct()
+    member = {c: F.bit_xor(F.xxhash64("h", F.lit(i))) for i, c in enumerate("xy")}
+    buckets = found.groupBy("t", "key").agg(F.count(F.lit(1)).alias("count"), *[v.alias(c) for c, v in member.items()])
+    # Near copies meet in most bands: buckets of the same lines (by 128 bits) are compared once.
+    once = buckets.groupBy("count", "x", "y").agg(F.min(F.struct("t", "key")).alias("b")).select("b.t", "b.key", "count")
+    pairs = cut(found.join(once, ["t", "key"]))
+    wanted = pairs.select("h").distinct()
     sets = (texts.select("row", "text").mapInArrow(_line_shingles, "h bigint, shingles binary")
             .join(wanted, "h", "left_semi").groupBy("h").agg(F.min("shingles").alias("shingles")))
     n = F.ceil(F.col("count") / CHUNK).cast("int")
