@@ -145,12 +145,14 @@ def _lines(batches):
 
 
 def _line_shingles(batches):
-    """Each line's set of shingle hashes (32 bits each, sorted)."""
+    """The set of shingle hashes (32 bits each, sorted) of the lines at ``places`` of each text."""
     for batch in few_rows(batches):
-        for _, w in _groups(batch):
-            start, end = w.lines()
-            long = end - start >= SHINGLE
-            start, end = start[long], end[long]
+        number = pa.array(np.arange(batch.num_rows), pa.int64())
+        for some, w in _groups(pa.RecordBatch.from_arrays([number, batch.column(0)], ["at", "text"])):
+            places = batch.column(1).take(pa.array(some))
+            start = np.repeat(np.r_[0, w.text_ends[:-1]], places.value_lengths().to_numpy())
+            start += places.flatten().field("start").to_numpy()
+            end = start + places.flatten().field("words").to_numpy()
             short = (w.grams >> np.uint64(32)).astype("<u4")
             sets = [np.unique(short[a:b - SHINGLE + 1]).tobytes() for a, b in zip(start.tolist(), end.tolist())]
             yield pa.RecordBatch.from_arrays([_long(w.hash(start, end)), pa.array(sets, pa.binary())], ["h", "shingles"])
@@ -205,7 +207,9 @@ def _verify(batches):
 
 
 def line_links(texts: DataFrame, lines: DataFrame) -> DataFrame:
-    """Links (a, b) of similar lines among ``lines`` (h, bands) of ``texts``; equal lines share h."""
+    """Links (a, b) of similar lines among ``lines`` (h, row, start, words, bands) of ``texts``; equal lines share h.
+
+    Of lines that meet others the first of each h is looked up in its text; the texts go once to these places."""
     banded = lines.select("h", F.posexplode("bands").alias("t", "key"))
     met = banded.groupBy("t", "key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("t", "key")
     found = cut(banded.join(met, ["t", "key"], "left_semi").distinct())
@@ -215,8 +219,10 @@ def line_links(texts: DataFrame, lines: DataFrame) -> DataFrame:
     once = buckets.groupBy("count", "x", "y").agg(F.min(F.struct("t", "key")).alias("b")).select("b.t", "b.key", "count")
     pairs = cut(found.join(once, ["t", "key"]))
     wanted = pairs.select("h").distinct()
-    sets = (texts.select("row", "text").mapInArrow(_line_shingles, "h bigint, shingles binary")
-            .join(wanted, "h", "left_semi").groupBy("h").agg(F.min("shingles").alias("shingles")))
+    first = lines.join(wanted, "h", "left_semi").groupBy("h").agg(F.min(F.struct("row", "start", "words")).alias("p"))
+    places = first.groupBy("p.row").agg(F.collect_list(F.struct("p.start", "p.words")).alias("places"))  # some of a text's lines
+    sets = (texts.select("row", "text").join(places.hint("merge"), "row").select("text", "places")
+            .mapInArrow(_line_shingles, "h bigint, shingles binary"))
     n = F.ceil(F.col("count") / CHUNK).cast("int")
     sent = (pairs.withColumn("mine", F.pmod(F.xxhash64("h"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
             .select("h", "t", "key", F.least("mine", "other").alias("c"), F.greatest("mine", "other").alias("d")))
@@ -255,7 +261,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shape = "h bigint, row bigint, start int, words int, bands array<bigint>"
     lines = stored(only.mapInArrow(_lines, shape))
     distinct = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    roots = components(line_links(texts, lines.select("h", "bands")))
+    roots = components(line_links(texts, lines))
     classed = distinct.join(roots, distinct["h"] == roots["node"], "left").select("h", "n", F.coalesce("root", "h").alias("root"))
     spread = classed.groupBy("root").agg(F.sum("n").alias("all")).where("all > 1").select("root")
     kept = cut(classed.join(spread, "root", "left_semi").select("h", "n", F.col("root").alias("component")))
