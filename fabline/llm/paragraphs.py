@@ -124,15 +124,9 @@ def _long(x):
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def _blocks(batches):
-    for batch in few_rows(batches):
-        for rows, w in _groups(batch):
-            at = w.blocks()
-            text, place = w.in_text(at)
-            yield pa.RecordBatch.from_arrays([_long(w.hash(at, at + LEAST)), _long(rows[text]), pa.array(place, pa.int32())], ["h", "row", "start"])
-
-
-def _lines(batches):
+def _paragraphs(batches):
+    """Lines, with their words and bands, and blocks, without, from one pass over the texts."""
+    names = ["h", "row", "start", "words", "bands"]
     for batch in few_rows(batches):
         for rows, w in _groups(batch):
             start, end = w.lines()
@@ -140,8 +134,11 @@ def _lines(batches):
             long = end - start >= SHINGLE
             ends = np.r_[0, np.cumsum(long)] * BANDS
             keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _long(w.bands(start[long], end[long]).ravel()))
-            yield pa.RecordBatch.from_arrays([_long(w.hash(start, end)), _long(rows[text]), pa.array(place, pa.int32()), pa.array(end - start, pa.int32()), keys],
-                                             ["h", "row", "start", "words", "bands"])
+            yield pa.RecordBatch.from_arrays([_long(w.hash(start, end)), _long(rows[text]), pa.array(place, pa.int32()), pa.array(end - start, pa.int32()), keys], names)
+            at = w.blocks()
+            text, place = w.in_text(at)
+            none = pa.nulls(len(at), pa.int32()), pa.nulls(len(at), keys.type)
+            yield pa.RecordBatch.from_arrays([_long(w.hash(at, at + LEAST)), _long(rows[text]), pa.array(place, pa.int32()), *none], names)
 
 
 def _line_shingles(batches):
@@ -253,13 +250,12 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = with_row_id(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "row")
     only = texts.select("row", "text")
     ids = texts.select(F.col("row").alias("of"), "id")
-    blocks = only.mapInArrow(_blocks, "h bigint, row bigint, start int")
+    both = stored(only.mapInArrow(_paragraphs, "h bigint, row bigint, start int, words int, bands array<bigint>"))
+    blocks, lines = both.where("words is null").select("h", "row", "start"), both.where("words is not null")
     often = cut(blocks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = (join_spread(blocks, often, ["h"], met)
              .select("row", "start", F.lit(LEAST).alias("words"), F.lit("block").alias("kind"), F.col("h").alias("component")))
-    shape = "h bigint, row bigint, start int, words int, bands array<bigint>"
-    lines = stored(only.mapInArrow(_lines, shape))
     distinct = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     roots = components(line_links(texts, lines))
     classed = distinct.join(roots, distinct["h"] == roots["node"], "left").select("h", "n", F.coalesce("root", "h").alias("root"))
