@@ -3,9 +3,11 @@
 Exact. The training set is the capped one (A8), so it is bounded; its size is
 checked before anything is sent. Up to ``broadcast_bytes`` it goes to every
 task once and queries are scored where they are, without a shuffle. Beyond
-that, query blocks meet training blocks in tasks of bounded size and the
-partial lists are merged. Either way candidates come from one matrix product
-per block (norms plus inner products) and are then measured exactly.
+that, training vectors lie in cells round sampled pivots (``cells.py``), near
+cells form blocks of bounded size, and a query goes only to the blocks that
+hold a cell it can't rule out; the partial lists are merged. Either way
+candidates come from matrix products (norms plus inner products) and are then
+measured exactly.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
+from fabline.operators.cells import Cells, chain, home, rings
+from fabline.session import ensure_checkpoint_dir
 
+PIVOTS = 4096  # at most; more training vectors make larger cells
 NEIGHBOUR_SCHEMA = "q_id long, rank long, t_id long, t_label string, dist double"
 
 
@@ -47,7 +52,7 @@ def _matrix(column, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _rows(q_ids: np.ndarray, found) -> pa.Table:
+def _rows(found) -> pa.Table:
     cols = ([], [], [], [], [])
     for q_id, t_ids, labels, dist in found:
         for col, v in zip(cols, ([q_id] * len(dist), range(1, len(dist) + 1), t_ids, labels, dist)):
@@ -70,13 +75,18 @@ def split_by_dim(df: DataFrame, dim: int, features: str = "features") -> tuple[D
 def knn_neighbours(queries: DataFrame, train: DataFrame, dim: int, k: int = C.KNN_K,
                    q_id: str = "vec_id", t_id: str = "vec_id", features: str = "features",
                    label: str = "label", broadcast_bytes: int = 64 << 20,
-                   q_block: int = 16384, t_block: int = 65536) -> DataFrame:
+                   q_block: int = 16384, t_block: int = 65536, cell_rows: int = 4096) -> DataFrame:
     """The k nearest training vectors (Euclidean) of every usable query vector:
     ``q_id, rank, t_id, t_label, dist``. Ties break on the training id.
 
     ``dim`` is the line's vector length; vectors of another length, or with
     null or NaN components, have no neighbours (``split_by_dim`` gives them,
-    ``knn_decide`` answers them with ``unknown``).
+    ``knn_decide`` answers them with ``unknown``). Vectors with an infinite
+    component have no distances and are nobody's neighbours.
+
+    A training set of over ``broadcast_bytes`` is searched by cells of about
+    ``cell_rows`` vectors; a task holds ``t_block`` training vectors and about
+    ``q_block`` queries.
     """
     q = split_by_dim(queries.select(F.col(q_id).alias("q_id"), F.col(features).alias("features")), dim)[0]
     t = split_by_dim(train.select(F.col(t_id).alias("t_id"), F.col(features).alias("features"),
@@ -92,27 +102,119 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, dim: int, k: int = C.KN
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 found = nearest(_matrix(batch.column(1), dim), tm, tid, k) if len(tid) else ()
-                yield from _rows(ids, ((ids[i], tid[at].tolist(), [lab[j] for j in at], dist.tolist())
+                yield from _rows(((ids[i], tid[at].tolist(), [lab[j] for j in at], dist.tolist())
                                        for i, at, dist in found)).to_batches()
 
         return q.mapInArrow(score, NEIGHBOUR_SCHEMA)
-    n_tb, n_qb = math.ceil(n_t / t_block), max(1, math.ceil(q.count() / q_block))
-    qx = q.withColumns({"qb": F.pmod(F.xxhash64("q_id"), F.lit(n_qb)),
-                        "tb": F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))})
-    tx = t.withColumns({"tb": F.pmod(F.xxhash64("t_id"), F.lit(n_tb)),
-                        "qb": F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))})
-
-    def block(qs, ts):
-        ids, tid, lab = qs.column("q_id").to_pylist(), ts.column("t_id").to_numpy(), ts.column("t_label").to_pylist()
-        found = nearest(_matrix(qs.column("features"), dim), _matrix(ts.column("features"), dim), tid, k) if ids and len(tid) else ()
-        return _rows(ids, ((ids[i], tid[at].tolist(), [lab[j] for j in at], dist.tolist()) for i, at, dist in found))
-
-    part = qx.groupBy("qb", "tb").cogroup(tx.groupBy("qb", "tb")).applyInArrow(block, NEIGHBOUR_SCHEMA).drop("rank")
+    part = _by_cells(q, t, n_t, dim, k, q_block, t_block, cell_rows)
     w = Window.partitionBy("q_id").orderBy("dist", "t_id")
     return part.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k) \
         .select("q_id", "rank", "t_id", "t_label", "dist")
 
 
+def _by_cells(q: DataFrame, t: DataFrame, n_t: int, dim: int, k: int, q_block: int, t_block: int, cell_rows: int) -> DataFrame:
+    """Neighbours of the queries within each block that they are sent to."""
+    spark = q.sparkSession
+    ensure_checkpoint_dir(spark)
+    finite = t.where(F.forall("features", lambda x: F.abs(x) < float("inf")))
+    sample = finite.orderBy(F.xxhash64("t_id"), "t_id").limit(min(PIVOTS, math.ceil(n_t / cell_rows))).select("features").toArrow()
+    n_cells = sample.num_rows
+    if not n_cells:
+        return spark.createDataFrame([], NEIGHBOUR_SCHEMA).drop("rank")
+    held = spark.sparkContext.broadcast(_matrix(sample.column(0), dim))
+
+    def assign(batches):
+        for batch in batches:
+            cell, dist = home(_matrix(batch.column(1), dim), held.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(dist)], [*batch.schema.names, "cell", "t_dist"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.schema.fields)
+    placed = t.mapInArrow(assign, f"{kinds}, cell long, t_dist double").checkpoint()
+    first = F.row_number().over(Window.partitionBy("cell").orderBy("t_dist"))
+    near = placed.select("cell", "t_dist", first.alias("j")).where(F.col("j") <= k).groupBy("cell").agg(F.collect_list("t_dist").alias("near"))
+    about = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("t_dist").alias("low"), F.max("t_dist").alias("high"))
+    known = about.join(near, "cell").collect()  # at most PIVOTS rows
+    n, low, high, least = np.zeros(n_cells, np.int64), np.zeros(n_cells), np.zeros(n_cells), np.full((n_cells, k), np.inf)
+    for r in known:
+        n[r.cell], low[r.cell], high[r.cell] = r.n, r.low, r.high
+        least[r.cell, :len(r.near)] = r.near
+    block_of = chain(held.value, n, t_block)
+    parts = np.maximum(1, -(-np.bincount(block_of, n) // t_block)).astype(np.int64)  # over 1 where one cell alone is larger
+    cells = spark.sparkContext.broadcast((Cells(held.value, least, low, high), block_of))
+
+    def route(batches):
+        for batch in batches:
+            c, of = cells.value
+            at, block, listed, dists, bounds = [], [], [], [], []
+            for i, some, dist, bound in c.route(_matrix(batch.column(1), dim)):
+                order = np.argsort(of[some], kind="stable")
+                some, dist = some[order], dist[order]
+                edges = np.flatnonzero(np.diff(of[some], prepend=-1, append=-1)) if len(some) else []
+                for a, b in zip(edges[:-1], edges[1:]):
+                    at.append(i)
+                    block.append(of[some[a]])
+                    listed.append(some[a:b])
+                    dists.append(dist[a:b])
+                    bounds.append(bound)
+                if len(at) >= 4096:
+                    yield _sent(batch, at, block, listed, dists, bounds)
+                    at, block, listed, dists, bounds = [], [], [], [], []
+            if at:
+                yield _sent(batch, at, block, listed, dists, bounds)
+
+    kind = q.schema["features"].dataType.simpleString()
+    sent = q.mapInArrow(route, f"q_id {q.schema['q_id'].dataType.simpleString()}, features {kind}, block long, cells array<bigint>, dists array<double>, bound double")
+    asked = {r.block: r.n for r in sent.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shape = [(int(c), int(b), int(parts[b]), math.ceil(asked[b] / q_block)) for c, b in enumerate(block_of) if b in asked]
+    sizes = spark.createDataFrame(shape, "cell long, block long, n_parts long, n_qb long")
+    by_block = F.broadcast(sizes.drop("cell").distinct())  # at most PIVOTS rows, as is the next
+
+    def spread(column):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(column) - 1))
+
+    qx = sent.join(by_block, "block").withColumns({"qb": F.pmod(F.xxhash64("q_id"), F.col("n_qb")), "part": spread("n_parts")}).drop("n_parts", "n_qb")
+    tx = (placed.join(F.broadcast(sizes), "cell").withColumns({"part": F.pmod(F.xxhash64("t_id"), F.col("n_parts")), "qb": spread("n_qb")})
+          .drop("n_parts", "n_qb"))
+
+    def search(qs, ts):
+        return _rows(_search(qs, ts, dim, k))
+
+    key = ["block", "part", "qb"]
+    return qx.groupBy(*key).cogroup(tx.groupBy(*key)).applyInArrow(search, NEIGHBOUR_SCHEMA).drop("rank")
+
+
+def _sent(batch, at, block, listed, dists, bounds):
+    ends = pa.array(np.r_[0, np.cumsum([len(x) for x in listed])], pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (listed, dists)]
+    rows = batch.take(pa.array(at))
+    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(block, pa.int64()), *lists, pa.array(bounds, pa.float64())],
+                                      ["q_id", "features", "block", "cells", "dists", "bound"])
+
+
+def _search(qs, ts, dim: int, k: int):
+    """(query id, training ids, labels, distances) of one block, cell by cell."""
+    if not qs.num_rows or not ts.num_rows:
+        return
+    q, t = _matrix(qs.column("features"), dim), _matrix(ts.column("features"), dim)
+    ids, tid, labels = qs.column("q_id").to_pylist(), ts.column("t_id").to_numpy(), ts.column("t_label").to_pylist()
+    bound, t_cell, t_dist = (x.to_numpy() for x in (qs.column("bound"), ts.column("cell"), ts.column("t_dist")))
+    lists = qs.column("cells").combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
+    owner = np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy())
+    cell = lists.flatten().to_numpy()
+    dist = qs.column("dists").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    by_q, by_t = np.argsort(cell, kind="stable"), np.argsort(t_cell, kind="stable")
+    for c in np.unique(t_cell):
+        mine = by_q[slice(*np.searchsorted(cell[by_q], [c, c + 1]))]
+        rows = by_t[slice(*np.searchsorted(t_cell[by_t], [c, c + 1]))]
+        who = owner[mine]
+        for some, ring in rings(q[who], dist[mine], bound[who], t[rows], t_dist[rows]):
+            at = rows[ring]
+            for i, best, d in nearest(q[who[some]], t[at], tid[at], k):
+                found = at[best]
+                yield ids[who[some[i]]], tid[found].tolist(), [labels[j] for j in found], d.tolist()
+
+
 def knn_distribution(neigh: DataFrame, queries: DataFrame | None = None, k: int = C.KNN_K, q_id: str = "vec_id") -> DataFrame:
     """Votes per query and class (classes without votes included):
     ``q_id, label, votes, share``.

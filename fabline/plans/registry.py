@@ -809,6 +809,14 @@ def q_knn_topk(spark, d):
     return _neigh(spark, d).select("q_id", "rank", "t_id", "t_label")
 
 
+@register("knn_topk_cells", KNN_SQL + "SELECT q_id, rank, t_id, t_label FROM nr")
+def q_knn_topk_cells(spark, d):
+    """R1 as for a training set that is too large to send: by cells round pivots, pruned by their bounds."""
+    lv = AD.labelled_vectors(spark, d)
+    near = KN.knn_neighbours(lv.where(~F.col("is_train")), lv.where("is_train"), AD.VECTOR_DIM, broadcast_bytes=0, cell_rows=64)
+    return near.select("q_id", "rank", "t_id", "t_label")
+
+
 @register("knn_distribution", KNN_SQL + "SELECT q_id, label, votes, votes / 5.0 AS share FROM votes")
 def q_knn_distribution(spark, d):
     return KN.knn_distribution(_neigh(spark, d))
