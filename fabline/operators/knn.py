@@ -25,6 +25,7 @@ from fabline.operators.cells import Cells, chain, home, rings
 from fabline.session import ensure_checkpoint_dir
 
 PIVOTS = 4096  # at most; more training vectors make larger cells
+LISTED = 64  # cells a query of a task lists on average; where they list more, a task has fewer queries
 NEIGHBOUR_SCHEMA = "q_id long, rank long, t_id long, t_label string, dist double"
 
 
@@ -164,7 +165,7 @@ def _by_cells(q: DataFrame, t: DataFrame, n_t: int, dim: int, k: int, q_block: i
 
     kind = q.schema["features"].dataType.simpleString()
     sent = q.mapInArrow(route, f"q_id {q.schema['q_id'].dataType.simpleString()}, features {kind}, block long, cells array<bigint>, dists array<double>, bound double")
-    asked = {r.block: r.n for r in sent.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    asked = {r.block: r.n for r in sent.groupBy("block").agg(F.greatest(F.count(F.lit(1)), F.ceil(F.sum(F.size("cells")) / LISTED)).alias("n")).collect()}
     shape = [(int(c), int(b), int(parts[b]), math.ceil(asked[b] / q_block)) for c, b in enumerate(block_of) if b in asked]
     sizes = spark.createDataFrame(shape, "cell long, block long, n_parts long, n_qb long")
     by_block = F.broadcast(sizes.drop("cell").distinct())  # at most PIVOTS rows, as is the next
@@ -197,22 +198,48 @@ def _search(qs, ts, dim: int, k: int):
         return
     q, t = _matrix(qs.column("features"), dim), _matrix(ts.column("features"), dim)
     ids, tid, labels = qs.column("q_id").to_pylist(), ts.column("t_id").to_numpy(), ts.column("t_label").to_pylist()
-    bound, t_cell, t_dist = (x.to_numpy() for x in (qs.column("bound"), ts.column("cell"), ts.column("t_dist")))
+    bound, t_cell, t_dist = (x.to_numpy().copy() for x in (qs.column("bound"), ts.column("cell"), ts.column("t_dist")))
     lists = qs.column("cells").combine_chunks()
     lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
     owner = np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy())
     cell = lists.flatten().to_numpy()
     dist = qs.column("dists").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     by_q, by_t = np.argsort(cell, kind="stable"), np.argsort(t_cell, kind="stable")
+    best_d, best_at = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
     for c in np.unique(t_cell):
         mine = by_q[slice(*np.searchsorted(cell[by_q], [c, c + 1]))]
         rows = by_t[slice(*np.searchsorted(t_cell[by_t], [c, c + 1]))]
         who = owner[mine]
         for some, ring in rings(q[who], dist[mine], bound[who], t[rows], t_dist[rows]):
-            at = rows[ring]
-            for i, best, d in nearest(q[who[some]], t[at], tid[at], k):
-                found = at[best]
-                yield ids[who[some[i]]], tid[found].tolist(), [labels[j] for j in found], d.tolist()
+            _merge(q, t, tid, who[some], rows[ring], best_d, best_at, bound)
+    for i in range(len(q)):
+        found = best_at[i][best_at[i] >= 0]
+        yield ids[i], tid[found].tolist(), [labels[j] for j in found], best_d[i, :len(found)].tolist()
+
+
+def _merge(q, t, tid, who, at, best_d, best_at, bound) -> None:
+    """Bring the training rows ``at`` into the best lists of the queries ``who``, and draw their bounds closer."""
+    k = best_d.shape[1]
+    q2, t2 = np.einsum("qd,qd->q", q[who], q[who]), np.einsum("td,td->t", t[at], t[at])
+    d2 = q2[:, None] + t2[None, :] - 2.0 * (q[who] @ t[at].T)
+    slack = 1e-9 * (q2[:, None] + t2[None, :]) + 1e-12  # as in ``nearest``
+    limit = np.square(bound[who])
+    if len(at) > k:
+        limit = np.minimum(limit, np.partition(d2 + slack, k - 1, axis=1)[:, k - 1])
+    row, col = np.nonzero(d2 - slack <= limit[:, None])
+    if not len(row):
+        return
+    diff = t[at[col]] - q[who[row]]
+    row = np.concatenate([row, np.repeat(np.arange(len(who)), k)])
+    dist = np.concatenate([np.sqrt(np.einsum("td,td->t", diff, diff)), best_d[who].ravel()])
+    of = np.concatenate([at[col], best_at[who].ravel()])
+    order = np.lexsort((tid[of], dist, row))  # places not filled yet are infinite and come last
+    row, dist, of = row[order], dist[order], of[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = rank < k
+    best_d[who[row[kept]], rank[kept]], best_at[who[row[kept]], rank[kept]] = dist[kept], of[kept]
+    last = best_d[who, k - 1]
+    bound[who] = np.fmin(bound[who], last * (1 + 1e-9))
 
 
 def knn_distribution(neigh: DataFrame, queries: DataFrame | None = None, k: int = C.KNN_K, q_id: str = "vec_id") -> DataFrame:
