@@ -1025,13 +1025,18 @@ from fabline.streaming import stream as ST  # noqa: E402
 SLICE = "5 days"
 
 
-def _land(df: DataFrame, path: str, by: str = "ts", rows: int = 1_000_000, end: dict | None = None) -> str:
-    """Land rows as the stream's input files, one slice of time after the other; returns the slice length.
+def _land(df: DataFrame, path: str, by: str = "ts", rows: int = 1_000_000, end: dict | None = None) -> tuple[str, int]:
+    """Land rows as the stream's input files, one slice of time after the other; returns the slice length and the files of
+    a slice.
 
     Slices are ``SLICE`` long whatever the table (six equal runs of numbers if ``by`` is a number); files hold at most
-    about ``rows`` rows, in no order within a slice, so a delay of one slice covers them. Rows without a time come with
-    the first slice. ``end`` lands one closing row, later than all others by two slices, that lets the watermark pass them.
+    about ``rows`` rows, in no order within a slice, so a delay of one slice covers them. Every slice has the same number of
+    files, some without rows where it is short. Rows without a time come with the first slice. ``end`` lands one closing
+    row, later than all others by two slices, that lets the watermark pass them. ``df`` is worked out once.
     """
+    spark, staged = df.sparkSession, f"{path}-staged"
+    df.write.parquet(staged)
+    df = spark.read.schema(df.schema).parquet(staged)
     at = F.unix_micros("ts") if by == "ts" else F.col(by)
     lo, hi, n = df.select(F.min(at), F.max(at), F.count(F.lit(1))).first()
     if lo is None:
@@ -1042,18 +1047,20 @@ def _land(df: DataFrame, path: str, by: str = "ts", rows: int = 1_000_000, end:
     cut = df.withColumn("__slice", F.coalesce(F.floor((at - lo) / length), F.lit(0)))
     for i in range(slices):
         cut.where(F.col("__slice") == i).drop("__slice").repartition(files).write.mode("append").parquet(path)
+        for _ in range((i + 1) * files - len(spark.read.schema(df.schema).parquet(path).inputFiles()) if files > 1 else 0):
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
     if end is not None:
         last = [F.lit(end.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name != "ts"]
-        (df.sparkSession.range(1).select(F.timestamp_micros(F.lit(hi + 2 * length)).alias("ts"), *last)
+        (spark.range(1).select(F.timestamp_micros(F.lit(hi + 2 * length)).alias("ts"), *last)
          .select(*df.columns).coalesce(1).write.mode("append").parquet(path))
-    return f"{length // 1000 + 1} milliseconds"
+    return f"{length // 1000 + 1} milliseconds", files
 
 
 def _stream_in(spark, name: str, df: DataFrame, end: dict | None = None, by: str = "ts"):
-    """(stream of ``df`` with one file a micro-batch, delay, output folder, checkpoint folder)."""
+    """(stream of ``df`` with one slice a micro-batch, delay, output folder, checkpoint folder)."""
     src, out, ck = ST.scratch_query_paths(spark, name)
-    delay = _land(df, src, by=by, end=end)
-    return ST.read_stream(spark, src, df.schema, max_files=1), delay, out, ck
+    delay, files = _land(df, src, by=by, end=end)
+    return ST.read_stream(spark, src, df.schema, max_files=files), delay, out, ck
 
 
 def _stream_out(df: DataFrame, out: str, ck: str) -> DataFrame:

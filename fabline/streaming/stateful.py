@@ -1,9 +1,11 @@
 """Event-time ordered keyed state machines on typed state (W2, W3, W5-W8, S3, A1).
 
-``OrderedFold`` is the base: every row waits as one entry of a map state until the watermark reaches it, an event-time
+``OrderedFold`` is the base: rows wait in entries of a map state until the watermark reaches them, an event-time
 timer set for the earliest waiting row wakes the key, and due rows are applied in ``(ts_us, seq)`` order to a
-typed value state. A micro-batch therefore writes its own rows and removes the due ones; rows that go on waiting are not
-written again. Neither the cut into micro-batches nor the order of rows within the delay matters; the step functions
+typed value state. What a key gets in a micro-batch is sorted and cut into entries, of two rows where it gets few and of
+``ENTRY_ROWS`` where it gets very many, so calls to the state grow far slower than a hot key's rows. A micro-batch therefore
+writes its own rows and removes the due ones; rows that go on waiting are not written again, but for those that share an
+entry with a due one. Due entries are unpacked one after the other in time order, never all at once. Neither the cut into micro-batches nor the order of rows within the delay matters; the step functions
 are those of the batch operators. State needs the RocksDB provider (``use_rocksdb``).
 
 * ``delta_trigger_live``: the delta trigger keyed by key *and window*, since a window starts anew: a key with very many
@@ -17,9 +19,13 @@ are those of the batch operators. State needs the RocksDB provider (``use_rocksd
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_left
 from collections import namedtuple
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +57,12 @@ class TypedState:
     unpack: Callable[[tuple], object] = list
 
 
+SORTED_ROWS = 16_384  # arriving rows of a key that are sorted together
+ENTRY_ROWS = SORTED_ROWS // 32
+OPEN_ENTRIES = 32  # waiting entries unpacked together
+_place = itemgetter(0)
+
+
 def _names(schema: str) -> list[str]:
     return [f.name for f in T._parse_datatype_string(schema).fields]
 
@@ -66,7 +78,7 @@ class OrderedFold(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.held = handle.getValueState("held", self.state.schema)
-        self.waiting = handle.getMapState("waiting", "ts_us long, seq long, n long", self.rows)
+        self.waiting = handle.getMapState("waiting", "ts_us long, n long", "last_us long, n_rows long, rows binary")
         self.clock = handle.getValueState("clock", "arrived long, timer long")
         self.input = namedtuple("Input", self.cols)
 
@@ -83,38 +95,77 @@ class OrderedFold(StatefulProcessor):
             timer = at
         self.clock.update((arrived, timer))
 
+    def _store(self, rows: list, n: int) -> None:
+        """One entry of sorted rows; ``n`` is the arrival number of a row that only this entry holds."""
+        self.waiting.updateValue((rows[0][0][0], n), (rows[-1][0][0], len(rows), pickle.dumps(rows, pickle.HIGHEST_PROTOCOL)))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         arrived, timer = self.clock.get() or (0, None)
-        first = None
-        for r in rows:
-            self.waiting.updateValue((r["ts_us"], r["seq"], arrived), tuple(r[c] for c in self.cols))
-            arrived += 1
-            first = r["ts_us"] if first is None else min(first, r["ts_us"])
+        first, at = None, None
+        rows = iter(rows)
+        while some := list(islice(rows, SORTED_ROWS)):
+            if at is None:
+                names = list(some[0].__fields__)
+                at, ts, seq = [names.index(c) for c in self.cols], names.index("ts_us"), names.index("seq")
+            place = [((r[ts], r[seq] is not None, r[seq] or 0, n), tuple([r[i] for i in at])) for n, r in enumerate(some, arrived)]
+            place.sort(key=_place)
+            size = max(2, -(-len(place) // 32))
+            for lo in range(0, len(place), size):
+                self._store(place[lo:lo + size], arrived + lo)
+            arrived += len(place)
+            first = place[0][0][0] if first is None else min(first, place[0][0][0])
         self._wake(arrived, timer, None if first is None else first // 1000 + 1)
         return iter(())
 
+    def _due(self, entries: list, now: int, left: list) -> Iterator[tuple]:
+        """Rows of the entries up to ``now`` (microseconds) in order; entries hold sorted rows and come by their first time.
+        Rows after ``now`` go to ``left``, with their entry's number."""
+        held: list = []
+        for lo in range(0, len(entries), OPEN_ENTRIES):
+            for (_, n), (last, _, packed) in entries[lo:lo + OPEN_ENTRIES]:
+                rows = pickle.loads(packed)
+                if last > now:
+                    left.append((n, [r for r in rows if r[0][0] > now]))
+                    rows = [r for r in rows if r[0][0] <= now]
+                held.extend(rows)
+            held.sort(key=_place)
+            until, ready = entries[lo + OPEN_ENTRIES][0][0] if lo + OPEN_ENTRIES < len(entries) else None, len(held)
+            if until is not None:
+                ready = bisect_left(held, until, key=lambda r: r[0][0])
+            for _, v in islice(held, ready):
+                yield self.input(*v)
+            del held[:ready]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         arrived, timer = self.clock.get() or (0, None)
         now = timerValues.getCurrentWatermarkInMs()
         if timer is None or expiredTimerInfo.getExpiryTimeInMs() != timer:
             return  # an earlier timer has done its work
-        entries = list(self.waiting.iterator())
-        due = sorted(((k, v) for k, v in entries if k[0] <= now * 1000), key=lambda e: (e[0][0], e[0][1] is not None, e[0][1] or 0, e[0][2]))
-        left = [k[0] for k, _ in entries if k[0] > now * 1000]
-        if due:
-            yield from self.apply(key, [self.input(*v) for _, v in due], now)
-            for k, _ in due:
+        entries, next_us = [], None
+        for k, v in self.waiting.iterator():
+            if k[0] <= now * 1000:
+                entries.append((tuple(k), tuple(v)))
+            elif next_us is None or k[0] < next_us:
+                next_us = k[0]
+        entries.sort(key=_place)
+        if entries:
+            left: list = []
+            yield from self.apply(key, self._due(entries, now * 1000, left), now)
+            for k, _ in entries:
                 self.waiting.removeKey(k)
-        if left:
-            self._wake(arrived, None, min(left) // 1000 + 1)
-        elif due or not self.done(key, now):
+            for n, rows in left:
+                self._store(rows, n)
+                next_us = rows[0][0][0] if next_us is None else min(next_us, rows[0][0][0])
+        if next_us is not None:
+            self._wake(arrived, None, next_us // 1000 + 1)
+        elif entries or not self.done(key, now):
             self._wake(arrived, None, self.lifetime(key, now))
         else:
             self.clock.clear()
             self.held.clear()
 
-    def apply(self, key, rows, now: int) -> Iterator[Row]:
-        """Apply due rows in order."""
+    def apply(self, key, rows: Iterable, now: int) -> Iterator[Row]:
+        """Apply due rows, which come in order."""
         held = self.held.get()
         held = self.spec.init() if held is None else self.state.unpack(held)
         for r in rows:
@@ -290,21 +341,21 @@ class ExportFold(OrderedFold):
 
     def apply(self, key, rows, now: int) -> Iterator[Row]:
         n = (self.held.get() or (0,))[0]
-        fresh = [tuple(r) for r in rows]
-        total = n + len(fresh)
-        if total // self.batch > n // self.batch:
-            gathered = [tuple(r) for r in self.open.get()] + fresh if n % self.batch else fresh
-            base = n // self.batch * self.batch
-            full = (total // self.batch - n // self.batch) * self.batch
-            for k, r in enumerate(gathered[:full]):
-                yield self.out(*key, (base + k) // self.batch, base + k + 1, *r)
-            if gathered[full:]:
-                self.open.put(gathered[full:])
-            else:
-                self.open.clear()
-        else:
+        kept = n % self.batch  # rows of the open batch that the state holds
+        fresh: list = []
+        for r in rows:
+            fresh.append(tuple(r))
+            n += 1
+            if n % self.batch == 0:
+                gathered = [tuple(r) for r in self.open.get()] + fresh if kept else fresh
+                for k, r in enumerate(gathered):
+                    yield self.out(*key, n // self.batch - 1, n - self.batch + k + 1, *r)
+                if kept:
+                    self.open.clear()
+                kept, fresh = 0, []
+        if fresh:
             self.open.appendList(fresh)
-        self.held.update((total,))
+        self.held.update((n,))
 
 
 def export_live(rows: DataFrame, delay: str, series: str = "series", batch: int = C.EXPORT_BATCH) -> DataFrame:
