@@ -26,26 +26,23 @@ from fabline.session import ensure_checkpoint_dir
 
 PIVOTS = 4096  # at most; more training vectors make larger cells
 LISTED = 64  # cells a query of a task lists on average; where they list more, a task has fewer queries
+T_CHUNK = 4096  # training rows that a matrix product takes at once
+PAIRS = 1 << 15  # pairs whose differences are held at once
 NEIGHBOUR_SCHEMA = "q_id long, rank long, t_id long, t_label string, dist double"
 
 
 def nearest(q: np.ndarray, t: np.ndarray, t_ids: np.ndarray, k: int, chunk: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query index, training indices, distances) of the ``k`` nearest, ties to the smaller training id."""
-    k = min(k, len(t))
-    t2 = np.einsum("td,td->t", t, t)
+    """(query index, training indices, distances) of the ``k`` nearest, ties to the smaller training id. What it holds
+    beside its input does not grow with the training set."""
     for lo in range(0, len(q), chunk):
         part = q[lo:lo + chunk]
-        q2 = np.einsum("qd,qd->q", part, part)
-        d2 = q2[:, None] + t2[None, :] - 2.0 * (part @ t.T)
-        # Rounding of the product form can't move a true neighbour beyond this slack.
-        slack = 1e-9 * (q2[:, None] + t2[None, :]) + 1e-12
-        limit = np.partition(d2 + slack, k - 1, axis=1)[:, k - 1]
+        who, bound = np.arange(len(part)), np.full(len(part), np.inf)
+        best_d, best_at = np.full((len(part), k), np.inf), np.full((len(part), k), -1)
+        for at in range(0, len(t), T_CHUNK):
+            _merge(part, t, t_ids, who, np.arange(at, min(at + T_CHUNK, len(t))), best_d, best_at, bound)
         for i in range(len(part)):
-            cand = np.flatnonzero(d2[i] - slack[i] <= limit[i])
-            diff = t[cand] - part[i]
-            dist = np.sqrt(np.einsum("td,td->t", diff, diff))
-            best = np.lexsort((t_ids[cand], dist))[:k]
-            yield lo + i, cand[best], dist[best]
+            best = best_at[i][best_at[i] >= 0]
+            yield lo + i, best, best_d[i, :len(best)]
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -211,7 +208,8 @@ def _search(qs, ts, dim: int, k: int):
         rows = by_t[slice(*np.searchsorted(t_cell[by_t], [c, c + 1]))]
         who = owner[mine]
         for some, ring in rings(q[who], dist[mine], bound[who], t[rows], t_dist[rows]):
-            _merge(q, t, tid, who[some], rows[ring], best_d, best_at, bound)
+            for lo in range(0, len(ring), T_CHUNK):
+                _merge(q, t, tid, who[some], rows[ring[lo:lo + T_CHUNK]], best_d, best_at, bound)
     for i in range(len(q)):
         found = best_at[i][best_at[i] >= 0]
         yield ids[i], tid[found].tolist(), [labels[j] for j in found], best_d[i, :len(found)].tolist()
@@ -222,16 +220,20 @@ def _merge(q, t, tid, who, at, best_d, best_at, bound) -> None:
     k = best_d.shape[1]
     q2, t2 = np.einsum("qd,qd->q", q[who], q[who]), np.einsum("td,td->t", t[at], t[at])
     d2 = q2[:, None] + t2[None, :] - 2.0 * (q[who] @ t[at].T)
-    slack = 1e-9 * (q2[:, None] + t2[None, :]) + 1e-12  # as in ``nearest``
+    # Rounding of the product form can't move a true neighbour beyond this slack.
+    slack = 1e-9 * (q2[:, None] + t2[None, :]) + 1e-12
     limit = np.square(bound[who])
     if len(at) > k:
-        limit = np.minimum(limit, np.partition(d2 + slack, k - 1, axis=1)[:, k - 1])
+        limit = np.fmin(limit, np.partition(d2 + slack, k - 1, axis=1)[:, k - 1])
     row, col = np.nonzero(d2 - slack <= limit[:, None])
     if not len(row):
         return
-    diff = t[at[col]] - q[who[row]]
+    dist = np.empty(len(row))
+    for lo in range(0, len(row), PAIRS):
+        diff = t[at[col[lo:lo + PAIRS]]] - q[who[row[lo:lo + PAIRS]]]
+        dist[lo:lo + PAIRS] = np.sqrt(np.einsum("td,td->t", diff, diff))
     row = np.concatenate([row, np.repeat(np.arange(len(who)), k)])
-    dist = np.concatenate([np.sqrt(np.einsum("td,td->t", diff, diff)), best_d[who].ravel()])
+    dist = np.concatenate([dist, best_d[who].ravel()])
     of = np.concatenate([at[col], best_at[who].ravel()])
     order = np.lexsort((tid[of], dist, row))  # places not filled yet are infinite and come last
     row, dist, of = row[order], dist[order], of[order]
