@@ -16,7 +16,9 @@ ordered segments of bounded row count and processed per segment:
 
 Only the small per-segment state table ever moves between rounds; it is
 checkpointed to the shared checkpoint folder so lineage stays short. The
-per-row step is a small Python function run inside Arrow batches.
+per-row step is a small Python function run inside Arrow batches. Spark sorts
+the segments; a task takes their rows batch by batch and holds one batch and
+one state, however many rows a segment has.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fabline.operators.ordered import null_safe_join, prefix_sum, row_bucket
 from fabline.session import ensure_checkpoint_dir
@@ -44,15 +48,27 @@ class FoldSpec:
     out_schema: str
 
 
-def _run_segment(pdf: pd.DataFrame, spec: FoldSpec, order: Sequence[str], entry: object):
-    pdf = pdf.sort_values(list(order), kind="mergesort", na_position="first")
-    state = spec.init() if entry is None else entry
-    outs: list = []
-    for row in pdf[list(spec.in_cols)].itertuples(index=False, name="Row"):
-        state, emitted = spec.step(state, row)
-        if emitted:
-            outs.extend(emitted)
-    return state, outs
+def _same(a: tuple, b: tuple | None) -> bool:
+    return b is not None and all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
+def _segments(batch: pa.RecordBatch, seg: Sequence[str]):
+    """(key, first row, last row + 1) of the runs of equal ``seg`` columns in a batch; null equals null."""
+    n = batch.num_rows
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in seg:
+        codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    edges = np.append(np.flatnonzero(new), n)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield tuple(batch.column(c)[lo].as_py() for c in seg), lo, hi
+
+
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_integer(kind):  # pandas turns a column of integers with a null into one of floats
+        values = [None if v is None or v != v else int(v) for v in values]
+    return pa.array(values, kind, from_pandas=True)
 
 
 def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: FoldSpec,
@@ -93,13 +109,39 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Fol
     key_schema = base.select(*seg).schema
 
     exit_schema = T.StructType(list(key_schema.fields) + [T.StructField("exit_state", T.StringType())])
+    out_struct = T._parse_datatype_string(spec.out_schema)
+    full_schema = T.StructType(list(key_schema.fields)[:len(keys)] + list(out_struct.fields))
 
-    def exits_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = pdf["entry_state"].iloc[0]
-        st, _ = _run_segment(pdf, spec, order, None if entry is None else json.loads(entry))
-        out = pdf[seg].iloc[:1].copy()
-        out["exit_state"] = json.dumps(st)
-        return out
+    def folded(rows: DataFrame, schema: T.StructType, emit: bool) -> DataFrame:
+        """The segments' rows (``emit``) or exit states, each from the entry state that its rows carry."""
+        kinds = [to_arrow_type(f.dataType) for f in schema.fields]
+        names, wanted = schema.names, list(dict.fromkeys(spec.in_cols))
+
+        def table(found: list) -> pa.RecordBatch:
+            cols = zip(*found) if found else [()] * len(names)
+            return pa.RecordBatch.from_arrays([_column(list(c), k) for c, k in zip(cols, kinds)], names=names)
+
+        def run(batches):
+            current = state = None
+            for batch in batches:
+                found: list = []
+                pdf = pa.Table.from_batches([batch.select(wanted)]).to_pandas()[list(spec.in_cols)]
+                for key, lo, hi in _segments(batch, seg):
+                    if not _same(key, current):
+                        if current is not None and not emit:
+                            found.append((*current, json.dumps(state)))
+                        entry = batch.column("entry_state")[lo].as_py()
+                        current, state = key, spec.init() if entry is None else json.loads(entry)
+                    for row in pdf.iloc[lo:hi].itertuples(index=False, name="Row"):
+                        state, emitted = spec.step(state, row)
+                        if emit and emitted:
+                            found.extend((*key[:len(keys)], *o) for o in emitted)
+                if found:
+                    yield table(found)
+            if current is not None and not emit:
+                yield table([(*current, json.dumps(state))])
+
+        return rows.repartition(*seg).sortWithinPartitions(*seg, *order).mapInArrow(run, schema)
 
     def entries_from(exits: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(bucket)
@@ -110,24 +152,14 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Fol
             return base.withColumn("entry_state", F.lit(None).cast("string"))
         return null_safe_join(base, entries, seg, "left")
 
-    out_struct = T._parse_datatype_string(spec.out_schema)
-    full_schema = T.StructType(list(key_schema.fields)[:len(keys)] + list(out_struct.fields))
-
-    def emit_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = pdf["entry_state"].iloc[0]
-        _, outs = _run_segment(pdf, spec, order, None if entry is None else json.loads(entry))
-        kv = pdf[keys].iloc[0].tolist()
-        return pd.DataFrame([tuple(kv) + tuple(o) for o in outs],
-                            columns=[f.name for f in full_schema.fields])
-
     if not split:
         # One segment per key: nothing to settle, fold once and emit.
-        return with_entries(None).groupBy(*seg).applyInPandas(emit_fn, full_schema)
+        return folded(with_entries(None), full_schema, emit=True)
 
     # Round 1 folds every segment from the initial state. Later rounds
     # re-fold only the segments whose entry state changed and keep the other
     # exits, so a round costs the frontier of unsettled segments only.
-    exits = with_entries(None).groupBy(*seg).applyInPandas(exits_fn, exit_schema).checkpoint()
+    exits = folded(with_entries(None), exit_schema, emit=False).checkpoint()
     entries = entries_from(exits).checkpoint()
     rounds = 1
     while True:
@@ -143,10 +175,10 @@ def run_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Fol
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("fold did not settle within max_rounds")
         redo = null_safe_join(null_safe_join(base, changed, seg, "left_semi"), entries, seg, "left")
-        fresh = redo.groupBy(*seg).applyInPandas(exits_fn, exit_schema)
+        fresh = folded(redo, exit_schema, emit=False)
         exits = null_safe_join(exits, changed, seg, "left_anti").unionByName(fresh).checkpoint()
         prev = entries
         entries = entries_from(exits).checkpoint()
         rounds += 1
 
-    return with_entries(entries).groupBy(*seg).applyInPandas(emit_fn, full_schema)
+    return folded(with_entries(entries), full_schema, emit=True)
