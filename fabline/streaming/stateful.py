@@ -8,6 +8,9 @@ writes its own rows and removes the due ones; rows that go on waiting are not wr
 entry with a due one. Due entries are unpacked one after the other in time order, never all at once. Neither the cut into micro-batches nor the order of rows within the delay matters; the step functions
 are those of the batch operators. State needs the RocksDB provider (``use_rocksdb``).
 
+PySpark gathers what all timers of a task emit, one dict a row, before it writes any of it. So a timer emits its rows packed,
+up to ``PACKED_ROWS`` in a value, and ``run_ordered`` unpacks them behind the state, value by value.
+
 * ``delta_trigger_live``: the delta trigger keyed by key *and window*, since a window starts anew: a key with very many
   rows is spread over its windows, and a window's state goes when the watermark has passed its end.
 * ``alarms_live``: cool-down alarms whose START is sent by a timer when it is due, also without a further reading.
@@ -27,9 +30,11 @@ from dataclasses import dataclass
 from itertools import islice
 from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from fabline.functions import codes as C
@@ -60,6 +65,7 @@ class TypedState:
 SORTED_ROWS = 16_384  # arriving rows of a key that are sorted together
 ENTRY_ROWS = SORTED_ROWS // 32
 OPEN_ENTRIES = 32  # waiting entries unpacked together
+PACKED_ROWS = 4096  # rows that leave a key in one value
 _place = itemgetter(0)
 
 
@@ -73,7 +79,7 @@ class OrderedFold(StatefulProcessor):
     def __init__(self, spec: FoldSpec, state: TypedState, rows: str, keys: list[str], idle_ms: int | None = None):
         self.spec, self.state, self.rows, self.idle_ms = spec, state, rows, idle_ms
         self.cols, self.held_cols = _names(rows), _names(state.schema)
-        self.out = Row(*keys, *_names(spec.out_schema))
+        self.out, self.packed = Row(*keys, *_names(spec.out_schema)), Row("packed")
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -137,6 +143,12 @@ class OrderedFold(StatefulProcessor):
             del held[:ready]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        rows = map(tuple, self.expired(key, timerValues, expiredTimerInfo))
+        while some := list(islice(rows, PACKED_ROWS)):
+            yield self.packed(pickle.dumps(some, pickle.HIGHEST_PROTOCOL))
+
+    def expired(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """What a timer emits, row by row."""
         arrived, timer = self.clock.get() or (0, None)
         now = timerValues.getCurrentWatermarkInMs()
         if timer is None or expiredTimerInfo.getExpiryTimeInMs() != timer:
@@ -193,7 +205,30 @@ def run_ordered(rows: DataFrame, keys: list[str], processor: OrderedFold, delay:
     cols = dict.fromkeys([*keys, ts, "ts_us", seq, *processor.cols])
     timed = rows.where(F.col(ts).isNotNull()).select(*cols).withColumnRenamed(seq, "seq").withWatermark(ts, delay)
     start = None if initial is None else initial.select(*keys, *_names(processor.state.schema)).groupBy(*keys)
-    return timed.groupBy(*keys).transformWithState(processor, f"{kinds}, {processor.spec.out_schema}", "Append", "EventTime", start)
+    packed = timed.groupBy(*keys).transformWithState(processor, "packed binary", "Append", "EventTime", start)
+    return packed.mapInArrow(_unpacker(f"{kinds}, {processor.spec.out_schema}"), f"{kinds}, {processor.spec.out_schema}")
+
+
+def _unpacker(schema: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``schema`` out of packed values, a batch of up to about two values' rows at a time."""
+    fields = T._parse_datatype_string(schema).fields
+    names, kinds = [f.name for f in fields], [to_arrow_type(f.dataType) for f in fields]
+
+    def table(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    def unpack(batches):
+        rows: list = []
+        for batch in batches:
+            for value in batch.column(0):
+                rows.extend(pickle.loads(value.as_py()))
+                if len(rows) >= PACKED_ROWS:
+                    yield table(rows)
+                    rows = []
+        if rows:
+            yield table(rows)
+
+    return unpack
 
 
 def without_time(rows: DataFrame, ts: str = "ts") -> DataFrame:
@@ -274,8 +309,8 @@ class AlarmFold(OrderedFold):
             self.handle.registerTimer(o.restart_us // 1000 + 1)
             yield o
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+    def expired(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from super().expired(key, timerValues, expiredTimerInfo)
         now = timerValues.getCurrentWatermarkInMs()
         for (restart_us, seq), (alarm_us, streak) in list(self.starts.iterator()):
             if restart_us <= now * 1000:
