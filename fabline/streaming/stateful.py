@@ -31,7 +31,7 @@ from itertools import islice
 from operator import itemgetter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -42,9 +42,7 @@ from fabline.operators.aggs import daily_counts
 from fabline.operators.anomaly import cooldown_spec
 from fabline.operators.fold import FoldSpec
 from fabline.operators.lifecycle import ALLOW_TOPIC, LIFE_STATE, LIFECYCLE_TOPICS, LIVE_SPEC, REMOVE_TOPIC
-from fabline.operators.ordered import null_safe_join
 from fabline.operators.triggers import delta_input, delta_output, delta_spec, mean_change, watermark_late, window_ms, window_seconds
-from fabline.session import ensure_checkpoint_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -413,28 +411,45 @@ def write_micro_batches(stream: DataFrame, out: str, checkpoint: str, available_
 DAILY = "day string, good bigint, defect1 bigint, defect2 bigint, year string"
 
 
+DAY_PARTITIONS = 32  # most state partitions of the daily counts, which hold a few numbers a day
+YEAR_TASKS = 16  # tasks that merge and write days, a year in one of them
+
+
 def daily_quality_live(records: DataFrame, out: str, checkpoint: str, day: str = "day", available_now: bool = True):
     """Daily counts (``DAILY``) that follow arriving files.
 
     The counts are the stream's state, and a micro-batch replaces the days that it has touched: files of other years are
-    neither read nor written, and old input is never read again. A repeated micro-batch writes the same totals. A null day
+    not written, and old input is never read again. A repeated micro-batch writes the same totals. A null day
     is a day, in the year ``none``.
+
+    Every task of a stage with state sends the driver a metric for every state partition, so what a micro-batch sends grows
+    with their square. Input tasks add up their rows by day before the state gets them, so the state has no more than
+    ``DAY_PARTITIONS``, fewer if the session has fewer shuffle partitions; a checkpoint goes on with the number it was begun
+    with. New and stored days meet in one shuffle by year. The stored files are replaced when all tasks that read them are done.
     """
     def replace(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        ensure_checkpoint_dir(session)
-        year = F.coalesce(F.substring("day", 1, 4), F.lit("none"))
-        new = batch.withColumnRenamed(day, "day").withColumn("year", year).checkpoint()
-        merged = new
+        columns = ["day", C.GOOD, C.DEFECT1, C.DEFECT2]
+        days = batch.withColumnRenamed(day, "day").select(*columns, F.lit(True).alias("__new"))
         if number:
-            old = null_safe_join(session.read.schema(DAILY).parquet(out), new.select("year").distinct(), ["year"], "left_semi")
-            merged = null_safe_join(old, new, ["day"], "left_anti").unionByName(new).checkpoint()
-        (merged.repartition("year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            old = batch.sparkSession.read.schema(DAILY).parquet(out)
+            days = days.unionByName(old.select(*columns, F.lit(False).alias("__new")))
+        year = F.coalesce(F.substring("day", 1, 4), F.lit("none"))
+        seen = [F.max("__new").over(Window.partitionBy(*by)) for by in (["year"], ["year", "day"])]
+        merged = (days.withColumn("year", year).repartition(YEAR_TASKS, "year").select("*", seen[0].alias("__touched"), seen[1].alias("__newest"))
+                  .where(F.col("__touched") & (F.col("__new") == F.col("__newest"))).select(*columns, "year"))
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("year").parquet(out))
 
-    use_rocksdb(records.sparkSession)
+    spark = records.sparkSession
+    use_rocksdb(spark)
     w = daily_counts(records, day).writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).outputMode("update")
-    return (w.trigger(availableNow=True) if available_now else w).start()
+    w = w.trigger(availableNow=True) if available_now else w
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), DAY_PARTITIONS)))
+    try:
+        return w.start()  # the query keeps the settings it is started with
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 # --- W3 ---------------------------------------------------------------------
