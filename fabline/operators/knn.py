@@ -34,15 +34,52 @@ NEIGHBOUR_SCHEMA = "q_id long, rank long, t_id long, t_label string, dist double
 def nearest(q: np.ndarray, t: np.ndarray, t_ids: np.ndarray, k: int, chunk: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query index, training indices, distances) of the ``k`` nearest, ties to the smaller training id. What it holds
     beside its input does not grow with the training set."""
-    for lo in range(0, len(q), chunk):
-        part = q[lo:lo + chunk]
-        who, bound = np.arange(len(part)), np.full(len(part), np.inf)
-        best_d, best_at = np.full((len(part), k), np.inf), np.full((len(part), k), -1)
-        for at in range(0, len(t), T_CHUNK):
-            _merge(part, t, t_ids, who, np.arange(at, min(at + T_CHUNK, len(t))), best_d, best_at, bound)
-        for i in range(len(part)):
-            best = best_at[i][best_at[i] >= 0]
-            yield lo + i, best, best_d[i, :len(best)]
+    bound = np.full(len(q), np.inf)
+    best_d, best_at = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+    for at in range(0, len(t), T_CHUNK):
+        rows = np.arange(at, min(at + T_CHUNK, len(t)))
+        screen = Screen(q, t[rows])
+        for lo in range(0, len(q), chunk):
+            who = np.arange(lo, min(lo + chunk, len(q)))
+            _merge(q, t, t_ids, who, rows, best_d, best_at, bound, screen, rows - at)
+    for i in range(len(q)):
+        best = best_at[i][best_at[i] >= 0]
+        yield i, best, best_d[i, :len(best)]
+
+
+class Screen:
+    """What tells near pairs from others in one matrix product: q.t - t.t / 2 is the larger the nearer ``t`` lies to ``q``.
+
+    In single precision where all lengths allow it. What rounding can move a product by is at most ``slack`` times the sum
+    of both squared lengths: the training side's share is added to its column here, the query's counts in ``least``. So
+    no true neighbour is missed, and the pairs that are left are measured in double precision.
+    """
+
+    def __init__(self, q: np.ndarray, t: np.ndarray):
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.q2, self.t2 = np.einsum("qd,qd->q", q, q), np.einsum("td,td->t", t, t)
+        single = len(q) and len(t) and self.q2.max() < 1e30 and self.t2.max() < 1e30  # not so beside an infinite or NaN one
+        kind = np.float32 if single else np.float64
+        self.slack = max(1e-9, (q.shape[1] + 8) * float(np.finfo(kind).eps))
+        self.q = np.empty((len(q), q.shape[1] + 1), kind)
+        self.q[:, :-1], self.q[:, -1] = q, 1
+        self.t = np.empty((len(t), t.shape[1] + 1), kind)
+        self.t[:, :-1], self.t[:, -1] = t, np.where(np.isfinite(self.t2), (self.slack - 0.5) * self.t2 + 1e-12, np.nan)
+
+    def near(self, who: np.ndarray, at: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``who``, places in ``at``) of the pairs that can be within ``bound`` and among the ``k`` nearest."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            s = self.q[who] @ self.t[at].T
+            off = self.slack * self.q2[who] + 1e-12
+            least = (self.q2[who] - np.square(np.fmin(bound, np.inf))) / 2 - off
+            found = np.flatnonzero(s >= self._below(least))
+            if len(found) > 4 * k * len(who) and len(at) > k:  # the k-th best of these rows alone is a closer bound
+                kth = np.partition(2 * (self.slack * self.t2[at] + 1e-12) - s, k - 1, axis=1)[:, k - 1]
+                found = np.flatnonzero(s >= self._below(np.fmax(least, -kth - 2 * off)))
+        return np.divmod(found, len(at))
+
+    def _below(self, least: np.ndarray) -> np.ndarray:
+        return np.nextafter(least.astype(self.q.dtype), self.q.dtype.type(-np.inf))[:, None]
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -203,35 +240,32 @@ def _search(qs, ts, dim: int, k: int):
     dist = qs.column("dists").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     by_q, by_t = np.argsort(cell, kind="stable"), np.argsort(t_cell, kind="stable")
     best_d, best_at = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+    screen = Screen(q, t)
     for c in np.unique(t_cell):
         mine = by_q[slice(*np.searchsorted(cell[by_q], [c, c + 1]))]
         rows = by_t[slice(*np.searchsorted(t_cell[by_t], [c, c + 1]))]
         who = owner[mine]
         for some, ring in rings(q[who], dist[mine], bound[who], t[rows], t_dist[rows]):
             for lo in range(0, len(ring), T_CHUNK):
-                _merge(q, t, tid, who[some], rows[ring[lo:lo + T_CHUNK]], best_d, best_at, bound)
+                at = rows[ring[lo:lo + T_CHUNK]]
+                _merge(q, t, tid, who[some], at, best_d, best_at, bound, screen, at)
     for i in range(len(q)):
         found = best_at[i][best_at[i] >= 0]
         yield ids[i], tid[found].tolist(), [labels[j] for j in found], best_d[i, :len(found)].tolist()
 
 
-def _merge(q, t, tid, who, at, best_d, best_at, bound) -> None:
-    """Bring the training rows ``at`` into the best lists of the queries ``who``, and draw their bounds closer."""
+def _merge(q, t, tid, who, at, best_d, best_at, bound, screen: Screen, place: np.ndarray) -> None:
+    """Bring the training rows ``at``, ``place`` on the screen, into the best lists of the queries ``who``, and draw their bounds closer."""
     k = best_d.shape[1]
-    q2, t2 = np.einsum("qd,qd->q", q[who], q[who]), np.einsum("td,td->t", t[at], t[at])
-    d2 = q2[:, None] + t2[None, :] - 2.0 * (q[who] @ t[at].T)
-    # Rounding of the product form can't move a true neighbour beyond this slack.
-    slack = 1e-9 * (q2[:, None] + t2[None, :]) + 1e-12
-    limit = np.square(bound[who])
-    if len(at) > k:
-        limit = np.fmin(limit, np.partition(d2 + slack, k - 1, axis=1)[:, k - 1])
-    row, col = np.nonzero(d2 - slack <= limit[:, None])
+    row, col = screen.near(who, place, bound[who], k)
     if not len(row):
         return
     dist = np.empty(len(row))
     for lo in range(0, len(row), PAIRS):
         diff = t[at[col[lo:lo + PAIRS]]] - q[who[row[lo:lo + PAIRS]]]
         dist[lo:lo + PAIRS] = np.sqrt(np.einsum("td,td->t", diff, diff))
+    some, row = np.unique(row, return_inverse=True)
+    who = who[some]
     row = np.concatenate([row, np.repeat(np.arange(len(who)), k)])
     dist = np.concatenate([dist, best_d[who].ravel()])
     of = np.concatenate([at[col], best_at[who].ravel()])
@@ -250,14 +284,12 @@ def knn_distribution(neigh: DataFrame, queries: DataFrame | None = None, k: int
 
     With ``queries`` every query has its rows; votes and share of one without
     neighbours are null."""
-    votes = neigh.groupBy("q_id", F.col("t_label").alias("label")).agg(F.count(F.lit(1)).alias("votes"))
-    answered = neigh.select("q_id").distinct().withColumn("answered", F.lit(True))
+    # One pass: the neighbours are worked out as often as they are read. A query without an id has no votes.
+    found = neigh.groupBy("q_id").agg(*[F.count_if((F.col("t_label") == c) & F.col("q_id").isNotNull()).alias(c) for c in C.CLASSES])
     if queries is not None:
-        answered = queries.select(F.col(q_id).alias("q_id")).distinct().join(answered, "q_id", "left")
-    grid = answered.withColumn("label", F.explode(F.array(*[F.lit(c) for c in C.CLASSES])))
-    out = grid.join(votes, ["q_id", "label"], "left")
-    votes = F.when(F.col("answered"), F.coalesce("votes", F.lit(0)))
-    return out.select("q_id", "label", votes.alias("votes"), (votes / F.lit(float(k))).alias("share"))
+        found = queries.select(F.col(q_id).alias("q_id")).distinct().join(found, "q_id", "left")
+    out = found.select("q_id", F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("votes")) for c in C.CLASSES])).alias("v"))
+    return out.select("q_id", "v.label", "v.votes", (F.col("v.votes") / F.lit(float(k))).alias("share"))
 
 
 def decide(good, defect1, defect2):

@@ -17,12 +17,12 @@ from __future__ import annotations
 
 from collections import namedtuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabline.functions import codes as C
 from fabline.operators.fold import FoldSpec, run_fold
-from fabline.operators.ordered import asof_last, null_safe_join, prefix_sum, row_bucket
+from fabline.operators.ordered import BUCKET_ROWS, asof_last, null_safe_join, prefix_sum, row_bucket
 from fabline.session import ensure_checkpoint_dir
 
 LIFECYCLE_TOPICS = [C.LOADING_MAT_LOADED, C.LOADING_MAT_POSITION, C.ROLLING_MAT_POSITION,
@@ -89,16 +89,28 @@ def material_lifecycle_fold(msgs: DataFrame, allow: DataFrame, predictions: Data
     return run_fold(m, [id_col], ["ts_us", "seq"], LIFECYCLE_SPEC)
 
 
-def _lifecycle_input(msgs, allow, predictions, id_col):
-    m = msgs.where(F.col("topic").isin(*LIFECYCLE_TOPICS)).select(id_col, "seq", "ts", "topic")
-    a = allow.groupBy(F.col("id").alias(id_col)).agg(F.max("thickness").alias("thickness0"))
-    m = m.join(a, id_col, "left").withColumn("allowed0", F.col("thickness0").isNotNull())
-    if predictions is None:
-        return m.withColumn("prediction", F.lit(None).cast("string"))
-    # Only colour checks carry a prediction; all other messages stay out of the join.
+def _messages(msgs: DataFrame, id_col: str) -> DataFrame:
+    return msgs.where(F.col("topic").isin(*LIFECYCLE_TOPICS)).select(id_col, "seq", "ts", "topic")
+
+
+def _thickness(allow: DataFrame, id_col: str) -> DataFrame:
+    return allow.groupBy(F.col("id").alias(id_col)).agg(F.max("thickness").alias("thickness0"))
+
+
+def _with_predictions(m: DataFrame, predictions: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(colour checks with their prediction, all other messages). Only checks carry one; the others stay out of the join."""
     checks = F.col("topic") == C.COLOUR_MAT_CHECK
-    return (m.where(checks).join(predictions.select("seq", "prediction"), "seq", "left").select(*m.columns, "prediction")
-            .unionByName(m.where(~checks).withColumn("prediction", F.lit(None).cast("string"))))
+    none = F.lit(None).cast("string")
+    if predictions is None:
+        return m.where(checks).withColumn("prediction", none), m.where(~checks).withColumn("prediction", none)
+    joined = m.where(checks).join(predictions.select("seq", "prediction"), "seq", "left").select(*m.columns, "prediction")
+    return joined, m.where(~checks).withColumn("prediction", none)
+
+
+def _lifecycle_input(msgs, allow, predictions, id_col):
+    checks, others = _with_predictions(_messages(msgs, id_col), predictions)
+    m = checks.unionByName(others).join(_thickness(allow, id_col), id_col, "left")
+    return m.withColumn("allowed0", F.col("thickness0").isNotNull())
 
 
 # --- live form: allow-list as messages, state as a table ---------------------
@@ -133,22 +145,23 @@ def lifecycle_state(allow: DataFrame, actions: DataFrame | None = None, msgs: Da
     if actions is None:
         return a.select("id", F.lit(False).alias("known"), F.lit(True).alias("allowed"), F.lit(False).alias("rolled"),
                         F.lit(False).alias("ready"), F.lit(None).cast("string").alias("quality"), "thickness")
-    timed = null_safe_join(actions, msgs.select("id", "seq", "ts"), ["id", "seq"])
-    s = timed.groupBy("id").agg(
+    s = actions.groupBy("id").agg(
         *[F.max(F.col("action") == name).alias(flag) for name, flag in
-          (("forward", "known"), ("rolled", "rolled"), ("ready", "ready"), ("final", "gone"))],
-        F.max_by("quality", F.struct("ts", "seq")).alias("quality"))
-    j = s.join(a, "id", "full")
+          (("forward", "known"), ("rolled", "rolled"), ("ready", "ready"), ("final", "gone"))])
+    # An id's quality once set stays set, so its last one is the last of those rows.
+    timed = null_safe_join(actions.where(F.col("quality").isNotNull()).select("id", "seq", "quality"), msgs.select("id", "seq", "ts"), ["id", "seq"])
+    last = timed.groupBy("id").agg(F.max_by("quality", F.struct("ts", "seq")).alias("quality"))
+    j = null_safe_join(s, last, ["id"], "left").join(a, "id", "full")
     off = F.coalesce("gone", F.lit(False))
     return j.select("id", F.coalesce("known", F.lit(False)).alias("known"),
                     (F.col("thickness").isNotNull() & ~off).alias("allowed"),
                     *[F.coalesce(c, F.lit(False)).alias(c) for c in ("rolled", "ready")], "quality", "thickness")
 
 
-def _first_after(m: DataFrame, id_col: str, cond, after: str, name: str) -> DataFrame:
-    """Per id: the first ``(ts, seq)`` of rows meeting ``cond`` after milestone ``after``."""
-    hit = m.where(cond & (F.col("o") > F.col(after)))
-    return hit.groupBy(id_col).agg(F.min("o").alias(name))
+def _first_after(k: DataFrame, rows: DataFrame, id_col: str, after: str, name: str) -> DataFrame:
+    """``k`` with ``name``: per id, the first ``(ts, seq)`` of ``rows`` after milestone ``after``."""
+    hit = rows.join(k.select(id_col, after), id_col).where(F.col("o") > F.col(after))
+    return k.join(hit.groupBy(id_col).agg(F.min("o").alias(name)), id_col, "left")
 
 
 def material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame | None = None,
@@ -162,43 +175,43 @@ def material_lifecycle(msgs: DataFrame, allow: DataFrame, predictions: DataFrame
     The state of a material only moves forward, so it is rebuilt from
     per-id milestones instead of a row-by-row fold: the first forward (the
     first load of an allowed id), the first roll after it, the first ready
-    check after that, the quality as of each message (last classified
-    prediction, a bucketed as-of) and the first effective final (which takes
-    the id off the allow-list). Milestones are per-id aggregates (partial
-    aggregation, no single task per id); the as-of runs per id and row bucket.
+    check after that, the first classification with a prediction after that
+    and the first final after that (which takes the id off the allow-list).
+    A milestone is an aggregate over the messages of its own topic (partial
+    aggregation, no single task per id); one table holds those of all ids.
+    All messages are shuffled once, by id, where they meet that table and
+    the last classified prediction up to each of them; if an id has more
+    rows than a bucket, this as-of runs per id and row bucket.
     """
-    t = F.col("topic")
-    # The input feeds four milestone aggregates and their joins: written once
-    # to the shared folder instead of derived per branch or held on executors.
+    t, o = F.col("topic"), F.col("o")
+    # The input feeds five aggregates and the result: written once to the
+    # shared folder instead of derived per branch or held on executors.
     ensure_checkpoint_dir(msgs.sparkSession)
-    m = _lifecycle_input(msgs, allow, predictions, id_col).withColumn("o", F.struct("ts", "seq")).checkpoint()
-    k1 = m.groupBy(id_col).agg(
-        F.min(F.when(t == C.LOADING_MAT_LOADED, F.col("o"))).alias("__first_load"),
-        F.max("allowed0").alias("__allowed0"))
-    k1 = k1.select(id_col, F.when(F.col("__allowed0"), F.col("__first_load")).alias("known_from"))
-    m1 = m.join(k1, id_col, "left")
-    k2 = _first_after(m1, id_col, t == C.ROLLING_MAT_AFTER_ROLL, "known_from", "rolled_from")
-    m2 = m1.join(k2, id_col, "left")
-    k3 = _first_after(m2, id_col, t == C.QUALITY_MAT_READY_TO_QCHECK, "rolled_from", "ready_from")
-    m3 = m2.join(k3, id_col, "left")
-
-    known = F.coalesce(F.col("o") > F.col("known_from"), F.lit(False))
-    rolled = F.coalesce(F.col("o") > F.col("rolled_from"), F.lit(False))
-    ready = F.coalesce(F.col("o") > F.col("ready_from"), F.lit(False))
-    classified = (t == C.COLOUR_MAT_CHECK) & known & ready
-    m3 = m3.withColumns({"__known": known, "__rolled": rolled, "__ready": ready,
-                         "__pred": F.when(classified, F.col("prediction"))})
-    m3 = row_bucket(m3, [id_col])
+    m = _messages(msgs, id_col).checkpoint().withColumn("o", F.struct("ts", "seq"))
+    checks, others = _with_predictions(m, predictions)
+    checks = checks.checkpoint()
+    k = m.groupBy(id_col).agg(F.min(F.when(t == C.LOADING_MAT_LOADED, o)).alias("first_load"), F.count(F.lit(1)).alias("n_rows"))
+    k = k.join(_thickness(allow, id_col), id_col, "left").withColumn("known_from", F.when(F.col("thickness0").isNotNull(), F.col("first_load")))
+    k = _first_after(k, m.where(t == C.ROLLING_MAT_AFTER_ROLL), id_col, "known_from", "rolled_from")
+    k = _first_after(k, m.where(t == C.QUALITY_MAT_READY_TO_QCHECK), id_col, "rolled_from", "ready_from")
+    k = _first_after(k, checks.where(F.col("prediction").isNotNull()), id_col, "ready_from", "quality_from")
+    k = _first_after(k, m.where(t == C.UNLOADING_MAT_FINAL), id_col, "quality_from", "final_from").drop("first_load").checkpoint()
+    split = not k.where(F.col("n_rows") > BUCKET_ROWS).isEmpty()
+
+    r = checks.unionByName(others).join(k.drop("n_rows"), id_col, "left")
+    allowed0 = F.col("thickness0").isNotNull()
+    kn, rl, rd = [F.coalesce(o > F.col(c), F.lit(False)) for c in ("known_from", "rolled_from", "ready_from")]
     # Quality after each message: the last classified prediction up to it.
     # Unload queries and finals are never classifications, so for them it is
     # also the quality before the message.
-    q = asof_last(m3, [id_col], ["ts", "seq"], "__day", ["__pred"]).withColumnRenamed("__pred_asof", "quality")
+    r = r.withColumn("__pred", F.when((t == C.COLOUR_MAT_CHECK) & kn & rd, F.col("prediction")))
+    if split:
+        r = asof_last(row_bucket(r, [id_col], rows=BUCKET_ROWS), [id_col], ["ts", "seq"], "__day", ["__pred"]).withColumnRenamed("__pred_asof", "quality")
+    else:
+        upto = Window.partitionBy(id_col).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+        r = r.withColumn("quality", F.last("__pred", ignorenulls=True).over(upto))
     has_q = F.col("quality").isNotNull()
-    k4 = q.where((t == C.UNLOADING_MAT_FINAL) & F.col("__known") & has_q) \
-        .groupBy(id_col).agg(F.min("o").alias("final_from"))
-    r = q.join(k4, id_col, "left")
-    allowed = F.col("allowed0") & (F.col("final_from").isNull() | (F.col("o") <= F.col("final_from")))
-    kn, rl, rd = F.col("__known"), F.col("__rolled"), F.col("__ready")
+    allowed = allowed0 & (F.col("final_from").isNull() | (o <= F.col("final_from")))
     action = (
         F.when(t == C.LOADING_MAT_LOADED, F.when(allowed, "forward").otherwise("drop"))
         .when(t.endswith("/MatPosition"), F.when(kn, "position")
