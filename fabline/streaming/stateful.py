@@ -5,7 +5,7 @@ timer set for the earliest waiting row wakes the key, and due rows are applied i
 typed value state. What a key gets in a micro-batch is sorted and cut into entries, of two rows where it gets few and of
 ``ENTRY_ROWS`` where it gets very many, so calls to the state grow far slower than a hot key's rows. A micro-batch therefore
 writes its own rows and removes the due ones; rows that go on waiting are not written again, but for those that share an
-entry with a due one. Due entries are unpacked one after the other in time order, never all at once. Neither the cut into micro-batches nor the order of rows within the delay matters; the step functions
+entry with a due one. Where keys are very many and have few rows each, ``GroupedFold`` keeps groups of them under one key of the state. Due entries are unpacked one after the other in time order, never all at once. Neither the cut into micro-batches nor the order of rows within the delay matters; the step functions
 are those of the batch operators. State needs the RocksDB provider (``use_rocksdb``).
 
 PySpark gathers what all timers of a task emit, one dict a row, before it writes any of it. So a timer emits its rows packed,
@@ -74,14 +74,16 @@ def _names(schema: str) -> list[str]:
 class OrderedFold(StatefulProcessor):
     """A ``FoldSpec`` over a stream's rows in event-time order; see the module. ``rows`` is the schema of what a row brings."""
 
+    least_entry = 2  # rows of an entry at least
+
     def __init__(self, spec: FoldSpec, state: TypedState, rows: str, keys: list[str], idle_ms: int | None = None):
         self.spec, self.state, self.rows, self.idle_ms = spec, state, rows, idle_ms
-        self.cols, self.held_cols = _names(rows), _names(state.schema)
+        self.cols, self.held_cols, self.held_schema = _names(rows), _names(state.schema), state.schema
         self.out, self.packed = Row(*keys, *_names(spec.out_schema)), Row("packed")
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", self.state.schema)
+        self.held = handle.getValueState("held", self.held_schema)
         self.waiting = handle.getMapState("waiting", "ts_us long, n long", "last_us long, n_rows long, rows binary")
         self.clock = handle.getValueState("clock", "arrived long, timer long")
         self.input = namedtuple("Input", self.cols)
@@ -111,9 +113,9 @@ class OrderedFold(StatefulProcessor):
             if at is None:
                 names = list(some[0].__fields__)
                 at, ts, seq = [names.index(c) for c in self.cols], names.index("ts_us"), names.index("seq")
-            place = [((r[ts], r[seq] is not None, r[seq] or 0, n), tuple([r[i] for i in at])) for n, r in enumerate(some, arrived)]
+            place = [((r[ts], r[seq] is not None, r[seq] or 0, n), tuple([r[i] for i in at])) for n, r in enumerate(map(tuple, some), arrived)]
             place.sort(key=_place)
-            size = max(2, -(-len(place) // 32))
+            size = max(self.least_entry, -(-len(place) // 32))
             for lo in range(0, len(place), size):
                 self._store(place[lo:lo + size], arrived + lo)
             arrived += len(place)
@@ -166,9 +168,13 @@ class OrderedFold(StatefulProcessor):
             for n, rows in left:
                 self._store(rows, n)
                 next_us = rows[0][0][0] if next_us is None else min(next_us, rows[0][0][0])
-        if next_us is not None:
-            self._wake(arrived, None, next_us // 1000 + 1)
-        elif entries or not self.done(key, now):
+        self._rest(key, now, arrived, None if next_us is None else next_us // 1000 + 1, bool(entries))
+
+    def _rest(self, key, now: int, arrived: int, at: int | None, applied: bool) -> None:
+        """Set the next timer, for the earliest waiting row (``at``) or the end of a key without any."""
+        if at is not None:
+            self._wake(arrived, None, at)
+        elif applied or not self.done(key, now):
             self._wake(arrived, None, self.lifetime(key, now))
         else:
             self.clock.clear()
@@ -193,17 +199,71 @@ class OrderedFold(StatefulProcessor):
         return True
 
 
+class GroupedFold(OrderedFold):
+    """A fold of very many keys with few rows each. The state is keyed by groups of keys (``groups`` of ``run_ordered``): a call to
+    it costs as much as some ten rows, and its calls follow the groups and their entries, not the keys. A row brings its key
+    as the column ``of``. A group's folds are one value: key -> (state, watermark when it was last applied)."""
+
+    least_entry = ENTRY_ROWS
+
+    def __init__(self, spec: FoldSpec, state: TypedState, rows: str, of: str, idle_ms: int | None = None):
+        super().__init__(spec, state, rows, [of], idle_ms)
+        self.of, self.of_at, self.held_schema = of, self.cols.index(of), "folds binary"
+
+    def _folds(self) -> dict:
+        held = self.held.get()
+        return {} if held is None else pickle.loads(held[0])
+
+    def _keep(self, folds: dict) -> None:
+        self.held.update((pickle.dumps(folds, pickle.HIGHEST_PROTOCOL),))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._keep({r[self.of]: (tuple(r[c] for c in self.held_cols), None) for r in initialState["folds"]})
+
+    def apply(self, key, rows, now: int) -> Iterator[tuple]:
+        folds, new = self._folds(), {}
+        for r in rows:
+            k = r[self.of_at]
+            if k in new:
+                held = new[k]
+            else:
+                held = self.state.unpack(folds[k][0]) if k in folds else self.spec.init()
+            new[k], emitted = self.spec.step(held, r)
+            for o in emitted or ():
+                yield (k, *o)
+        folds.update((k, (self.state.pack(held), now)) for k, held in new.items() if held is not None)
+        self._keep(folds)
+
+    def _rest(self, key, now: int, arrived: int, at: int | None, applied: bool) -> None:
+        if self.idle_ms is not None:
+            folds = self._folds()
+            ends = {k: last + self.idle_ms for k, (_, last) in folds.items() if last is not None}
+            gone = {k for k, end in ends.items() if end <= now}
+            if gone and at is not None:  # a key with waiting rows stays
+                gone -= {v[self.of_at] for _, (_, _, packed) in self.waiting.iterator() for _, v in pickle.loads(packed)}
+            if gone:
+                self._keep({k: v for k, v in folds.items() if k not in gone})
+            at = min((end for end in [*ends.values(), at] if end is not None and end > now), default=at)
+        self._wake(arrived, None, at)
+
+
 def run_ordered(rows: DataFrame, keys: list[str], processor: OrderedFold, delay: str, ts: str = "ts", seq: str = "seq",
-                initial: DataFrame | None = None) -> DataFrame:
+                initial: DataFrame | None = None, groups: int | None = None) -> DataFrame:
     """Rows (keys, ts, ts_us, seq, the processor's columns) through a processor; rows without a time are left out
     (``without_time`` gives them), rows later than ``delay`` are dropped by the watermark (``split_late`` keeps them).
-    ``initial`` is a table of keys and state columns that a new query starts from; a restarted one has its own state."""
+    ``initial`` is a table of keys and state columns that a new query starts from; a restarted one has its own state.
+    A ``GroupedFold`` takes the keys dealt into ``groups``, a number that a checkpoint goes on with."""
     use_rocksdb(rows.sparkSession)
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     cols = dict.fromkeys([*keys, ts, "ts_us", seq, *processor.cols])
     timed = rows.where(F.col(ts).isNotNull()).select(*cols).withColumnRenamed(seq, "seq").withWatermark(ts, delay)
-    start = None if initial is None else initial.select(*keys, *_names(processor.state.schema)).groupBy(*keys)
-    packed = timed.groupBy(*keys).transformWithState(processor, "packed binary", "Append", "EventTime", start)
+    start, by = None if initial is None else initial.select(*keys, *_names(processor.state.schema)), keys
+    if groups:
+        by, group = ["__group"], F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("__group")
+        timed = timed.select("*", group)
+        start = None if start is None else start.groupBy(group).agg(F.collect_list(F.struct(*start.columns)).alias("folds"))
+    start = None if start is None else start.groupBy(*by)
+    packed = timed.groupBy(*by).transformWithState(processor, "packed binary", "Append", "EventTime", start)
     return packed.mapInArrow(_unpacker(f"{kinds}, {processor.spec.out_schema}"), f"{kinds}, {processor.spec.out_schema}")
 
 
@@ -343,20 +403,25 @@ def asof_live(rows: DataFrame, key: str, spec: FoldSpec, delay: str, idle: str |
 
 
 # --- W6 / W8 ----------------------------------------------------------------
-def lifecycle_live(msgs: DataFrame, state: DataFrame, delay: str, predictions: DataFrame | None = None, idle: str | None = None) -> DataFrame:
+ID_GROUPS = 2048  # groups of material ids in a stream's state
+
+
+def lifecycle_live(msgs: DataFrame, state: DataFrame, delay: str, predictions: DataFrame | None = None, idle: str | None = None,
+                   groups: int | None = None) -> DataFrame:
     """Lifecycle of materials over a stream of material and control messages: ``id`` and the actions.
 
     ``msgs`` is ``seq, ts, id, topic, payload``; messages of ``ALLOW_TOPIC`` and ``REMOVE_TOPIC`` change the allow-list while
     the stream runs, in time order with the others. ``state`` (see ``lifecycle_state``) is what a new stream starts from: the
-    allow-list, or all that a batch has left. A null id is an id that is never allowed.
+    allow-list, or all that a batch has left. A null id is an id that is never allowed. Ids lie in ``groups`` of the state
+    (``ID_GROUPS``); a checkpoint goes on with the number it was begun with.
     """
-    m = msgs.where(F.col("topic").isin(*LIFECYCLE_TOPICS, ALLOW_TOPIC, REMOVE_TOPIC)).select("id", "seq", "ts", "topic", "payload")
+    m = msgs.where(F.col("topic").isin(*LIFECYCLE_TOPICS, ALLOW_TOPIC, REMOVE_TOPIC)).select(
+        "id", "seq", "ts", "topic", F.when(F.col("topic") == ALLOW_TOPIC, F.col("payload")).alias("payload"))
     m = (m.withColumn("prediction", F.lit(None).cast("string")) if predictions is None
          else m.join(predictions.select("seq", "prediction"), "seq", "left"))
-    m = m.withColumns({"ts_us": F.unix_micros("ts"), "mid": F.col("id")})
     rows = "ts_us long, seq long, id string, topic string, payload string, prediction string"
-    fold = OrderedFold(LIVE_SPEC, TypedState(LIFE_STATE), rows, ["mid"], int(window_seconds(idle) * 1000) if idle else None)
-    return run_ordered(m, ["mid"], fold, delay, initial=state.withColumnRenamed("id", "mid")).withColumnRenamed("mid", "id")
+    fold = GroupedFold(LIVE_SPEC, TypedState(LIFE_STATE), rows, "id", int(window_seconds(idle) * 1000) if idle else None)
+    return run_ordered(m.withColumn("ts_us", F.unix_micros("ts")), ["id"], fold, delay, initial=state, groups=groups or ID_GROUPS)
 
 
 # --- S3 ---------------------------------------------------------------------
