@@ -66,8 +66,12 @@ def label_flags(labels: DataFrame) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, flags: DataFrame) -> DataFrame:
-    """Rows with the labels of their id; an id with very many rows meets its label in ``SPREAD`` places."""
-    many = flags.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    """Rows with the labels of their id; an id with very many rows meets its label in ``SPREAD`` places.
+
+    Labels grow with the documents, and Spark takes them for as small as their files and for one row an id, so it would gather
+    all ``SPREAD`` in the driver and send them to every task: the join is told to shuffle both sides.
+    """
+    many = flags.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).hint("merge")
     out = rows.withColumn("place", F.pmod(F.xxhash64("key", "part"), F.lit(SPREAD)).cast("int")).join(many, ["id", "place"], "left")
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("good", "toxic")}).drop("place")
 
