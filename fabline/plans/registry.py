@@ -1167,6 +1167,11 @@ def q_topic_source_stream(spark, d):
 LIFE_COLS = ["id", "seq", "action", "out_topic", "out_payload", "quality"]
 
 
+def _lifecycle_out(df: DataFrame, out: str, ck: str) -> DataFrame:
+    with SF.state_partitions(df.sparkSession, SF.ID_PARTITIONS):
+        return _stream_out(df, out, ck).where("id IS NOT NULL").select(*LIFE_COLS)
+
+
 @register("material_lifecycle_stream", ORACLE["material_lifecycle"])
 def q_material_lifecycle_stream(spark, d):
     """The stream starts from the allow-list as its state table."""
@@ -1174,7 +1179,7 @@ def q_material_lifecycle_stream(spark, d):
     # Static sides of a long-running stream are materialised once.
     preds = _check_predictions(spark, d).checkpoint()
     state = LC.lifecycle_state(AD.allow_list(spark, d)).checkpoint()
-    return _stream_out(SF.lifecycle_live(s, state, delay, preds), out, ck).where("id IS NOT NULL").select(*LIFE_COLS)
+    return _lifecycle_out(SF.lifecycle_live(s, state, delay, preds), out, ck)
 
 
 @register("material_lifecycle_resume", ORACLE["material_lifecycle"])
@@ -1188,8 +1193,7 @@ def q_material_lifecycle_resume(spark, d):
     actions = LC.material_lifecycle(early, allow, preds).select(*LIFE_COLS).checkpoint()
     state = LC.lifecycle_state(allow, actions, early).checkpoint()
     s, delay, out, ck = _stream_in(spark, "resume", msgs.where(F.col("ts") > at), end={"topic": C.LOADING_MAT_LOADED})
-    later = _stream_out(SF.lifecycle_live(s, state, delay, preds), out, ck).where("id IS NOT NULL")
-    return actions.unionByName(later.select(*LIFE_COLS))
+    return actions.unionByName(_lifecycle_out(SF.lifecycle_live(s, state, delay, preds), out, ck))
 
 
 @register("daily_quality_stream", DAILY_SQL + "SELECT day, good, defect1, defect2 FROM daily")

@@ -26,6 +26,7 @@ import pickle
 from bisect import bisect_left
 from collections import namedtuple
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import islice
 from operator import itemgetter
@@ -52,6 +53,17 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, most: int) -> Iterator[None]:
+    """Queries started inside have no more than ``most`` state partitions; a query keeps the settings it is started with."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 @dataclass
 class TypedState:
     """A fold's state as columns: ``pack(state)`` gives the tuple that ``unpack`` turns back."""
@@ -404,6 +416,7 @@ def asof_live(rows: DataFrame, key: str, spec: FoldSpec, delay: str, idle: str |
 
 # --- W6 / W8 ----------------------------------------------------------------
 ID_GROUPS = 2048  # groups of material ids in a stream's state
+ID_PARTITIONS = ID_GROUPS // 16  # state partitions worth having for them; each costs a commit in every micro-batch
 
 
 def lifecycle_live(msgs: DataFrame, state: DataFrame, delay: str, predictions: DataFrame | None = None, idle: str | None = None,
@@ -509,12 +522,8 @@ def daily_quality_live(records: DataFrame, out: str, checkpoint: str, day: str =
     use_rocksdb(spark)
     w = daily_counts(records, day).writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).outputMode("update")
     w = w.trigger(availableNow=True) if available_now else w
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), DAY_PARTITIONS)))
-    try:
-        return w.start()  # the query keeps the settings it is started with
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    with state_partitions(spark, DAY_PARTITIONS):
+        return w.start()
 
 
 # --- W3 ---------------------------------------------------------------------

@@ -234,6 +234,21 @@ def test_many_ids_call_the_state_as_often_as_their_groups(spark, tmp_path, monke
     assert sorted(map(str, spark.read.parquet(out).select(*cols).collect())) == sorted(map(str, want)) and len(want) == len(rows)
 
 
+def test_the_lifecycle_has_no_more_state_partitions_than_its_groups_need(spark, tmp_path, monkeypatch):
+    """Each costs a commit in every micro-batch, and what its tasks send the driver grows with their square."""
+    monkeypatch.setattr(SF, "ID_PARTITIONS", 3)
+    before, schema = spark.conf.get("spark.sql.shuffle.partitions"), f"{LIFE}, payload string"
+    rows = [(i, T0 + dt.timedelta(seconds=i), f"{i % 7}", C.LOADING_MAT_LOADED, "") for i in range(30)]
+    rows += [(99, T0 + dt.timedelta(days=9), None, C.LOADING_MAT_LOADED, "")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    allow = spark.createDataFrame([("1", "50")], "id string, thickness string")
+    s = SF.lifecycle_live(ST.read_stream(spark, f"{tmp_path}/in", schema), LC.lifecycle_state(allow), "1 hour")
+    got = R._lifecycle_out(s, f"{tmp_path}/out", f"{tmp_path}/ck")
+    assert {(r.seq, r.action) for r in got.collect()} == {(i, "forward" if i % 7 == 1 else "drop") for i in range(30)}
+    assert len([p for p in (tmp_path / "ck" / "state" / "0").iterdir() if p.name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 class Handle:
     def __init__(self):
         self.timers = set()
